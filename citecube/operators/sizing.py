@@ -1,0 +1,20 @@
+"""Broadcast only behind an exact size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a dimension may have to be shipped to every executor.  Above it the
+# join stays a shuffle join (and AQE may still convert it from runtime sizes).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.  Reads at most
+    ``max_rows + 1`` rows, so the check is cheap even on a large input."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if fits(df, max_rows) else df
