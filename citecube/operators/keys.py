@@ -7,16 +7,16 @@ window).
 2. tag every row with its partition and its position in that partition;
 3. reliable ``checkpoint()`` into ``spark.checkpoint.dir`` - this fixes the
    range boundaries and positions, cuts lineage, and survives executor loss;
-4. count rows per partition (one row per partition), turn the counts into
-   running offsets, broadcast that table (its size is the partition count)
-   and add ``offset + position``.
+4. count rows per partition (one row per partition, collected - bounded by
+   the partition count, not by the data), turn the counts into running
+   offsets, broadcast them as a local table and add ``offset + position``.
 
 The id equals ``row_number() OVER (ORDER BY keys)`` when the keys are unique.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, shuffle_partitions
@@ -36,13 +36,20 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str,
               .sortWithinPartitions(*order_cols)
               .withColumn(_PART, F.spark_partition_id())
               .withColumn(_MONO, F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)
-    counts = ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_CNT))
-    # At most one row per range partition: a single-task window is bounded.
-    running = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PART, F.coalesce(F.sum(_CNT).over(running), F.lit(0)).alias(_OFF))
+    # Lazy reliable checkpoint: the per-partition count below is the job that
+    # computes the sorted partitions, and they are written right after it
+    # from the same shuffle output (fixed range bounds, unique sort keys),
+    # so counts and checkpointed positions agree.
+    ranged = ranged.checkpoint(eager=False)
+    # One row per range partition: a bounded collect, whatever the data size.
+    counts = dict(ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_CNT)).collect())
+    offsets, run = [], 0
+    for p in range(n):
+        offsets.append((p, run))
+        run += counts.get(p, 0)
+    off_df = spark.createDataFrame(offsets, f"{_PART} int, {_OFF} long")
     position = F.col(_MONO) - F.shiftleft(F.col(_PART).cast("long"), 33)
-    return (ranged.join(F.broadcast(offsets), _PART)
+    return (ranged.join(F.broadcast(off_df), _PART)
             .withColumn(id_col, (F.col(_OFF) + position + F.lit(first_id)).cast("long"))
             .drop(_PART, _MONO, _OFF))
 

@@ -9,10 +9,16 @@ from .sizing import maybe_broadcast
 
 
 def dim_lookup(left: DataFrame, left_key: str, dim: DataFrame, dim_key: str, dim_id: str,
-               out_col: str, missing: int = -1, small: bool | None = None) -> DataFrame:
+               out_col: str, missing: int = -1, small: bool | None = None,
+               unique: bool = False) -> DataFrame:
     """Left lookup: every left row once, with the first (smallest) id of the
-    matching dimension rows, or ``missing``.  Never multiplies rows."""
-    firsts = dim.groupBy(F.col(dim_key).alias("_lk_key")).agg(F.min(dim_id).alias("_lk_id"))
+    matching dimension rows, or ``missing``.  Never multiplies rows.
+    ``unique=True`` states that ``dim_key`` is already distinct (dimensions
+    built by distinct), which saves the de-duplicating aggregation."""
+    if unique:
+        firsts = dim.select(F.col(dim_key).alias("_lk_key"), F.col(dim_id).alias("_lk_id"))
+    else:
+        firsts = dim.groupBy(F.col(dim_key).alias("_lk_key")).agg(F.min(dim_id).alias("_lk_id"))
     if small is None:
         firsts = maybe_broadcast(firsts)
     elif small:

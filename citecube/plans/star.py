@@ -106,14 +106,15 @@ def author_links(st: Staged, author_dim: DataFrame) -> DataFrame:
     """(id, author_id) per author list item; a name missing from the
     dimension maps to -1."""
     return dim_lookup(st.authors.select("id", "author"), "author", author_dim, "name",
-                      "author_id", "author_id", small=False).select("id", "author_id")
+                      "author_id", "author_id", small=False,
+                      unique=True).select("id", "author_id")
 
 
 def fact_table(survivors: DataFrame, links: DataFrame, timeinfo: DataFrame,
                doc_type: DataFrame, venues: DataFrame) -> DataFrame:
     f = survivors.withColumn("venue_key", clean_key("venue"))
-    f = dim_lookup(f, "year", timeinfo, "year", "time_id", "time_id")
-    f = dim_lookup(f, "type", doc_type, "name", "type_id", "type_id")
+    f = dim_lookup(f, "year", timeinfo, "year", "time_id", "time_id", unique=True)
+    f = dim_lookup(f, "type", doc_type, "name", "type_id", "type_id", unique=True)
     f = dim_lookup(f, "venue_key", venues, "dblp_key", "venue_series_id", "venue_series_id")
     f = f.join(links, "id", "inner")
     d = FACT_DEFAULTS

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import join_list
 from ..schemas import CITE_PLACEHOLDER
+from ..session import ensure_checkpoint_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,9 +84,13 @@ def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("c_name").alias("title"))
 
 
-def staged(spark: SparkSession, sf_dir: str) -> Staged:
+def staged(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Staged:
     """Long form of the staged records after the import's completeness
-    filter: key and title present, year > 0, at least one author."""
+    filter: key and title present, year > 0, at least one author.
+
+    With ``materialize`` the three frames are written once as reliable
+    checkpoints (the import's staged files): every dimension and the fact
+    read them instead of re-running the joins over the raw tables."""
     authors = raw_authors(spark, sf_dir)
     pubs = (raw_publications(spark, sf_dir)
             .filter(F.col("key").isNotNull() & F.col("title").isNotNull() & (F.col("year") > 0))
@@ -94,6 +99,9 @@ def staged(spark: SparkSession, sf_dir: str) -> Staged:
     authors = authors.join(ids, "id", "left_semi")
     cites = (raw_cites(spark, sf_dir).filter(F.col("cite") != F.lit(CITE_PLACEHOLDER))
              .join(ids, "id", "left_semi"))
+    if materialize:
+        ensure_checkpoint_dir(spark)
+        pubs, authors, cites = (df.checkpoint(eager=True) for df in (pubs, authors, cites))
     return Staged(pubs, authors, cites, collections(spark, sf_dir))
 
 
@@ -105,7 +113,7 @@ def _joined(items: DataFrame, value: str, out: str) -> DataFrame:
 def publication_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record form: id, type, key, title, year, venue, authors, cites (the
     staged publication file of the import, complete records only)."""
-    st = staged(spark, sf_dir)
+    st = staged(spark, sf_dir, materialize=False)
     a = _joined(st.authors, "author", "authors")
     c = _joined(st.cites, "cite", "cites")
     return (st.publications.join(a, "id", "inner").join(c, "id", "left")
