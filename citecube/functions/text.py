@@ -56,7 +56,7 @@ def last_parseable_int(arr) -> Column:
     """Last value of a repeated field that parses as an integer, else 0: a
     bad value never overwrites an earlier good one."""
     parsed = F.filter(F.transform(_c(arr), lambda x: safe_int(x)), lambda x: x.isNotNull())
-    return F.coalesce(F.element_at(parsed, -1), F.lit(0))
+    return F.coalesce(F.try_element_at(parsed, F.lit(-1)), F.lit(0))
 
 
 def drop_placeholder(arr) -> Column:
