@@ -1 +1,113 @@
-"""Further registered queries (operators beyond the star-schema build)."""
+"""Further registered queries: CSV dialects, record-level rules, joins,
+PDI-style operators, XML import."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from . import oracle
+from .catalog import register, star
+from .plans.star import build_star
+from .schemas import AUTHOR, STAGED_COLLECTIONS, STAGED_PUBLICATIONS
+from .session import scratch_path
+from .sources import adapter
+from .sources import csv_dialects as csv
+
+DOC_COLS = ["doc_id", "lang", "source", "text", "n_chars"]
+DOC_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang", T.StringType()),
+                           T.StructField("source", T.StringType()), T.StructField("text", T.StringType()),
+                           T.StructField("n_chars", T.LongType())])
+DOC_SQL = "SELECT doc_id, lang, source, text, n_chars FROM documents"
+FIRST_N = 100
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapter.table(spark, sf_dir, "documents").select(*DOC_COLS)
+
+
+# --- CSV dialects ---------------------------------------------------------
+
+@register("csv_escaped_roundtrip", DOC_SQL)
+def csv_escaped_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "docs-escaped")
+    csv.write_escaped(_docs(spark, sf_dir), path, order_by="doc_id")
+    return csv.read_escaped(spark, path, DOC_SCHEMA)
+
+
+@register("csv_quoted_roundtrip", DOC_SQL)
+def csv_quoted_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "docs-quoted")
+    csv.write_quoted(_docs(spark, sf_dir), path, order_by="doc_id")
+    return csv.read_quoted(spark, path, DOC_SCHEMA)
+
+
+@register("csv_convert_first_n", DOC_SQL + f" ORDER BY doc_id LIMIT {FIRST_N}")
+def csv_convert_first_n(spark, sf_dir):
+    src, dst = scratch_path(spark, "docs-escaped"), scratch_path(spark, "docs-first-n")
+    csv.write_escaped(_docs(spark, sf_dir), src, order_by="doc_id")
+    csv.convert(spark, src, dst, DOC_SCHEMA, "escaped-to-quoted", limit=FIRST_N)
+    return csv.read_quoted(spark, dst, DOC_SCHEMA)
+
+
+@register("csv_pipe_header", oracle.with_star(
+    'SELECT author_id AS "AuthorID", name AS "Name" FROM dim_author'))
+def csv_pipe_header(spark, sf_dir):
+    path = scratch_path(spark, "authors-pipe")
+    a = star(spark, sf_dir).author.select(F.col("author_id").alias("AuthorID"), F.col("name").alias("Name"))
+    csv.write_pipe_header(a, path, order_by="AuthorID")
+    schema = T.StructType([T.StructField("AuthorID", T.LongType()), T.StructField("Name", T.StringType())])
+    return csv.read_pipe_header(spark, path, schema)
+
+
+def _write_staged_csv(spark, sf_dir) -> tuple[str, str]:
+    """The import's output: staged publication and collection files."""
+    root = scratch_path(spark, "staged")
+    pubs, cols = os.path.join(root, "dblp-publications.csv"), os.path.join(root, "dblp-collections.csv")
+    csv.write_escaped(adapter.publication_records(spark, sf_dir), pubs, order_by="id")
+    csv.write_escaped(adapter.collections(spark, sf_dir), cols, order_by="id")
+    return pubs, cols
+
+
+@register("csv_typed_scan", oracle.with_records(
+    "SELECT id, key, year FROM bib_pub"))
+def csv_typed_scan(spark, sf_dir):
+    pubs, _ = _write_staged_csv(spark, sf_dir)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("key", T.StringType()),
+                           T.StructField("year", T.LongType())])
+    return csv.read_escaped(spark, pubs, schema, indices=[0, 2, 4], strict=True)
+
+
+@register("star_from_csv_fact", oracle.with_star("SELECT * FROM fact"))
+def star_from_csv_fact(spark, sf_dir):
+    pubs, cols = _write_staged_csv(spark, sf_dir)
+    records = csv.read_escaped(spark, pubs, STAGED_PUBLICATIONS, strict=True)
+    collections = csv.read_escaped(spark, cols, STAGED_COLLECTIONS, strict=True)
+    return build_star(adapter.staged_from_records(records, collections)).publication
+
+
+@register("split_authors", oracle.with_records(
+    "SELECT id, unnest(string_split(authors, '|')) AS author FROM bib_pub"))
+def split_authors(spark, sf_dir):
+    from .functions.text import split_list
+    r = adapter.publication_records(spark, sf_dir)
+    return r.select("id", F.explode(split_list("authors")).alias("author"))
+
+
+@register("split_cites", oracle.with_records(
+    "SELECT id, unnest(string_split(cites, '|')) AS cite FROM bib_pub"))
+def split_cites(spark, sf_dir):
+    from .functions.text import split_list
+    r = adapter.publication_records(spark, sf_dir)
+    return r.select("id", F.explode(split_list("cites")).alias("cite"))
+
+
+@register("join_list", oracle.with_records("SELECT id, authors, cites FROM bib_pub"))
+def join_list_q(spark, sf_dir):
+    return adapter.publication_records(spark, sf_dir).select("id", "authors", "cites")
+
+
+_ = AUTHOR

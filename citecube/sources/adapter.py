@@ -127,3 +127,14 @@ def raw_publication_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = _joined(raw_authors(spark, sf_dir), "author", "authors")
     c = _joined(raw_cites(spark, sf_dir), "cite", "cites")
     return (raw_publications(spark, sf_dir).join(a, "id", "left").join(c, "id", "left"))
+
+
+def staged_from_records(records: DataFrame, cols: DataFrame) -> Staged:
+    """Long form from record rows with ``|``-joined lists (the staged CSV
+    files): the lists are split row by row (``split_list``), no grouping."""
+    from ..functions.text import split_list
+    pubs = records.select("id", "type", "key", "title", "year", "venue")
+    authors = records.select("id", F.posexplode(split_list("authors")).alias("pos", "author"))
+    cites = records.select("id", F.posexplode(split_list("cites")).alias("pos", "cite"))
+    return Staged(pubs, authors.withColumn("pos", F.col("pos").cast("long")),
+                  cites.withColumn("pos", F.col("pos").cast("long")), cols)
