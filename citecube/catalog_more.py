@@ -111,3 +111,89 @@ def join_list_q(spark, sf_dir):
 
 
 _ = AUTHOR
+
+
+# --- XML import -----------------------------------------------------------
+
+from .functions.entities import decode_entities, sql_decode_chain  # noqa: E402
+from .sources import xml_records as xml  # noqa: E402
+
+XML_HEAD = '<?xml version="1.0" encoding="UTF-8"?>\n<!DOCTYPE dblp SYSTEM "dblp.dtd">\n<dblp>'
+
+
+def _dblp_dump(spark, sf_dir) -> str:
+    path = scratch_path(spark, "dblp-xml")
+    recs = adapter.order_records(spark, sf_dir)
+    xml.write_xml([xml.render_dblp_publications(recs),
+                   xml.render_dblp_collections(adapter.table(spark, sf_dir, "customer")),
+                   xml.render_dblp_homepages(adapter.table(spark, sf_dir, "supplier"))],
+                  path, XML_HEAD, "</dblp>")
+    return path
+
+
+_XML_PUBS = """
+SELECT row_number() OVER (ORDER BY type, key, title, year, venue, authors, cites) AS seq, * FROM (
+  SELECT CASE o.o_orderpriority WHEN '1-URGENT' THEN 'article' WHEN '2-HIGH' THEN 'inproceedings'
+              ELSE 'incollection' END AS type,
+         p.key, 'Order' || chr(160) || o.o_orderkey AS title, p.year, p.venue, p.authors, p.cites
+  FROM bib_pub p JOIN orders o ON o.o_orderkey + 1 = p.id
+  WHERE o.o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM'))"""
+
+
+@register("xml_dblp_extract", oracle.with_records(_XML_PUBS))
+def xml_dblp_extract(spark, sf_dir):
+    return xml.dblp_import(spark, _dblp_dump(spark, sf_dir))[0]
+
+
+@register("xml_dblp_collections", oracle.with_records("""
+SELECT row_number() OVER (ORDER BY type, key, title) AS seq, * FROM (
+  SELECT 'proceedings' AS type, 'cust/' || c_custkey AS key, c_name AS title FROM customer)"""))
+def xml_dblp_collections(spark, sf_dir):
+    return xml.dblp_import(spark, _dblp_dump(spark, sf_dir))[1]
+
+
+@register("xml_quality", """
+SELECT 'unknown_field' AS rule, count(*) AS n FROM orders WHERE o_orderstatus NOT IN ('P', 'F')""")
+def xml_quality(spark, sf_dir):
+    return xml.quality_report(spark, _dblp_dump(spark, sf_dir))
+
+
+@register("xml_acm_extract", oracle.with_records("""
+SELECT row_number() OVER (ORDER BY source_id, title, year, venue, authors, num_citings) AS seq, * FROM (
+  SELECT p.key AS source_id, p.title, p.year,
+         o.o_orderpriority || ' :1#' || month(o.o_orderdate) || '#' || day(o.o_orderdate) AS venue,
+         p.authors, CAST(coalesce(c.n, 0) AS BIGINT) AS num_citings
+  FROM bib_pub p JOIN orders o ON o.o_orderkey + 1 = p.id
+  LEFT JOIN (SELECT l_orderkey + 1 AS id, count(*) AS n FROM lineitem WHERE l_returnflag <> 'R'
+             GROUP BY 1) c ON c.id = p.id)"""))
+def xml_acm_extract(spark, sf_dir):
+    path = scratch_path(spark, "acm-xml")
+    xml.write_xml([xml.render_acm(adapter.order_records(spark, sf_dir))], path,
+                  '<?xml version="1.0" encoding="UTF-8"?>\n<PublicationList>', "</PublicationList>")
+    return xml.acm_import(spark, path)
+
+
+# --- HTML pages: markup flattening and entities ---------------------------
+
+_ARTICLE = r"(?s)<article>(.*?)</article>"
+_TITLE = r"(?s)<title>(.*?)</title>"
+_FOOTER = r"(?s)<footer>(.*?)</footer>"
+
+
+@register("flatten_markup", f"""
+SELECT page_id, {sql_decode_chain(f"regexp_replace(regexp_extract(html, '{_ARTICLE}', 1), '<[^>]+>', '', 'g')")}
+       AS article_text FROM pages""")
+def flatten_markup(spark, sf_dir):
+    p = adapter.table(spark, sf_dir, "pages")
+    body = F.regexp_replace(F.regexp_extract("html", _ARTICLE, 1), "<[^>]+>", "")
+    return p.select("page_id", decode_entities(body, include_predefined=True).alias("article_text"))
+
+
+@register("entities", f"""
+SELECT page_id, {sql_decode_chain(f"regexp_extract(html, '{_TITLE}', 1)")} AS title,
+       {sql_decode_chain(f"regexp_extract(html, '{_FOOTER}', 1)")} AS footer FROM pages""")
+def entities_q(spark, sf_dir):
+    p = adapter.table(spark, sf_dir, "pages")
+    return p.select("page_id",
+                    decode_entities(F.regexp_extract("html", _TITLE, 1), True).alias("title"),
+                    decode_entities(F.regexp_extract("html", _FOOTER, 1), True).alias("footer"))

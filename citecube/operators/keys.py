@@ -16,6 +16,7 @@ The id equals ``row_number() OVER (ORDER BY keys)`` when the keys are unique.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,9 +41,11 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str,
     # computes the sorted partitions, and they are written right after it
     # from the same shuffle output (fixed range bounds, unique sort keys),
     # so counts and checkpointed positions agree.
-    ranged = ranged.checkpoint(eager=False)
+    cached = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = cached.checkpoint(eager=False)
     # One row per range partition: a bounded collect, whatever the data size.
     counts = dict(ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_CNT)).collect())
+    cached.unpersist()
     offsets, run = [], 0
     for p in range(n):
         offsets.append((p, run))

@@ -67,3 +67,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df):
+    """Reliable checkpoint that computes ``df`` once: cached while the
+    checkpoint files are written, then read back from the shared folder
+    (lineage cut, survives executor loss)."""
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

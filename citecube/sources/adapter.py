@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import join_list
 from ..schemas import CITE_PLACEHOLDER
-from ..session import ensure_checkpoint_dir
+from ..session import materialize as materialize_df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,8 +100,7 @@ def staged(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Staged
     cites = (raw_cites(spark, sf_dir).filter(F.col("cite") != F.lit(CITE_PLACEHOLDER))
              .join(ids, "id", "left_semi"))
     if materialize:
-        ensure_checkpoint_dir(spark)
-        pubs, authors, cites = (df.checkpoint(eager=True) for df in (pubs, authors, cites))
+        pubs, authors, cites = (materialize_df(df) for df in (pubs, authors, cites))
     return Staged(pubs, authors, cites, collections(spark, sf_dir))
 
 
@@ -138,3 +137,21 @@ def staged_from_records(records: DataFrame, cols: DataFrame) -> Staged:
     cites = records.select("id", F.posexplode(split_list("cites")).alias("pos", "cite"))
     return Staged(pubs, authors.withColumn("pos", F.col("pos").cast("long")),
                   cites.withColumn("pos", F.col("pos").cast("long")), cols)
+
+
+def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order with its author and citation lists (placeholders kept),
+    the input of the XML renderers (record edge: one element per order)."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
+        F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
+        F.dayofmonth("o_orderdate").alias("day"))
+
+    def lists(items: DataFrame, value: str, out: str) -> DataFrame:
+        lst = F.sort_array(F.collect_list(F.struct(F.col("pos"), F.col(value))))
+        return (items.groupBy((F.col("id") - 1).alias("o_orderkey"))
+                .agg(F.transform(lst, lambda x: x[value]).alias(out)))
+
+    a = lists(raw_authors(spark, sf_dir), "author", "authors")
+    c = lists(raw_cites(spark, sf_dir), "cite", "cites")
+    return o.join(a, "o_orderkey", "left").join(c, "o_orderkey", "left")
