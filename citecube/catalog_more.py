@@ -197,3 +197,232 @@ def entities_q(spark, sf_dir):
     return p.select("page_id",
                     decode_entities(F.regexp_extract("html", _TITLE, 1), True).alias("title"),
                     decode_entities(F.regexp_extract("html", _FOOTER, 1), True).alias("footer"))
+
+
+# --- record rules on the adapter records ----------------------------------
+
+from .functions import text as fx  # noqa: E402
+from .operators import dedup, routing  # noqa: E402
+from .operators.lookup import (count_matches, dim_lookup, join_full, join_inner,  # noqa: E402
+                               join_left, join_three_way)
+from .sources.tables import author_pub  # noqa: E402
+
+_CLEAN = "CASE WHEN {c} LIKE '%ref:%' THEN substr({c}, 5) ELSE {c} END"
+
+
+@register("venue_string", oracle.with_records("SELECT id, venue FROM bib_pub_all"))
+def venue_string_q(spark, sf_dir):
+    return adapter.raw_publications(spark, sf_dir).select("id", "venue")
+
+
+@register("clean_keys", oracle.with_records(
+    f"SELECT id, {_CLEAN.format(c='venue')} AS venue_key FROM bib_pub"))
+def clean_keys(spark, sf_dir):
+    st = adapter.staged(spark, sf_dir)
+    return st.publications.select("id", fx.clean_key("venue").alias("venue_key"))
+
+
+@register("decade", "SELECT o_orderkey, CAST(((year(o_orderdate) % 100) // 10) * 10 AS BIGINT) AS decade "
+                    "FROM orders")
+def decade_q(spark, sf_dir):
+    o = adapter.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", fx.decade(F.year("o_orderdate")).alias("decade"))
+
+
+@register("complete_records", oracle.with_records("""
+SELECT p.id IN (SELECT id FROM bib_pub) AS complete, count(*) AS n FROM bib_pub_all p GROUP BY 1"""))
+def complete_records(spark, sf_dir):
+    r = adapter.raw_publication_records(spark, sf_dir)
+    ok = (F.col("key").isNotNull() & F.col("title").isNotNull() & (F.col("year") > 0)
+          & F.col("authors").isNotNull())
+    return r.groupBy(ok.alias("complete")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_URL_SPLIT = "[/?#]"
+
+
+@register("safe_int", f"""
+SELECT page_id, tok AS token,
+       CASE WHEN regexp_full_match(tok, '[+-]?[0-9]+') THEN TRY_CAST(tok AS INTEGER) END AS value
+FROM (SELECT page_id, unnest(string_split_regex(url, '{_URL_SPLIT}')) AS tok FROM pages)""")
+def safe_int_q(spark, sf_dir):
+    p = adapter.table(spark, sf_dir, "pages")
+    t = p.select("page_id", F.explode(F.split("url", _URL_SPLIT)).alias("token"))
+    return t.select("page_id", "token", fx.safe_int("token").alias("value"))
+
+
+@register("drop_placeholder", """
+SELECT l_orderkey AS o_orderkey, count(*) AS n_cites, CAST(sum(CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END)
+       AS BIGINT) AS n_kept FROM lineitem GROUP BY l_orderkey""")
+def drop_placeholder_q(spark, sf_dir):
+    r = adapter.order_records(spark, sf_dir).filter(F.col("cites").isNotNull())
+    return r.select("o_orderkey", F.size("cites").cast("long").alias("n_cites"),
+                    F.size(fx.drop_placeholder("cites")).cast("long").alias("n_kept"))
+
+
+def _venue_texts(spark, sf_dir):
+    o = adapter.table(spark, sf_dir, "orders")
+    m, d = F.month("o_orderdate").cast("string"), F.dayofmonth("o_orderdate").cast("string")
+    text = (F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("Volume "), m, F.lit(" , Issue "), d,
+                                                            F.lit(" ("), F.col("o_orderpriority"), F.lit(")")))
+            .when(F.col("o_orderstatus") == "P", F.concat(F.lit("volume "), m, F.lit(", issue "), d))
+            .otherwise(F.concat(F.lit("VOLUME "), m, F.lit("  ,\tISSUE "), d, F.lit(" "))))
+    return o.select("o_orderkey", text.alias("venue_text"))
+
+
+@register("volume_issue", """
+SELECT o_orderkey, venue_text,
+       CASE WHEN regexp_full_match(venue_text, '(?i)volume\\s+([0-9]+)\\s+,\\s+issue\\s+([0-9]+)\\s+.*')
+            THEN CAST(regexp_extract(venue_text, '(?i)volume\\s+([0-9]+)', 1) AS INTEGER) ELSE 0 END AS volume,
+       CASE WHEN regexp_full_match(venue_text, '(?i)volume\\s+([0-9]+)\\s+,\\s+issue\\s+([0-9]+)\\s+.*')
+            THEN CAST(regexp_extract(venue_text, '(?i)issue\\s+([0-9]+)', 1) AS INTEGER) ELSE 0 END AS issue
+FROM (SELECT o_orderkey,
+        CASE o_orderstatus WHEN 'F' THEN 'Volume ' || month(o_orderdate) || ' , Issue ' || day(o_orderdate)
+                                         || ' (' || o_orderpriority || ')'
+             WHEN 'P' THEN 'volume ' || month(o_orderdate) || ', issue ' || day(o_orderdate)
+             ELSE 'VOLUME ' || month(o_orderdate) || '  ,' || chr(9) || 'ISSUE ' || day(o_orderdate) || ' ' END
+        AS venue_text FROM orders)""")
+def volume_issue_q(spark, sf_dir):
+    t = _venue_texts(spark, sf_dir)
+    v, i = fx.volume_issue("venue_text")
+    return t.select("o_orderkey", "venue_text", v.alias("volume"), i.alias("issue"))
+
+
+@register("trim_ctl", """
+SELECT conv_id, turn, regexp_replace(line, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g') AS line
+FROM (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM conversations)""")
+def trim_ctl_q(spark, sf_dir):
+    c = adapter.table(spark, sf_dir, "conversations")
+    lines = c.select("conv_id", "turn", F.explode(F.split("text", "\n")).alias("line"))
+    return lines.select("conv_id", "turn", fx.trim_ctl("line").alias("line"))
+
+
+# --- lookups and joins ----------------------------------------------------
+
+@register("lookup_venue", oracle.with_star("SELECT * FROM lookup_venue"))
+def lookup_venue(spark, sf_dir):
+    st, s = adapter.staged(spark, sf_dir), star(spark, sf_dir)
+    p = st.publications.select("id", fx.clean_key("venue").alias("vk"))
+    return dim_lookup(p, "vk", s.venue_series, "dblp_key", "venue_series_id", "venue_series_id").drop("vk")
+
+
+@register("lookup_time", oracle.with_star("SELECT * FROM lookup_time"))
+def lookup_time(spark, sf_dir):
+    st, s = adapter.staged(spark, sf_dir), star(spark, sf_dir)
+    return dim_lookup(st.publications.select("id", "year"), "year", s.timeinfo, "year", "time_id",
+                      "time_id", unique=True).drop("year")
+
+
+@register("lookup_author", oracle.with_star("SELECT * FROM lookup_author"))
+def lookup_author(spark, sf_dir):
+    st, s = adapter.staged(spark, sf_dir), star(spark, sf_dir)
+    return dim_lookup(st.authors.select("id", "author"), "author", s.author, "name", "author_id",
+                      "author_id", unique=True).drop("author")
+
+
+@register("cite_counts", oracle.with_star("SELECT * FROM cite_counts"))
+def cite_counts(spark, sf_dir):
+    st = adapter.staged(spark, sf_dir)
+    return count_matches(st.publications, "key", "id",
+                         st.cites.select(fx.clean_key("cite").alias("cite")), "cite", "citings_dblp")
+
+
+@register("join_left", oracle.with_records(f"""
+SELECT p.id, p.key, c.title AS venue_title FROM bib_pub p
+LEFT JOIN bib_col c ON c.key = {_CLEAN.format(c='p.venue')}"""))
+def join_left_q(spark, sf_dir):
+    st = adapter.staged(spark, sf_dir)
+    p = st.publications.select("id", "key", fx.clean_key("venue").alias("vk"))
+    c = st.collections.select(F.col("key").alias("vk"), F.col("title").alias("venue_title"))
+    return join_left(p, c, "vk").drop("vk")
+
+
+@register("join_inner", oracle.with_star("""
+SELECT p.id, p.title, c.citings_dblp FROM bib_pub p JOIN cite_counts c ON c.id = p.id"""))
+def join_inner_q(spark, sf_dir):
+    return join_inner(adapter.staged(spark, sf_dir).publications.select("id", "title"),
+                      cite_counts(spark, sf_dir), "id")
+
+
+@register("join_full", oracle.with_records("""
+SELECT coalesce(p.id, r.id) AS id, p.title, r.n_refs FROM bib_pub p
+FULL JOIN (SELECT l_orderkey + 1 AS id, count(*) AS n_refs FROM lineitem GROUP BY 1) r ON r.id = p.id"""))
+def join_full_q(spark, sf_dir):
+    p = adapter.staged(spark, sf_dir).publications.select("id", "title")
+    r = adapter.raw_cites(spark, sf_dir).groupBy("id").agg(F.count(F.lit(1)).alias("n_refs"))
+    return join_full(p, r, "id").select("id", "title", "n_refs")
+
+
+@register("join_right_distinct", oracle.with_star("""
+SELECT DISTINCT b.publication_id, a.author_id, a.name FROM dim_author a
+RIGHT JOIN bridge b ON a.author_id = b.author_id"""))
+def join_right_distinct_q(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return author_pub(s.author, s.bridge)
+
+
+@register("join_three_way", oracle.with_star("""
+SELECT t.id, t.title_id, tm.time_id, ty.type_id FROM dim_title_src t
+JOIN lookup_time tm ON tm.id = t.id JOIN lookup_type ty ON ty.id = t.id"""))
+def join_three_way_q(spark, sf_dir):
+    st, s = adapter.staged(spark, sf_dir), star(spark, sf_dir)
+    titled = s.title.join(st.publications.select("id", F.col("key").alias("source_key")), "source_key")
+    t = dim_lookup(st.publications.select("id", "type"), "type", s.document_type, "name", "type_id",
+                   "type_id", unique=True).drop("type")
+    # title ids per publication come from the dimension build itself
+    from .plans.star import title_ids
+    tid = title_ids(st).select("id", "title_id")
+    _ = titled
+    return join_three_way(tid, lookup_time(spark, sf_dir), t, "id").select("id", "title_id", "time_id",
+                                                                          "type_id")
+
+
+# --- PDI-style operators --------------------------------------------------
+
+_WORDS = "[ \\n\\t]+"
+
+
+@register("unique_ci", f"""
+SELECT word, doc_id, pos FROM (
+  SELECT word, doc_id, pos, row_number() OVER (PARTITION BY lower(word) ORDER BY doc_id, pos) AS rn FROM (
+    SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos
+    FROM (SELECT doc_id, string_split_regex(text, '{_WORDS}') AS w FROM documents)))
+WHERE rn = 1""")
+def unique_ci(spark, sf_dir):
+    d = adapter.table(spark, sf_dir, "documents")
+    w = d.select("doc_id", F.posexplode(F.split("text", _WORDS)).alias("pos", "word"))
+    w = w.select("word", "doc_id", F.col("pos").cast("long").alias("pos"))
+    return dedup.unique_rows(w, ["word"], ["doc_id", "pos"], case_insensitive=("word",))
+
+
+@register("route_nulls", oracle.with_records("""
+SELECT p.id, CASE WHEN c.cites IS NULL THEN 'rejected' ELSE 'good' END AS route
+FROM bib_pub_all p LEFT JOIN bib_cites c ON c.id = p.id"""))
+def route_nulls(spark, sf_dir):
+    r = adapter.raw_publication_records(spark, sf_dir)
+    good, rejected = routing.route_not_null(r, "cites")
+    return (good.select("id", F.lit("good").alias("route"))
+            .unionByName(rejected.select("id", F.lit("rejected").alias("route"))))
+
+
+@register("route_errors", oracle.with_records("""
+SELECT p.id, CASE WHEN a.authors IS NULL THEN 'no_author' WHEN p.year <= 0 THEN 'bad_year' ELSE 'ok' END AS route
+FROM bib_pub_all p LEFT JOIN bib_authors a ON a.id = p.id"""))
+def route_errors(spark, sf_dir):
+    r = adapter.raw_publication_records(spark, sf_dir)
+    return routing.route_errors(r, {"no_author": F.col("authors").isNull(),
+                                    "bad_year": F.col("year") <= 0}).select("id", "route")
+
+
+@register("sorted_multi_key", oracle.with_records(
+    "SELECT type, year, key FROM bib_pub ORDER BY lower(type), year DESC, key"))
+def sorted_multi_key(spark, sf_dir):
+    p = adapter.staged(spark, sf_dir).publications
+    return p.select("type", "year", "key").orderBy(F.lower("type"), F.desc("year"), "key")
+
+
+@register("pdi_text_scan_limit", oracle.with_records(
+    "SELECT id, type, key, title, year, venue, authors, cites FROM bib_pub ORDER BY id LIMIT 1000"))
+def pdi_text_scan_limit(spark, sf_dir):
+    pubs, _ = _write_staged_csv(spark, sf_dir)
+    return csv.read_escaped(spark, pubs, STAGED_PUBLICATIONS, limit=1000)

@@ -12,18 +12,20 @@ def distinct_on(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*cols).distinct()
 
 
-def unique_rows(df: DataFrame, keys: list[str], order_col: str,
+def unique_rows(df: DataFrame, keys: list[str], order_cols: list[str],
                 case_insensitive: tuple[str, ...] = ()) -> DataFrame:
     """One row per key list, comparing the listed keys case-insensitively;
-    the kept row is the one with the smallest ``order_col``.  Partial
-    aggregation collapses hot keys before the shuffle."""
+    the kept row is the first by ``order_cols``.  ``min`` over a struct led
+    by the order columns is partially aggregated map-side, so a hot key
+    collapses before the shuffle and no group is ever collected."""
     norm = [F.lower(F.col(k)).alias(f"_u_{k}") if k in case_insensitive else F.col(k).alias(f"_u_{k}")
             for k in keys]
-    others = [c for c in df.columns]
-    picked = (df.select(*norm, F.struct(*[F.col(c) for c in [order_col] + [c for c in others if c != order_col]]).alias("_u_row"))
+    cols = list(df.columns)
+    rest = [c for c in cols if c not in order_cols]
+    picked = (df.select(*norm, F.struct(*[F.col(c) for c in order_cols + rest]).alias("_u_row"))
               .groupBy(*[f"_u_{k}" for k in keys])
               .agg(F.min("_u_row").alias("_u_row")))
-    return picked.select("_u_row.*").select(*others)
+    return picked.select("_u_row.*").select(*cols)
 
 
 def union_distinct(frames: list[DataFrame], col: str) -> DataFrame:

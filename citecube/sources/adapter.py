@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import join_list
+from ..functions.text import join_list, venue_string
 from ..schemas import CITE_PLACEHOLDER
 from ..session import materialize as materialize_df
 
@@ -44,11 +44,13 @@ class Staged:
 def raw_publications(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey").cast("string")
-    venue = (F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("ref:cust/"), F.col("o_custkey").cast("string")))
-             .when(F.col("o_orderstatus") == "F",
-                   F.concat_ws("#", F.col("o_orderpriority"), F.month("o_orderdate").cast("string"),
-                               F.dayofmonth("o_orderdate").cast("string")))
-             .otherwise(F.lit("")))
+    status = F.col("o_orderstatus")
+    # crossref for partially filled orders, a journal issue for finished ones
+    venue = venue_string(
+        F.when(status == "P", F.concat(F.lit("cust/"), F.col("o_custkey").cast("string"))),
+        F.when(status == "F", F.col("o_orderpriority")),
+        F.when(status == "F", F.month("o_orderdate")).otherwise(F.lit(0)),
+        F.when(status == "F", F.dayofmonth("o_orderdate")).otherwise(F.lit(0)))
     return o.select(
         (F.col("o_orderkey") + 1).cast("long").alias("id"),
         F.col("o_orderpriority").alias("type"),
@@ -122,9 +124,9 @@ def publication_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_publication_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record form before the completeness filter (every order; author and
-    citation lists may be empty, placeholders kept)."""
+    citation lists may be missing; placeholder citations already dropped)."""
     a = _joined(raw_authors(spark, sf_dir), "author", "authors")
-    c = _joined(raw_cites(spark, sf_dir), "cite", "cites")
+    c = _joined(raw_cites(spark, sf_dir).filter(F.col("cite") != F.lit(CITE_PLACEHOLDER)), "cite", "cites")
     return (raw_publications(spark, sf_dir).join(a, "id", "left").join(c, "id", "left"))
 
 
