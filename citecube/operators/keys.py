@@ -5,8 +5,9 @@ window).
 
 1. range-partition on the sort key and sort inside each partition;
 2. tag every row with its partition and its position in that partition;
-3. reliable ``checkpoint()`` into ``spark.checkpoint.dir`` - this fixes the
-   range boundaries and positions, cuts lineage, and survives executor loss;
+3. write a snapshot into the shared ``spark.checkpoint.dir`` folder (parquet)
+   - this fixes the range boundaries and positions, cuts lineage and
+   survives executor loss;
 4. count rows per partition (one row per partition, collected - bounded by
    the partition count, not by the data), turn the counts into running
    offsets, broadcast them as a local table and add ``offset + position``.
@@ -16,11 +17,10 @@ The id equals ``row_number() OVER (ORDER BY keys)`` when the keys are unique.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, shuffle_partitions
+from ..session import ensure_checkpoint_dir, materialize, shuffle_partitions
 
 _PART, _MONO, _CNT, _OFF = "_ck_part", "_ck_mono", "_ck_cnt", "_ck_off"
 
@@ -41,11 +41,11 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str,
     # computes the sorted partitions, and they are written right after it
     # from the same shuffle output (fixed range bounds, unique sort keys),
     # so counts and checkpointed positions agree.
-    cached = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = cached.checkpoint(eager=False)
+    # Snapshot to the shared folder: fixes range bounds and positions,
+    # cuts lineage, survives executor loss.
+    ranged = materialize(ranged, "dense-ids")
     # One row per range partition: a bounded collect, whatever the data size.
     counts = dict(ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_CNT)).collect())
-    cached.unpersist()
     offsets, run = [], 0
     for p in range(n):
         offsets.append((p, run))

@@ -26,6 +26,7 @@ Plan shape (what Catalyst/AQE should produce at scale):
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -133,12 +134,12 @@ def bridge_table(st: Staged, links: DataFrame) -> DataFrame:
             .distinct())
 
 
-def build_star(st: Staged) -> StarSchema:
-    timeinfo = time_dimension(st)
-    doc_type = type_dimension(st)
-    venues = venue_dimension(st)
-    titled = title_ids(st)
-    authors = author_dimension(st)
+def build_star(st: Staged, parallel: int = 5) -> StarSchema:
+    """The five dimensions are independent jobs; they are submitted from
+    threads so that the scheduler can run them side by side."""
+    builders = [time_dimension, type_dimension, venue_dimension, title_ids, author_dimension]
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        timeinfo, doc_type, venues, titled, authors = pool.map(lambda b: b(st), builders)
     links = author_links(st, authors)
     survivors = surviving_publications(titled, st.cites)
     fact = fact_table(survivors, links, timeinfo, doc_type, venues)

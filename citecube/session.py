@@ -69,13 +69,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def materialize(df):
-    """Reliable checkpoint that computes ``df`` once: cached while the
-    checkpoint files are written, then read back from the shared folder
-    (lineage cut, survives executor loss)."""
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as parquet into the shared checkpoint folder and read
+    it back: lineage is cut, the data survive executor loss, and later scans
+    prune columns and push filters (an RDD checkpoint would do neither)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

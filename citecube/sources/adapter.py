@@ -93,16 +93,15 @@ def staged(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Staged
     With ``materialize`` the three frames are written once as reliable
     checkpoints (the import's staged files): every dimension and the fact
     read them instead of re-running the joins over the raw tables."""
-    authors = raw_authors(spark, sf_dir)
-    pubs = (raw_publications(spark, sf_dir)
-            .filter(F.col("key").isNotNull() & F.col("title").isNotNull() & (F.col("year") > 0))
-            .join(authors.select("id"), "id", "left_semi"))
+    keep = (lambda df: materialize_df(df, "staged")) if materialize else (lambda df: df)
+    authors = keep(raw_authors(spark, sf_dir))
+    pubs = keep(raw_publications(spark, sf_dir)
+                .filter(F.col("key").isNotNull() & F.col("title").isNotNull() & (F.col("year") > 0))
+                .join(authors.select("id"), "id", "left_semi"))
     ids = pubs.select("id")
-    authors = authors.join(ids, "id", "left_semi")
-    cites = (raw_cites(spark, sf_dir).filter(F.col("cite") != F.lit(CITE_PLACEHOLDER))
-             .join(ids, "id", "left_semi"))
-    if materialize:
-        pubs, authors, cites = (materialize_df(df) for df in (pubs, authors, cites))
+    authors = keep(authors.join(ids, "id", "left_semi"))
+    cites = keep(raw_cites(spark, sf_dir).filter(F.col("cite") != F.lit(CITE_PLACEHOLDER))
+                 .join(ids, "id", "left_semi"))
     return Staged(pubs, authors, cites, collections(spark, sf_dir))
 
 

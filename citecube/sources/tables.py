@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,13 +39,14 @@ def save_fact(fact: DataFrame, path: str, num_partitions: int | None = None) ->
      .write.mode("overwrite").partitionBy("time_id").parquet(path))
 
 
-def save_star(tables: dict[str, DataFrame], root: str) -> None:
-    for name, df in tables.items():
+def save_star(tables: dict[str, DataFrame], root: str, parallel: int = 4) -> None:
+    """Write all tables; independent writes are submitted concurrently."""
+    def save(item):
+        name, df = item
         p = os.path.join(root, name)
-        if name == "publication":
-            save_fact(df, p)
-        else:
-            save_table(df, p)
+        (save_fact if name == "publication" else save_table)(df, p)
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        list(pool.map(save, tables.items()))
 
 
 def load_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
