@@ -158,21 +158,51 @@ def xml_quality(spark, sf_dir):
     return xml.quality_report(spark, _dblp_dump(spark, sf_dir))
 
 
-@register("xml_acm_extract", oracle.with_records("""
+_ACM_ROWS = """
 SELECT row_number() OVER (ORDER BY source_id, title, year, venue, authors, num_citings) AS seq, * FROM (
   SELECT p.key AS source_id, p.title, p.year,
          o.o_orderpriority || ' :1#' || month(o.o_orderdate) || '#' || day(o.o_orderdate) AS venue,
          p.authors, CAST(coalesce(c.n, 0) AS BIGINT) AS num_citings
   FROM bib_pub p JOIN orders o ON o.o_orderkey + 1 = p.id
   LEFT JOIN (SELECT l_orderkey + 1 AS id, count(*) AS n FROM lineitem WHERE l_returnflag <> 'R'
-             GROUP BY 1) c ON c.id = p.id)"""))
-def xml_acm_extract(spark, sf_dir):
+             GROUP BY 1) c ON c.id = p.id)"""
+
+
+def _acm_rows(spark, sf_dir):
     path = scratch_path(spark, "acm-xml")
     xml.write_xml([xml.render_acm(adapter.order_records(spark, sf_dir))], path,
                   '<?xml version="1.0" encoding="UTF-8"?>\n<PublicationList>', "</PublicationList>")
     return xml.acm_import(spark, path)
 
 
+@register("xml_acm_extract", oracle.with_records(_ACM_ROWS))
+def xml_acm_extract(spark, sf_dir):
+    return _acm_rows(spark, sf_dir)
+
+
+_ACM_STAR = oracle.with_records(f"""
+, acm AS ({_ACM_ROWS}),
+acm_title AS (SELECT row_number() OVER (ORDER BY source_id, seq) AS title_id, title, source_id AS source_key
+              FROM acm),
+acm_author AS (SELECT row_number() OVER (ORDER BY author) AS author_id, author AS name
+               FROM (SELECT DISTINCT unnest(string_split(authors, '|')) AS author FROM acm)),
+acm_time AS (SELECT row_number() OVER (ORDER BY year) AS time_id, year FROM (SELECT DISTINCT year FROM acm)),
+acm_links AS (SELECT seq, unnest(string_split(authors, '|')) AS author FROM acm)
+SELECT a.seq AS publication_id, t.title_id, CAST(-1 AS BIGINT) AS type_id, tm.time_id,
+       CAST(-1 AS BIGINT) AS venue_series_id, CAST(0 AS BIGINT) AS citings_dblp, CAST(0 AS BIGINT) AS ignore1,
+       a.num_citings AS citings_acm, CAST(0 AS BIGINT) AS ignore3, au.author_id, '' AS ignore4
+FROM acm a
+JOIN (SELECT source_key, min(title_id) AS title_id FROM acm_title GROUP BY 1) t ON t.source_key = a.source_id
+JOIN acm_time tm ON tm.year = a.year
+JOIN acm_links l ON l.seq = a.seq JOIN acm_author au ON au.name = l.author""".replace("\n, acm AS", ", acm AS"))
+
+
+@register("acm_fact_publication", _ACM_STAR)
+def acm_fact_publication(spark, sf_dir):
+    from .plans.star_acm import build_star_acm
+    return build_star_acm(_acm_rows(spark, sf_dir)).publication
+
+
 # --- HTML pages: markup flattening and entities ---------------------------
 
 _ARTICLE = r"(?s)<article>(.*?)</article>"

@@ -32,7 +32,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_key, decade
+from ..functions.text import clean_key, decade  # noqa: F401  (decade re-exported)
 from ..operators.dedup import union_distinct
 from ..operators.keys import dense_ids
 from ..operators.lookup import dim_lookup
