@@ -456,3 +456,15 @@ def sorted_multi_key(spark, sf_dir):
 def pdi_text_scan_limit(spark, sf_dir):
     pubs, _ = _write_staged_csv(spark, sf_dir)
     return csv.read_escaped(spark, pubs, STAGED_PUBLICATIONS, limit=1000)
+
+
+# --- streaming import -----------------------------------------------------
+
+@register("stream_dblp_import", oracle.with_records(_XML_PUBS.replace(
+    "row_number() OVER (ORDER BY type, key, title, year, venue, authors, cites) AS seq, *", "*")))
+def stream_dblp_import(spark, sf_dir):
+    from .streaming.incremental import run_dblp_import, staged_tables
+    src = _dblp_dump(spark, sf_dir)
+    target, ckpt = scratch_path(spark, "stream-staged"), scratch_path(spark, "stream-ckpt")
+    run_dblp_import(spark, src, target, ckpt)
+    return staged_tables(spark, target)[0]

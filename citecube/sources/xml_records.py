@@ -92,25 +92,39 @@ def dblp_fields(records: DataFrame) -> DataFrame:
         drop_placeholder(F.coalesce(F.col("f.cite"), F.array().cast("array<string>"))).alias("cites"))
 
 
+def dblp_rows(chunks: DataFrame) -> DataFrame:
+    """Complete publication and collection rows of raw chunks in one frame
+    (``kind`` = publication | collection); works on batch and streaming
+    chunks alike."""
+    parsed = parse_dblp_chunks(chunks).filter(~F.col("head") & (F.col("type") != ""))
+    kept = parsed.filter(F.col("type").isin(*(PUBLICATION_TYPES + COLLECTION_TYPES)))
+    f = dblp_fields(kept)
+    is_pub = F.col("type").isin(*PUBLICATION_TYPES)
+    complete = F.when(is_pub, F.col("key").isNotNull() & F.col("title").isNotNull() & (F.col("year") > 0)
+                      & (F.size("authors") > 0)).otherwise(F.col("key").isNotNull() & F.col("title").isNotNull())
+    return f.filter(complete).select(
+        F.when(is_pub, F.lit("publication")).otherwise(F.lit("collection")).alias("kind"),
+        "type", "key", "title", F.when(is_pub, F.col("year")).alias("year"),
+        F.when(is_pub, venue_string("crossref", "journal", "volume", "issue")).alias("venue"),
+        F.when(is_pub, join_list("authors")).alias("authors"),
+        F.when(is_pub, join_list("cites")).alias("cites"))
+
+
+def split_kinds(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    pubs = rows.filter(F.col("kind") == "publication").select(
+        "type", "key", "title", "year", "venue", "authors", "cites")
+    cols = rows.filter(F.col("kind") == "collection").select("type", "key", "title")
+    return pubs, cols
+
+
 def dblp_import(spark: SparkSession, path: str, with_seq: bool = True) -> tuple[DataFrame, DataFrame]:
     """(publications, collections) staged rows from DBLP XML files.
 
     publications: [seq], type, key, title, year, venue, authors, cites
     collections:  [seq], type, key, title"""
-    parsed = parse_dblp_chunks(read_chunks(spark, path)).filter(~F.col("head") & (F.col("type") != ""))
-    kept = parsed.filter(F.col("type").isin(*(PUBLICATION_TYPES + COLLECTION_TYPES)))
-    f = dblp_fields(kept)
-    pubs = (f.filter(F.col("type").isin(*PUBLICATION_TYPES))
-            .filter(F.col("key").isNotNull() & F.col("title").isNotNull() & (F.col("year") > 0)
-                    & (F.size("authors") > 0))
-            .select("type", "key", "title", "year",
-                    venue_string("crossref", "journal", "volume", "issue").alias("venue"),
-                    join_list("authors").alias("authors"), join_list("cites").alias("cites")))
-    cols = (f.filter(F.col("type").isin(*COLLECTION_TYPES))
-            .filter(F.col("key").isNotNull() & F.col("title").isNotNull())
-            .select("type", "key", "title"))
+    pubs, cols = split_kinds(dblp_rows(read_chunks(spark, path)))
     if with_seq:
-        pubs, cols = materialize(pubs), materialize(cols)
+        pubs, cols = materialize(pubs, "xml-pubs"), materialize(cols, "xml-cols")
         pubs = record_sequence(pubs, list(pubs.columns), "seq").select("seq", *pubs.columns)
         cols = record_sequence(cols, list(cols.columns), "seq").select("seq", *cols.columns)
     return pubs, cols
