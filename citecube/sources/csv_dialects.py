@@ -134,13 +134,15 @@ def write_quoted(df: DataFrame, path: str, header: bool = False, sep: str = ",",
         n = shuffle_partitions(df.sparkSession)
         df = df.repartitionByRange(n, order_by).sortWithinPartitions(order_by)
     (df.write.mode("overwrite").option("sep", sep).option("quote", '"').option("escape", '"')
-     .option("header", header).option("nullValue", "").option("lineSep", "\n").csv(path))
+     .option("header", header).option("nullValue", "").option("lineSep", "\n")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def read_quoted(spark: SparkSession, path: str, schema: T.StructType, header: bool = False,
                 sep: str = ",") -> DataFrame:
     return (spark.read.schema(schema).option("sep", sep).option("quote", '"').option("escape", '"')
             .option("header", header).option("multiLine", True).option("nullValue", "")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("mode", "FAILFAST").csv(path))
 
 
