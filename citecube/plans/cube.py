@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .olap import AUTHOR_ID, AUTHOR_NAME, TOP_K, YEAR
+from .olap import AUTHOR_ID, AUTHOR_NAME, TOP_K, YEAR, author_ids
 
 CUBE_DIMS = ("author_id", "time_id", "type_id")
 
@@ -52,8 +52,8 @@ def _time_ids(timeinfo: DataFrame, year: int) -> DataFrame:
     return F.broadcast(timeinfo.filter(F.col("year") == year).select("time_id"))
 
 
-def _author_ids(author: DataFrame, name: str) -> DataFrame:
-    return F.broadcast(author.filter(F.col("name") == name).select("author_id"))
+def _author_filter(c: DataFrame, author: DataFrame, name: str) -> DataFrame:
+    return c.filter(F.col("author_id").isin(author_ids(author, name)))
 
 
 def _total(c: DataFrame) -> DataFrame:
@@ -104,13 +104,12 @@ def cq8(cube, author, timeinfo, author_id=AUTHOR_ID):
 
 
 def cq9(cube, author, timeinfo, name=AUTHOR_NAME):
-    return _total(cuboid(cube, "author_id").join(_author_ids(author, name), "author_id", "left_semi"))
+    return _total(_author_filter(cuboid(cube, "author_id"), author, name))
 
 
 def cq10(cube, author, timeinfo, name=AUTHOR_NAME, year=YEAR):
-    c = (cuboid(cube, "author_id", "time_id")
-         .join(_author_ids(author, name), "author_id", "left_semi")
-         .join(_time_ids(timeinfo, year), "time_id", "left_semi"))
+    c = _author_filter(cuboid(cube, "author_id", "time_id"), author, name).join(
+        _time_ids(timeinfo, year), "time_id", "left_semi")
     return _total(c)
 
 

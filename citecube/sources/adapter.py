@@ -97,8 +97,11 @@ def staged(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Staged
     authors = keep(raw_authors(spark, sf_dir))
     pubs = keep(raw_publications(spark, sf_dir)
                 .filter(F.col("key").isNotNull() & F.col("title").isNotNull() & (F.col("year") > 0))
-                .join(authors.select("id"), "id", "left_semi"))
-    ids = pubs.select("id")
+                .join(authors.select("id").distinct(), "id", "left_semi"))
+    # Right sides of the semi joins are de-duplicated first: a publication
+    # with a huge author list collapses map-side instead of landing on one
+    # reducer (AQE can split a skewed left side, not a semi join's right).
+    ids = pubs.select("id").distinct()
     authors = keep(authors.join(ids, "id", "left_semi"))
     cites = keep(raw_cites(spark, sf_dir).filter(F.col("cite") != F.lit(CITE_PLACEHOLDER))
                  .join(ids, "id", "left_semi"))

@@ -18,6 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..operators.lookup import join_right_distinct
 from ..session import shuffle_partitions
 
@@ -49,15 +50,15 @@ def save_star(tables: dict[str, DataFrame], root: str, parallel: int = 4) -> Non
         list(pool.map(save, tables.items()))
 
 
+SCHEMAS = {"timeinfo": S.TIMEINFO, "venue_series": S.VENUE_SERIES, "title": S.TITLE, "author": S.AUTHOR,
+           "document_type": S.DOCUMENT_TYPE, "publication": S.PUBLICATION, "publication_author_map": S.BRIDGE}
+
+
 def load_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    out = {}
-    for name in STAR_TABLES:
-        df = spark.read.parquet(os.path.join(root, name))
-        if name == "publication":
-            df = df.select("publication_id", "title_id", "type_id", "time_id", "venue_series_id",
-                           "citings_dblp", "ignore1", "citings_acm", "ignore3", "author_id", "ignore4")
-        out[name] = df
-    return out
+    """Read the written tables with their declared schemas (the fact's
+    partition column keeps its LONG type instead of an inferred INT)."""
+    return {name: spark.read.schema(SCHEMAS[name]).parquet(os.path.join(root, name))
+            for name in STAR_TABLES}
 
 
 def register_star(spark: SparkSession, tables: dict[str, DataFrame], prefix: str = "") -> None:
