@@ -19,14 +19,24 @@ from .sources import adapter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-_STAR_CACHE: dict[tuple[int, str], StarSchema] = {}
+_CACHE: dict[tuple, object] = {}
+
+
+def memo(kind: str, spark: SparkSession, sf_dir: str, build):
+    """Per session and table folder: build once (staged tables, star schema,
+    written dumps), reuse for every query of that session."""
+    key = (kind, spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _CACHE:
+        _CACHE[key] = build()
+    return _CACHE[key]
+
+
+def staged(spark: SparkSession, sf_dir: str) -> adapter.Staged:
+    return memo("staged", spark, sf_dir, lambda: adapter.staged(spark, sf_dir))
 
 
 def star(spark: SparkSession, sf_dir: str) -> StarSchema:
-    key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"))
-    if key not in _STAR_CACHE:
-        _STAR_CACHE[key] = build_star(adapter.staged(spark, sf_dir))
-    return _STAR_CACHE[key]
+    return memo("star", spark, sf_dir, lambda: build_star(staged(spark, sf_dir)))
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> olap.Tables:

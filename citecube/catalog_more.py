@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import oracle
-from .catalog import register, star
+from .catalog import memo, register, staged, star
 from .plans.star import build_star
 from .schemas import AUTHOR, STAGED_COLLECTIONS, STAGED_PUBLICATIONS
 from .session import scratch_path
@@ -64,6 +64,10 @@ def csv_pipe_header(spark, sf_dir):
 
 
 def _write_staged_csv(spark, sf_dir) -> tuple[str, str]:
+    return memo("staged-csv", spark, sf_dir, lambda: _write_staged_csv_now(spark, sf_dir))
+
+
+def _write_staged_csv_now(spark, sf_dir) -> tuple[str, str]:
     """The import's output: staged publication and collection files."""
     root = scratch_path(spark, "staged")
     pubs, cols = os.path.join(root, "dblp-publications.csv"), os.path.join(root, "dblp-collections.csv")
@@ -122,6 +126,10 @@ XML_HEAD = '<?xml version="1.0" encoding="UTF-8"?>\n<!DOCTYPE dblp SYSTEM "dblp.
 
 
 def _dblp_dump(spark, sf_dir) -> str:
+    return memo("dblp-xml", spark, sf_dir, lambda: _dblp_dump_now(spark, sf_dir))
+
+
+def _dblp_dump_now(spark, sf_dir) -> str:
     path = scratch_path(spark, "dblp-xml")
     recs = adapter.order_records(spark, sf_dir)
     xml.write_xml([xml.render_dblp_publications(recs),
@@ -169,6 +177,10 @@ SELECT row_number() OVER (ORDER BY source_id, title, year, venue, authors, num_c
 
 
 def _acm_rows(spark, sf_dir):
+    return memo("acm-rows", spark, sf_dir, lambda: _acm_rows_now(spark, sf_dir))
+
+
+def _acm_rows_now(spark, sf_dir):
     path = scratch_path(spark, "acm-xml")
     xml.write_xml([xml.render_acm(adapter.order_records(spark, sf_dir))], path,
                   '<?xml version="1.0" encoding="UTF-8"?>\n<PublicationList>', "</PublicationList>")
@@ -248,7 +260,7 @@ def venue_string_q(spark, sf_dir):
 @register("clean_keys", oracle.with_records(
     f"SELECT id, {_CLEAN.format(c='venue')} AS venue_key FROM bib_pub"))
 def clean_keys(spark, sf_dir):
-    st = adapter.staged(spark, sf_dir)
+    st = staged(spark, sf_dir)
     return st.publications.select("id", fx.clean_key("venue").alias("venue_key"))
 
 
@@ -331,28 +343,28 @@ def trim_ctl_q(spark, sf_dir):
 
 @register("lookup_venue", oracle.with_star("SELECT * FROM lookup_venue"))
 def lookup_venue(spark, sf_dir):
-    st, s = adapter.staged(spark, sf_dir), star(spark, sf_dir)
+    st, s = staged(spark, sf_dir), star(spark, sf_dir)
     p = st.publications.select("id", fx.clean_key("venue").alias("vk"))
     return dim_lookup(p, "vk", s.venue_series, "dblp_key", "venue_series_id", "venue_series_id").drop("vk")
 
 
 @register("lookup_time", oracle.with_star("SELECT * FROM lookup_time"))
 def lookup_time(spark, sf_dir):
-    st, s = adapter.staged(spark, sf_dir), star(spark, sf_dir)
+    st, s = staged(spark, sf_dir), star(spark, sf_dir)
     return dim_lookup(st.publications.select("id", "year"), "year", s.timeinfo, "year", "time_id",
                       "time_id", unique=True).drop("year")
 
 
 @register("lookup_author", oracle.with_star("SELECT * FROM lookup_author"))
 def lookup_author(spark, sf_dir):
-    st, s = adapter.staged(spark, sf_dir), star(spark, sf_dir)
+    st, s = staged(spark, sf_dir), star(spark, sf_dir)
     return dim_lookup(st.authors.select("id", "author"), "author", s.author, "name", "author_id",
                       "author_id", unique=True).drop("author")
 
 
 @register("cite_counts", oracle.with_star("SELECT * FROM cite_counts"))
 def cite_counts(spark, sf_dir):
-    st = adapter.staged(spark, sf_dir)
+    st = staged(spark, sf_dir)
     return count_matches(st.publications, "key", "id",
                          st.cites.select(fx.clean_key("cite").alias("cite")), "cite", "citings_dblp")
 
@@ -361,7 +373,7 @@ def cite_counts(spark, sf_dir):
 SELECT p.id, p.key, c.title AS venue_title FROM bib_pub p
 LEFT JOIN bib_col c ON c.key = {_CLEAN.format(c='p.venue')}"""))
 def join_left_q(spark, sf_dir):
-    st = adapter.staged(spark, sf_dir)
+    st = staged(spark, sf_dir)
     p = st.publications.select("id", "key", fx.clean_key("venue").alias("vk"))
     c = st.collections.select(F.col("key").alias("vk"), F.col("title").alias("venue_title"))
     return join_left(p, c, "vk").drop("vk")
@@ -370,7 +382,7 @@ def join_left_q(spark, sf_dir):
 @register("join_inner", oracle.with_star("""
 SELECT p.id, p.title, c.citings_dblp FROM bib_pub p JOIN cite_counts c ON c.id = p.id"""))
 def join_inner_q(spark, sf_dir):
-    return join_inner(adapter.staged(spark, sf_dir).publications.select("id", "title"),
+    return join_inner(staged(spark, sf_dir).publications.select("id", "title"),
                       cite_counts(spark, sf_dir), "id")
 
 
@@ -378,7 +390,7 @@ def join_inner_q(spark, sf_dir):
 SELECT coalesce(p.id, r.id) AS id, p.title, r.n_refs FROM bib_pub p
 FULL JOIN (SELECT l_orderkey + 1 AS id, count(*) AS n_refs FROM lineitem GROUP BY 1) r ON r.id = p.id"""))
 def join_full_q(spark, sf_dir):
-    p = adapter.staged(spark, sf_dir).publications.select("id", "title")
+    p = staged(spark, sf_dir).publications.select("id", "title")
     r = adapter.raw_cites(spark, sf_dir).groupBy("id").agg(F.count(F.lit(1)).alias("n_refs"))
     return join_full(p, r, "id").select("id", "title", "n_refs")
 
@@ -395,7 +407,7 @@ def join_right_distinct_q(spark, sf_dir):
 SELECT t.id, t.title_id, tm.time_id, ty.type_id FROM dim_title_src t
 JOIN lookup_time tm ON tm.id = t.id JOIN lookup_type ty ON ty.id = t.id"""))
 def join_three_way_q(spark, sf_dir):
-    st, s = adapter.staged(spark, sf_dir), star(spark, sf_dir)
+    st, s = staged(spark, sf_dir), star(spark, sf_dir)
     titled = s.title.join(st.publications.select("id", F.col("key").alias("source_key")), "source_key")
     t = dim_lookup(st.publications.select("id", "type"), "type", s.document_type, "name", "type_id",
                    "type_id", unique=True).drop("type")
@@ -447,7 +459,7 @@ def route_errors(spark, sf_dir):
 @register("sorted_multi_key", oracle.with_records(
     "SELECT type, year, key FROM bib_pub ORDER BY lower(type), year DESC, key"))
 def sorted_multi_key(spark, sf_dir):
-    p = adapter.staged(spark, sf_dir).publications
+    p = staged(spark, sf_dir).publications
     return p.select("type", "year", "key").orderBy(F.lower("type"), F.desc("year"), "key")
 
 
