@@ -170,3 +170,33 @@ def write_pipe_header(df: DataFrame, path: str, order_by: str | None = None) ->
 
 def read_pipe_header(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return read_quoted(spark, path, schema, header=True, sep="|")
+
+
+def _quote_minimal(f: Column) -> Column:
+    """One field in the quoted dialect: quoted (inner quotes doubled) when it
+    holds a delimiter, quote, CR/LF, or surrounding blanks; NULL -> empty."""
+    needs = f.rlike(r'[",\r\n]') | f.rlike(r"^\s|\s$")
+    quoted = F.concat(F.lit('"'), F.replace(f, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.coalesce(F.when(needs, quoted).otherwise(f), F.lit(""))
+
+
+def convert_records(spark: SparkSession, src: str, dst: str, direction: str, limit: int = 0) -> None:
+    """Schema-less, record-exact dialect conversion (any number of fields per
+    record).  escaped -> quoted re-quotes each parsed field; quoted -> escaped
+    uses Spark's CSV parser (columns from the first record)."""
+    if direction == "escaped-to-quoted":
+        rows = read_escaped_fields(spark, src)
+        if limit > 0:
+            rows = rows.orderBy("_file", "_row").limit(limit)
+        out = rows.select(F.array_join(F.transform("fields", _quote_minimal), DELIMITER).alias("value"))
+        out.write.mode("overwrite").option("lineSep", "\n").text(dst)
+    elif direction == "quoted-to-escaped":
+        df = (spark.read.option("quote", '"').option("escape", '"').option("multiLine", True)
+              .option("nullValue", "").option("ignoreLeadingWhiteSpace", False)
+              .option("ignoreTrailingWhiteSpace", False).csv(src))
+        if limit > 0:
+            df = (df.withColumn("_f", F.input_file_name()).withColumn("_r", F.monotonically_increasing_id())
+                  .orderBy("_f", "_r").limit(limit).drop("_f", "_r"))
+        to_escaped_lines(df).write.mode("overwrite").option("lineSep", "\n").text(dst)
+    else:
+        raise ValueError(f"unknown direction {direction!r}")
