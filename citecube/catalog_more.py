@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from . import oracle
 from .catalog import memo, register, staged, star
 from .plans.star import build_star
-from .schemas import AUTHOR, STAGED_COLLECTIONS, STAGED_PUBLICATIONS
+from .schemas import STAGED_COLLECTIONS, STAGED_PUBLICATIONS
 from .session import scratch_path
 from .sources import adapter
 from .sources import csv_dialects as csv
@@ -114,8 +114,6 @@ def join_list_q(spark, sf_dir):
     return adapter.publication_records(spark, sf_dir).select("id", "authors", "cites")
 
 
-_ = AUTHOR
-
 
 # --- XML import -----------------------------------------------------------
 
@@ -408,13 +406,11 @@ SELECT t.id, t.title_id, tm.time_id, ty.type_id FROM dim_title_src t
 JOIN lookup_time tm ON tm.id = t.id JOIN lookup_type ty ON ty.id = t.id"""))
 def join_three_way_q(spark, sf_dir):
     st, s = staged(spark, sf_dir), star(spark, sf_dir)
-    titled = s.title.join(st.publications.select("id", F.col("key").alias("source_key")), "source_key")
     t = dim_lookup(st.publications.select("id", "type"), "type", s.document_type, "name", "type_id",
                    "type_id", unique=True).drop("type")
     # title ids per publication come from the dimension build itself
     from .plans.star import title_ids
     tid = title_ids(st).select("id", "title_id")
-    _ = titled
     return join_three_way(tid, lookup_time(spark, sf_dir), t, "id").select("id", "title_id", "time_id",
                                                                           "type_id")
 
