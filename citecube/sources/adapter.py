@@ -19,6 +19,7 @@ Two forms are offered:
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,17 +95,19 @@ def staged(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Staged
     checkpoints (the import's staged files): every dimension and the fact
     read them instead of re-running the joins over the raw tables."""
     keep = (lambda df: materialize_df(df, "staged")) if materialize else (lambda df: df)
-    authors = keep(raw_authors(spark, sf_dir))
-    pubs = keep(raw_publications(spark, sf_dir)
-                .filter(F.col("key").isNotNull() & F.col("title").isNotNull() & (F.col("year") > 0))
-                .join(authors.select("id").distinct(), "id", "left_semi"))
+    authors = raw_authors(spark, sf_dir)
     # Right sides of the semi joins are de-duplicated first: a publication
     # with a huge author list collapses map-side instead of landing on one
     # reducer (AQE can split a skewed left side, not a semi join's right).
+    pubs = keep(raw_publications(spark, sf_dir)
+                .filter(F.col("key").isNotNull() & F.col("title").isNotNull() & (F.col("year") > 0))
+                .join(authors.select("id").distinct(), "id", "left_semi"))
     ids = pubs.select("id").distinct()
-    authors = keep(authors.join(ids, "id", "left_semi"))
-    cites = keep(raw_cites(spark, sf_dir).filter(F.col("cite") != F.lit(CITE_PLACEHOLDER))
-                 .join(ids, "id", "left_semi"))
+    lists = [authors,
+             raw_cites(spark, sf_dir).filter(F.col("cite") != F.lit(CITE_PLACEHOLDER))]
+    # the two list tables only depend on the publications: written side by side
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        authors, cites = pool.map(lambda df: keep(df.join(ids, "id", "left_semi")), lists)
     return Staged(pubs, authors, cites, collections(spark, sf_dir))
 
 
