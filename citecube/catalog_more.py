@@ -476,3 +476,54 @@ def stream_dblp_import(spark, sf_dir):
     target, ckpt = scratch_path(spark, "stream-staged"), scratch_path(spark, "stream-ckpt")
     run_dblp_import(spark, src, target, ckpt)
     return staged_tables(spark, target)[0]
+
+
+# --- outputs of the earlier ETL-tool transform ----------------------------
+
+from .plans.pdi import build_pdi  # noqa: E402
+
+_PDI = oracle.with_records("""
+, pa AS (SELECT id, unnest(string_split(authors, '|')) AS name FROM bib_pub),
+pdi_authors AS (SELECT row_number() OVER (ORDER BY name) AS "AuthorID", name AS "Name"
+                FROM (SELECT DISTINCT name FROM pa)),
+pdi_titles AS (SELECT row_number() OVER (ORDER BY title) AS "TitleID", title AS "Title"
+               FROM (SELECT DISTINCT title FROM bib_pub)),
+pdi_types AS (SELECT row_number() OVER (ORDER BY lt) AS "TypeID", t AS "Type", lt
+              FROM (SELECT lower(type) AS lt, min(type) AS t FROM bib_pub GROUP BY 1)),
+pdi_years AS (SELECT row_number() OVER (ORDER BY year) AS "YearID", year AS "Year"
+              FROM (SELECT DISTINCT year FROM bib_pub)),
+pdi_pubs AS (SELECT row_number() OVER (ORDER BY lk) AS "PublicationID", lk
+             FROM (SELECT DISTINCT lower(key) AS lk FROM bib_pub)),
+pdi_publication AS (
+  SELECT p.id AS "Id", p.key AS "PubKey", pp."PublicationID", t."TitleID", ty."TypeID", y."YearID", a."AuthorID"
+  FROM bib_pub p JOIN pdi_pubs pp ON pp.lk = lower(p.key) JOIN pdi_titles t ON t."Title" = p.title
+  JOIN pdi_types ty ON ty.lt = lower(p.type) JOIN pdi_years y ON y."Year" = p.year
+  JOIN pa ON pa.id = p.id JOIN pdi_authors a ON a."Name" = pa.name),
+pdi_map AS (SELECT row_number() OVER (ORDER BY "PublicationID", "AuthorID") AS "ID", "PublicationID", "AuthorID"
+            FROM (SELECT DISTINCT "PublicationID", "AuthorID" FROM pdi_publication))
+""".rstrip() + "\n{select}")
+
+
+def _pdi(spark, sf_dir):
+    return memo("pdi", spark, sf_dir, lambda: build_pdi(adapter.publication_records(spark, sf_dir)))
+
+
+for _name, _attr, _sel in [
+    ("pdi_authors", "authors", 'SELECT * FROM pdi_authors'),
+    ("pdi_titles", "titles", 'SELECT * FROM pdi_titles'),
+    ("pdi_types", "types", 'SELECT "TypeID", "Type" FROM pdi_types'),
+    ("pdi_years", "years", 'SELECT * FROM pdi_years'),
+    ("pdi_publication", "publication", 'SELECT * FROM pdi_publication'),
+]:
+    register(_name, _PDI.replace("{select}", _sel))(
+        (lambda attr: lambda spark, sf_dir: getattr(_pdi(spark, sf_dir), attr))(_attr))
+
+
+@register("pdi_pub_author_map_file", _PDI.replace("{select}", "SELECT * FROM pdi_map"))
+def pdi_pub_author_map_file(spark, sf_dir):
+    """pubAuthorMap written pipe-delimited with a header and read back."""
+    path = scratch_path(spark, "pubAuthorMap")
+    out = _pdi(spark, sf_dir).pub_author_map
+    csv.write_pipe_header(out, path, order_by="ID")
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("ID", "PublicationID", "AuthorID")])
+    return csv.read_pipe_header(spark, path, schema)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, materialize, shuffle_partitions
+from ..session import ensure_checkpoint_dir, materialize
 
 _PART, _MONO, _CNT, _OFF = "_ck_part", "_ck_mono", "_ck_cnt", "_ck_off"
 
@@ -32,8 +32,14 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str,
     ``order_cols`` must identify a row (add a unique tie-break column)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or shuffle_partitions(spark)
-    ranged = (df.repartitionByRange(n, *order_cols)
+    # Without an explicit count AQE sizes the range partitions from the data
+    # (a 7-row dimension ends up in one partition, a large one stays spread);
+    # coalescing keeps neighbouring ranges together, so order is preserved.
+    if num_partitions:
+        ranged = df.repartitionByRange(num_partitions, *order_cols)
+    else:
+        ranged = df.repartitionByRange(*order_cols)
+    ranged = (ranged
               .sortWithinPartitions(*order_cols)
               .withColumn(_PART, F.spark_partition_id())
               .withColumn(_MONO, F.monotonically_increasing_id()))
@@ -47,7 +53,7 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str,
     # One row per range partition: a bounded collect, whatever the data size.
     counts = dict(ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_CNT)).collect())
     offsets, run = [], 0
-    for p in range(n):
+    for p in range(max(counts, default=-1) + 1):
         offsets.append((p, run))
         run += counts.get(p, 0)
     off_df = spark.createDataFrame(offsets, f"{_PART} int, {_OFF} long")

@@ -20,22 +20,24 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.lookup import join_right_distinct
-from ..session import shuffle_partitions
 
 STAR_TABLES = ("timeinfo", "venue_series", "title", "author", "document_type",
                "publication", "publication_author_map")
 
 
+def _ranged(df: DataFrame, n: int | None, *cols: str) -> DataFrame:
+    # no explicit count: AQE sizes the output files from the data
+    return df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
+
+
 def save_table(df: DataFrame, path: str, num_partitions: int | None = None) -> None:
     first = df.columns[0]
-    n = num_partitions or shuffle_partitions(df.sparkSession)
-    (df.repartitionByRange(n, first).sortWithinPartitions(first)
+    (_ranged(df, num_partitions, first).sortWithinPartitions(first)
      .write.mode("overwrite").parquet(path))
 
 
 def save_fact(fact: DataFrame, path: str, num_partitions: int | None = None) -> None:
-    n = num_partitions or shuffle_partitions(fact.sparkSession)
-    (fact.repartitionByRange(n, "time_id", "author_id")
+    (_ranged(fact, num_partitions, "time_id", "author_id")
      .sortWithinPartitions("time_id", "author_id", "publication_id")
      .write.mode("overwrite").partitionBy("time_id").parquet(path))
 

@@ -28,3 +28,11 @@ def test_dense_ids_property(spark, values, parts):
     df = spark.createDataFrame([(v,) for v in values], "v long")
     got = sorted((r.v, r.id) for r in dense_ids(df, ["v"], "id", num_partitions=parts).collect())
     assert got == [(v, i + 1) for i, v in enumerate(sorted(values))]
+
+
+def test_dense_ids_default_partitioning(spark):
+    rows = [(f"k{(i * 7919) % 5000:05d}", i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "k string, i long").repartition(6)
+    got = dense_ids(df, ["k", "i"], "id").select("k", "i", "id")
+    want = df.withColumn("id", F.row_number().over(Window.orderBy("k", "i")).cast("long"))
+    assert sorted(got.collect()) == sorted(want.collect())
