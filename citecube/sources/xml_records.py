@@ -71,25 +71,34 @@ def _fields(body: Column, schema: str) -> Column:
     return F.from_xml(F.concat(F.lit("<r>"), decode_entities(body), F.lit("</r>")), schema, _XML_OPTS)
 
 
+def _parse_once(df: DataFrame, keep: list[str], schema: str) -> DataFrame:
+    """Parse each record once and expand the fields to columns.  A generator
+    (``inline``) is a projection barrier: referencing ``struct.field`` nine
+    times through a collapsed projection would re-parse the XML nine times."""
+    return df.select(*keep, F.inline(F.array(_fields(F.col("body"), schema))))
+
+
 def _flatten_title(t: Column) -> Column:
     return F.regexp_replace(t, _MARKUP_RE, "")
 
 
 def dblp_fields(records: DataFrame) -> DataFrame:
     """Typed fields of parsed DBLP records (all record types)."""
-    f = records.withColumn("f", _fields(F.col("body"), DBLP_FIELDS_SCHEMA))
-    later = F.regexp_extract("body", r"(?s).*<(journal|booktitle)[\s>]", 1)
-    journal = F.when(later == "booktitle", _last(F.col("f.booktitle"))).otherwise(_last(F.col("f.journal")))
+    # anchored: an unanchored leading ".*" is retried from every position (quadratic)
+    later = F.regexp_extract("body", r"(?s)^.*<(journal|booktitle)[\s>]", 1).alias("later")
+    f = _parse_once(records.select("type", "key", "body", later), ["type", "key", "later"],
+                    DBLP_FIELDS_SCHEMA)
+    journal = F.when(F.col("later") == "booktitle", _last(F.col("booktitle"))).otherwise(_last(F.col("journal")))
     return f.select(
         "type", F.when(F.col("key") != "", F.col("key")).alias("key"),
-        _flatten_title(_last(F.col("f.title"))).alias("title"),
-        last_parseable_int(F.coalesce(F.col("f.year"), F.array())).cast("long").alias("year"),
+        _flatten_title(_last(F.col("title"))).alias("title"),
+        last_parseable_int(F.coalesce(F.col("year"), F.array())).cast("long").alias("year"),
         journal.alias("journal"),
-        _last(F.col("f.crossref")).alias("crossref"),
-        last_parseable_int(F.coalesce(F.col("f.volume"), F.array())).alias("volume"),
-        last_parseable_int(F.coalesce(F.col("f.number"), F.array())).alias("issue"),
-        F.coalesce(F.col("f.author"), F.array().cast("array<string>")).alias("authors"),
-        drop_placeholder(F.coalesce(F.col("f.cite"), F.array().cast("array<string>"))).alias("cites"))
+        _last(F.col("crossref")).alias("crossref"),
+        last_parseable_int(F.coalesce(F.col("volume"), F.array())).alias("volume"),
+        last_parseable_int(F.coalesce(F.col("number"), F.array())).alias("issue"),
+        F.coalesce(F.col("author"), F.array().cast("array<string>")).alias("authors"),
+        drop_placeholder(F.coalesce(F.col("cite"), F.array().cast("array<string>"))).alias("cites"))
 
 
 def dblp_rows(chunks: DataFrame) -> DataFrame:
@@ -158,17 +167,17 @@ def acm_import(spark: SparkSession, path: str, with_seq: bool = True) -> DataFra
         F.regexp_extract("chunk", r"^[^>]*?\bid=\"([^\"]*)\"", 1).alias("source_id"),
         F.regexp_extract("chunk", rec, 1).alias("body"),
         F.col("chunk").rlike(r"</Publication>").alias("closed")).filter("closed")
-    f = p.withColumn("f", _fields(F.col("body"), ACM_FIELDS_SCHEMA))
-    venues = F.coalesce(F.col("f.Venue"), F.array())
+    f = _parse_once(p, ["source_id"], ACM_FIELDS_SCHEMA)
+    venues = F.coalesce(F.col("Venue"), F.array())
     year = last_parseable_int(F.transform(venues, lambda v: v["_year"]))
     matching = F.filter(F.transform(venues, lambda v: v["_VALUE"]), lambda t: t.rlike(VOLUME_ISSUE_PATTERN))
     vol, iss = volume_issue(F.coalesce(_last(matching), F.lit("")))
-    series = trim_ctl(_last(F.col("f.VenueSeries")))
-    authors = F.coalesce(F.col("f.Name"), F.array().cast("array<string>"))
+    series = trim_ctl(_last(F.col("VenueSeries")))
+    authors = F.coalesce(F.col("Name"), F.array().cast("array<string>"))
     out = (f.select(F.when(F.col("source_id") != "", F.col("source_id")).alias("source_id"),
-                    _flatten_title(_last(F.col("f.Title"))).alias("title"),
+                    _flatten_title(_last(F.col("Title"))).alias("title"),
                     year.cast("long").alias("year"), acm_venue_string(series, vol, iss).alias("venue"),
-                    authors.alias("a"), F.size(F.coalesce(F.col("f.CitingPub"), F.array())).cast("long")
+                    authors.alias("a"), F.size(F.coalesce(F.col("CitingPub"), F.array())).cast("long")
                     .alias("num_citings"))
            .filter(F.col("source_id").isNotNull() & F.col("title").isNotNull() & (F.col("year") > 0)
                    & (F.size("a") > 0))
