@@ -32,10 +32,10 @@ META = (DELIMITER, ESCAPE)
 
 def _escape_field(c: Column) -> Column:
     s = c.cast("string")
-    s = F.regexp_replace(s, r"\\", r"\\\\")
-    s = F.regexp_replace(s, ",", r"\\,")
-    s = F.regexp_replace(s, "\r", r"\\r")
-    s = F.regexp_replace(s, "\n", r"\\n")
+    # literal replacements (no regex), escape character first
+    for raw, escaped in ((ESCAPE, ESCAPE + ESCAPE), (DELIMITER, ESCAPE + DELIMITER),
+                         ("\r", ESCAPE + "r"), ("\n", ESCAPE + "n")):
+        s = F.replace(s, F.lit(raw), F.lit(escaped))
     return F.coalesce(s, F.lit(""))
 
 
