@@ -91,6 +91,12 @@ def _cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 register("cube_build", oracle.with_star("SELECT * FROM cube"))(_cube)
 
+
+@register("bridge_pub_citing", oracle.with_star("SELECT * FROM citing_bridge"))
+def _citing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .plans.star import citing_bridge
+    return citing_bridge(staged(spark, sf_dir))
+
 for _name, _fn in cube_plan.CUBE_QUERIES.items():
     register("cube_" + _name, oracle.with_star(oracle.OLAP[_name]))(
         (lambda fn: lambda spark, sf_dir: fn(_cube(spark, sf_dir), star(spark, sf_dir).author,

@@ -73,7 +73,8 @@ def star_job(spark: SparkSession, kind: str, source_dir: str, target_dir: str,
     else:
         acm = pubs.withColumnRenamed("id", "seq")
         star = build_star_acm(acm)
-        out = {k: v for k, v in star.tables().items() if k not in ("document_type", "venue_series")}
+        out = {k: v for k, v in star.tables().items()
+               if k not in ("document_type", "venue_series", "publication_citing_map")}
     root = os.path.join(target_dir, kind)
     if out_fmt == "parquet":
         tables.save_star(out, root)
@@ -84,10 +85,7 @@ def star_job(spark: SparkSession, kind: str, source_dir: str, target_dir: str,
 
 
 def load_tables(spark: SparkSession, star_dir: str, register: bool = True) -> dict[str, DataFrame]:
-    present = {n for n in os.listdir(star_dir.replace("file:", ""))} if os.path.isdir(
-        star_dir.replace("file:", "")) else set(tables.STAR_TABLES)
-    t = {n: spark.read.schema(tables.SCHEMAS[n]).parquet(os.path.join(star_dir, n))
-         for n in tables.STAR_TABLES if n in present}
+    t = tables.load_star(spark, star_dir)
     if register:
         tables.register_star(spark, t)
     return t

@@ -81,6 +81,10 @@ fact AS (
   JOIN lookup_title ti ON ti.id = c.id
   JOIN lookup_author a ON a.id = c.id),
 bridge AS (SELECT DISTINCT id AS publication_id, author_id FROM lookup_author),
+citing_bridge AS (
+  SELECT DISTINCT c.id AS publication_id, f.id AS cited_publication_id
+  FROM split_cites c JOIN (SELECT key, min(id) AS id FROM bib_pub GROUP BY key) f
+    ON f.key = CASE WHEN c.cite LIKE '%ref:%' THEN substr(c.cite, 5) ELSE c.cite END),
 cube AS (
   SELECT author_id, time_id, type_id, count(publication_id) AS n_pubs,
          CAST(sum(citings_dblp) AS BIGINT) AS sum_citings, max(citings_dblp) AS max_citings,

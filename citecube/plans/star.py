@@ -49,11 +49,15 @@ class StarSchema:
     document_type: DataFrame
     publication: DataFrame
     bridge: DataFrame
+    citing: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return {"timeinfo": self.timeinfo, "venue_series": self.venue_series, "title": self.title,
-                "author": self.author, "document_type": self.document_type,
-                "publication": self.publication, "publication_author_map": self.bridge}
+        out = {"timeinfo": self.timeinfo, "venue_series": self.venue_series, "title": self.title,
+               "author": self.author, "document_type": self.document_type,
+               "publication": self.publication, "publication_author_map": self.bridge}
+        if self.citing is not None:
+            out["publication_citing_map"] = self.citing
+        return out
 
 
 def time_dimension(st: Staged) -> DataFrame:
@@ -134,6 +138,17 @@ def bridge_table(st: Staged, links: DataFrame) -> DataFrame:
             .distinct())
 
 
+def citing_bridge(st: Staged) -> DataFrame:
+    """N:M citation bridge of the normalised schema variant: distinct
+    (citing publication, cited publication) pairs; a cited key resolves to
+    the first publication with that key, unresolved keys are dropped.
+    Both sides are keyed by the cited key, so the join needs one exchange
+    per side; a hot cited key is split by AQE's skew join."""
+    firsts = st.publications.groupBy("key").agg(F.min("id").alias("cited_publication_id"))
+    cites = st.cites.select(F.col("id").alias("publication_id"), clean_key("cite").alias("key"))
+    return cites.join(firsts, "key").select("publication_id", "cited_publication_id").distinct()
+
+
 def build_star(st: Staged, parallel: int = 5) -> StarSchema:
     """The five dimensions are independent jobs; they are submitted from
     threads so that the scheduler can run them side by side."""
@@ -144,4 +159,4 @@ def build_star(st: Staged, parallel: int = 5) -> StarSchema:
     survivors = surviving_publications(titled, st.cites)
     fact = fact_table(survivors, links, timeinfo, doc_type, venues)
     return StarSchema(timeinfo, venues, title_dimension(titled), authors, doc_type, fact,
-                      bridge_table(st, links))
+                      bridge_table(st, links), citing_bridge(st))

@@ -30,6 +30,7 @@ PUBLICATION = struct(("publication_id", L), ("title_id", L), ("type_id", L), ("t
                      ("venue_series_id", L), ("citings_dblp", L), ("ignore1", L),
                      ("citings_acm", L), ("ignore3", L), ("author_id", L), ("ignore4", S))
 BRIDGE = struct(("publication_id", L), ("author_id", L))
+CITING_BRIDGE = struct(("publication_id", L), ("cited_publication_id", L))
 
 # Defaults of a fresh fact row before the dimension keys are
 # merged in (missing key = -1, counters = 0, trailing text column = "").

@@ -22,7 +22,7 @@ from .. import schemas as S
 from ..operators.lookup import join_right_distinct
 
 STAR_TABLES = ("timeinfo", "venue_series", "title", "author", "document_type",
-               "publication", "publication_author_map")
+               "publication", "publication_author_map", "publication_citing_map")
 
 
 def _ranged(df: DataFrame, n: int | None, *cols: str) -> DataFrame:
@@ -53,14 +53,17 @@ def save_star(tables: dict[str, DataFrame], root: str, parallel: int = 4) -> Non
 
 
 SCHEMAS = {"timeinfo": S.TIMEINFO, "venue_series": S.VENUE_SERIES, "title": S.TITLE, "author": S.AUTHOR,
-           "document_type": S.DOCUMENT_TYPE, "publication": S.PUBLICATION, "publication_author_map": S.BRIDGE}
+           "document_type": S.DOCUMENT_TYPE, "publication": S.PUBLICATION, "publication_author_map": S.BRIDGE,
+           "publication_citing_map": S.CITING_BRIDGE}
 
 
 def load_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Read the written tables with their declared schemas (the fact's
     partition column keeps its LONG type instead of an inferred INT)."""
+    present = set(os.listdir(root.replace("file:", ""))) if os.path.isdir(root.replace("file:", "")) \
+        else set(STAR_TABLES)
     return {name: spark.read.schema(SCHEMAS[name]).parquet(os.path.join(root, name))
-            for name in STAR_TABLES}
+            for name in STAR_TABLES if name in present}
 
 
 def register_star(spark: SparkSession, tables: dict[str, DataFrame], prefix: str = "") -> None:

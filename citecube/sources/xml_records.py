@@ -31,7 +31,7 @@ from ..functions.entities import decode_entities, xml_escape
 from ..functions.text import (acm_venue_string, drop_placeholder, join_list, last_parseable_int,
                               trim_ctl, venue_string, volume_issue, VOLUME_ISSUE_PATTERN)
 from ..operators.keys import record_sequence
-from ..session import materialize, shuffle_partitions
+from ..session import materialize
 from ..schemas import ALL_RECORD_TYPES, COLLECTION_TYPES, DTD_FIELDS, PUBLICATION_TYPES
 
 KEY_SEP = ' key="'
@@ -264,6 +264,6 @@ def write_xml(parts: list[DataFrame], path: str, head: str, tail: str) -> None:
     framed = (spark.createDataFrame([(head, lo)], "value string, o long")
               .unionByName(body.select("value", F.xxhash64("value").alias("o")))
               .unionByName(spark.createDataFrame([(tail, hi)], "value string, o long")))
-    n = shuffle_partitions(spark)
+    n = spark.sparkContext.defaultParallelism
     (framed.repartition(n, "o").sortWithinPartitions("o").select("value")
      .write.mode("overwrite").option("lineSep", "\n").text(path))
