@@ -527,3 +527,18 @@ def pdi_pub_author_map_file(spark, sf_dir):
     csv.write_pipe_header(out, path, order_by="ID")
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("ID", "PublicationID", "AuthorID")])
     return csv.read_pipe_header(spark, path, schema)
+
+
+# --- external text tables over the star schema -----------------------------
+
+@register("sql_q1_on_text_tables", oracle.with_star(oracle.OLAP["q1_pubs_per_author"]))
+def sql_q1_on_text_tables(spark, sf_dir):
+    """Star tables written as escaped CSV, registered as views, Q1 in SQL."""
+    from .sources import tables as tb
+    root = scratch_path(spark, "star-text")
+    tb.save_star_escaped(star(spark, sf_dir).tables(), root)
+    tb.register_star(spark, tb.load_star(spark, root, fmt="escaped"), prefix="txt_")
+    return spark.sql("""
+        SELECT a.name AS author_name, count(f.publication_id) AS num_pubs
+        FROM txt_publication f JOIN txt_author a ON a.author_id = f.author_id
+        GROUP BY a.name ORDER BY num_pubs DESC, author_name""")

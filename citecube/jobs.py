@@ -79,8 +79,7 @@ def star_job(spark: SparkSession, kind: str, source_dir: str, target_dir: str,
     if out_fmt == "parquet":
         tables.save_star(out, root)
     else:
-        for name, df in out.items():
-            csv.write_escaped(df, os.path.join(root, name), order_by=df.columns[0])
+        tables.save_star_escaped(out, root)
     return out
 
 

@@ -57,13 +57,28 @@ SCHEMAS = {"timeinfo": S.TIMEINFO, "venue_series": S.VENUE_SERIES, "title": S.TI
            "publication_citing_map": S.CITING_BRIDGE}
 
 
-def load_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def load_star(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Read the written tables with their declared schemas (the fact's
-    partition column keeps its LONG type instead of an inferred INT)."""
+    partition column keeps its LONG type instead of an inferred INT).
+    ``fmt="escaped"`` reads escaped-CSV table folders (external text tables)."""
+    from . import csv_dialects
     present = set(os.listdir(root.replace("file:", ""))) if os.path.isdir(root.replace("file:", "")) \
         else set(STAR_TABLES)
-    return {name: spark.read.schema(SCHEMAS[name]).parquet(os.path.join(root, name))
-            for name in STAR_TABLES if name in present}
+
+    def read(name):
+        path = os.path.join(root, name)
+        if fmt == "escaped":
+            return csv_dialects.read_escaped(spark, path, SCHEMAS[name], strict=True)
+        return spark.read.schema(SCHEMAS[name]).parquet(path)
+    return {name: read(name) for name in STAR_TABLES if name in present}
+
+
+def save_star_escaped(tables: dict[str, DataFrame], root: str) -> None:
+    """Star tables as escaped-CSV folders (external text tables), each
+    sorted by its first column."""
+    from . import csv_dialects
+    for name, df in tables.items():
+        csv_dialects.write_escaped(df, os.path.join(root, name), order_by=df.columns[0])
 
 
 def register_star(spark: SparkSession, tables: dict[str, DataFrame], prefix: str = "") -> None:
