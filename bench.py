@@ -14,7 +14,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from citecube.plans import cube as cube_plan  # noqa: E402
 from citecube.plans import olap  # noqa: E402

@@ -11,11 +11,23 @@ from pyspark.sql import types as T
 
 from . import oracle
 from .catalog import memo, register, staged, star
-from .plans.star import build_star
+from .functions import text as fx
+from .functions.entities import decode_entities, sql_decode_chain
+from .functions.text import split_list
+from .operators import dedup, routing
+from .operators.lookup import (count_matches, dim_lookup, join_full, join_inner, join_left,
+                               join_three_way)
+from .plans.pdi import build_pdi
+from .plans.star import build_star, title_ids
+from .plans.star_acm import build_star_acm
 from .schemas import STAGED_COLLECTIONS, STAGED_PUBLICATIONS
 from .session import scratch_path
 from .sources import adapter
 from .sources import csv_dialects as csv
+from .sources import tables as tb
+from .sources import xml_records as xml
+from .sources.tables import author_pub
+from .streaming.incremental import run_dblp_import, staged_tables
 
 DOC_COLS = ["doc_id", "lang", "source", "text", "n_chars"]
 DOC_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang", T.StringType()),
@@ -96,7 +108,6 @@ def star_from_csv_fact(spark, sf_dir):
 @register("split_authors", oracle.with_records(
     "SELECT id, unnest(string_split(authors, '|')) AS author FROM bib_pub"))
 def split_authors(spark, sf_dir):
-    from .functions.text import split_list
     r = adapter.publication_records(spark, sf_dir)
     return r.select("id", F.explode(split_list("authors")).alias("author"))
 
@@ -104,7 +115,6 @@ def split_authors(spark, sf_dir):
 @register("split_cites", oracle.with_records(
     "SELECT id, unnest(string_split(cites, '|')) AS cite FROM bib_pub"))
 def split_cites(spark, sf_dir):
-    from .functions.text import split_list
     r = adapter.publication_records(spark, sf_dir)
     return r.select("id", F.explode(split_list("cites")).alias("cite"))
 
@@ -117,8 +127,6 @@ def join_list_q(spark, sf_dir):
 
 # --- XML import -----------------------------------------------------------
 
-from .functions.entities import decode_entities, sql_decode_chain  # noqa: E402
-from .sources import xml_records as xml  # noqa: E402
 
 XML_HEAD = '<?xml version="1.0" encoding="UTF-8"?>\n<!DOCTYPE dblp SYSTEM "dblp.dtd">\n<dblp>'
 
@@ -209,7 +217,6 @@ JOIN acm_links l ON l.seq = a.seq JOIN acm_author au ON au.name = l.author""".re
 
 @register("acm_fact_publication", _ACM_STAR)
 def acm_fact_publication(spark, sf_dir):
-    from .plans.star_acm import build_star_acm
     return build_star_acm(_acm_rows(spark, sf_dir)).publication
 
 
@@ -241,11 +248,6 @@ def entities_q(spark, sf_dir):
 
 # --- record rules on the adapter records ----------------------------------
 
-from .functions import text as fx  # noqa: E402
-from .operators import dedup, routing  # noqa: E402
-from .operators.lookup import (count_matches, dim_lookup, join_full, join_inner,  # noqa: E402
-                               join_left, join_three_way)
-from .sources.tables import author_pub  # noqa: E402
 
 _CLEAN = "CASE WHEN {c} LIKE '%ref:%' THEN substr({c}, 5) ELSE {c} END"
 
@@ -409,7 +411,6 @@ def join_three_way_q(spark, sf_dir):
     t = dim_lookup(st.publications.select("id", "type"), "type", s.document_type, "name", "type_id",
                    "type_id", unique=True).drop("type")
     # title ids per publication come from the dimension build itself
-    from .plans.star import title_ids
     tid = title_ids(st).select("id", "title_id")
     return join_three_way(tid, lookup_time(spark, sf_dir), t, "id").select("id", "title_id", "time_id",
                                                                           "type_id")
@@ -471,7 +472,6 @@ def pdi_text_scan_limit(spark, sf_dir):
 @register("stream_dblp_import", oracle.with_records(_XML_PUBS.replace(
     "row_number() OVER (ORDER BY type, key, title, year, venue, authors, cites) AS seq, *", "*")))
 def stream_dblp_import(spark, sf_dir):
-    from .streaming.incremental import run_dblp_import, staged_tables
     src = _dblp_dump(spark, sf_dir)
     target, ckpt = scratch_path(spark, "stream-staged"), scratch_path(spark, "stream-ckpt")
     run_dblp_import(spark, src, target, ckpt)
@@ -480,7 +480,6 @@ def stream_dblp_import(spark, sf_dir):
 
 # --- outputs of the earlier ETL-tool transform ----------------------------
 
-from .plans.pdi import build_pdi  # noqa: E402
 
 _PDI = oracle.with_records("""
 , pa AS (SELECT id, unnest(string_split(authors, '|')) AS name FROM bib_pub),
@@ -534,7 +533,6 @@ def pdi_pub_author_map_file(spark, sf_dir):
 @register("sql_q1_on_text_tables", oracle.with_star(oracle.OLAP["q1_pubs_per_author"]))
 def sql_q1_on_text_tables(spark, sf_dir):
     """Star tables written as escaped CSV, registered as views, Q1 in SQL."""
-    from .sources import tables as tb
     root = scratch_path(spark, "star-text")
     tb.save_star_escaped(star(spark, sf_dir).tables(), root)
     tb.register_star(spark, tb.load_star(spark, root, fmt="escaped"), prefix="txt_")

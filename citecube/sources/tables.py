@@ -16,7 +16,6 @@ import os
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.lookup import join_right_distinct
