@@ -14,15 +14,15 @@ def dim_lookup(left: DataFrame, left_key: str, dim: DataFrame, dim_key: str, dim
     """Left lookup: every left row once, with the first (smallest) id of the
     matching dimension rows, or ``missing``.  Never multiplies rows.
     ``unique=True`` states that ``dim_key`` is already distinct (dimensions
-    built by distinct), which saves the de-duplicating aggregation."""
+    built by distinct), which saves the de-duplicating aggregation.
+    ``small=None`` broadcasts the dimension when ``fits()`` proves it small;
+    ``small=False`` (dimensions that grow with the data) never forces it."""
     if unique:
         firsts = dim.select(F.col(dim_key).alias("_lk_key"), F.col(dim_id).alias("_lk_id"))
     else:
         firsts = dim.groupBy(F.col(dim_key).alias("_lk_key")).agg(F.min(dim_id).alias("_lk_id"))
-    if small is None:
+    if small is None:  # broadcast only after the exact size check
         firsts = maybe_broadcast(firsts)
-    elif small:
-        firsts = F.broadcast(firsts)
     joined = left.join(firsts, left[left_key] == firsts["_lk_key"], "left")
     return joined.withColumn(out_col, F.coalesce(F.col("_lk_id"), F.lit(missing)).cast("long")) \
                  .drop("_lk_key", "_lk_id")

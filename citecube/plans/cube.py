@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.sizing import maybe_broadcast
 from .olap import AUTHOR_ID, AUTHOR_NAME, TOP_K, YEAR, author_ids
 
 CUBE_DIMS = ("author_id", "time_id", "type_id")
@@ -49,6 +50,7 @@ def _names(per: DataFrame, author: DataFrame) -> DataFrame:
 
 
 def _time_ids(timeinfo: DataFrame, year: int) -> DataFrame:
+    # years are distinct in the time dimension: at most one row
     return F.broadcast(timeinfo.filter(F.col("year") == year).select("time_id"))
 
 
@@ -77,6 +79,7 @@ def cq3(cube, author, timeinfo):
 
 
 def cq4(cube, author, timeinfo, k=TOP_K):
+    # at most k rows
     top = (cuboid(cube, "author_id").select("author_id", F.col("sum_citings").alias("max_c"))
            .orderBy(F.desc("max_c"), "author_id").limit(k))
     return (_names(F.broadcast(top), author).select("author_name", "max_c")
@@ -116,7 +119,8 @@ def cq10(cube, author, timeinfo, name=AUTHOR_NAME, year=YEAR):
 def decade_rollup(cube: DataFrame, timeinfo: DataFrame) -> DataFrame:
     """Publications-author rows and citations per decade, rolled up from the
     (time_id) cuboid: count and sum are mergeable, so no base scan."""
-    c = cuboid(cube, "time_id").join(F.broadcast(timeinfo.select("time_id", "decade")), "time_id")
+    # the time dimension has one row per distinct year: broadcast after the size check
+    c = cuboid(cube, "time_id").join(maybe_broadcast(timeinfo.select("time_id", "decade")), "time_id")
     return c.groupBy("decade").agg(F.sum("n_pubs").cast("long").alias("n_pubs"),
                                    F.sum("sum_citings").cast("long").alias("sum_citings"),
                                    F.max("max_citings").alias("max_citings"))

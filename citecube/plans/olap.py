@@ -71,7 +71,7 @@ def q3_max_cites_per_author(t: Tables) -> DataFrame:
 
 def q4_top_cited_authors(t: Tables, k: int = TOP_K) -> DataFrame:
     per = t.publication.groupBy("author_id").agg(F.sum("citings_dblp").cast("long").alias("max_c"))
-    top = per.orderBy(F.desc("max_c"), "author_id").limit(k)
+    top = per.orderBy(F.desc("max_c"), "author_id").limit(k)  # at most k rows: broadcast is bounded
     return (_with_names(F.broadcast(top), t.author).select("author_name", "max_c")
             .orderBy(F.desc("max_c"), "author_name"))
 
