@@ -69,7 +69,7 @@ def build_pdi(records: DataFrame) -> PdiOutputs:
     per_pub = dim_lookup(per_pub, "Title", t, "Title", "TitleID", "TitleID", unique=True)
     per_pub = dim_lookup(per_pub, "_t", tyk, "_t", "TypeID", "TypeID", unique=True)
     per_pub = dim_lookup(per_pub, "Year", y, "Year", "YearID", "YearID", unique=True)
-    per_author = dim_lookup(names, "Name", a, "Name", "AuthorID", "AuthorID", small=False, unique=True)
+    per_author = dim_lookup(names, "Name", a, "Name", "AuthorID", "AuthorID", unique=True)
     publication = per_pub.join(per_author.select("Id", "AuthorID"), "Id").select(
         "Id", "PubKey", "PublicationID", "TitleID", "TypeID", "YearID", "AuthorID")
     pairs = publication.select("PublicationID", "AuthorID").distinct()

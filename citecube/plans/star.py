@@ -20,8 +20,9 @@ Plan shape (what Catalyst/AQE should produce at scale):
 * time, type and venue lookups: broadcast after an exact size check,
   otherwise shuffle joins;
 * author ids: the (publication, author) rows join the author dimension by
-  name and the publications by id; AQE splits a hot author or a hot
-  publication (skew join).
+  name - broadcast when ``fits()`` proves it small, otherwise a shuffle
+  join where AQE splits a hot author - and the publications by id (AQE
+  splits a hot publication).
 """
 
 from __future__ import annotations
@@ -111,7 +112,7 @@ def author_links(st: Staged, author_dim: DataFrame) -> DataFrame:
     """(id, author_id) per author list item; a name missing from the
     dimension maps to -1."""
     return dim_lookup(st.authors.select("id", "author"), "author", author_dim, "name",
-                      "author_id", "author_id", small=False,
+                      "author_id", "author_id",
                       unique=True).select("id", "author_id")
 
 

@@ -43,7 +43,7 @@ def build_star_acm(acm: DataFrame) -> StarSchema:
 
     f = dim_lookup(pubs, "year", timeinfo, "year", "time_id", "time_id", unique=True)
     f = dim_lookup(f, "source_id", title, "source_key", "title_id", "title_id", small=False)
-    links = dim_lookup(links_raw, "author", author, "name", "author_id", "author_id", small=False,
+    links = dim_lookup(links_raw, "author", author, "name", "author_id", "author_id",
                        unique=True).select("seq", "author_id")
     f = f.join(links, "seq", "inner")
     d = FACT_DEFAULTS
