@@ -109,7 +109,11 @@ def typed_projection(fields: Column, indices: list[int], schema: T.StructType,
         if isinstance(f.dataType, T.StringType):
             v = raw
         elif strict:
-            v = raw.cast(f.dataType)
+            # fails the job on a bad value whatever spark.sql.ansi.enabled says
+            conv = raw.try_cast(f.dataType)
+            v = F.when((raw != "") & conv.isNull(),
+                       F.raise_error(F.concat(F.lit(f"cannot convert field {i} to {f.dataType.simpleString()}: "),
+                                              raw))).otherwise(conv)
         else:
             v = raw.try_cast(f.dataType)
         cols.append(v.alias(f.name))

@@ -80,3 +80,14 @@ def test_convert_first_n_in_file_order(spark):
     C.convert(spark, src, dst, schema, "escaped-to-quoted", limit=7)
     assert sorted(r.id for r in C.read_quoted(spark, dst, schema).collect()) == list(range(7))
     assert os.path.isdir(local(dst))
+
+
+def test_strict_projection_fails_on_bad_value(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("x1,2",)], "line string")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    with pytest.raises(Exception, match="cannot convert field 0"):
+        df.select(*C.typed_projection(C.parse_escaped(F.col("line")), [0, 1], schema, strict=True)).collect()
+    lenient = df.select(*C.typed_projection(C.parse_escaped(F.col("line")), [0, 1], schema)).first()
+    assert tuple(lenient) == (None, 2)
