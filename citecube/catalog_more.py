@@ -3,6 +3,7 @@ PDI-style operators, XML import."""
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from .functions.text import split_list
 from .operators import dedup, routing
 from .operators.lookup import (count_matches, dim_lookup, join_full, join_inner, join_left,
                                join_three_way)
+from .plans import hiveql
 from .plans.pdi import build_pdi
 from .plans.star import build_star, title_ids
 from .plans.star_acm import build_star_acm
@@ -540,3 +542,20 @@ def sql_q1_on_text_tables(spark, sf_dir):
         SELECT a.name AS author_name, count(f.publication_id) AS num_pubs
         FROM txt_publication f JOIN txt_author a ON a.author_id = f.author_id
         GROUP BY a.name ORDER BY num_pubs DESC, author_name""")
+
+
+# --- the analysis queries as SQL over registered views ----------------------
+
+def _views(spark, sf_dir) -> str:
+    """Register the star tables as temp views once per session and folder;
+    returns the view-name prefix."""
+    def build():
+        prefix = "cc" + hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:8] + "_"
+        tb.register_star(spark, star(spark, sf_dir).tables(), prefix=prefix)
+        return prefix
+    return memo("views", spark, sf_dir, build)
+
+
+for _name in hiveql.SQL:
+    register("sql_" + _name, oracle.with_star(oracle.OLAP[_name]))(
+        (lambda n: lambda spark, sf_dir: hiveql.run(spark, n, _views(spark, sf_dir)))(_name))
