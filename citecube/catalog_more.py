@@ -202,8 +202,7 @@ def xml_acm_extract(spark, sf_dir):
 
 _ACM_STAR = oracle.with_records(f"""
 , acm AS ({_ACM_ROWS}),
-acm_title AS (SELECT row_number() OVER (ORDER BY source_id, seq) AS title_id, title, source_id AS source_key
-              FROM acm),
+acm_title AS (SELECT seq AS title_id, title, source_id AS source_key FROM acm),
 acm_author AS (SELECT row_number() OVER (ORDER BY author) AS author_id, author AS name
                FROM (SELECT DISTINCT unnest(string_split(authors, '|')) AS author FROM acm)),
 acm_time AS (SELECT row_number() OVER (ORDER BY year) AS time_id, year FROM (SELECT DISTINCT year FROM acm)),

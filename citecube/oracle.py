@@ -2,7 +2,8 @@
 registered query.  The oracle goes through the record form with
 ``|``-joined lists and string splitting, i.e. an independent path from the
 long form the Spark plans use.  Surrogate ids are
-``row_number() OVER (ORDER BY natural key)``."""
+``row_number() OVER (ORDER BY natural key)``; the title dimension (one row
+per record) is keyed by the record id."""
 
 from __future__ import annotations
 
@@ -43,8 +44,7 @@ dim_type AS (
 dim_venue AS (
   SELECT row_number() OVER (ORDER BY key, title, id) AS venue_series_id, title AS name, key AS dblp_key
   FROM bib_col),
-dim_title_src AS (
-  SELECT row_number() OVER (ORDER BY key, id) AS title_id, title, key AS source_key, id FROM bib_pub),
+dim_title_src AS (SELECT id AS title_id, title, key AS source_key, id FROM bib_pub),
 dim_title AS (SELECT title_id, title, source_key FROM dim_title_src),
 dim_author AS (
   SELECT row_number() OVER (ORDER BY author) AS author_id, author AS name

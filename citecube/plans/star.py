@@ -11,8 +11,8 @@ build keeps the reference semantics:
 
 Plan shape (what Catalyst/AQE should produce at scale):
 
-* ``title`` ids: one range shuffle of the publications + a reliable
-  checkpoint (``dense_ids``);
+* ``title`` ids: the staged record ids (one title row per record), so the
+  publications are not shuffled for them;
 * surviving publications: one hash shuffle by key with ``min_by`` partially
   aggregated map-side (a hot duplicated key collapses before the shuffle),
   co-partitioned with the citation counts (also aggregated by key before
@@ -82,8 +82,10 @@ def venue_dimension(st: Staged) -> DataFrame:
 
 def title_ids(st: Staged) -> DataFrame:
     """Title dimension rows carrying the source publication columns
-    (id, type, key, title, year, venue, title_id)."""
-    return dense_ids(st.publications, ["key", "id"], "title_id")
+    (id, type, key, title, year, venue, title_id).  The dimension is one row
+    per staged record, so the record's own unique id is its key: no range
+    shuffle or snapshot of the whole publication table is needed."""
+    return st.publications.withColumn("title_id", F.col("id").cast("long"))
 
 
 def title_dimension(titled: DataFrame) -> DataFrame:

@@ -31,8 +31,9 @@ def build_star_acm(acm: DataFrame) -> StarSchema:
             F.lit(1).cast("long").alias("day"), decade("year").alias("decade"))
 
     def title_dim():
-        return dense_ids(pubs.select("seq", "title", "source_id"), ["source_id", "seq"], "title_id").select(
-            "title_id", "title", F.col("source_id").alias("source_key"))
+        # one title row per record: the record's sequence number is the key
+        return pubs.select(F.col("seq").cast("long").alias("title_id"), "title",
+                           F.col("source_id").alias("source_key"))
 
     def author_dim():
         return dense_ids(links_raw.select("author").distinct(), ["author"], "author_id").select(
