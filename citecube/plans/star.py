@@ -33,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_key, decade  # noqa: F401  (decade re-exported)
+from ..functions.text import clean_key, decade
 from ..operators.dedup import union_distinct
 from ..operators.keys import dense_ids
 from ..operators.lookup import dim_lookup
@@ -134,9 +134,9 @@ def fact_table(survivors: DataFrame, links: DataFrame, timeinfo: DataFrame,
         F.lit(d["ignore4"]).alias("ignore4"))
 
 
-def bridge_table(st: Staged, links: DataFrame) -> DataFrame:
+def bridge_table(links: DataFrame) -> DataFrame:
     """N:M publication-author bridge: distinct id pairs over all staged
-    publications."""
+    publications (partial aggregation before the shuffle)."""
     return (links.select(F.col("id").alias("publication_id"), "author_id")
             .distinct())
 
@@ -162,4 +162,4 @@ def build_star(st: Staged, parallel: int = 5) -> StarSchema:
     survivors = surviving_publications(titled, st.cites)
     fact = fact_table(survivors, links, timeinfo, doc_type, venues)
     return StarSchema(timeinfo, venues, title_dimension(titled), authors, doc_type, fact,
-                      bridge_table(st, links), citing_bridge(st))
+                      bridge_table(links), citing_bridge(st))

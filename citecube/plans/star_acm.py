@@ -13,11 +13,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import split_list
+from ..functions.text import decade, split_list
 from ..operators.keys import dense_ids
 from ..operators.lookup import dim_lookup
 from ..schemas import FACT_DEFAULTS
-from .star import StarSchema, decade
+from .star import StarSchema
 
 
 def build_star_acm(acm: DataFrame) -> StarSchema:
