@@ -91,9 +91,10 @@ def staged(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Staged
     """Long form of the staged records after the import's completeness
     filter: key and title present, year > 0, at least one author.
 
-    With ``materialize`` the three frames are written once as reliable
-    checkpoints (the import's staged files): every dimension and the fact
-    read them instead of re-running the joins over the raw tables."""
+    With ``materialize`` the three frames are written once as parquet
+    snapshots in the shared checkpoint folder (the import's staged files):
+    every dimension and the fact read them, with column pruning, instead of
+    re-running the joins over the raw tables."""
     keep = (lambda df: materialize_df(df, "staged")) if materialize else (lambda df: df)
     authors = raw_authors(spark, sf_dir)
     # Right sides of the semi joins are de-duplicated first: a publication
