@@ -2,7 +2,7 @@
 on cuboids.  Prints one JSON line.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-     BENCH_REPEAT (default 3; best run per query is reported).
+     BENCH_REPEAT (default 5; best run per query is reported).
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ def timed(fn, repeat: int) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     spark = local_session(cpus, shuffle_partitions=max(8, cpus * 2), app="citecube-bench")
     root = scratch_path(spark, "bench-star")
     res: dict[str, float] = {}
