@@ -63,7 +63,7 @@ _record = st.tuples(st.integers(0, 6), st.integers(1990, 1996), st.lists(st.inte
                     st.lists(st.integers(0, 8), max_size=3))
 
 
-@settings(max_examples=3, deadline=None)
+@settings(max_examples=2, deadline=None)
 @given(st.lists(_record, min_size=1, max_size=25))
 def test_cube_equals_base_on_random_records(spark, recs):
     """Random publications (duplicate keys, repeated authors, self and
