@@ -38,6 +38,7 @@ from ..operators.dedup import union_distinct
 from ..operators.keys import dense_ids
 from ..operators.lookup import dim_lookup
 from ..schemas import FACT_DEFAULTS, TYPE_DESCRIPTION
+from ..session import materialize
 from ..sources.adapter import Staged
 
 
@@ -158,7 +159,10 @@ def build_star(st: Staged, parallel: int = 5) -> StarSchema:
     builders = [time_dimension, type_dimension, venue_dimension, title_ids, author_dimension]
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         timeinfo, doc_type, venues, titled, authors = pool.map(lambda b: b(st), builders)
-    links = author_links(st, authors)
+    # written once: the fact and the bridge both read the (id, author_id)
+    # links, which would otherwise repeat the author join (a shuffle of all
+    # author rows by name when the dimension is too large to broadcast)
+    links = materialize(author_links(st, authors), "links")
     survivors = surviving_publications(titled, st.cites)
     fact = fact_table(survivors, links, timeinfo, doc_type, venues)
     return StarSchema(timeinfo, venues, title_dimension(titled), authors, doc_type, fact,
