@@ -22,7 +22,7 @@ from .plans import hiveql
 from .plans.pdi import build_pdi
 from .plans.star import build_star, title_ids
 from .plans.star_acm import build_star_acm
-from .schemas import STAGED_COLLECTIONS, STAGED_PUBLICATIONS
+from .schemas import CITE_PLACEHOLDER, STAGED_COLLECTIONS, STAGED_PUBLICATIONS
 from .session import scratch_path
 from .sources import adapter
 from .sources import csv_dialects as csv
@@ -275,9 +275,8 @@ def decade_q(spark, sf_dir):
 @register("complete_records", oracle.with_records("""
 SELECT p.id IN (SELECT id FROM bib_pub) AS complete, count(*) AS n FROM bib_pub_all p GROUP BY 1"""))
 def complete_records(spark, sf_dir):
-    r = adapter.raw_publication_records(spark, sf_dir)
-    ok = (F.col("key").isNotNull() & F.col("title").isNotNull() & (F.col("year") > 0)
-          & F.col("authors").isNotNull())
+    r = adapter.raw_publication_flags(spark, sf_dir)
+    ok = (F.col("key").isNotNull() & F.col("title").isNotNull() & (F.col("year") > 0) & F.col("has_authors"))
     return r.groupBy(ok.alias("complete")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -298,9 +297,12 @@ def safe_int_q(spark, sf_dir):
 SELECT l_orderkey AS o_orderkey, count(*) AS n_cites, CAST(sum(CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END)
        AS BIGINT) AS n_kept FROM lineitem GROUP BY l_orderkey""")
 def drop_placeholder_q(spark, sf_dir):
-    r = adapter.order_records(spark, sf_dir).filter(F.col("cites").isNotNull())
-    return r.select("o_orderkey", F.size("cites").cast("long").alias("n_cites"),
-                    F.size(fx.drop_placeholder("cites")).cast("long").alias("n_kept"))
+    """Citations per record before and after dropping the placeholder:
+    counted with partial aggregation, no list collected."""
+    c = adapter.raw_cites(spark, sf_dir)
+    kept = (F.col("cite") != F.lit(CITE_PLACEHOLDER)).cast("long")
+    return c.groupBy((F.col("id") - 1).alias("o_orderkey")).agg(
+        F.count(F.lit(1)).cast("long").alias("n_cites"), F.sum(kept).cast("long").alias("n_kept"))
 
 
 def _venue_texts(spark, sf_dir):
@@ -439,8 +441,9 @@ def unique_ci(spark, sf_dir):
 SELECT p.id, CASE WHEN c.cites IS NULL THEN 'rejected' ELSE 'good' END AS route
 FROM bib_pub_all p LEFT JOIN bib_cites c ON c.id = p.id"""))
 def route_nulls(spark, sf_dir):
-    r = adapter.raw_publication_records(spark, sf_dir)
-    good, rejected = routing.route_not_null(r, "cites")
+    r = adapter.raw_publication_flags(spark, sf_dir).withColumn(
+        "cites_ref", F.when(F.col("has_cites"), F.col("id")))
+    good, rejected = routing.route_not_null(r, "cites_ref")
     return (good.select("id", F.lit("good").alias("route"))
             .unionByName(rejected.select("id", F.lit("rejected").alias("route"))))
 
@@ -449,8 +452,8 @@ def route_nulls(spark, sf_dir):
 SELECT p.id, CASE WHEN a.authors IS NULL THEN 'no_author' WHEN p.year <= 0 THEN 'bad_year' ELSE 'ok' END AS route
 FROM bib_pub_all p LEFT JOIN bib_authors a ON a.id = p.id"""))
 def route_errors(spark, sf_dir):
-    r = adapter.raw_publication_records(spark, sf_dir)
-    return routing.route_errors(r, {"no_author": F.col("authors").isNull(),
+    r = adapter.raw_publication_flags(spark, sf_dir)
+    return routing.route_errors(r, {"no_author": ~F.col("has_authors"),
                                     "bad_year": F.col("year") <= 0}).select("id", "route")
 
 
@@ -505,7 +508,8 @@ pdi_map AS (SELECT row_number() OVER (ORDER BY "PublicationID", "AuthorID") AS "
 
 
 def _pdi(spark, sf_dir):
-    return memo("pdi", spark, sf_dir, lambda: build_pdi(adapter.publication_records(spark, sf_dir)))
+    st = staged(spark, sf_dir)
+    return memo("pdi", spark, sf_dir, lambda: build_pdi(st.publications, st.authors))
 
 
 for _name, _attr, _sel in [

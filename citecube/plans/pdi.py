@@ -16,7 +16,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import split_list
 from ..operators.dedup import unique_rows
 from ..operators.keys import dense_ids
 from ..operators.lookup import dim_lookup
@@ -36,11 +35,13 @@ class PdiOutputs:
                 "pubAuthorMap": self.pub_author_map, "publication": self.publication}
 
 
-def build_pdi(records: DataFrame) -> PdiOutputs:
-    """records: id, type, key, title, year, authors (``|``-joined)."""
-    rows = records.select(F.col("id").alias("Id"), F.col("type").alias("Type"), F.col("key").alias("PubKey"),
-                          F.col("title").alias("Title"), F.col("year").alias("Year"), "authors")
-    names = rows.select("Id", F.explode(split_list("authors")).alias("Name"))
+def build_pdi(publications: DataFrame, authors: DataFrame) -> PdiOutputs:
+    """publications: id, type, key, title, year; authors: id, author (one row
+    per list item - the long form, so no list is collected or split)."""
+    rows = publications.select(F.col("id").alias("Id"), F.col("type").alias("Type"),
+                               F.col("key").alias("PubKey"), F.col("title").alias("Title"),
+                               F.col("year").alias("Year"))
+    names = authors.select(F.col("id").alias("Id"), F.col("author").alias("Name"))
 
     def authors():
         return dense_ids(names.select("Name").distinct(), ["Name"], "AuthorID").select("AuthorID", "Name")

@@ -128,12 +128,16 @@ def publication_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.coalesce(F.col("cites"), F.lit("")).alias("cites")))
 
 
-def raw_publication_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Record form before the completeness filter (every order; author and
-    citation lists may be missing; placeholder citations already dropped)."""
-    a = _joined(raw_authors(spark, sf_dir), "author", "authors")
-    c = _joined(raw_cites(spark, sf_dir).filter(F.col("cite") != F.lit(CITE_PLACEHOLDER)), "cite", "cites")
-    return (raw_publications(spark, sf_dir).join(a, "id", "left").join(c, "id", "left"))
+def raw_publication_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order with ``has_authors`` / ``has_cites`` flags (placeholders
+    not counted): distinct ids joined back, no list is collected."""
+    a = raw_authors(spark, sf_dir).select("id").distinct().withColumn("has_authors", F.lit(True))
+    c = (raw_cites(spark, sf_dir).filter(F.col("cite") != F.lit(CITE_PLACEHOLDER)).select("id").distinct()
+         .withColumn("has_cites", F.lit(True)))
+    return (raw_publications(spark, sf_dir).join(a, "id", "left").join(c, "id", "left")
+            .select("id", "type", "key", "title", "year", "venue",
+                    F.coalesce("has_authors", F.lit(False)).alias("has_authors"),
+                    F.coalesce("has_cites", F.lit(False)).alias("has_cites")))
 
 
 def staged_from_records(records: DataFrame, cols: DataFrame) -> Staged:
