@@ -61,3 +61,21 @@ def test_convert_records_roundtrip(spark):
     a = sorted("".join(open(f).read() for f in glob.glob(esc.replace("file:", "") + "/part-*")).splitlines())
     b = sorted("".join(open(f).read() for f in glob.glob(back.replace("file:", "") + "/part-*")).splitlines())
     assert a == b
+
+
+def test_cli_csv_conversion(tmp_path):
+    """``python -m citecube csv IN OUT --escaped-to-quoted --limit 2`` in its
+    own process (its own local session)."""
+    import os
+    import subprocess
+    import sys
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "part-0.csv").write_text("1,a\\,b,x\n2,c,y\n3,d,z\n", encoding="utf-8")
+    dst = tmp_path / "out"
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-m", "citecube", "--master-cores", "2", "csv", str(src), str(dst),
+                    "--escaped-to-quoted", "--limit", "2"], cwd=repo, check=True, timeout=600,
+                   capture_output=True)
+    lines = sorted("".join(p.read_text() for p in dst.glob("part-*")).splitlines())
+    assert lines == ['1,"a,b",x', "2,c,y"]
