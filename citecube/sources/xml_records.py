@@ -139,17 +139,26 @@ def dblp_import(spark: SparkSession, path: str, with_seq: bool = True) -> tuple[
     return pubs, cols
 
 
+_QUALITY_SCHEMA = "title array<string>, _corrupt string"
+_QUALITY_OPTS = dict(_XML_OPTS, columnNameOfCorruptRecord="_corrupt")
+
+
 def quality_report(spark: SparkSession, path: str) -> DataFrame:
     """Validation against the DTD content model, as counts per rule:
-    unclosed chunk, unknown record type, missing key, unknown child field."""
+    unclosed chunk, missing key, unknown child field, malformed record (not
+    well-formed XML; the import drops it as incomplete)."""
     p = parse_dblp_chunks(read_chunks(spark, path)).filter(~F.col("head"))
+    rec = F.concat(F.lit("<r>"), decode_entities(F.col("body")), F.lit("</r>"))
+    p = p.select("type", "key", "body",
+                 F.inline(F.array(F.from_xml(rec, _QUALITY_SCHEMA, _QUALITY_OPTS))))
     children = F.regexp_extract_all(F.col("body"), F.lit(r"<([A-Za-z][\w.-]*)[\s>/]"), F.lit(1))
     allowed = F.array(*[F.lit(x) for x in DTD_FIELDS + TITLE_MARKUP])
     unknown = F.size(F.array_except(children, allowed)) > 0
     rules = F.array(
         F.when(F.col("type") == "", F.lit("unclosed_record")),
         F.when((F.col("type") != "") & (F.col("key") == ""), F.lit("missing_key")),
-        F.when((F.col("type") != "") & unknown, F.lit("unknown_field")))
+        F.when((F.col("type") != "") & unknown, F.lit("unknown_field")),
+        F.when((F.col("type") != "") & F.col("_corrupt").isNotNull(), F.lit("malformed_record")))
     flagged = p.select(F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("rule"))
     return flagged.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
 

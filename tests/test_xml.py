@@ -27,6 +27,7 @@ DBLP = """<?xml version="1.0" encoding="ISO-8859-1"?>
 <www mdate="2017-01-01" key="homepages/x/Y"><author>Y</author><title>Home Page</title></www>
 <proceedings mdate="2017-01-01" key="conf/x/2002"><title>Proc X 2002</title><year>2002</year></proceedings>
 <book mdate="2017-01-01" key="books/b/1"><author>Q</author><title>A Book</title><foo>unknown</foo></book>
+<article mdate="2017-01-01" key="journals/y/Broken"><author>Z</author><title>Broken</titel><year>2001</year></article>
 </dblp>
 """
 
@@ -67,7 +68,7 @@ def test_dblp_import_fixture(spark, tmp_path):
 def test_quality_report(spark, tmp_path):
     path = write(str(tmp_path), "dblpq", DBLP)
     rep = {r.rule: r.n for r in xml.quality_report(spark, path).collect()}
-    assert rep == {"unknown_field": 1}
+    assert rep == {"unknown_field": 1, "malformed_record": 1}
 
 
 ACM = """<?xml version="1.0"?>
