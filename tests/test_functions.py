@@ -72,3 +72,23 @@ def test_volume_issue(spark):
 def test_trim_ctl(spark):
     got = one(spark, T.trim_ctl("s"), [("\t\n VLDB \r\n",), ("a b",), ("",)])
     assert got == ["VLDB", "a b", ""]
+
+
+def test_decode_entities(spark):
+    from citecube.functions.entities import LATIN1_ENTITIES, decode_entities, sql_decode_chain
+    rows = [("J&ouml;rg &amp; M&uuml;ller",), ("&amp;copy; &copy;",), ("&foo; & plain",), ("none",)]
+    xml_kept = one(spark, decode_entities(F.col("s")), rows)
+    assert xml_kept == ["Jörg &amp; Müller", "&amp;copy; ©", "&foo; & plain", "none"]
+    html = one(spark, decode_entities(F.col("s"), include_predefined=True), rows)
+    assert html == ["Jörg & Müller", "&copy; ©", "&foo; & plain", "none"]
+    # the table is the Latin-1 block, built from a rule
+    assert LATIN1_ENTITIES["eacute"] == "é" and LATIN1_ENTITIES["nbsp"] == " " and len(LATIN1_ENTITIES) == 96
+    # the SQL chain used by the oracle gives the same text
+    import duckdb
+    for (src,), want in zip(rows, html):
+        lit = src.replace("'", "''")
+        assert duckdb.connect().execute(f"SELECT {sql_decode_chain(repr_sql(lit))}").fetchone()[0] == want
+
+
+def repr_sql(lit):
+    return f"'{lit}'"
