@@ -1,5 +1,8 @@
-"""Further registered queries: CSV dialects, record-level rules, joins,
-PDI-style operators, XML import."""
+"""Further registered queries, by section: CSV dialects, XML import, HTML
+markup/entities, record rules, lookups and joins, PDI-style operators,
+streaming import, outputs of the earlier ETL-tool transform, external text
+tables, and the analysis queries as SQL text.  Each entry is a Spark plan
+over the driver's tables plus its DuckDB oracle SQL."""
 
 from __future__ import annotations
 
