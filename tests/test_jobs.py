@@ -79,3 +79,21 @@ def test_cli_csv_conversion(tmp_path):
                    capture_output=True)
     lines = sorted("".join(p.read_text() for p in dst.glob("part-*")).splitlines())
     assert lines == ['1,"a,b",x', "2,c,y"]
+
+
+def test_bench_prints_one_json_line():
+    """bench.py contract: one JSON line on stdout with metric/value/unit/queries/sf."""
+    import json
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_REPEAT="1", BENCH_CPUS="4")
+    out = subprocess.run([sys.executable, "bench.py"], cwd=repo, env=env, check=True, timeout=900,
+                         capture_output=True, text=True).stdout
+    lines = [x for x in out.splitlines() if x.strip()]
+    assert len(lines) == 1
+    d = json.loads(lines[0])
+    assert d["unit"] == "sec" and d["sf"] == 0.001 and d["value"] > 0
+    assert {f"q{i}_base" for i in range(1, 11)} <= set(d["queries"])
+    assert {f"q{i}_cube" for i in range(1, 11)} <= set(d["queries"])
