@@ -15,11 +15,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import blocks
 
 NO_RANK = np.int32(2**31 - 1)
 LONG_PIECE = 256          # bytes; longer pre-tokens are merged with a heap, not in a matrix
@@ -218,20 +218,6 @@ def encoder(rank_file: str, pattern: str) -> Encoder:
     return _ENCODERS[key]
 
 
-def blocks(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts hold about ``max_bytes`` at most (one
-    longer text stands alone)."""
-    sizes = np.array(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
-    total, lo = 0, 0
-    for i, n in enumerate(sizes):
-        if total + n > max_bytes and i > lo:
-            yield batch.slice(lo, i - lo)
-            total, lo = 0, i
-        total += int(n)
-    if lo < len(sizes):
-        yield batch.slice(lo)
-
-
 def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(id, ids binary): little-endian uint32 ids of every whole text.

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,3 +79,17 @@ def shingle_set(text: bytes, n: int) -> np.ndarray:
 def signed(x: np.ndarray) -> np.ndarray:
     """uint64 hashes as Spark's long."""
     return x.view(np.int64)
+
+
+def blocks(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts hold about ``max_bytes`` at most (one
+    longer text stands alone)."""
+    sizes = np.array(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
+    total, lo = 0, 0
+    for i, n in enumerate(sizes):
+        if total + n > max_bytes and i > lo:
+            yield batch.slice(lo, i - lo)
+            total, lo = 0, i
+        total += int(n)
+    if lo < len(sizes):
+        yield batch.slice(lo)

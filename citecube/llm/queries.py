@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, sharding
+from . import bpe, exact, neardup, sharding
 from .common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,29 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+@register(r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i+2], ' '))) END AS sh FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+l AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM e x JOIN e y ON x.g = y.g AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+r(id, m) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT l.b, r.m FROM r JOIN l ON l.a = r.id WHERE r.m < l.b)
+SELECT s.doc_id, len(sh) AS n_shingles, min(m) AS component_id, s.doc_id = min(m) AS kept
+FROM s JOIN r ON r.id = s.doc_id GROUP BY s.doc_id, len(sh)""")
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (neardup.near_groups(read_table(spark, sf_dir, "documents"), words=3, percent=85)
+            .withColumnRenamed("id", "doc_id"))
+
+
 @register(r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS s FROM documents),
 g AS (SELECT s, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY s)
