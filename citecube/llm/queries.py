@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, neardup, sharding
+from . import bpe, exact, neardup, sharding, substring
 from .common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,23 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_labels(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@register(r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(words) - 33)) AS i FROM w WHERE len(words) >= 35),
+g AS (SELECT p.doc_id, p.i, md5(array_to_string(words[p.i:p.i+34], ' ')) AS h FROM p JOIN w USING (doc_id)),
+r AS (SELECT h FROM g GROUP BY h HAVING count(*) > 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM g SEMI JOIN r USING (h)),
+n AS (SELECT doc_id, count(*) AS n_removed, list(i) AS gone FROM c GROUP BY doc_id),
+t AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM t ANTI JOIN c USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)""")
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(read_table(spark, sf_dir, "documents"), window=35).withColumnRenamed("id", "doc_id")
+
+
 @register()
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("record.text", F.lit(""))
