@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, neardup, sharding, substring
+from . import bpe, exact, neardup, quality, sharding, substring
 from .common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,15 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+@register()
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    weights = quality.train(docs, read_table(spark, sf_dir, "labels"), usable=~quality.in_fold())
+    return (quality.score(docs, weights).withColumnRenamed("id", "doc_id")
+            .select("doc_id", quality.in_fold().alias("held_out"), "score",
+                    (F.col("score") >= 0.7).cast("int").alias("predicted")))
+
+
 @register(r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(
