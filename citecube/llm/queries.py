@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, neardup, quality, sharding, substring
+from . import bpe, exact, neardup, packing, quality, sharding, substring
 from .common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"),
                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                           public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+
+
+@register()
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(read_table(spark, sf_dir, "documents"),
+                        public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
