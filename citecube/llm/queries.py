@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, neardup, packing, quality, sharding, substring
+from . import bpe, exact, licenses, neardup, packing, quality, sharding, substring, topk, urls
 from .common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,20 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= 0.7).cast("int").alias("predicted")))
 
 
+@register(r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10""")
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @register(r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(
@@ -65,6 +79,34 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("id", "doc_id"))
 
 
+_TEMPLATE_VALUES = ", ".join("({}, '{}', '{}')".format(i, n, t) for i, (n, t) in enumerate(licenses.TEMPLATES))
+
+
+@register(r"""
+WITH t AS (SELECT * FROM (VALUES __TEMPLATES__) AS v(template, license, text)),
+x AS (SELECT 't' || template AS id, text FROM t UNION ALL SELECT 'd' || doc_id, coalesce(text, '') FROM documents),
+w AS (
+  SELECT id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\p{L}\p{N}]+'), lambda x: x <> '') AS words FROM x),
+g AS (
+  SELECT id, unnest(range(0, len(words) - 4)) AS i,
+         unnest(list_transform(range(1, len(words) - 3), lambda j: array_to_string(words[j:j+4], ' '))) AS h
+  FROM w WHERE len(words) >= 5),
+ts AS (SELECT DISTINCT template, license, h FROM g JOIN t ON g.id = 't' || template),
+tn AS (SELECT *, count(*) OVER (PARTITION BY template) AS s FROM ts),
+hit AS (
+  SELECT CAST(substr(id, 2) AS BIGINT) AS doc_id, license, template, s, i, g.h FROM g JOIN tn ON g.h = tn.h WHERE id[1] = 'd'),
+win AS (
+  SELECT doc_id, license, template, s, (i // s) * s AS start, h FROM hit
+  UNION ALL SELECT doc_id, license, template, s, (i // s - 1) * s, h FROM hit WHERE i // s >= 1),
+m AS (
+  SELECT doc_id, license, template, s, start, count(DISTINCT h) AS n FROM win GROUP BY ALL HAVING count(DISTINCT h) >= 0.8 * s)
+SELECT doc_id, license, template, max(s) AS n_template, max(n) AS n_shared, count(*) AS n_windows, min(start) AS first_word
+FROM m GROUP BY doc_id, license, template""".replace("__TEMPLATES__", _TEMPLATE_VALUES))
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @register(r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS s FROM documents),
 g AS (SELECT s, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY s)
@@ -73,6 +115,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_labels(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@register()
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 @register(r"""
 WITH w AS (
   SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
