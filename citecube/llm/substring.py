@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -191,45 +192,77 @@ def repeated_windows(docs: DataFrame, window: int = 35, id_col: str = "doc_id",
     return materialize(starts, "sub-starts"), copies.select(*KEY)
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text",
-                   keep_text: bool = False) -> DataFrame:
-    """One row per input row: (id, n_words, n_removed, kept_sha256[, kept]).
+def _gone(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, h, starts, whole): what each document that loses words loses."""
+    starts, copies = repeated_windows(docs, window, id_col, text_col)
+    return materialize(starts.join(copies, KEY, "left_anti").select(*KEY, "starts", F.lit(False).alias("whole"))
+                       .union(copies.select(*KEY, F.array().cast("array<int>"), F.lit(True))), "sub-gone")
+
+
+def _remaining(text: bytes, at: list[int] | None, whole: bool | None, window: int) -> tuple[int, list[bytes]]:
+    """(number of words, words that stay)."""
+    words = text.split()
+    if whole:
+        return len(words), []
+    if at is None or not len(at):
+        return len(words), words
+    mask = covered(len(words), np.array(at, np.int64), window).tolist()
+    return len(words), [w for w, m in zip(words, mask) if not m]
+
+
+def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: (id, n_words, n_removed, kept_sha256).
 
     Words are separated by ASCII white space and compared unchanged.  Every
     word is removed that lies in a window of ``window`` words whose sequence
     also starts elsewhere, in the same document or another; windows are judged
-    on the input.  ``kept`` joins the other words by one space.  Null, empty
-    and shorter texts lose nothing.  Rows that repeat an id are documents of
-    their own; if they repeat the text too, they are whole copies.  Rows with a
-    null id are judged alike but lose nothing, as they cannot be told apart.
-    An empty table gives no rows; extra columns of any name are ignored."""
+    on the input.  The kept words are joined by one space.  Null, empty and
+    shorter texts lose nothing.  Rows that repeat an id are documents of their
+    own; if they repeat the text too, they are whole copies.  Rows with a null
+    id count as evidence but lose nothing, as they cannot be told apart.  An
+    empty table gives no rows; extra columns of any name are ignored."""
     texts, kind = _texts(docs, id_col, text_col)
-    starts, copies = repeated_windows(docs, window, id_col, text_col)
-    gone = materialize(starts.join(copies, KEY, "left_anti").select(*KEY, "starts", F.lit(False).alias("whole"))
-                       .union(copies.select(*KEY, F.array().cast("array<int>"), F.lit(True))), "sub-gone")
+    gone = _gone(docs, window, id_col, text_col)
 
     def run(batches):
         for batch in batches:
             for part in blocks(batch, "text", 1 << 20):
-                n, removed, sha, kept = [], [], [], []
-                for text, at, whole in zip(part.column("text").to_pylist(), part.column("starts").to_pylist(),
-                                           part.column("whole").to_pylist()):
-                    words = text.split()
-                    n.append(len(words))
-                    if whole:
-                        words = []
-                    elif at:
-                        mask = covered(len(words), np.array(at, np.int64), window)
-                        words = [w for w, m in zip(words, mask.tolist()) if not m]
-                    removed.append(n[-1] - len(words))
-                    rest = b" ".join(words)
-                    sha.append(hashlib.sha256(rest).hexdigest())
-                    kept.append(rest.decode() if keep_text else None)
+                n, removed, sha = [], [], []
+                for row in zip(*(part.column(c).to_pylist() for c in ("text", "starts", "whole"))):
+                    many, words = _remaining(*row, window)
+                    n.append(many)
+                    removed.append(many - len(words))
+                    sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
-                     pa.array(sha, pa.string())] + ([pa.array(kept, pa.string())] if keep_text else []),
-                    ["id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * keep_text)
+                    [part.column("id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())],
+                    ["id", "n_words", "n_removed", "kept_sha256"])
 
     return (texts.join(gone, KEY, "left").select("id", "text", "starts", "whole")
-            .mapInArrow(run, f"{kind.split(', h')[0]}, n_words long, n_removed long, kept_sha256 string"
-                             + (", kept string" if keep_text else "")))
+            .mapInArrow(run, f"{kind.split(', h')[0]}, n_words long, n_removed long, kept_sha256 string"))
+
+
+def cut_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text",
+                size_col: str = "n_chars") -> DataFrame:
+    """``docs`` with the repeated words cut out of its texts, all columns kept.
+    Texts that lose nothing are left as they are; of the others the kept words
+    are joined by one space, ``size_col`` (where there is one) follows, and
+    rows of which no word is left are dropped."""
+    gone = _gone(docs, window, id_col, text_col)
+    lost = gone.select(F.col("id").alias("_id"), F.col("h").alias("_h"), "starts", "whole")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_id0"),
+                       F.xxhash64(F.col(text_col)).alias("_h0"))
+    joined = rows.join(lost, (F.col("_id0") == F.col("_id")) & (F.col("_h0") == F.col("_h")), "left")
+
+    @F.pandas_udf("string")
+    def rest(text: pd.Series, starts: pd.Series, whole: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else b" ".join(_remaining(t.encode(), a, w, window)[1]).decode()
+                          for t, a, w in zip(text, starts, whole)], dtype=object)
+
+    hit = F.col("_id").isNotNull()
+    cut = joined.withColumn("_cut", rest(F.when(hit, F.col(f"_row.{text_col}")), "starts", "whole"))
+    changed = {text_col: F.when(hit, F.col("_cut")).otherwise(F.col(f"_row.{text_col}"))}
+    if size_col in docs.columns:
+        size = F.length("_cut").cast(docs.schema[size_col].dataType)
+        changed[size_col] = F.when(hit, size).otherwise(F.col(f"_row.{size_col}"))
+    return cut.where(~hit | (F.col("_cut") != "")).select(
+        *[changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
