@@ -6,30 +6,50 @@ each bin keeps its minimum; rounds from ``t`` on visit bin i - t, so after 2t
 rounds at most every bin of a non-empty set is filled.  The coordinates are
 banded, and documents that share a band are verified on their full sets.
 
-A shared bucket is not expanded into pairs.  Its members are compared with a
-leader of the bucket; members that end in the leader's component are settled,
-and only buckets that still span several components get new leaders, four
-times as many in each round, until every pair of a bucket is either in one
-component or was compared.  So no link between different texts is lost."""
+A shared bucket is not expanded into pairs.  First all its members are compared
+with two leaders, the smallest and the largest id, and what links is united.
+Members that end outside their bucket's leading component, the stragglers, are
+then met with the bucket's other components; the join itself drops pairs whose
+sizes rule a link out or whose sketches differ by six standard deviations more
+than a link's would.  So every pair of a bucket is in one component, or
+compared, or as good as certainly no link."""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks, gram_hashes, materialize, mix64, pair_hash, shingle_set, signed, text_bytes  # noqa: F401
 from .graph import components
 
-COORDINATES = 128   # bins of a sketch
-ROWS = 5            # coordinates of a band
-BANDS = COORDINATES // ROWS   # 25: a pair at 0.8 shares a band with probability 0.99995, at 0.85 0.9999996
+COORDINATES = 256   # bins of a sketch
+MISS = 1e-5         # chance at most that a pair right at the threshold shares no band
+BITS = 2            # of each coordinate, kept for comparing sketches in joins
+LONGS = COORDINATES * BITS // 64
+DEVIATIONS = 6.0
 EMPTY = np.uint64(2**64 - 1)
-BIN_SHIFT = np.uint64(64 - 7)
-ROUND_SHIFT = np.uint64(56)
-FRACTION = np.uint64((1 << 56) - 1)
+BIN_SHIFT = np.uint64(64 - 8)
+ROUND_SHIFT = np.uint64(54)   # 512 rounds at most above a 54-bit fraction
+FRACTION = np.uint64((1 << 54) - 1)
+
+
+def band_rows(percent: int) -> int:
+    """Most coordinates a band may have for ``MISS``: 7 at 85 percent, 6 at 80."""
+    fits = [r for r in range(1, 17) if (1 - (percent / 100) ** r) ** (COORDINATES // r) <= MISS]
+    return max(fits, default=1)
+
+
+def most_bits(percent: int) -> int:
+    """Bits in which the sketches of a pair at the threshold differ at most."""
+    j = percent / 100
+    apart = COORDINATES * (1 - j)
+    spread = apart * BITS / 4 + (BITS / 2) ** 2 * COORDINATES * j * (1 - j)
+    return math.ceil(apart * BITS / 2 + DEVIATIONS * math.sqrt(spread))
 
 
 def sketches(sets: list[np.ndarray]) -> np.ndarray:
@@ -50,33 +70,42 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return out.reshape(-1, t)
 
 
-def bands(sketch: np.ndarray) -> np.ndarray:
-    """One hash per band and row; the band's number is part of the hash."""
-    part = sketch[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS)
-    h = np.broadcast_to(mix64(np.arange(1, BANDS + 1, dtype=np.uint64)), part.shape[:2])
-    for r in range(ROWS):
+def bands(sketch: np.ndarray, rows: int) -> np.ndarray:
+    """One hash per document and band; the band's number is part of the hash."""
+    many = COORDINATES // rows
+    part = sketch[:, :many * rows].reshape(-1, many, rows)
+    h = np.broadcast_to(mix64(np.arange(1, many + 1, dtype=np.uint64)), part.shape[:2])
+    for r in range(rows):
         h = pair_hash(h, part[:, :, r])
     return h
 
 
-def sketch_documents(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, key, bands): set size, 128-bit key of the set, band hashes.
-    Sets without shingles have null key and bands."""
+def low_bits(sketch: np.ndarray) -> np.ndarray:
+    """The last BITS bits of each coordinate, packed into LONGS longs."""
+    each = ((sketch[:, :, None] >> np.arange(BITS, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(each.reshape(len(sketch), -1), axis=1).view(np.int64)
+
+
+def sketch_documents(docs: DataFrame, words: int, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, n, key, bands, bits): set size, 128-bit key of the set, band hashes,
+    low bits of the sketch.  Sets without shingles have nulls."""
     def run(batches):
         for batch in batches:
             for part in blocks(batch, "text"):
                 sets = [shingle_set(t.lower(), words) for t in part.column("text").to_pylist()]
                 some = [s for s in sets if len(s)]
-                rows = iter(signed(bands(sketches(some)))) if some else iter(())
+                sketch = sketches(some) if some else np.empty((0, COORDINATES), np.uint64)
+                hashes, low = iter(signed(bands(sketch, rows))), iter(low_bits(sketch))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(map(len, sets), pa.int64()),
                      pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                     pa.array([next(rows) if len(s) else None for s in sets], pa.list_(pa.int64()))],
-                    ["id", "n", "key", "bands"])
+                     pa.array([next(hashes) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                     pa.array([next(low) if len(s) else None for s in sets], pa.list_(pa.int64()))],
+                    ["id", "n", "key", "bands", "bits"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
-            .mapInArrow(run, f"id {kind}, n long, key binary, bands array<long>"))
+            .mapInArrow(run, f"id {kind}, n long, key binary, bands array<long>, bits array<long>"))
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -110,34 +139,40 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Rounds of leaders over (bucket, id, n); (id, component) of what is linked."""
-    active = members.withColumn("comp", F.col("id"))
-    links: DataFrame | None = None
-    found = None
-    slots = 1
-    while not active.isEmpty():
-        slot = F.pmod(F.xxhash64("id"), F.lit(slots))
-        leaders = materialize(active.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("id", "n", "comp")).alias("l"))
-                              .select("bucket", F.col("l.id").alias("lid"), F.col("l.n").alias("ln"),
-                                      F.col("l.comp").alias("lcomp")), "nd-leaders")
-        pairs = materialize(
-            active.join(leaders, "bucket").where("comp != lcomp AND id != lid")
-            .where(100 * F.least("n", "ln") >= percent * F.greatest("n", "ln"))
-            .select(F.least("id", "lid").alias("a"), F.greatest("id", "lid").alias("b")).distinct(), "nd-pairs")
-        new = materialize(verify(pairs, sets, percent), "nd-links")
-        links = new if links is None else links.union(new)
-        found = components(links)
-        comps = found.select("id", F.col("component").alias("_c"))
-        done = leaders.select("bucket", F.col("lid").alias("id"))
-        rest = materialize(active.join(done, ["bucket", "id"], "left_anti")
-                           .join(comps, "id", "left").select("bucket", "id", "n", F.coalesce("_c", "id").alias("comp")),
-                           "nd-rest")
-        open_ = materialize(rest.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-                            .where("x != y").select("bucket"), "nd-open")
-        active = materialize(rest.join(open_, "bucket", "left_semi"), "nd-active")
-        slots *= 4
-    return found
+def _possible(percent: int, left: str, right: str) -> Column:
+    """Sizes and sketches allow a link between the rows aliased so."""
+    n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
+    apart = sum((F.bit_count(F.col(f"{left}.b{i}").bitwiseXOR(F.col(f"{right}.b{i}"))) for i in range(LONGS)), F.lit(0))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (apart <= most_bits(percent))
+
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    x, y = F.col("x.id"), F.col("y.id")
+    return materialize(joined.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct(), "nd-pairs")
+
+
+def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, component) of what is linked among the members (bucket, id, n, b0...)."""
+    row = F.struct("id", "n", *[f"b{i}" for i in range(LONGS)])
+    leaders = materialize(members.groupBy("bucket").agg(F.min(row).alias("lo"), F.max(row).alias("hi"))
+                          .select("bucket", F.explode(F.array("lo", "hi")).alias("l")).select("bucket", "l.*"), "nd-leaders")
+    star = _pairs(members.alias("x").join(leaders.alias("y"), (F.col("x.bucket") == F.col("y.bucket"))
+                                          & (F.col("x.id") != F.col("y.id")) & _possible(percent, "x", "y")))
+    links = materialize(verify(star, sets, percent), "nd-links")
+    found = components(links).select("id", F.col("component").alias("_c"))
+    # Sizes of linked documents lie in one or in neighbouring classes.
+    size = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int") if percent < 100 else F.lit(0)
+    active = materialize(members.join(found, "id", "left").withColumn("comp", F.coalesce("_c", "id"))
+                         .withColumn("size", size).drop("_c"), "nd-active")
+    heads = (leaders.join(found, "id", "left").groupBy("bucket").agg(F.min(F.coalesce("_c", "id")).alias("head")))
+    heads = materialize(heads, "nd-heads")
+    apart = materialize(active.join(heads, "bucket").where("comp != head").drop("head"), "nd-stragglers")
+    near = apart.withColumn("size", F.explode(F.array(*[F.col("size") + d for d in (-1, 0, 1)])))
+    late = _pairs(near.alias("x").join(active.alias("y"), (F.col("x.bucket") == F.col("y.bucket"))
+                                       & (F.col("x.size") == F.col("y.size")) & (F.col("x.comp") != F.col("y.comp"))
+                                       & _possible(percent, "x", "y")))
+    late = materialize(late.join(star, ["a", "b"], "left_anti"), "nd-late")
+    return components(links.union(verify(late, sets, percent)))
 
 
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -151,22 +186,21 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     empty or blank text has no shingles and links with nothing.  Rows that
     repeat an id are judged each by their own text.  An empty table gives no
     rows; extra columns of any name are ignored."""
-    sk = materialize(sketch_documents(docs, words, id_col, text_col), "nd-sketch")
+    rows = band_rows(percent)
+    sk = materialize(sketch_documents(docs, words, rows, id_col, text_col), "nd-sketch")
     classes = materialize(sk.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep")), "nd-classes")
-    reps = sk.join(classes, (sk["key"] == classes["key"]) & (F.col("id") == F.col("rep"))).select("id", "n", "bands")
-    buckets = materialize(reps.select("id", "n", F.explode("bands").alias("bucket")), "nd-buckets")
+    reps = materialize(sk.join(classes, (sk["key"] == classes["key"]) & (F.col("id") == F.col("rep")))
+                       .select("id", "n", "bands", *[F.col("bits")[i].alias(f"b{i}") for i in range(LONGS)]), "nd-reps")
+    buckets = reps.select("id", F.explode("bands").alias("bucket"))
     shared = materialize(buckets.groupBy("bucket").agg(F.min("id").alias("x"), F.max("id").alias("y"))
                          .where("x < y").select("bucket"), "nd-shared")
-    members = materialize(buckets.join(shared, "bucket", "left_semi"), "nd-members")
+    members = materialize(buckets.join(shared, "bucket", "left_semi").join(reps.drop("bands"), "id"), "nd-members")
     needed = materialize(members.select("id").distinct(), "nd-needed")
     sets = materialize(shingle_sets(docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
                                     .join(needed, "id", "left_semi"), words), "nd-sets")
     found = _links(members, sets, percent)
-    labels = classes.withColumn("component", F.col("rep"))
-    if found is not None:
-        labels = (classes.join(found, classes["rep"] == found["id"], "left")
-                  .select("key", F.coalesce("component", "rep").alias("component")))
-    labels = materialize(labels.select("key", "component"), "nd-labels")
+    labels = materialize(classes.join(found, classes["rep"] == found["id"], "left")
+                         .select("key", F.coalesce("component", "rep").alias("component")), "nd-labels")
     return (sk.select("id", "n", "key").join(labels, "key", "left")
             .select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"),
                     (F.coalesce("component", "id") == F.col("id")).alias("kept")))
