@@ -73,7 +73,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
 def bands(sketch: np.ndarray, rows: int) -> np.ndarray:
     """One hash per document and band; the band's number is part of the hash."""
     many = COORDINATES // rows
-    part = sketch[:, :many * rows].reshape(-1, many, rows)
+    part = sketch[:, :many * rows].reshape(len(sketch), many, rows)
     h = np.broadcast_to(mix64(np.arange(1, many + 1, dtype=np.uint64)), part.shape[:2])
     for r in range(rows):
         h = pair_hash(h, part[:, :, r])
@@ -83,7 +83,7 @@ def bands(sketch: np.ndarray, rows: int) -> np.ndarray:
 def low_bits(sketch: np.ndarray) -> np.ndarray:
     """The last BITS bits of each coordinate, packed into LONGS longs."""
     each = ((sketch[:, :, None] >> np.arange(BITS, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
-    return np.packbits(each.reshape(len(sketch), -1), axis=1).view(np.int64)
+    return np.packbits(each.reshape(len(sketch), COORDINATES * BITS), axis=1).view(np.int64)
 
 
 def sketch_documents(docs: DataFrame, words: int, rows: int, id_col: str, text_col: str) -> DataFrame:
