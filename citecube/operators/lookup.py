@@ -5,24 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import maybe_broadcast
+from ..session import materialize
 
 
 def dim_lookup(left: DataFrame, left_key: str, dim: DataFrame, dim_key: str, dim_id: str,
-               out_col: str, missing: int = -1, small: bool | None = None,
-               unique: bool = False) -> DataFrame:
+               out_col: str, missing: int = -1, unique: bool = False) -> DataFrame:
     """Left lookup: every left row once, with the first (smallest) id of the
     matching dimension rows, or ``missing``.  Never multiplies rows.
     ``unique=True`` states that ``dim_key`` is already distinct (dimensions
-    built by distinct), which saves the de-duplicating aggregation.
-    ``small=None`` broadcasts the dimension when ``fits()`` proves it small;
-    ``small=False`` (dimensions that grow with the data) never forces it."""
+    built by distinct), which saves the de-duplicating aggregation; otherwise
+    its result is written first.  So both join inputs are plain scans, and AQE
+    picks the join from their sizes and splits a key that many rows share."""
     if unique:
         firsts = dim.select(F.col(dim_key).alias("_lk_key"), F.col(dim_id).alias("_lk_id"))
     else:
         firsts = dim.groupBy(F.col(dim_key).alias("_lk_key")).agg(F.min(dim_id).alias("_lk_id"))
-    if small is None:  # broadcast only after the exact size check
-        firsts = maybe_broadcast(firsts)
+        firsts = materialize(firsts, "lookup")
     joined = left.join(firsts, left[left_key] == firsts["_lk_key"], "left")
     return joined.withColumn(out_col, F.coalesce(F.col("_lk_id"), F.lit(missing)).cast("long")) \
                  .drop("_lk_key", "_lk_id")

@@ -17,12 +17,8 @@ Plan shape (what Catalyst/AQE should produce at scale):
   aggregated map-side (a hot duplicated key collapses before the shuffle),
   co-partitioned with the citation counts (also aggregated by key before
   the shuffle), so that join adds no exchange;
-* time, type and venue lookups: broadcast after an exact size check,
-  otherwise shuffle joins;
-* author ids: the (publication, author) rows join the author dimension by
-  name - broadcast when ``fits()`` proves it small, otherwise a shuffle
-  join where AQE splits a hot author - and the publications by id (AQE
-  splits a hot publication).
+* time, type, venue and author lookups join a written dimension: Spark sizes
+  the join, and both inputs are plain scans, so AQE splits a hot key.
 """
 
 from __future__ import annotations
@@ -146,9 +142,9 @@ def citing_bridge(st: Staged) -> DataFrame:
     """N:M citation bridge of the normalised schema variant: distinct
     (citing publication, cited publication) pairs; a cited key resolves to
     the first publication with that key, unresolved keys are dropped.
-    Both sides are keyed by the cited key, so the join needs one exchange
-    per side; a hot cited key is split by AQE's skew join."""
-    firsts = st.publications.groupBy("key").agg(F.min("id").alias("cited_publication_id"))
+    The first publications are written before the join: its inputs are then
+    plain scans, and AQE can split a hot cited key."""
+    firsts = materialize(st.publications.groupBy("key").agg(F.min("id").alias("cited_publication_id")), "cited")
     cites = st.cites.select(F.col("id").alias("publication_id"), clean_key("cite").alias("key"))
     return cites.join(firsts, "key").select("publication_id", "cited_publication_id").distinct()
 

@@ -17,11 +17,13 @@ from ..functions.text import decade, split_list
 from ..operators.keys import dense_ids
 from ..operators.lookup import dim_lookup
 from ..schemas import FACT_DEFAULTS
+from ..session import materialize
 from .star import StarSchema
 
 
 def build_star_acm(acm: DataFrame) -> StarSchema:
     """acm: seq, source_id, title, year, venue, authors, num_citings."""
+    acm = materialize(acm, "acm-records")  # parsed once for all tables
     pubs = acm.select("seq", "source_id", "title", "year", "num_citings")
     links_raw = acm.select("seq", F.explode(split_list("authors")).alias("author"))
 
@@ -43,7 +45,7 @@ def build_star_acm(acm: DataFrame) -> StarSchema:
         timeinfo, title, author = pool.map(lambda f: f(), [time_dim, title_dim, author_dim])
 
     f = dim_lookup(pubs, "year", timeinfo, "year", "time_id", "time_id", unique=True)
-    f = dim_lookup(f, "source_id", title, "source_key", "title_id", "title_id", small=False)
+    f = dim_lookup(f, "source_id", title, "source_key", "title_id", "title_id")
     links = dim_lookup(links_raw, "author", author, "name", "author_id", "author_id",
                        unique=True).select("seq", "author_id")
     f = f.join(links, "seq", "inner")

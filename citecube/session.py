@@ -43,8 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of this session.
 
     On a cluster the folder comes from ``spark.checkpoint.dir`` (shared
-    storage).  Only when nothing is configured, as in unit tests, a local
-    folder is created.
+    storage).  Only in local mode, as in unit tests, a temporary folder is
+    created where nothing is configured; on a cluster that is an error, as
+    executors would each write to a disk of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="citecube-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -97,13 +97,12 @@ def staged(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Staged
     re-running the joins over the raw tables."""
     keep = (lambda df: materialize_df(df, "staged")) if materialize else (lambda df: df)
     authors = raw_authors(spark, sf_dir)
-    # Right sides of the semi joins are de-duplicated first: a publication
-    # with a huge author list collapses map-side instead of landing on one
-    # reducer (AQE can split a skewed left side, not a semi join's right).
+    # The right side is de-duplicated first: a publication with a huge author
+    # list collapses map-side (AQE splits a skewed left side, not a right one).
     pubs = keep(raw_publications(spark, sf_dir)
                 .filter(F.col("key").isNotNull() & F.col("title").isNotNull() & (F.col("year") > 0))
                 .join(authors.select("id").distinct(), "id", "left_semi"))
-    ids = pubs.select("id").distinct()
+    ids = pubs.select("id")  # unique: one row per order
     lists = [authors,
              raw_cites(spark, sf_dir).filter(F.col("cite") != F.lit(CITE_PLACEHOLDER))]
     # the two list tables only depend on the publications: written side by side
@@ -142,8 +141,10 @@ def raw_publication_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staged_from_records(records: DataFrame, cols: DataFrame) -> Staged:
     """Long form from record rows with ``|``-joined lists (the staged CSV
-    files): the lists are split row by row (``split_list``), no grouping."""
+    files): the lists are split row by row (``split_list``), no grouping.
+    The parsed records are written once; all tables of the star read those."""
     from ..functions.text import split_list
+    records = materialize_df(records, "records")
     pubs = records.select("id", "type", "key", "title", "year", "venue")
     authors = records.select("id", F.posexplode(split_list("authors")).alias("pos", "author"))
     cites = records.select("id", F.posexplode(split_list("cites")).alias("pos", "cite"))

@@ -55,6 +55,17 @@ def save_star(tables: dict[str, DataFrame], root: str, parallel: int = 4) -> Non
         (save_fact if name == "publication" else save_table)(df, p)
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         list(pool.map(save, tables.items()))
+    _write_manifest(tables, root)
+
+
+MANIFEST = "tables.manifest"
+
+
+def _write_manifest(tables: dict[str, DataFrame], root: str) -> None:
+    """The names of the tables under ``root``, written last."""
+    spark = next(iter(tables.values())).sparkSession
+    (spark.createDataFrame([(n,) for n in tables], "value string").coalesce(1)
+     .write.mode("overwrite").text(os.path.join(root, MANIFEST)))
 
 
 SCHEMAS = {"timeinfo": S.TIMEINFO, "venue_series": S.VENUE_SERIES, "title": S.TITLE, "author": S.AUTHOR,
@@ -65,10 +76,11 @@ SCHEMAS = {"timeinfo": S.TIMEINFO, "venue_series": S.VENUE_SERIES, "title": S.TI
 def load_star(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Read the written tables with their declared schemas (the fact's
     partition column keeps its LONG type instead of an inferred INT).
-    ``fmt="escaped"`` reads escaped-CSV table folders (external text tables)."""
+    ``fmt="escaped"`` reads escaped-CSV table folders (external text tables).
+    Which tables there are stands in the manifest that the save wrote, so any
+    store that Spark reads will do."""
     from . import csv_dialects
-    present = set(os.listdir(root.replace("file:", ""))) if os.path.isdir(root.replace("file:", "")) \
-        else set(STAR_TABLES)
+    present = {r["value"] for r in spark.read.text(os.path.join(root, MANIFEST)).collect()}
 
     def read(name):
         path = os.path.join(root, name)
@@ -84,6 +96,7 @@ def save_star_escaped(tables: dict[str, DataFrame], root: str) -> None:
     from . import csv_dialects
     for name, df in tables.items():
         csv_dialects.write_escaped(df, os.path.join(root, name), order_by=df.columns[0])
+    _write_manifest(tables, root)
 
 
 def register_star(spark: SparkSession, tables: dict[str, DataFrame], prefix: str = "") -> None:
