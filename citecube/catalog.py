@@ -10,12 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle
 from .plans import cube as cube_plan
 from .plans import olap
 from .plans.star import StarSchema, build_star
+from .session import scratch_path
 from .sources import adapter
+from .sources import tables as star_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -39,9 +42,18 @@ def star(spark: SparkSession, sf_dir: str) -> StarSchema:
     return memo("star", spark, sf_dir, lambda: build_star(staged(spark, sf_dir)))
 
 
+def written_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star's tables as saved (fact by year, clustered by author) and read back."""
+    def build():
+        root = scratch_path(spark, "star")
+        star_tables.save_star(star(spark, sf_dir).tables(), root)
+        return star_tables.load_star(spark, root)
+    return memo("written", spark, sf_dir, build)
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> olap.Tables:
-    s = star(spark, sf_dir)
-    return olap.Tables(s.publication, s.author, s.timeinfo)
+    t = written_star(spark, sf_dir)
+    return olap.Tables(t["publication"], t["author"], t["timeinfo"])
 
 
 _REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -86,10 +98,32 @@ for _name, _fn in olap.QUERIES.items():
 
 
 def _cube(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cube_plan.build_cube(star(spark, sf_dir).publication)
+    """The cube as persisted: one folder per cuboid, clustered by author."""
+    def build():
+        path = scratch_path(spark, "cube")
+        cube_plan.write_cube(cube_plan.build_cube(written_star(spark, sf_dir)["publication"]), path)
+        return spark.read.parquet(path)
+    return memo("cube", spark, sf_dir, build)
+
+
+register("cube_build", oracle.with_star("SELECT * FROM cube"))(
+    lambda spark, sf_dir: cube_plan.build_cube(star(spark, sf_dir).publication))
+
+
+register("star_parquet_roundtrip", oracle.with_star("""
+SELECT 'publication' AS name, count(*) AS n, CAST(sum(author_id) AS BIGINT) AS ids FROM fact
+UNION ALL SELECT 'author', count(*), CAST(sum(author_id) AS BIGINT) FROM dim_author
+UNION ALL SELECT 'title', count(*), CAST(sum(title_id) AS BIGINT) FROM dim_title
+UNION ALL SELECT 'venue_series', count(*), CAST(sum(venue_series_id) AS BIGINT) FROM dim_venue"""))(
+    lambda spark, sf_dir: star_roundtrip(written_star(spark, sf_dir)))
 
 
-register("cube_build", oracle.with_star("SELECT * FROM cube"))(_cube)
+def star_roundtrip(t: dict[str, DataFrame]) -> DataFrame:
+    """Rows and id sums of the tables read back from the written star."""
+    ids = {"publication": "author_id", "author": "author_id", "title": "title_id", "venue_series": "venue_series_id"}
+    parts = [t[name].agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), F.sum(i).cast("long").alias("ids"))
+             for name, i in ids.items()]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
 @register("bridge_pub_citing", oracle.with_star("SELECT * FROM citing_bridge"))
@@ -99,8 +133,8 @@ def _citing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 for _name, _fn in cube_plan.CUBE_QUERIES.items():
     register("cube_" + _name, oracle.with_star(oracle.OLAP[_name]))(
-        (lambda fn: lambda spark, sf_dir: fn(_cube(spark, sf_dir), star(spark, sf_dir).author,
-                                             star(spark, sf_dir).timeinfo))(_fn))
+        (lambda fn: lambda spark, sf_dir: fn(_cube(spark, sf_dir), written_star(spark, sf_dir)["author"],
+                                             written_star(spark, sf_dir)["timeinfo"]))(_fn))
 
 register("cube_decade_rollup", oracle.with_star("""
 SELECT t.decade, CAST(count(f.publication_id) AS BIGINT) AS n_pubs,

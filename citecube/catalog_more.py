@@ -226,28 +226,22 @@ def acm_fact_publication(spark, sf_dir):
 
 # --- HTML pages: markup flattening and entities ---------------------------
 
-_ARTICLE = r"(?s)<article>(.*?)</article>"
-_TITLE = r"(?s)<title>(.*?)</title>"
-_FOOTER = r"(?s)<footer>(.*?)</footer>"
 
 
 @register("flatten_markup", f"""
-SELECT page_id, {sql_decode_chain(f"regexp_replace(regexp_extract(html, '{_ARTICLE}', 1), '<[^>]+>', '', 'g')")}
-       AS article_text FROM pages""")
+SELECT page_id, {sql_decode_chain("regexp_replace(coalesce(html, ''), '<[^>]+>', '', 'g')")}
+       AS page_text FROM pages""")
 def flatten_markup(spark, sf_dir):
     p = adapter.table(spark, sf_dir, "pages")
-    body = F.regexp_replace(F.regexp_extract("html", _ARTICLE, 1), "<[^>]+>", "")
-    return p.select("page_id", decode_entities(body, include_predefined=True).alias("article_text"))
+    body = F.regexp_replace(F.coalesce("html", F.lit("")), "<[^>]+>", "")
+    return p.select("page_id", decode_entities(body, include_predefined=True).alias("page_text"))
 
 
 @register("entities", f"""
-SELECT page_id, {sql_decode_chain(f"regexp_extract(html, '{_TITLE}', 1)")} AS title,
-       {sql_decode_chain(f"regexp_extract(html, '{_FOOTER}', 1)")} AS footer FROM pages""")
+SELECT page_id, {sql_decode_chain("coalesce(html, '')")} AS decoded FROM pages""")
 def entities_q(spark, sf_dir):
     p = adapter.table(spark, sf_dir, "pages")
-    return p.select("page_id",
-                    decode_entities(F.regexp_extract("html", _TITLE, 1), True).alias("title"),
-                    decode_entities(F.regexp_extract("html", _FOOTER, 1), True).alias("footer"))
+    return p.select("page_id", decode_entities(F.coalesce("html", F.lit("")), True).alias("decoded"))
 
 
 # --- record rules on the adapter records ----------------------------------
