@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
+
+from pyspark.sql import SparkSession
 
 from . import jobs
 from .plans import olap
@@ -13,7 +16,8 @@ from .sources import csv_dialects as csv
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="citecube")
-    p.add_argument("--master-cores", default="*")
+    p.add_argument("--master-cores", default="*", help="cores of a local session; a session that "
+                   "spark-submit has started is used as it is")
     sub = p.add_subparsers(dest="cmd", required=True)
     i = sub.add_parser("import")
     i.add_argument("kind", choices=["dblp", "acm"])
@@ -31,6 +35,7 @@ def main(argv=None) -> None:
     s.add_argument("-type", dest="kind", choices=["dblp", "acm"], required=True)
     s.add_argument("-source", required=True)
     s.add_argument("-target", required=True)
+    s.add_argument("--in-format", default="escaped", choices=["escaped", "quoted", "parquet"])
     s.add_argument("--out-format", default="parquet", choices=["parquet", "escaped"])
     k = sub.add_parser("cube")
     k.add_argument("star")
@@ -40,19 +45,20 @@ def main(argv=None) -> None:
     q.add_argument("star")
     q.add_argument("--cube")
     a = p.parse_args(argv)
-    spark = local_session(a.master_cores)
+    spark = SparkSession.getActiveSession() or (
+        SparkSession.builder.getOrCreate() if os.environ.get("SPARK_ENV_LOADED") else local_session(a.master_cores))
     if a.cmd == "import":
         print(json.dumps(jobs.import_xml(spark, a.kind, a.xml, a.out, a.format)))
     elif a.cmd == "csv":
         direction = "quoted-to-escaped" if a.quoted_to_escaped else "escaped-to-quoted"
         csv.convert_records(spark, a.src, a.dst, direction, a.limit)
     elif a.cmd == "star":
-        jobs.star_job(spark, a.kind, a.source, a.target, out_fmt=a.out_format)
+        jobs.star_job(spark, a.kind, a.source, a.target, a.in_format, a.out_format)
     elif a.cmd == "cube":
         jobs.cube_job(spark, a.star, a.cube)
     elif a.cmd == "query":
-        for row in jobs.query(spark, a.name, a.star, a.cube).collect():
-            print(json.dumps(row.asDict(), default=str))
+        for line in jobs.query(spark, a.name, a.star, a.cube).toJSON().toLocalIterator():
+            print(line)
     spark.stop()
 
 

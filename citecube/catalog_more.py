@@ -70,6 +70,24 @@ def csv_convert_first_n(spark, sf_dir):
     return csv.read_quoted(spark, dst, DOC_SCHEMA)
 
 
+@register("csv_quoted_to_escaped", """
+SELECT doc_id, lang, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE source END AS source,
+       CASE WHEN doc_id % 3 = 2 THEN text END AS text, 2 + CASE WHEN doc_id % 3 = 0 THEN 0 ELSE doc_id % 3 END AS n_fields
+FROM documents""")
+def csv_quoted_to_escaped(spark, sf_dir):
+    """Records of two, three or four fields, converted and read back."""
+    src, dst = scratch_path(spark, "docs-ragged"), scratch_path(spark, "docs-ragged-escaped")
+    many = F.col("doc_id") % 3
+    fields = F.slice(F.array(F.col("doc_id").cast("string"), "lang", "source", "text"), 1, (many + 2).cast("int"))
+    lines = _docs(spark, sf_dir).select(F.array_join(F.transform(fields, csv._quote_minimal), ",").alias("value"))
+    lines.write.option("lineSep", "\n").text(src)
+    csv.convert_records(spark, src, dst, "quoted-to-escaped")
+    f = csv.read_escaped_fields(spark, dst)
+    get = lambda i: F.get("fields", F.lit(i))
+    return f.select(get(0).cast("long").alias("doc_id"), get(1).alias("lang"), get(2).alias("source"),
+                    get(3).alias("text"), F.size("fields").cast("long").alias("n_fields"))
+
+
 @register("csv_pipe_header", oracle.with_star(
     'SELECT author_id AS "AuthorID", name AS "Name" FROM dim_author'))
 def csv_pipe_header(spark, sf_dir):
@@ -465,7 +483,7 @@ def sorted_multi_key(spark, sf_dir):
     "SELECT id, type, key, title, year, venue, authors, cites FROM bib_pub ORDER BY id LIMIT 1000"))
 def pdi_text_scan_limit(spark, sf_dir):
     pubs, _ = _write_staged_csv(spark, sf_dir)
-    return csv.read_escaped(spark, pubs, STAGED_PUBLICATIONS, limit=1000)
+    return csv.read_escaped(spark, pubs, STAGED_PUBLICATIONS, limit=1000, skip_empty=True)
 
 
 # --- streaming import -----------------------------------------------------

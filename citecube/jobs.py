@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import schemas as S
 from .plans import cube as cube_plan
@@ -44,7 +45,7 @@ def import_xml(spark: SparkSession, kind: str, xml_path: str, out_dir: str, fmt:
         elif fmt == "quoted":
             csv.write_quoted(df, path, order_by="seq")
         else:
-            df.write.mode("overwrite").parquet(path)
+            df.withColumnRenamed("seq", "id").write.mode("overwrite").parquet(path)
         counts[name] = df.count()
     return counts
 
@@ -57,10 +58,14 @@ def read_staged(spark: SparkSession, kind: str, source_dir: str, fmt: str = "esc
         if fmt == "quoted":
             return csv.read_quoted(spark, path, schema)
         return spark.read.schema(schema).parquet(path)
+
+    def checked(df):
+        """Fails the job on a record without an id."""
+        return df.withColumn("id", F.coalesce("id", F.raise_error(F.lit("staged record without an id")).cast("long")))
     if kind == "dblp":
-        return (read(PUB_FILE.format(kind=kind), S.STAGED_PUBLICATIONS),
-                read(COL_FILE.format(kind=kind), S.STAGED_COLLECTIONS))
-    return read(PUB_FILE.format(kind=kind), S.STAGED_ACM_PUBLICATIONS), None
+        return (checked(read(PUB_FILE.format(kind=kind), S.STAGED_PUBLICATIONS)),
+                checked(read(COL_FILE.format(kind=kind), S.STAGED_COLLECTIONS)))
+    return checked(read(PUB_FILE.format(kind=kind), S.STAGED_ACM_PUBLICATIONS)), None
 
 
 def star_job(spark: SparkSession, kind: str, source_dir: str, target_dir: str,

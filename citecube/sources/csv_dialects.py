@@ -86,48 +86,47 @@ def parse_escaped(line: Column) -> Column:
                        .when(F.contains(f, F.lit(ESCAPE)), _unescape(f)).otherwise(f))
 
 
-def read_escaped_fields(spark: SparkSession, path: str, skip_empty: bool = True) -> DataFrame:
-    """Escaped CSV scan -> ``fields ARRAY<STRING>`` plus ``_pos`` (file,
-    position in input order) for first-N semantics."""
+def read_escaped_fields(spark: SparkSession, path: str, skip_empty: bool = False, limit: int = 0) -> DataFrame:
+    """Escaped CSV scan -> ``fields ARRAY<STRING>``.  An empty line is a record
+    with one empty field; ``skip_empty`` leaves such lines out.  ``limit`` > 0
+    keeps the first N lines in input order, before any of them is parsed."""
     lines = spark.read.option("lineSep", "\n").text(path)
     lines = lines.select(F.regexp_replace("value", "\r$", "").alias("value"),
                          F.input_file_name().alias("_file"),
                          F.monotonically_increasing_id().alias("_row"))
     if skip_empty:
         lines = lines.filter(F.col("value") != "")
-    return lines.select(parse_escaped(F.col("value")).alias("fields"), "_file", "_row")
+    if limit > 0:
+        lines = lines.orderBy("_file", "_row").limit(limit)
+    return lines.select(parse_escaped(F.col("value")).alias("fields"))
 
 
 def typed_projection(fields: Column, indices: list[int], schema: T.StructType,
                      strict: bool = False) -> list[Column]:
-    """Pick fields by position and convert them (``strict`` fails the job on
-    a bad value, otherwise the value becomes NULL); a NULL field is read as
-    the empty string first, as the record mapper does."""
+    """Pick fields by position and convert them.  A NULL field is read as the
+    empty string first, as the record mapper does.  ``strict`` fails the job on
+    a record without the field and on a value that does not convert, the empty
+    one included; otherwise both become NULL (a missing text: empty)."""
     cols = []
     for i, f in zip(indices, schema.fields):
         raw = F.coalesce(F.try_element_at(fields, F.lit(i + 1)), F.lit(""))
-        if isinstance(f.dataType, T.StringType):
-            v = raw
-        elif strict:
-            # fails the job on a bad value whatever spark.sql.ansi.enabled says
-            conv = raw.try_cast(f.dataType)
-            v = F.when((raw != "") & conv.isNull(),
-                       F.raise_error(F.concat(F.lit(f"cannot convert field {i} to {f.dataType.simpleString()}: "),
-                                              raw))).otherwise(conv)
-        else:
-            v = raw.try_cast(f.dataType)
+        v = raw if isinstance(f.dataType, T.StringType) else raw.try_cast(f.dataType)
+        if strict:
+            # fails the job whatever spark.sql.ansi.enabled says
+            v = (F.when(F.size(fields) <= i, F.raise_error(F.lit(f"record has no field {i}")))
+                 .when(v.isNull(), F.raise_error(F.concat(
+                     F.lit(f"cannot convert field {i} to {f.dataType.simpleString()}: "), raw)))
+                 .otherwise(v))
         cols.append(v.alias(f.name))
     return cols
 
 
 def read_escaped(spark: SparkSession, path: str, schema: T.StructType,
                  indices: list[int] | None = None, strict: bool = False,
-                 limit: int = 0) -> DataFrame:
+                 limit: int = 0, skip_empty: bool = False) -> DataFrame:
     """Typed escaped-CSV scan.  ``indices`` selects source positions
     (default: 0..n-1), ``limit`` > 0 keeps the first N records in input order."""
-    rows = read_escaped_fields(spark, path)
-    if limit > 0:
-        rows = rows.orderBy("_file", "_row").limit(limit)
+    rows = read_escaped_fields(spark, path, skip_empty, limit)
     idx = indices if indices is not None else list(range(len(schema.fields)))
     return rows.select(*typed_projection(F.col("fields"), idx, schema, strict))
 
@@ -184,23 +183,36 @@ def _quote_minimal(f: Column) -> Column:
     return F.coalesce(F.when(needs, quoted).otherwise(f), F.lit(""))
 
 
+def read_quoted_fields(spark: SparkSession, path: str, limit: int = 0) -> DataFrame:
+    """Quoted CSV scan -> ``fields ARRAY<STRING>``, any number per record.
+    Spark's reader finds the records (a quoted field may span lines) with a
+    schema of one field, and hands a record of more fields over as it stands;
+    the fields are then read off it.  An empty field is NULL."""
+    rows = (spark.read.schema("only string, raw string").option("columnNameOfCorruptRecord", "raw")
+            .option("quote", '"').option("escape", '"').option("multiLine", True).option("nullValue", "")
+            .option("columnPruning", False).option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False).csv(path))
+    if limit > 0:
+        rows = (rows.withColumn("_f", F.input_file_name()).withColumn("_r", F.monotonically_increasing_id())
+                .orderBy("_f", "_r").limit(limit))
+    found = F.regexp_extract_all(F.concat(F.lit(DELIMITER), F.col("raw")),
+                                 F.lit(r',("(?:[^"]++|"")*+"|[^,]*+)'), F.lit(1))
+
+    def plain(f: Column) -> Column:
+        inner = F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))
+        return F.nullif(F.when(F.startswith(f, F.lit('"')), inner).otherwise(f), F.lit(""))
+
+    return rows.select(F.when(F.col("raw").isNull(), F.array("only")).otherwise(F.transform(found, plain)).alias("fields"))
+
+
 def convert_records(spark: SparkSession, src: str, dst: str, direction: str, limit: int = 0) -> None:
     """Schema-less, record-exact dialect conversion (any number of fields per
-    record).  escaped -> quoted re-quotes each parsed field; quoted -> escaped
-    uses Spark's CSV parser (columns from the first record)."""
+    record, none lost and none added)."""
     if direction == "escaped-to-quoted":
-        rows = read_escaped_fields(spark, src)
-        if limit > 0:
-            rows = rows.orderBy("_file", "_row").limit(limit)
-        out = rows.select(F.array_join(F.transform("fields", _quote_minimal), DELIMITER).alias("value"))
-        out.write.mode("overwrite").option("lineSep", "\n").text(dst)
+        fields, field = read_escaped_fields(spark, src, limit=limit), _quote_minimal
     elif direction == "quoted-to-escaped":
-        df = (spark.read.option("quote", '"').option("escape", '"').option("multiLine", True)
-              .option("nullValue", "").option("ignoreLeadingWhiteSpace", False)
-              .option("ignoreTrailingWhiteSpace", False).csv(src))
-        if limit > 0:
-            df = (df.withColumn("_f", F.input_file_name()).withColumn("_r", F.monotonically_increasing_id())
-                  .orderBy("_f", "_r").limit(limit).drop("_f", "_r"))
-        to_escaped_lines(df).write.mode("overwrite").option("lineSep", "\n").text(dst)
+        fields, field = read_quoted_fields(spark, src, limit), _escape_field
     else:
         raise ValueError(f"unknown direction {direction!r}")
+    out = fields.select(F.array_join(F.transform("fields", field), DELIMITER).alias("value"))
+    out.write.mode("overwrite").option("lineSep", "\n").text(dst)

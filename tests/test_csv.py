@@ -1,4 +1,4 @@
-"""CSV dialects: the escaped round trip of the manual parsing check, typed
+"""CSV dialects: the escaped round trip, typed
 projection, quoted dialect, first-N conversion."""
 
 import glob
@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 from citecube.session import scratch_path
 from citecube.sources import csv_dialects as C
 
-ROWS = [("Peter", "Franz", 1, "Hallo Franz, wie geht es dir?", 1456076785),
-        ("Franz", "Peter", 2, "Sehr gut, danke, und dir?", 1456076892),
-        ("Peter", "Franz", 3, "Alles in Ordnung!", 1456076899)]
+ROWS = [("north", "gate", 1, "one comma, here", 1001),
+        ("south", "gate", 2, "two, commas, here", 1002),
+        ("north", "yard", 3, "no comma here", 1003)]
 SCHEMA = "name1 string, name2 string, id long, message string, epoch_s long"
 
 
@@ -24,27 +24,27 @@ def test_escaped_projection_fixture(spark):
     C.write_escaped(spark.createDataFrame(ROWS, SCHEMA), src, order_by="id")
     text = "".join(open(f).read() for f in sorted(glob.glob(local(src) + "/part-*")))
     assert text.splitlines() == [
-        "Peter,Franz,1,Hallo Franz\\, wie geht es dir?,1456076785",
-        "Franz,Peter,2,Sehr gut\\, danke\\, und dir?,1456076892",
-        "Peter,Franz,3,Alles in Ordnung!,1456076899"]
+        "north,gate,1,one comma\\, here,1001",
+        "south,gate,2,two\\, commas\\, here,1002",
+        "north,yard,3,no comma here,1003"]
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name1", T.StringType()),
                            T.StructField("message", T.StringType())])
     proj = C.read_escaped(spark, src, schema, indices=[2, 0, 3], strict=True)
     out = scratch_path(spark, "f1-out")
     C.write_escaped(proj, out, order_by="id")
     text = "".join(open(f).read() for f in sorted(glob.glob(local(out) + "/part-*")))
-    assert text.splitlines() == ["1,Peter,Hallo Franz\\, wie geht es dir?",
-                                 "2,Franz,Sehr gut\\, danke\\, und dir?",
-                                 "3,Peter,Alles in Ordnung!"]
+    assert text.splitlines() == ["1,north,one comma\\, here",
+                                 "2,south,two\\, commas\\, here",
+                                 "3,north,no comma here"]
 
 
 def test_typed_projection_f2(spark):
-    df = spark.createDataFrame([("Peter,22,1456076785,true,Hallo World",)], "line string")
+    df = spark.createDataFrame([("gate,22,1001,true,left over",)], "line string")
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType()),
                            T.StructField("c", T.BooleanType())])
     from pyspark.sql import functions as F
     row = df.select(*C.typed_projection(C.parse_escaped(F.col("line")), [2, 0, 3], schema, strict=True)).first()
-    assert tuple(row) == (1456076785, "Peter", True)
+    assert tuple(row) == (1001, "gate", True)
 
 
 def test_escapes_roundtrip_and_nulls(spark):
@@ -86,8 +86,31 @@ def test_strict_projection_fails_on_bad_value(spark):
     import pytest
     from pyspark.sql import functions as F
     df = spark.createDataFrame([("x1,2",)], "line string")
+    for line in ("2", "2,", ""):      # short records and empty numbers fail as well
+        short = spark.createDataFrame([(line,)], "line string")
+        two = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+        with pytest.raises(Exception, match="field"):
+            short.select(*C.typed_projection(C.parse_escaped(F.col("line")), [0, 1], two, strict=True)).collect()
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
     with pytest.raises(Exception, match="cannot convert field 0"):
         df.select(*C.typed_projection(C.parse_escaped(F.col("line")), [0, 1], schema, strict=True)).collect()
     lenient = df.select(*C.typed_projection(C.parse_escaped(F.col("line")), [0, 1], schema)).first()
     assert tuple(lenient) == (None, 2)
+
+
+def test_null_only_records_survive(spark):
+    path = scratch_path(spark, "one-column")
+    C.write_escaped(spark.createDataFrame([("a",), (None,), ("b",)], "v string"), path)
+    one = T.StructType([T.StructField("v", T.StringType())])
+    assert sorted(r.v for r in C.read_escaped(spark, path, one).collect()) == ["", "a", "b"]
+    assert C.read_escaped(spark, path, one, skip_empty=True).count() == 2
+
+
+def test_quoted_to_escaped_keeps_ragged_records(spark):
+    src, dst = scratch_path(spark, "ragged"), scratch_path(spark, "ragged-out")
+    text = 'a,b\nc,d,e\n"x","y,1",z\nonly\n"two\nlines",2\n"say ""so""",,\n'
+    spark.createDataFrame([(text.rstrip("\n"),)], "value string").coalesce(1).write.text(src)
+    C.convert_records(spark, src, dst, "quoted-to-escaped")
+    got = sorted(tuple(r.fields) for r in C.read_escaped_fields(spark, dst).collect())
+    assert got == sorted([("a", "b"), ("c", "d", "e"), ("x", "y,1", "z"), ("only",), ("two\nlines", "2"),
+                          ('say "so"', None, None)])
