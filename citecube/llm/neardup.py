@@ -7,11 +7,13 @@ rounds at most every bin of a non-empty set is filled.  The coordinates are
 banded, and documents that share a band are verified on their full sets.
 
 A shared bucket is not expanded into pairs.  First all its members are compared
-with two leaders, the smallest and the largest id, and what links is united.
+with two leaders, drawn by a hash for each bucket, so that a large group of
+copies meets many different leaders, and what links is united.
 Members that end outside their bucket's leading component, the stragglers, are
-then met with the bucket's other components; the join itself drops pairs whose
-sizes rule a link out or whose sketches differ by six standard deviations more
-than a link's would.  So every pair of a bucket is in one component, or
+then met with the bucket's other components.  Both joins drop pairs whose sizes
+rule a link out or whose sketches differ by five standard deviations more than
+a link's would; for the stragglers' join the few documents concerned get a
+second, sharper sketch.  So every pair of a bucket is in one component, or
 compared, or as good as certainly no link."""
 
 from __future__ import annotations
@@ -31,11 +33,9 @@ COORDINATES = 256   # bins of a sketch
 MISS = 1e-5         # chance at most that a pair right at the threshold shares no band
 BITS = 2            # of each coordinate, kept for comparing sketches in joins
 LONGS = COORDINATES * BITS // 64
-DEVIATIONS = 6.0
+SHARP = 4096        # coordinates of the second sketch, of which one bit each is kept
+DEVIATIONS = 5.0    # beyond them a pair at the threshold is missed with a chance under 1e-6
 EMPTY = np.uint64(2**64 - 1)
-BIN_SHIFT = np.uint64(64 - 8)
-ROUND_SHIFT = np.uint64(54)   # 512 rounds at most above a 54-bit fraction
-FRACTION = np.uint64((1 << 54) - 1)
 
 
 def band_rows(percent: int) -> int:
@@ -44,29 +44,35 @@ def band_rows(percent: int) -> int:
     return max(fits, default=1)
 
 
-def most_bits(percent: int) -> int:
+def most_bits(percent: int, coordinates: int = COORDINATES, bits: int = BITS) -> int:
     """Bits in which the sketches of a pair at the threshold differ at most."""
     j = percent / 100
-    apart = COORDINATES * (1 - j)
-    spread = apart * BITS / 4 + (BITS / 2) ** 2 * COORDINATES * j * (1 - j)
-    return math.ceil(apart * BITS / 2 + DEVIATIONS * math.sqrt(spread))
+    apart = coordinates * (1 - j)
+    spread = apart * bits / 4 + (bits / 2) ** 2 * coordinates * j * (1 - j)
+    return math.ceil(apart * bits / 2 + DEVIATIONS * math.sqrt(spread))
 
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of COORDINATES values per non-empty set."""
-    t = COORDINATES
+def sketches(sets: list[np.ndarray], t: int = COORDINATES) -> np.ndarray:
+    """One row of ``t`` values (a power of two) per non-empty set: the round
+    above a fraction."""
+    places = t.bit_length() - 1
+    bin_shift, round_shift = np.uint64(64 - places), np.uint64(62 - places)
+    fraction = np.uint64((1 << (62 - places)) - 1)
     out = np.full(len(sets) * t, EMPTY)
     values = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets), dtype=np.int64), [len(s) for s in sets])
     for i in range(2 * t):
         drawn = mix64(values + np.uint64((i + 1) * 0x9E3779B97F4A7C15 % 2**64))
-        place = (drawn >> BIN_SHIFT).astype(np.int64) if i < t else np.int64(i - t)
-        np.minimum.at(out, owner * t + place, (np.uint64(i) << ROUND_SHIFT) | (drawn & FRACTION))
+        place = (drawn >> bin_shift).astype(np.int64) if i < t else np.int64(i - t)
+        np.minimum.at(out, owner * t + place, (np.uint64(i) << round_shift) | (drawn & fraction))
+        if i % (1 + i // 8):          # further rounds never change a filled bin, so not every one need look
+            continue
         filled = (out.reshape(-1, t) != EMPTY).all(axis=1)
-        left = ~filled[owner]
-        values, owner = values[left], owner[left]
-        if not len(values):
-            break
+        if filled.any():
+            left = ~filled[owner]
+            values, owner = values[left], owner[left]
+            if not len(values):
+                break
     return out.reshape(-1, t)
 
 
@@ -80,10 +86,10 @@ def bands(sketch: np.ndarray, rows: int) -> np.ndarray:
     return h
 
 
-def low_bits(sketch: np.ndarray) -> np.ndarray:
-    """The last BITS bits of each coordinate, packed into LONGS longs."""
-    each = ((sketch[:, :, None] >> np.arange(BITS, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
-    return np.packbits(each.reshape(len(sketch), COORDINATES * BITS), axis=1).view(np.int64)
+def low_bits(sketch: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """The last bits of each coordinate, packed into longs."""
+    each = ((sketch[:, :, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(each.reshape(len(sketch), sketch.shape[1] * bits), axis=1).view(np.int64)
 
 
 def sketch_documents(docs: DataFrame, words: int, rows: int, id_col: str, text_col: str) -> DataFrame:
@@ -122,6 +128,24 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, shingles binary")
 
 
+def sharp_sketches(sets: DataFrame) -> DataFrame:
+    """(id, s0, s1, ...): one bit per coordinate of a sketch of SHARP
+    coordinates, for the (id, shingles) rows."""
+    names = [f"s{i}" for i in range(SHARP // 64)]
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 128):
+                part = batch.slice(lo, 128)
+                found = sketches([np.frombuffer(x, np.uint64) for x in part.column("shingles").to_pylist()], SHARP)
+                columns = low_bits(found, 1).T
+                yield pa.RecordBatch.from_arrays([part.column("id"), *[pa.array(c, pa.int64()) for c in columns]],
+                                                 ["id", *names])
+
+    kind = sets.schema["id"].dataType.simpleString()
+    return sets.mapInArrow(run, f"id {kind}, " + ", ".join(f"{n} long" for n in names))
+
+
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets satisfy 100 * |A and B| >= percent * |A or B|."""
     def run(batches):
@@ -139,11 +163,11 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _possible(percent: int, left: str, right: str) -> Column:
+def _possible(percent: int, left: str, right: str, longs: list[str], most: int) -> Column:
     """Sizes and sketches allow a link between the rows aliased so."""
     n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
-    apart = sum((F.bit_count(F.col(f"{left}.b{i}").bitwiseXOR(F.col(f"{right}.b{i}"))) for i in range(LONGS)), F.lit(0))
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (apart <= most_bits(percent))
+    apart = sum((F.bit_count(F.col(f"{left}.{c}").bitwiseXOR(F.col(f"{right}.{c}"))) for c in longs), F.lit(0))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (apart <= most)
 
 
 def _pairs(joined: DataFrame) -> DataFrame:
@@ -153,24 +177,32 @@ def _pairs(joined: DataFrame) -> DataFrame:
 
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(id, component) of what is linked among the members (bucket, id, n, b0...)."""
-    row = F.struct("id", "n", *[f"b{i}" for i in range(LONGS)])
+    coarse, fine = [f"b{i}" for i in range(LONGS)], [f"s{i}" for i in range(SHARP // 64)]
+    row = F.struct(F.xxhash64("bucket", "id").alias("draw"), "id", "n", *coarse)
     leaders = materialize(members.groupBy("bucket").agg(F.min(row).alias("lo"), F.max(row).alias("hi"))
-                          .select("bucket", F.explode(F.array("lo", "hi")).alias("l")).select("bucket", "l.*"), "nd-leaders")
+                          .select("bucket", F.explode(F.array("lo", "hi")).alias("l")).select("bucket", "l.*").drop("draw"),
+                          "nd-leaders")
     star = _pairs(members.alias("x").join(leaders.alias("y"), (F.col("x.bucket") == F.col("y.bucket"))
-                                          & (F.col("x.id") != F.col("y.id")) & _possible(percent, "x", "y")))
+                                          & (F.col("x.id") != F.col("y.id"))
+                                          & _possible(percent, "x", "y", coarse, most_bits(percent))))
     links = materialize(verify(star, sets, percent), "nd-links")
     found = components(links).select("id", F.col("component").alias("_c"))
     # Sizes of linked documents lie in one or in neighbouring classes.
     size = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int") if percent < 100 else F.lit(0)
-    active = materialize(members.join(found, "id", "left").withColumn("comp", F.coalesce("_c", "id"))
-                         .withColumn("size", size).drop("_c"), "nd-active")
-    heads = (leaders.join(found, "id", "left").groupBy("bucket").agg(F.min(F.coalesce("_c", "id")).alias("head")))
-    heads = materialize(heads, "nd-heads")
-    apart = materialize(active.join(heads, "bucket").where("comp != head").drop("head"), "nd-stragglers")
-    near = apart.withColumn("size", F.explode(F.array(*[F.col("size") + d for d in (-1, 0, 1)])))
-    late = _pairs(near.alias("x").join(active.alias("y"), (F.col("x.bucket") == F.col("y.bucket"))
+    rows = materialize(members.select("bucket", "id", "n").join(found, "id", "left")
+                       .withColumn("comp", F.coalesce("_c", "id")).withColumn("size", size).drop("_c"), "nd-active")
+    heads = materialize(leaders.join(found, "id", "left").groupBy("bucket")
+                        .agg(F.min(F.coalesce("_c", "id")).alias("head")), "nd-heads")
+    apart = rows.join(heads, "bucket").where("comp != head").drop("head")
+    unsettled = materialize(apart.select("bucket").distinct(), "nd-unsettled")
+    rows = materialize(rows.join(unsettled, "bucket", "left_semi").join(heads, "bucket"), "nd-open")
+    sharp = materialize(sharp_sketches(sets.join(rows.select("id").distinct(), "id", "left_semi")), "nd-sharp")
+    rows = materialize(rows.join(sharp, "id"), "nd-open")
+    near = (rows.where("comp != head")
+            .withColumn("size", F.explode(F.array(*[F.col("size") + d for d in (-1, 0, 1)]))))
+    late = _pairs(near.alias("x").join(rows.alias("y"), (F.col("x.bucket") == F.col("y.bucket"))
                                        & (F.col("x.size") == F.col("y.size")) & (F.col("x.comp") != F.col("y.comp"))
-                                       & _possible(percent, "x", "y")))
+                                       & _possible(percent, "x", "y", fine, most_bits(percent, SHARP, 1))))
     late = materialize(late.join(star, ["a", "b"], "left_anti"), "nd-late")
     return components(links.union(verify(late, sets, percent)))
 
