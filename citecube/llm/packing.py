@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +27,37 @@ SHARD_BYTES = 8 << 20      # text bytes of a shard, about
 QUERY_TERMS = 24           # terms of a seed that search its shard
 NEIGHBOURS = 64            # ranked at a time; when they are used up the index is asked again
 K1, B = 1.2, 0.75
-CACHE_ENTRIES = 700_000    # of each of the two caches of a Python worker
+CHUNKS, PIECES = 600_000, 300_000   # entries of the two caches of a Python worker
 
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\f\va-z0-9]+")
+# Precomposed Latin letters: composing leaves them alone and each has one lower-case letter.
+LATIN = re.compile("[\x21-\x7e\u00c0-\u012f\u0131-\u017f]+")
+LATIN_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
+
+def byte_signs() -> dict[int, str]:
+    """The sign that stands for each byte in byte-level vocabularies: printable
+    ones for themselves, the others from 256 on in their order."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
+BYTE_SIGNS = byte_signs()
+
+
+class Known(dict):
+    """A cache that works out what it lacks, and starts anew when it is full."""
+
+    def __init__(self, work, most: int):
+        super().__init__()
+        self.work, self.most = work, most
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.clear()
+        self[key] = value = self.work(key)
+        return value
 
 
 class WordTokenizer:
@@ -41,40 +70,29 @@ class WordTokenizer:
         self.inner = Tokenizer.from_file(path)
         self.inner.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.inner.get_vocab_size() <= 1 << 16 else "<u4")
-        self.chunks: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.chunks = Known(self._chunk, CHUNKS)
+        self.pieces = Known(self._piece, PIECES)
+
+    def _ids(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        known = self.pieces.get(piece)
-        if known is None:
-            if len(self.pieces) >= CACHE_ENTRIES:
-                self.pieces = {}
-            known = np.array([t.id for t in self.inner.model.tokenize(piece)], self.dtype).tobytes()
-            self.pieces[piece] = known
-        return known
-
-    def _learn(self, missing: list[bytes]) -> None:
-        other = []
-        for c in missing:
-            word = c.decode()
-            if word.isascii() and word.isprintable():   # normalising is lower-casing, bytes are their own characters
-                self.chunks[c] = b"".join(map(self._piece, ASCII_PIECES.findall(word.lower())))
-            else:
-                other.append(word)
-        for word, e in zip(other, self.inner.encode_batch_fast(other, add_special_tokens=False)):
-            self.chunks[word.encode()] = np.array(e.ids, self.dtype).tobytes()
+        return self._ids([t.id for t in self.inner.model.tokenize(piece)])
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        word = chunk.decode()
+        if word.isascii() and word.isprintable():    # normalising is lower-casing, bytes are their own characters
+            return b"".join(map(self.pieces.__getitem__, ASCII_PIECES.findall(word.lower())))
+        if LATIN.fullmatch(word):
+            signs = [p.encode().decode("latin-1").translate(BYTE_SIGNS) for p in LATIN_PIECES.findall(word.lower())]
+            return b"".join(map(self.pieces.__getitem__, signs))
+        return self._ids(self.inner.encode(word, add_special_tokens=False).ids)
 
     def encode_batch(self, texts: list[str], last: int) -> Iterator[bytes]:
         """Ids of each text, then the id ``last``."""
-        parts = [t.encode().split() for t in texts]     # bytes split at ASCII white space only
-        missing = {c for p in parts for c in p if c not in self.chunks}
-        if len(self.chunks) + len(missing) > CACHE_ENTRIES:
-            self.chunks, missing = {}, {c for p in parts for c in p}
-        self._learn(sorted(missing))
-        end = np.array([last], self.dtype).tobytes()
-        get = self.chunks.__getitem__
-        for p in parts:
-            yield b"".join(map(get, p)) + end
+        end, get = self._ids([last]), self.chunks.__getitem__
+        for text in texts:
+            yield b"".join(map(get, text.encode().split())) + end     # bytes split at ASCII white space only
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
