@@ -195,6 +195,17 @@ def xml_quality(spark, sf_dir):
     return xml.quality_report(spark, _dblp_dump(spark, sf_dir))
 
 
+@register("xml_rejects", """
+SELECT 'missing_author' AS reason,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'article' WHEN '2-HIGH' THEN 'inproceedings' ELSE 'incollection' END AS type,
+       'orders/' || o_orderkey AS key
+FROM orders o WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+  AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
+def xml_rejects(spark, sf_dir):
+    """Records that the import leaves out, with the reason."""
+    return xml.dblp_rejects(spark, _dblp_dump(spark, sf_dir)).select("reason", "type", "key")
+
+
 _ACM_ROWS = """
 SELECT row_number() OVER (ORDER BY source_id, title, year, venue, authors, num_citings) AS seq, * FROM (
   SELECT p.key AS source_id, p.title, p.year,

@@ -25,12 +25,21 @@ from .sources import xml_records as xml
 
 PUB_FILE = "{kind}-publications.csv"
 COL_FILE = "{kind}-collections.csv"
+REJECTS = "dblp-rejects"
 
 
-def import_xml(spark: SparkSession, kind: str, xml_path: str, out_dir: str, fmt: str = "escaped") -> dict:
+def import_xml(spark: SparkSession, kind: str, xml_path: str, out_dir: str, fmt: str = "escaped",
+               strict: bool = False) -> dict:
     """XML dump -> staged files ``<kind>-publications.csv`` (and for DBLP
-    ``dblp-collections.csv``); returns the record counts."""
+    ``dblp-collections.csv`` and the quarantined records, ``dblp-rejects``);
+    returns the record counts.  ``strict`` fails where a DBLP record is not
+    well formed or has no end tag."""
     if kind == "dblp":
+        rejects = os.path.join(out_dir, REJECTS)
+        xml.dblp_rejects(spark, xml_path).write.mode("overwrite").parquet(rejects)
+        broken = spark.read.parquet(rejects).where("reason IN ('malformed_record', 'unclosed_record')")
+        if strict and not broken.isEmpty():
+            raise ValueError(f"broken records, see {rejects}")
         pubs, cols = xml.dblp_import(spark, xml_path)
         outputs = {PUB_FILE.format(kind=kind): pubs, COL_FILE.format(kind=kind): cols}
     elif kind == "acm":
@@ -47,6 +56,8 @@ def import_xml(spark: SparkSession, kind: str, xml_path: str, out_dir: str, fmt:
         else:
             df.withColumnRenamed("seq", "id").write.mode("overwrite").parquet(path)
         counts[name] = df.count()
+    if kind == "dblp":
+        counts[REJECTS] = spark.read.parquet(rejects).count()
     return counts
 
 

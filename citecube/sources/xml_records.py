@@ -4,9 +4,12 @@ The dump is one large document with many record elements, which no single
 ``rowTag`` covers.  Every record element carries a required ``key``
 attribute, so the text source splits the files at `` key="`` (a custom line
 separator keeps the scan splittable): each chunk holds one record's key,
-the rest of its start tag, its body and its end tag.  File heads (prolog,
-first start tag) are dropped.  Fields are read with one ``from_xml`` parse
-per record after the named entities are decoded.
+the rest of its start tag, its body and its first end tag.  What follows in
+the chunk (and all of a file's head) is searched for further whole records:
+those whose key is written otherwise (single quotes, a line break before it)
+or missing.  Fields are read with one ``from_xml`` parse per record after
+markup is flattened and the named entities are decoded.  Records that are not
+imported are not lost: ``dblp_rejects`` lists them with the reason.
 
 Rules kept from the import:
 * record types: publications (article, inproceedings, incollection) and
@@ -42,10 +45,11 @@ _MARKUP_RE = r"</?(?:" + "|".join(TITLE_MARKUP) + r")(?:\s[^>]*)?/?>"
 
 DBLP_FIELDS_SCHEMA = ("author array<string>, title array<string>, year array<string>, "
                       "journal array<string>, booktitle array<string>, volume array<string>, "
-                      "number array<string>, crossref array<string>, cite array<string>")
+                      "number array<string>, crossref array<string>, cite array<string>, _corrupt string")
 ACM_FIELDS_SCHEMA = ("Title array<string>, Venue array<struct<_year: string, _VALUE: string>>, "
-                     "VenueSeries array<string>, Name array<string>, CitingPub array<string>")
-_XML_OPTS = {"rowTag": "r", "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}
+                     "VenueSeries array<string>, Name array<string>, CitingPub array<string>, _corrupt string")
+_XML_OPTS = {"rowTag": "r", "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE",
+             "columnNameOfCorruptRecord": "_corrupt"}
 
 
 def _last(arr: Column) -> Column:
@@ -58,17 +62,30 @@ def read_chunks(spark: SparkSession, path: str, sep: str = KEY_SEP) -> DataFrame
 
 
 def parse_dblp_chunks(chunks: DataFrame) -> DataFrame:
-    """chunk -> (type, key, body, head) where ``head`` marks file heads."""
-    rec = r"(?s)^[^\"]*\"[^>]*>(.*)</(" + _TYPES + r")>"
-    return chunks.select(
-        F.col("chunk").rlike(r"^\s*<").alias("head"),
+    """chunk -> (type, key, body, raw), one row per record; a record without an
+    end tag has an empty type."""
+    head = F.col("chunk").rlike(r"^\s*<")
+    first = F.regexp_extract("chunk", r"(?s)^[^\"]*\"[^>]*>.*?</(?:" + _TYPES + ")>", 0)
+    rest = F.when(head, F.col("chunk")).when(first != "", F.substring("chunk", F.length(first) + 1, F.length("chunk"))
+                                             ).otherwise(F.lit(""))
+    more = F.transform(F.regexp_extract_all(rest, F.lit(r"(?s)<(" + _TYPES + r")(?:\s[^>]*)?>.*?</\1>"), F.lit(0)),
+                       lambda m: F.struct(
+                           F.regexp_extract(m, r"^<(\w+)", 1).alias("type"),
+                           F.regexp_extract(m, r"^<[^>]*?\skey\s*=\s*([\"'])(.*?)\1", 2).alias("key"),
+                           F.regexp_extract(m, r"(?s)^<[^>]*>(.*)</\w+>$", 1).alias("body"), m.alias("raw")))
+    own = F.array(F.struct(
+        F.regexp_extract(first, r"</(\w+)>$", 1).alias("type"),
         F.regexp_extract("chunk", r"^([^\"]*)\"", 1).alias("key"),
-        F.regexp_extract("chunk", rec, 2).alias("type"),
-        F.regexp_extract("chunk", rec, 1).alias("body"))
+        F.regexp_extract(first, r"(?s)^[^\"]*\"[^>]*>(.*)</\w+>$", 1).alias("body"),
+        F.when(first != "", first).otherwise(F.col("chunk")).alias("raw")))
+    return chunks.select(F.inline(F.concat(F.when(head, F.slice(own, 1, 0)).otherwise(own), more)))
 
 
 def _fields(body: Column, schema: str) -> Column:
-    return F.from_xml(F.concat(F.lit("<r>"), decode_entities(body), F.lit("</r>")), schema, _XML_OPTS)
+    """Markup is flattened while entities are still encoded: a literal
+    ``&lt;i&gt;`` is text and stays."""
+    flat = F.regexp_replace(body, _MARKUP_RE, "")
+    return F.from_xml(F.concat(F.lit("<r>"), decode_entities(flat), F.lit("</r>")), schema, _XML_OPTS)
 
 
 def _parse_once(df: DataFrame, keep: list[str], schema: str) -> DataFrame:
@@ -78,20 +95,16 @@ def _parse_once(df: DataFrame, keep: list[str], schema: str) -> DataFrame:
     return df.select(*keep, F.inline(F.array(_fields(F.col("body"), schema))))
 
 
-def _flatten_title(t: Column) -> Column:
-    return F.regexp_replace(t, _MARKUP_RE, "")
-
-
 def dblp_fields(records: DataFrame) -> DataFrame:
     """Typed fields of parsed DBLP records (all record types)."""
     # anchored: an unanchored leading ".*" is retried from every position (quadratic)
     later = F.regexp_extract("body", r"(?s)^.*<(journal|booktitle)[\s>]", 1).alias("later")
-    f = _parse_once(records.select("type", "key", "body", later), ["type", "key", "later"],
+    f = _parse_once(records.select("type", "key", "body", "raw", later), ["type", "key", "raw", "later"],
                     DBLP_FIELDS_SCHEMA)
     journal = F.when(F.col("later") == "booktitle", _last(F.col("booktitle"))).otherwise(_last(F.col("journal")))
     return f.select(
-        "type", F.when(F.col("key") != "", F.col("key")).alias("key"),
-        _flatten_title(_last(F.col("title"))).alias("title"),
+        "type", "raw", F.col("_corrupt").isNotNull().alias("malformed"), F.when(F.col("key") != "", F.col("key")).alias("key"),
+        _last(F.col("title")).alias("title"),
         last_parseable_int(F.coalesce(F.col("year"), F.array())).cast("long").alias("year"),
         journal.alias("journal"),
         _last(F.col("crossref")).alias("crossref"),
@@ -101,17 +114,24 @@ def dblp_fields(records: DataFrame) -> DataFrame:
         drop_placeholder(F.coalesce(F.col("cite"), F.array().cast("array<string>"))).alias("cites"))
 
 
+def dblp_judged(chunks: DataFrame) -> DataFrame:
+    """Typed records of the imported kinds, each with the reason why it is not
+    imported (null: it is); works on batch and streaming chunks alike."""
+    parsed = parse_dblp_chunks(chunks)
+    f = dblp_fields(parsed.filter(F.col("type").isin(*PUBLICATION_TYPES, *COLLECTION_TYPES, "")))
+    is_pub = F.col("type").isin(*PUBLICATION_TYPES)
+    reason = (F.when(F.col("type") == "", "unclosed_record").when(F.col("malformed"), "malformed_record")
+              .when(F.col("key").isNull(), "missing_key").when(F.col("title").isNull(), "missing_title")
+              .when(is_pub & ~F.coalesce(F.col("year") > 0, F.lit(False)), "missing_year")
+              .when(is_pub & (F.size("authors") == 0), "missing_author"))
+    return f.withColumn("reason", reason).withColumn("is_pub", is_pub)
+
+
 def dblp_rows(chunks: DataFrame) -> DataFrame:
     """Complete publication and collection rows of raw chunks in one frame
-    (``kind`` = publication | collection); works on batch and streaming
-    chunks alike."""
-    parsed = parse_dblp_chunks(chunks).filter(~F.col("head") & (F.col("type") != ""))
-    kept = parsed.filter(F.col("type").isin(*(PUBLICATION_TYPES + COLLECTION_TYPES)))
-    f = dblp_fields(kept)
-    is_pub = F.col("type").isin(*PUBLICATION_TYPES)
-    complete = F.when(is_pub, F.col("key").isNotNull() & F.col("title").isNotNull() & (F.col("year") > 0)
-                      & (F.size("authors") > 0)).otherwise(F.col("key").isNotNull() & F.col("title").isNotNull())
-    return f.filter(complete).select(
+    (``kind`` = publication | collection)."""
+    f, is_pub = dblp_judged(chunks).filter(F.col("reason").isNull()), F.col("is_pub")
+    return f.select(
         F.when(is_pub, F.lit("publication")).otherwise(F.lit("collection")).alias("kind"),
         "type", "key", "title", F.when(is_pub, F.col("year")).alias("year"),
         F.when(is_pub, venue_string("crossref", "journal", "volume", "issue")).alias("venue"),
@@ -119,6 +139,12 @@ def dblp_rows(chunks: DataFrame) -> DataFrame:
         F.when(is_pub, join_list("cites")).alias("cites"))
 
 
+def dblp_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(reason, type, key, raw) of every record that the import leaves out."""
+    f = dblp_judged(read_chunks(spark, path)).filter(F.col("reason").isNotNull())
+    return f.select("reason", "type", "key", "raw")
+
+
 def split_kinds(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     pubs = rows.filter(F.col("kind") == "publication").select(
         "type", "key", "title", "year", "venue", "authors", "cites")
@@ -131,9 +157,8 @@ def dblp_import(spark: SparkSession, path: str, with_seq: bool = True) -> tuple[
 
     publications: [seq], type, key, title, year, venue, authors, cites
     collections:  [seq], type, key, title"""
-    pubs, cols = split_kinds(dblp_rows(read_chunks(spark, path)))
+    pubs, cols = split_kinds(materialize(dblp_rows(read_chunks(spark, path)), "xml-rows"))
     if with_seq:
-        pubs, cols = materialize(pubs, "xml-pubs"), materialize(cols, "xml-cols")
         pubs = record_sequence(pubs, list(pubs.columns), "seq").select("seq", *pubs.columns)
         cols = record_sequence(cols, list(cols.columns), "seq").select("seq", *cols.columns)
     return pubs, cols
@@ -147,7 +172,7 @@ def quality_report(spark: SparkSession, path: str) -> DataFrame:
     """Validation against the DTD content model, as counts per rule:
     unclosed chunk, missing key, unknown child field, malformed record (not
     well-formed XML; the import drops it as incomplete)."""
-    p = parse_dblp_chunks(read_chunks(spark, path)).filter(~F.col("head"))
+    p = parse_dblp_chunks(read_chunks(spark, path))
     rec = F.concat(F.lit("<r>"), decode_entities(F.col("body")), F.lit("</r>"))
     p = p.select("type", "key", "body",
                  F.inline(F.array(F.from_xml(rec, _QUALITY_SCHEMA, _QUALITY_OPTS))))
@@ -165,16 +190,19 @@ def quality_report(spark: SparkSession, path: str) -> DataFrame:
 
 # --- ACM -------------------------------------------------------------------
 
-ACM_SEP = "<Publication "
+ACM_SEP = "<Publication"
+# Elements other than these are taken away around their content, so the
+# fields are found at any depth.
+_ACM_WRAPPERS = r"</?(?!(?:Title|Venue|VenueSeries|Name|CitingPub)[\s/>])[A-Za-z][\w.-]*(?:\s[^>]*)?/?>"
 
 
 def acm_import(spark: SparkSession, path: str, with_seq: bool = True) -> DataFrame:
     """ACM staged rows: [seq], source_id, title, year, venue, authors, num_citings."""
     chunks = read_chunks(spark, path, ACM_SEP)
     rec = r"(?s)^[^>]*>(.*)</Publication>"
-    p = chunks.select(
-        F.regexp_extract("chunk", r"^[^>]*?\bid=\"([^\"]*)\"", 1).alias("source_id"),
-        F.regexp_extract("chunk", rec, 1).alias("body"),
+    p = chunks.filter(F.col("chunk").rlike(r"^[\s>]")).select(
+        F.regexp_extract("chunk", r"^[^>]*?\sid\s*=\s*([\"'])(.*?)\1", 2).alias("source_id"),
+        F.regexp_replace(F.regexp_extract("chunk", rec, 1), _ACM_WRAPPERS, "").alias("body"),
         F.col("chunk").rlike(r"</Publication>").alias("closed")).filter("closed")
     f = _parse_once(p, ["source_id"], ACM_FIELDS_SCHEMA)
     venues = F.coalesce(F.col("Venue"), F.array())
@@ -184,7 +212,7 @@ def acm_import(spark: SparkSession, path: str, with_seq: bool = True) -> DataFra
     series = trim_ctl(_last(F.col("VenueSeries")))
     authors = F.coalesce(F.col("Name"), F.array().cast("array<string>"))
     out = (f.select(F.when(F.col("source_id") != "", F.col("source_id")).alias("source_id"),
-                    _flatten_title(_last(F.col("Title"))).alias("title"),
+                    _last(F.col("Title")).alias("title"),
                     year.cast("long").alias("year"), acm_venue_string(series, vol, iss).alias("venue"),
                     authors.alias("a"), F.size(F.coalesce(F.col("CitingPub"), F.array())).cast("long")
                     .alias("num_citings"))
@@ -225,8 +253,12 @@ def render_dblp_publications(raw: DataFrame) -> DataFrame:
                                            F.col("day").cast("string"), F.lit("</number>\n")))
              .otherwise(F.lit("<ee>https://example.org/</ee>\n<extra>unlisted</extra>\n")))
     bad_year = F.when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("<year>n/a</year>\n")).otherwise(F.lit(""))
+    form = F.pmod(F.xxhash64("o_orderkey"), F.lit(7))  # other legal ways to write the key, for some rows
     text = F.concat(
-        F.lit("<"), t, F.lit(' mdate="2016-01-01" key="orders/'), k, F.lit('">\n'),
+        F.lit("<"), t, F.lit(' mdate="2016-01-01"'),
+        F.when(form == 3, F.concat(F.lit(" key='orders/"), k, F.lit("'")))
+        .when(form == 5, F.concat(F.lit('\nkey="orders/'), k, F.lit('"')))
+        .otherwise(F.concat(F.lit(' key="orders/'), k, F.lit('"'))), F.lit(">\n"),
         _elems("author", F.coalesce(F.col("authors"), F.array().cast("array<string>"))),
         F.lit("<title>Order&nbsp;<i>"), k, F.lit("</i></title>\n"),
         F.lit("<year>"), F.col("year").cast("string"), F.lit("</year>\n"), bad_year, venue,
@@ -250,14 +282,20 @@ def render_dblp_homepages(suppliers: DataFrame) -> DataFrame:
 
 def render_acm(raw: DataFrame) -> DataFrame:
     k = F.col("o_orderkey").cast("string")
+    nested = F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == 0  # some rows nest their lists
+
+    def wrap(tag: str, inner: Column) -> Column:
+        return F.when(nested, F.concat(F.lit(f"<{tag}><Group>"), inner, F.lit(f"</Group></{tag}>"))).otherwise(inner)
+
     cited = F.filter(F.coalesce(F.col("cites"), F.array().cast("array<string>")), lambda c: c != "...")
     text = F.concat(
-        F.lit('<Publication id="orders/'), k, F.lit('">\n<Title>Order <i>'), k, F.lit("</i></Title>\n"),
+        F.when(nested, F.concat(F.lit("<Publication\nid='orders/"), k, F.lit("'>\n")))
+        .otherwise(F.concat(F.lit('<Publication id="orders/'), k, F.lit('">\n'))), F.lit('<Title>Order <i>'), k, F.lit("</i></Title>\n"),
         F.lit('<Venue year="'), F.col("year").cast("string"), F.lit('">Volume '), F.col("month").cast("string"),
         F.lit(" , Issue "), F.col("day").cast("string"), F.lit(" ("), F.col("o_orderstatus"), F.lit(")</Venue>\n"),
         F.lit("<VenueSeries>\t"), xml_escape(F.col("o_orderpriority")), F.lit(" #1 </VenueSeries>\n"),
-        _elems("Name", F.coalesce(F.col("authors"), F.array().cast("array<string>"))),
-        _elems("CitingPub", cited), F.lit("</Publication>"))
+        wrap("Authors", _elems("Name", F.coalesce(F.col("authors"), F.array().cast("array<string>")))),
+        wrap("Citings", _elems("CitingPub", cited)), F.lit("</Publication>"))
     return raw.select(text.alias("value"))
 
 

@@ -103,3 +103,35 @@ def test_streaming_import_matches_batch(spark, tmp_path):
     # a second run with no new files adds nothing
     run_dblp_import(spark, src, target, ckpt)
     assert staged_tables(spark, target)[0].count() == pubs.count()
+
+
+def _dump(spark, body):
+    path = scratch_path(spark, "dump")
+    spark.createDataFrame([(f"<dblp>\n{body}\n</dblp>",)], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def _article(attrs, title="T", author="A"):
+    return f"<article {attrs}><author>{author}</author><title>{title}</title><year>2001</year></article>"
+
+
+def test_no_record_is_lost(spark):
+    body = "\n".join([_article('key="k1"'), _article("mdate='x' key='k2'"), _article("mdate='x'\n key = \"k3\""),
+                      _article("mdate='x'", title="no key"), _article('key="k5"', title="on &lt;i&gt; tags <i>in</i>"),
+                      _article('key="k6"', author="S&scaron; &undeclared;"), _article('key="k7"')])
+    path = _dump(spark, body)
+    pubs, _ = xml.dblp_import(spark, path, with_seq=False)
+    got = {r.key: r.title for r in pubs.collect()}
+    rejects = {(r.reason, r.key) for r in xml.dblp_rejects(spark, path).collect()}
+    assert set(got) == {"k1", "k2", "k3", "k5", "k7"} and got["k5"] == "on <i> tags in"
+    assert rejects == {("missing_key", None), ("malformed_record", "k6")}
+
+
+def test_acm_fields_at_any_depth(spark):
+    path = scratch_path(spark, "acm")
+    text = ("<Ps><Publication\n id='3'><Title>T</Title><Venue year='2001'>Volume 1 , Issue 2</Venue>"
+            "<Authors><Author><Name>A</Name></Author><Author><Name>B</Name></Author></Authors>"
+            "<Citings><CitingPub/><CitingPub>x</CitingPub></Citings></Publication></Ps>")
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    rows = xml.acm_import(spark, path, with_seq=False).collect()
+    assert [(r.source_id, r.authors, r.num_citings) for r in rows] == [("3", "A|B", 2)]
