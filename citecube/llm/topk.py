@@ -60,9 +60,11 @@ def search(query: np.ndarray, columns: np.ndarray, mass: np.ndarray, ids: np.nda
 
 def search_plain(query: np.ndarray, columns: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[list, list]:
     """The same with Python's whole numbers, for components beyond float64."""
-    found = sorted(((-sum(int(a) * int(b) for a, b in zip(query, columns[:, j])), int(ids[j]), j)
-                    for j in range(len(ids)) if ids[j] != own))[:k]
-    return [j for _, _, j in found], [max(-LONG_MAX - 1, min(LONG_MAX, -s)) for s, _, _ in found]
+    def score(j: int) -> int:
+        return max(-LONG_MAX - 1, min(LONG_MAX, sum(int(a) * int(b) for a, b in zip(query, columns[:, j]))))
+
+    found = sorted((-score(j), int(ids[j]), j) for j in range(len(ids)) if ids[j] != own)[:k]
+    return [j for _, _, j in found], [-s for s, _, _ in found]
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, id_col: str = "vec_id",
@@ -74,7 +76,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     component, and a null id take no part; vectors are compared with those of
     their own length.  Rows that repeat an id are candidates each, but never
     for their own id; as a query an id counts once, by its smallest vector.
-    Scores beyond a long are clipped to it after ranking.  Fewer candidates
+    Scores beyond a long are clipped to it and ranked so.  Fewer candidates
     give fewer rows; an empty table gives none; extra columns are ignored."""
     usable = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = (vectors.select(F.col(id_col).cast("long").alias("id"), is_query.alias("asks"),

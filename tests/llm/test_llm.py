@@ -338,7 +338,11 @@ def test_top_k_beyond_float(spark):
     rows = [(0, [2.0**45, 1.0]), (1, [2.0**45, 3.0]), (2, [2.0**45, 2.0]), (3, [1e300, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = [(r.rank, r.vec_id) for r in topk.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
-    assert got == [(1, 3), (2, 1), (3, 2)]
+    assert got == [(1, 1), (2, 2), (3, 3)]           # all clipped to the largest long: ties by id
+    rows = [(0, [2.0**43, 1.0]), (1, [2.0**-20, 3.0]), (2, [2.0**-20, 2.0]), (3, [-(2.0**43), 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert got == [(1, 1024 * 3072), (2, 1024 * 2048), (3, -(2**63))]   # beyond what float64 adds exactly
 
 
 def test_top_k_over_many_tiles(spark, monkeypatch):
