@@ -136,6 +136,16 @@ for _name, _fn in cube_plan.CUBE_QUERIES.items():
         (lambda fn: lambda spark, sf_dir: fn(_cube(spark, sf_dir), written_star(spark, sf_dir)["author"],
                                              written_star(spark, sf_dir)["timeinfo"]))(_fn))
 
+_Q4_YEAR = oracle.with_star(f"""
+SELECT a.name AS author_name, CAST(sum(f.citings_dblp) AS BIGINT) AS max_c
+FROM fact f JOIN dim_author a ON a.author_id = f.author_id JOIN dim_time t ON t.time_id = f.time_id
+WHERE t.year = {olap.YEAR} GROUP BY a.name, a.author_id ORDER BY max_c DESC, a.author_id LIMIT {olap.TOP_K}""")
+register("q4_top_cited_authors_year", _Q4_YEAR)(
+    lambda spark, sf_dir: olap.q4_top_cited_authors(_tables(spark, sf_dir), year=olap.YEAR))
+register("cube_q4_top_cited_authors_year", _Q4_YEAR)(
+    lambda spark, sf_dir: cube_plan.cq4(_cube(spark, sf_dir), written_star(spark, sf_dir)["author"],
+                                        written_star(spark, sf_dir)["timeinfo"], year=olap.YEAR))
+
 register("cube_decade_rollup", oracle.with_star("""
 SELECT t.decade, CAST(count(f.publication_id) AS BIGINT) AS n_pubs,
        CAST(sum(f.citings_dblp) AS BIGINT) AS sum_citings, max(f.citings_dblp) AS max_citings

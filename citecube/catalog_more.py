@@ -538,25 +538,25 @@ def _pdi(spark, sf_dir):
     return memo("pdi", spark, sf_dir, lambda: build_pdi(st.publications, st.authors))
 
 
-for _name, _attr, _sel in [
+def _pdi_files(spark, sf_dir) -> str:
+    """The six files, written once per session and table folder."""
+    def build():
+        root = scratch_path(spark, "pdi")
+        _pdi(spark, sf_dir).write(root)
+        return root
+    return memo("pdi-files", spark, sf_dir, build)
+
+
+for _name, _file, _sel in [
     ("pdi_authors", "authors", 'SELECT * FROM pdi_authors'),
     ("pdi_titles", "titles", 'SELECT * FROM pdi_titles'),
     ("pdi_types", "types", 'SELECT "TypeID", "Type" FROM pdi_types'),
     ("pdi_years", "years", 'SELECT * FROM pdi_years'),
     ("pdi_publication", "publication", 'SELECT * FROM pdi_publication'),
+    ("pdi_pub_author_map_file", "pubAuthorMap", "SELECT * FROM pdi_map"),
 ]:
     register(_name, _PDI.replace("{select}", _sel))(
-        (lambda attr: lambda spark, sf_dir: getattr(_pdi(spark, sf_dir), attr))(_attr))
-
-
-@register("pdi_pub_author_map_file", _PDI.replace("{select}", "SELECT * FROM pdi_map"))
-def pdi_pub_author_map_file(spark, sf_dir):
-    """pubAuthorMap written pipe-delimited with a header and read back."""
-    path = scratch_path(spark, "pubAuthorMap")
-    out = _pdi(spark, sf_dir).pub_author_map
-    csv.write_pipe_header(out, path, order_by="ID")
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("ID", "PublicationID", "AuthorID")])
-    return csv.read_pipe_header(spark, path, schema)
+        (lambda name: lambda spark, sf_dir: _pdi(spark, sf_dir).read(spark, _pdi_files(spark, sf_dir), name))(_file))
 
 
 # --- external text tables over the star schema -----------------------------

@@ -6,12 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def distinct_on(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Distinct values of ``cols`` (the remaining columns of the source are
-    irrelevant for the dimension builders, so only the key is kept)."""
-    return df.select(*cols).distinct()
-
-
 def unique_rows(df: DataFrame, keys: list[str], order_cols: list[str],
                 case_insensitive: tuple[str, ...] = ()) -> DataFrame:
     """One row per key list, comparing the listed keys case-insensitively;

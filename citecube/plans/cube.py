@@ -78,9 +78,11 @@ def cq3(cube, author, timeinfo):
     return _names(cuboid(cube, "author_id"), author).select("author_name", "max_citings")
 
 
-def cq4(cube, author, timeinfo, k=TOP_K):
+def cq4(cube, author, timeinfo, k=TOP_K, year=None):
+    per = cuboid(cube, "author_id") if year is None else cuboid(cube, "author_id", "time_id").join(
+        _time_ids(timeinfo, year), "time_id", "left_semi")
     # at most k rows
-    top = (cuboid(cube, "author_id").select("author_id", F.col("sum_citings").alias("max_c"))
+    top = (per.select("author_id", F.col("sum_citings").alias("max_c"))
            .orderBy(F.desc("max_c"), "author_id").limit(k))
     return (_names(F.broadcast(top), author).select("author_name", "max_c")
             .orderBy(F.desc("max_c"), "author_name"))

@@ -64,8 +64,10 @@ def q3_max_cites_per_author(t: Tables) -> DataFrame:
     return _with_names(per, t.author).select("author_name", "max_citings")
 
 
-def q4_top_cited_authors(t: Tables, k: int = TOP_K) -> DataFrame:
-    per = t.publication.groupBy("author_id").agg(F.sum("citings_dblp").cast("long").alias("max_c"))
+def q4_top_cited_authors(t: Tables, k: int = TOP_K, year: int | None = None) -> DataFrame:
+    """The ``k`` most cited authors, of one year's publications where given."""
+    fact = t.publication if year is None else _year_filter(t.publication, t.timeinfo, year)
+    per = fact.groupBy("author_id").agg(F.sum("citings_dblp").cast("long").alias("max_c"))
     top = per.orderBy(F.desc("max_c"), "author_id").limit(k)  # at most k rows: broadcast is bounded
     return (_with_names(F.broadcast(top), t.author).select("author_name", "max_c")
             .orderBy(F.desc("max_c"), "author_name"))

@@ -13,12 +13,13 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import unique_rows
 from ..operators.keys import dense_ids
 from ..operators.lookup import dim_lookup
+from ..sources.csv_dialects import read_pipe_header, write_pipe_header
 
 
 @dataclass
@@ -34,6 +35,15 @@ class PdiOutputs:
         return {"authors": self.authors, "titles": self.titles, "types": self.types, "years": self.years,
                 "pubAuthorMap": self.pub_author_map, "publication": self.publication}
 
+    def write(self, root: str) -> None:
+        """All six outputs as pipe-delimited files with a header, in key order."""
+        for name, df in self.files().items():
+            write_pipe_header(df, f"{root}/{name}.csv", order_by=df.columns[0])
+
+    def read(self, spark: SparkSession, root: str, name: str) -> DataFrame:
+        """One written output, with its columns' types."""
+        return read_pipe_header(spark, f"{root}/{name}.csv", self.files()[name].schema)
+
 
 def build_pdi(publications: DataFrame, authors: DataFrame) -> PdiOutputs:
     """publications: id, type, key, title, year; authors: id, author (one row

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..functions.text import clean_key, decade
 from ..operators.dedup import union_distinct
 from ..operators.keys import dense_ids
-from ..operators.lookup import dim_lookup
+from ..operators.lookup import dim_lookup, merge_column
 from ..schemas import FACT_DEFAULTS, TYPE_DESCRIPTION
 from ..session import materialize
 from ..sources.adapter import Staged
@@ -121,8 +121,9 @@ def fact_table(survivors: DataFrame, links: DataFrame, timeinfo: DataFrame,
     f = dim_lookup(f, "year", timeinfo, "year", "time_id", "time_id", unique=True)
     f = dim_lookup(f, "type", doc_type, "name", "type_id", "type_id", unique=True)
     f = dim_lookup(f, "venue_key", venues, "dblp_key", "venue_series_id", "venue_series_id")
-    f = f.join(links, "id", "inner")
     d = FACT_DEFAULTS
+    f = f.withColumn("author_id", F.lit(d["author_id"]).cast("long"))
+    f = merge_column(f, "id", links, "id", "author_id", "author_id")
     return f.select(
         F.col("id").alias("publication_id"), "title_id", "type_id", "time_id", "venue_series_id",
         "citings_dblp", F.lit(d["ignore1"]).cast("long").alias("ignore1"),
