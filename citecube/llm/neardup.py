@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
 from .common import blocks, gram_hashes, materialize, mix64, pair_hash, shingle_set, signed, text_bytes  # noqa: F401
 from .graph import components
 
@@ -61,12 +62,16 @@ def sketches(sets: list[np.ndarray], t: int = COORDINATES) -> np.ndarray:
     out = np.full(len(sets) * t, EMPTY)
     values = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets), dtype=np.int64), [len(s) for s in sets])
+    look = 0
     for i in range(2 * t):
         drawn = mix64(values + np.uint64((i + 1) * 0x9E3779B97F4A7C15 % 2**64))
         place = (drawn >> bin_shift).astype(np.int64) if i < t else np.int64(i - t)
-        np.minimum.at(out, owner * t + place, (np.uint64(i) << round_shift) | (drawn & fraction))
-        if i % (1 + i // 8):          # further rounds never change a filled bin, so not every one need look
+        place = owner * t + place
+        free = out[place] == EMPTY    # a bin of an earlier round keeps its smaller value
+        np.minimum.at(out, place[free], (np.uint64(i) << round_shift) | (drawn[free] & fraction))
+        if i < look:                  # further rounds never change a filled bin, so not every one need look
             continue
+        look = i + 1 + i // 8
         filled = (out.reshape(-1, t) != EMPTY).all(axis=1)
         if filled.any():
             left = ~filled[owner]
@@ -143,7 +148,9 @@ def sharp_sketches(sets: DataFrame) -> DataFrame:
                                                  ["id", *names])
 
     kind = sets.schema["id"].dataType.simpleString()
-    return sets.mapInArrow(run, f"id {kind}, " + ", ".join(f"{n} long" for n in names))
+    # little data, much work: as many tasks as a shuffle has
+    return (sets.repartition(shuffle_partitions(sets.sparkSession), "id")
+            .mapInArrow(run, f"id {kind}, " + ", ".join(f"{n} long" for n in names)))
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -151,10 +158,11 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= percent * (len(p) + len(q) - both))
+            for part in blocks(batch, "sa", 1 << 20):
+                for x, y in zip(part.column("sa").to_pylist(), part.column("sb").to_pylist()):
+                    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                    both = len(np.intersect1d(p, q, assume_unique=True))
+                    keep.append(100 * both >= percent * (len(p) + len(q) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     kind = pairs.schema["a"].dataType.simpleString()

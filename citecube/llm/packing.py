@@ -27,7 +27,7 @@ SHARD_BYTES = 8 << 20      # text bytes of a shard, about
 QUERY_TERMS = 24           # terms of a seed that search its shard
 NEIGHBOURS = 64            # ranked at a time; when they are used up the index is asked again
 K1, B = 1.2, 0.75
-CHUNKS, PIECES = 600_000, 300_000   # entries of the two caches of a Python worker
+CHUNKS, PIECES = 300_000, 150_000   # entries of the two caches of a Python worker
 
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\f\va-z0-9]+")
 # Precomposed Latin letters: composing leaves them alone and each has one lower-case letter.
@@ -47,16 +47,17 @@ BYTE_SIGNS = byte_signs()
 
 
 class Known(dict):
-    """A cache that works out what it lacks, and starts anew when it is full."""
+    """A cache that works out what it lacks and keeps the first it meets; words
+    that come late and are not kept are worked out again."""
 
     def __init__(self, work, most: int):
         super().__init__()
         self.work, self.most = work, most
 
     def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        self[key] = value = self.work(key)
+        value = self.work(key)
+        if len(self) < self.most:
+            self[key] = value
         return value
 
 
