@@ -183,8 +183,9 @@ def _pairs(joined: DataFrame) -> DataFrame:
     return materialize(joined.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct(), "nd-pairs")
 
 
-def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(id, component) of what is linked among the members (bucket, id, n, b0...)."""
+def _links(members: DataFrame, sets: DataFrame, bands_of: DataFrame, percent: int) -> DataFrame:
+    """(id, component) of what is linked among the members (bucket, id, n, b0...);
+    ``bands_of`` has all buckets of each id."""
     coarse, fine = [f"b{i}" for i in range(LONGS)], [f"s{i}" for i in range(SHARP // 64)]
     row = F.struct(F.xxhash64("bucket", "id").alias("draw"), "id", "n", *coarse)
     leaders = materialize(members.groupBy("bucket").agg(F.min(row).alias("lo"), F.max(row).alias("hi"))
@@ -205,12 +206,14 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     unsettled = materialize(apart.select("bucket").distinct(), "nd-unsettled")
     rows = materialize(rows.join(unsettled, "bucket", "left_semi").join(heads, "bucket"), "nd-open")
     sharp = materialize(sharp_sketches(sets.join(rows.select("id").distinct(), "id", "left_semi")), "nd-sharp")
-    rows = materialize(rows.join(sharp, "id"), "nd-open")
+    rows = materialize(rows.join(sharp, "id").join(bands_of, "id"), "nd-open")
+    # A pair that shares several buckets counts in the least of them only.
+    once = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.bucket")
     near = (rows.where("comp != head")
             .withColumn("size", F.explode(F.array(*[F.col("size") + d for d in (-1, 0, 1)]))))
     late = _pairs(near.alias("x").join(rows.alias("y"), (F.col("x.bucket") == F.col("y.bucket"))
                                        & (F.col("x.size") == F.col("y.size")) & (F.col("x.comp") != F.col("y.comp"))
-                                       & _possible(percent, "x", "y", fine, most_bits(percent, SHARP, 1))))
+                                       & _possible(percent, "x", "y", fine, most_bits(percent, SHARP, 1)) & once))
     late = materialize(late.join(star, ["a", "b"], "left_anti"), "nd-late")
     return components(links.union(verify(late, sets, percent)))
 
@@ -238,7 +241,7 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     needed = materialize(members.select("id").distinct(), "nd-needed")
     sets = materialize(shingle_sets(docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
                                     .join(needed, "id", "left_semi"), words), "nd-sets")
-    found = _links(members, sets, percent)
+    found = _links(members, sets, reps.select("id", "bands"), percent)
     labels = materialize(classes.join(found, classes["rep"] == found["id"], "left")
                          .select("key", F.coalesce("component", "rep").alias("component")), "nd-labels")
     return (sk.select("id", "n", "key").join(labels, "key", "left")
