@@ -155,16 +155,17 @@ def chain(docs: list[np.ndarray], window: int) -> Iterator[int]:
             queue.pop()
         if not queue and seed >= 0:
             queue = index.ranked(seed, unused)[::-1].tolist()
+        alone = not queue
         if queue:
             now = queue.pop()
-        else:                                       # no neighbour left: the next unused document
+        else:                                       # no neighbour left: the next unused document is a new seed
             while not unused[later]:
                 later += 1
             now = later
         unused[now] = False
         yield now
         filled += len(docs[now])
-        if seed < 0 or filled >= window:            # a window begins inside or after this document
+        if alone or filled >= window:               # a window begins inside or after this document
             seed, filled, queue = now, filled % window, []
 
 

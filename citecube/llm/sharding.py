@@ -53,5 +53,14 @@ def shuffle_shards(docs: DataFrame, shards: int = 8, seed: int = 17, bucket_byte
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard, rows as files of the original columns plus slot."""
-    (sharded.select("record.*", "shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path))
+    """One folder per shard, rows as files of the original columns plus slot.
+    ``shard`` and ``slot`` get underscores in front where the records have
+    columns of these names."""
+    taken = {f.name.lower() for f in sharded.schema["record"].dataType.fields}
+
+    def free(name: str) -> str:
+        return name if name not in taken else free("_" + name)
+
+    shard = free("shard")
+    (sharded.select("record.*", F.col("shard").alias(shard), F.col("slot").alias(free("slot")))
+     .write.mode("overwrite").partitionBy(shard).parquet(path))

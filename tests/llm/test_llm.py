@@ -233,7 +233,7 @@ def test_written_shards(spark, tmp_path):
     docs = hostile(spark)
     sharding.write_shards(sharding.shuffle_shards(docs, 4), str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
-    assert back.count() == docs.count() and {r.shard for r in back.select("shard").distinct().collect()} == {0, 1, 2, 3}
+    assert back.count() == docs.count() and {r[0] for r in back.select("_shard").distinct().collect()} == {0, 1, 2, 3}
 
 
 # -- packing ---------------------------------------------------------------
