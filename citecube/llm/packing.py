@@ -24,7 +24,6 @@ from .common import blocks
 
 WINDOW = 4096
 SHARD_BYTES = 8 << 20      # text bytes of a shard, about
-QUERY_TERMS = 24           # terms of a seed that search its shard
 NEIGHBOURS = 64            # ranked at a time; when they are used up the index is asked again
 K1, B = 1.2, 0.75
 CHUNKS, PIECES = 300_000, 150_000   # entries of the two caches of a Python worker
@@ -107,41 +106,38 @@ def tokenizer(path: str) -> WordTokenizer:
 
 
 class Index:
-    """BM25 inverted index over the token ids of one shard's documents."""
+    """BM25 index over the token ids of one shard's documents (none empty): the
+    term weights of each.  Those of used documents are let go in turn."""
 
     def __init__(self, docs: list[np.ndarray]):
-        terms, counts, owner = [], [], []
-        for i, ids in enumerate(docs):
-            t, c = np.unique(ids, return_counts=True)
-            terms.append(t)
-            counts.append(c)
-            owner.append(np.full(len(t), i, np.int32))
-        term, tf, doc = np.concatenate(terms), np.concatenate(counts), np.concatenate(owner)
-        size = np.array([len(d) for d in docs], np.float64)
-        order = np.argsort(term, kind="stable")
-        term, tf, self.doc = term[order], tf[order], doc[order]
-        self.terms, self.start = np.unique(term, return_index=True)
-        self.stop = np.append(self.start[1:], len(term))
-        df = self.stop - self.start
-        self.idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * size[self.doc] / size.mean())
-        self.weight = np.repeat(self.idf, df) * tf * (K1 + 1) / (tf + norm)
-        self.own = [np.searchsorted(self.terms, t) for t in terms]
-        self.many = len(docs)
+        self.own, counts = zip(*(np.unique(ids, return_counts=True) for ids in docs))
+        self.many = np.array([len(t) for t in self.own])
+        known, self.term = np.unique(np.concatenate(self.own), return_inverse=True)
+        tf, size = np.concatenate(counts), np.array([len(d) for d in docs], np.float64)
+        df = np.bincount(self.term)
+        idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
+        norm = np.repeat(K1 * (1 - B + B * size / size.mean()), self.many)
+        self.weight = (idf[self.term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
+        self.known, self.places = known, np.arange(len(docs))
 
     def ranked(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share the seed's most telling terms, best
-        first, ties to the smaller place; NEIGHBOURS at most."""
-        own = self.own[seed]
-        best = own[np.argsort(-self.idf[own], kind="stable")[:QUERY_TERMS]]
-        spans = [slice(self.start[t], self.stop[t]) for t in best]
-        score = np.bincount(np.concatenate([self.doc[s] for s in spans]),
-                            np.concatenate([self.weight[s] for s in spans]), self.many)
-        score[~unused] = 0.0
-        found = np.flatnonzero(score)
+        """Unused documents that share any term of the seed, best first, ties
+        to the smaller place; NEIGHBOURS at most."""
+        left = unused[self.places]
+        if not left.any():
+            return np.empty(0, np.int64)
+        if 4 * np.count_nonzero(left) < 3 * len(left):
+            rows = np.repeat(left, self.many)
+            self.term, self.weight = self.term[rows], self.weight[rows]
+            self.many, self.places, left = self.many[left], self.places[left], left[left]
+        query = np.zeros(len(self.known), np.float32)
+        query[np.searchsorted(self.known, self.own[seed])] = 1
+        score = np.add.reduceat(query[self.term] * self.weight, np.cumsum(self.many) - self.many)
+        found = np.flatnonzero(np.where(left, score, 0))
         if len(found) > NEIGHBOURS:
-            found = found[np.argpartition(-score[found], NEIGHBOURS)[:NEIGHBOURS]]
-        return found[np.lexsort((found, -score[found]))]
+            least = np.partition(score[found], -NEIGHBOURS)[-NEIGHBOURS]
+            found = found[score[found] >= least]    # all ties with the last, so that the smaller places win
+        return self.places[found[np.lexsort((found, -score[found]))][:NEIGHBOURS]]
 
 
 def chain(docs: list[np.ndarray], window: int) -> Iterator[int]:

@@ -279,6 +279,13 @@ def test_neighbours_follow_their_seed():
     assert same >= 18
 
 
+def test_seed_with_many_rare_terms_finds_its_neighbour():
+    common = np.arange(30)
+    docs = [np.concatenate([common, np.arange(100, 200)]), np.arange(300, 360), np.arange(400, 460), common]
+    assert packing.Index(docs).ranked(0, np.array([False, True, True, True])).tolist() == [3]
+    assert list(packing.chain(docs, 1000))[:2] == [0, 3]
+
+
 # -- quality ---------------------------------------------------------------
 def test_quality_learns_and_scores_every_row(spark):
     rng = random.Random(5)
