@@ -1,12 +1,19 @@
 """Lexical retrieval packing: documents fill windows of a fixed number of
 tokens together with their nearest unused neighbours.
 
-Documents are tokenised in a narrow pass and hashed to shards of bounded size.
-Each shard builds a BM25 inverted index of its documents' token ids.  A seed
-document opens a window; its best unused neighbours follow until the window is
-full.  The document at the window's end is cut there, and its rest is the seed
-of the next window.  Only the last window of a shard can be short: it is split
-into sequences whose lengths are powers of two, so nothing is padded."""
+Documents are tokenised once and written.  Document frequencies, their number
+and their mean length are those of the whole table.  As many documents as there
+will be windows are drawn as heads, and every head searches all documents by
+BM25, with all its terms and without an index that leaves any out: blocks of
+heads are sent to the documents' tasks, so the number of passes grows with the
+table.  Each document belongs to the head that finds it best.  What belongs to
+one head, and then what belongs to like heads, shares a shard of bounded size.
+
+In a shard a seed document opens a window; its best unused neighbours follow
+until the window is full.  The document at the window's end is cut there, and
+its rest is the seed of the next window.  Only the last window of a shard can be
+short: it is split into sequences whose lengths are powers of two, so nothing is
+padded."""
 
 from __future__ import annotations
 
@@ -20,12 +27,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks
+from .common import blocks, materialize
 
 WINDOW = 4096
 SHARD_BYTES = 8 << 20      # text bytes of a shard, about
 NEIGHBOURS = 64            # ranked at a time; when they are used up the index is asked again
 K1, B = 1.2, 0.75
+HEAD_BYTES = 24 << 20      # token ids of the heads that one pass over the documents gets
+BLOCK_DOCS, BLOCK_HEADS = 512, 1024   # compared at a time
+NOBODY = -1                # head of a document that shares no term with any
 CHUNKS, PIECES = 300_000, 150_000   # entries of the two caches of a Python worker
 
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\f\va-z0-9]+")
@@ -105,18 +115,23 @@ def tokenizer(path: str) -> WordTokenizer:
     return _TOKENIZERS[path]
 
 
+def inverse(df: np.ndarray, many: int) -> np.ndarray:
+    return np.log1p((many - df + 0.5) / (df + 0.5))
+
+
 class Index:
     """BM25 index over the token ids of one shard's documents (none empty): the
-    term weights of each.  Those of used documents are let go in turn."""
+    term weights of each.  Those of used documents are let go in turn.
+    ``whole`` is (inverse frequency of every id, mean length) of all documents;
+    without it the shard's own count."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], whole: tuple[np.ndarray, float] | None = None):
         self.own, counts = zip(*(np.unique(ids, return_counts=True) for ids in docs))
         self.many = np.array([len(t) for t in self.own])
         known, self.term = np.unique(np.concatenate(self.own), return_inverse=True)
         tf, size = np.concatenate(counts), np.array([len(d) for d in docs], np.float64)
-        df = np.bincount(self.term)
-        idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
-        norm = np.repeat(K1 * (1 - B + B * size / size.mean()), self.many)
+        idf, mean = (inverse(np.bincount(self.term), len(docs)), size.mean()) if whole is None else (whole[0][known], whole[1])
+        norm = np.repeat(K1 * (1 - B + B * size / mean), self.many)
         self.weight = (idf[self.term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
         self.known, self.places = known, np.arange(len(docs))
 
@@ -140,9 +155,9 @@ class Index:
         return self.places[found[np.lexsort((found, -score[found]))][:NEIGHBOURS]]
 
 
-def chain(docs: list[np.ndarray], window: int) -> Iterator[int]:
+def chain(docs: list[np.ndarray], window: int, whole: tuple[np.ndarray, float] | None = None) -> Iterator[int]:
     """The order in which a shard's documents follow each other."""
-    index = Index(docs)
+    index = Index(docs, whole)
     unused = np.ones(len(docs), bool)
     seed, filled, later = -1, 0, 0
     queue: list[int] = []
@@ -165,13 +180,13 @@ def chain(docs: list[np.ndarray], window: int) -> Iterator[int]:
             seed, filled, queue = now, filled % window, []
 
 
-def pieces(docs: list[np.ndarray], window: int) -> Iterator[tuple[int, int, int, int, int]]:
+def pieces(docs: list[np.ndarray], window: int, whole: tuple[np.ndarray, float] | None = None) -> Iterator[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of a shard's pieces."""
     total = sum(map(len, docs))
     full, rest = divmod(total, window)
     sizes = [window] * full + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
     sequence, offset = 0, 0
-    for d in chain(docs, window):
+    for d in chain(docs, window, whole):
         start = 0
         while start < len(docs[d]):
             take = min(len(docs[d]) - start, sizes[sequence] - offset)
@@ -182,6 +197,131 @@ def pieces(docs: list[np.ndarray], window: int) -> Iterator[tuple[int, int, int,
                 sequence, offset = sequence + 1, 0
 
 
+def corpus(tokens: DataFrame, dtype: np.dtype, vocabulary: int, end_id: int) -> tuple[np.ndarray, float, int]:
+    """(inverse frequency of every id, mean length, number of ids) of all
+    documents.  The end id, which all of them hold, counts nothing."""
+    def count(batches):
+        df, many, total = np.zeros(vocabulary, np.int64), 0, 0
+        for batch in batches:
+            for raw in batch.column("ids").to_pylist():
+                ids = np.frombuffer(raw, dtype)
+                df[np.unique(ids)] += 1
+                many, total = many + 1, total + len(ids)
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, (-1, -2))), pa.array(np.append(df[at], (many, total)))],
+                                         ["term", "c"])
+
+    found = dict(map(tuple, tokens.select("ids").mapInArrow(count, "term long, c long")   # the vocabulary's size at most
+                     .groupBy("term").agg(F.sum("c").alias("c")).collect()))
+    many, total = found.pop(-1, 0), found.pop(-2, 0)
+    df = np.zeros(vocabulary, np.int64)
+    df[list(found)] = list(found.values())
+    idf = inverse(df, many).astype(np.float32)
+    idf[end_id] = 0
+    return idf, total / max(1, many), total
+
+
+def best_heads(docs: list[np.ndarray], heads: list[np.ndarray], idf: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray]:
+    """(place, score) of the head that scores each document highest when all
+    terms of the head are asked for; ties to the smaller place."""
+    place, best = np.full(len(docs), NOBODY), np.zeros(len(docs), np.float32)
+    for lo in range(0, len(docs), BLOCK_DOCS):
+        part = docs[lo:lo + BLOCK_DOCS]
+        terms, counts = zip(*(np.unique(ids, return_counts=True) for ids in part))
+        known = np.unique(np.concatenate(terms))
+        known = known[idf[known] > 0]
+        column = np.full(len(idf), -1, np.int32)
+        column[known] = np.arange(len(known), dtype=np.int32)
+        weights = np.zeros((len(part), len(known)), np.float32)
+        for i, (t, c) in enumerate(zip(terms, counts)):
+            at = column[t]
+            t, c, at = t[at >= 0], c[at >= 0], at[at >= 0]
+            weights[i, at] = idf[t] * c * (K1 + 1) / (c + K1 * (1 - B + B * len(part[i]) / mean))
+        for first in range(0, len(heads), BLOCK_HEADS):
+            some = heads[first:first + BLOCK_HEADS]
+            asked = np.zeros((len(some), len(known)), np.float32)
+            for i, t in enumerate(some):
+                at = column[t]
+                asked[i, at[at >= 0]] = 1
+            score = weights @ asked.T
+            top = score.argmax(axis=1)
+            score = score[np.arange(len(part)), top]
+            better = score > best[lo:lo + BLOCK_DOCS]
+            place[lo:lo + BLOCK_DOCS][better] = first + top[better]
+            best[lo:lo + BLOCK_DOCS][better] = score[better]
+    return place, best
+
+
+def find_heads(tokens: DataFrame, heads: DataFrame, parts: int, dtype: np.dtype, idf: np.ndarray, mean: float) -> DataFrame:
+    """(row, head): for every row of ``tokens`` the row of the best head, or NOBODY."""
+    context = tokens.sparkSession.sparkContext
+    shared = context.broadcast((idf, mean))
+    found = None
+    for part in range(parts):
+        chosen = heads.where(F.pmod(F.xxhash64("draw"), F.lit(parts)) == part).select("row", "draw", "ids").collect()
+        chosen.sort(key=lambda r: (r["draw"], r["row"]))
+        sent = context.broadcast((np.array([r["row"] for r in chosen], np.int64),
+                                  [np.unique(np.frombuffer(r["ids"], dtype)) for r in chosen]))
+
+        def search(batches):
+            (names, terms), (inverses, length) = sent.value, shared.value
+            for batch in batches:
+                for block in blocks(batch, "ids"):
+                    ids = [np.frombuffer(x, dtype) for x in block.column("ids").to_pylist()]
+                    place, score = best_heads(ids, terms, inverses, length)
+                    head = np.where(place >= 0, names[place] if len(names) else NOBODY, NOBODY)
+                    score[np.isin(block.column("row").to_numpy(), names)] = np.inf      # a head is its own
+                    head = np.where(np.isinf(score), block.column("row").to_numpy(), head)
+                    yield pa.RecordBatch.from_arrays([block.column("row"), pa.array(score), pa.array(head)],
+                                                     ["row", "score", "head"])
+
+        one = materialize(tokens.select("row", "ids").mapInArrow(search, "row long, score float, head long"), "pack-heads")
+        sent.destroy()
+        found = one if found is None else found.union(one)
+    return materialize(found.groupBy("row").agg(F.max_by("head", F.struct("score", "head")).alias("head")), "pack-best")
+
+
+def place(tokens: DataFrame, shards: int, window: int, shard_bytes: int, dtype: np.dtype, idf: np.ndarray, mean: float,
+          total: int) -> DataFrame:
+    """(row, shard): documents of one head share a shard, and those of like
+    heads as far as its size allows.  What one head finds beyond a shard's size
+    (copies, say) is dealt over several."""
+    spark = tokens.sparkSession
+    many = tokens.count()
+    windows = -(-total // window)
+    # Documents are drawn by a hash, about as many as there are windows; the first of them are heads of heads.
+    drawn = lambda n: F.pmod("draw", F.lit(1 << 40)) < max(1, min(1 << 40, -(-(n << 40) // many)))
+    heads = materialize(tokens.where(drawn(windows)), "pack-drawn")
+    size = -(-int(heads.agg(F.sum(F.octet_length("ids").cast("long"))).first()[0] or 0) // HEAD_BYTES)
+    best = find_heads(tokens, heads, max(1, size), dtype, idf, mean)
+    tops = find_heads(heads, heads.where(drawn(2 * shards)), max(1, size), dtype, idf, mean)
+    rows = materialize(best.join(tokens.select("row", "draw", "size"), "row")
+                       .join(tops.select(F.col("row").alias("head"), F.col("head").alias("top")), "head", "left")
+                       .select("row", "draw", "size", "head", F.coalesce("top", F.lit(NOBODY).cast("long")).alias("top")),
+                       "pack-rows")
+    # Both lists hold a few rows per shard.
+    large = rows.groupBy("head").agg(F.sum("size").alias("size")).where(
+        (F.col("size") > shard_bytes // 2) | (F.col("head") == NOBODY)).collect()
+    names = [r["head"] for r in large]
+    groups = rows.where(~F.col("head").isin(names)).groupBy("top").agg(F.sum("size").alias("size")).collect()
+    table, now, room = [], -1, 0
+    for kind, group in [(0, sorted(groups)), (1, sorted(large))]:
+        for name, bytes_ in group:
+            if bytes_ > room:
+                parts = max(1, -(-bytes_ // shard_bytes))
+                now, room = now + 1, shard_bytes * parts - bytes_ if parts == 1 else 0
+            else:
+                parts, room = 1, room - bytes_
+            table.append((kind, name, now, parts))
+            now += parts - 1
+    where = spark.createDataFrame(table, "kind int, name long, first long, parts long")
+    kind = F.col("head").isin(names).cast("int")
+    rows = rows.withColumn("kind", kind).withColumn("name", F.when(kind == 1, F.col("head")).otherwise(F.col("top")))
+    turn = F.when(F.col("kind") == 1, F.xxhash64("draw")).otherwise(F.xxhash64("head"))
+    return (rows.join(F.broadcast(where), ["kind", "name"])
+            .select("row", (F.col("first") + F.pmod(turn, F.col("parts"))).alias("shard")))
+
+
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window: int = WINDOW, shard_bytes: int = SHARD_BYTES,
          id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per piece: (id, start, length, ids_crc32, doc_tokens,
@@ -198,21 +338,34 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window: int = WI
     total = rows.agg(F.sum((F.octet_length("text") + 1).cast("long"))).first()[0] or 0
     shards = max(1, -(-int(total) // shard_bytes))
 
+    tok = tokenizer(tokenizer_path)
+    dtype, vocabulary = tok.dtype, tok.inner.get_vocab_size()
+
     def tokenise(batches):
         tok = tokenizer(tokenizer_path)
         for batch in batches:
             for part in blocks(batch, "text"):
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("shard"),
+                    [part.column("id"), part.column("draw"), part.column("size"),
                      pa.array(tok.encode_batch(part.column("text").to_pylist(), end_id), pa.binary())],
-                    ["id", "shard", "ids"])
+                    ["id", "draw", "size", "ids"])
+
+    tokens = rows.select("*", F.xxhash64("id", "text").alias("draw"), (F.octet_length("text") + 1).cast("long").alias("size"))
+    tokens = materialize(tokens.mapInArrow(tokenise, f"id {kind}, draw long, size long, ids binary")
+                         .withColumn("row", F.monotonically_increasing_id()), "pack-tokens")
+    idf, mean, count = corpus(tokens, dtype, vocabulary, end_id)
+    whole = docs.sparkSession.sparkContext.broadcast((idf, mean))
+    if shards > 1:
+        placed = tokens.select("row", "id", "ids").join(
+            materialize(place(tokens, shards, window, shard_bytes, dtype, idf, mean, count), "pack-places"), "row")
+    else:
+        placed = tokens.withColumn("shard", F.lit(0).cast("long"))
 
     def pack_shard(table: pa.Table) -> pa.Table:
-        dtype = tokenizer(tokenizer_path).dtype
         table = table.sort_by([("id", "ascending"), ("ids", "ascending")])
         ids = [np.frombuffer(x, dtype) for x in table.column("ids").to_pylist()]
         shard = table.column("shard")[0].as_py()
-        which, start, length, sequence, offset = map(np.array, zip(*pieces(ids, window)))
+        which, start, length, sequence, offset = map(np.array, zip(*pieces(ids, window, whole.value)))
         raw = [ids[d][s:s + n].astype("<u4").tobytes() for d, s, n in zip(which, start, length)]
         out = {"id": table.column("id").take(pa.array(which)), "start": pa.array(start, pa.int64()),
                "length": pa.array(length, pa.int64()), "ids_crc32": pa.array(map(zlib.crc32, raw), pa.int64()),
@@ -222,6 +375,4 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window: int = WI
 
     schema = (f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
               + (", ids binary" if with_ids else ""))
-    return (rows.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(shards)).cast("long"))
-            .mapInArrow(tokenise, f"id {kind}, shard long, ids binary")
-            .groupBy("shard").applyInArrow(pack_shard, schema))
+    return placed.select("id", "shard", "ids").groupBy("shard").applyInArrow(pack_shard, schema)

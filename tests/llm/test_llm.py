@@ -8,6 +8,7 @@ import collections
 import hashlib
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -286,6 +287,34 @@ def test_seed_with_many_rare_terms_finds_its_neighbour():
     assert list(packing.chain(docs, 1000))[:2] == [0, 3]
 
 
+def test_best_heads_against_brute_force():
+    rng = np.random.default_rng(4)
+    docs = [rng.integers(0, 60, rng.integers(1, 90)).astype(np.uint16) for _ in range(700)] + [np.array([99], np.uint16)]
+    heads = [np.unique(d) for d in docs[::40]]
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=100)
+    idf, mean = packing.inverse(df, len(docs)).astype(np.float32), np.mean([len(d) for d in docs])
+    idf[99] = 0
+    place, score = packing.best_heads(docs, heads, idf, mean)
+    for d, p, s in zip(docs, place, score):
+        terms = dict(zip(*np.unique(d, return_counts=True)))
+        norm = 1.2 * (0.25 + 0.75 * len(d) / mean)
+        want = [sum(idf[t] * terms[t] * 2.2 / (terms[t] + norm) for t in h if t in terms) for h in heads]
+        assert s == pytest.approx(max(want), rel=1e-4) and (p == -1 if max(want) == 0 else want[p] >= max(want) * (1 - 1e-4))
+
+
+def test_related_documents_share_a_shard(spark):
+    import public_tokenizers as P
+
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(string.ascii_lowercase[5 * t:5 * t + 5]) * 3 for _ in range(100)) for _ in range(40) for t in range(5)]
+    shard = {r.doc_id: r.sequence_id >> 32 for r in packing.pack(
+        make_docs(spark, texts), P.path("word_bpe_49k.json"), window=512, shard_bytes=20_000, id_col="doc_id")
+        .withColumnRenamed("id", "doc_id").collect()}
+    together = np.mean([shard[i] == shard[j] for i in range(200) for j in range(i % 5, i, 5)])
+    apart = np.mean([shard[i] == shard[j] for i in range(200) for j in range(i) if i % 5 != j % 5])
+    assert together > 0.3 and together > 4 * apart      # by a hash both are one in the number of shards
+
+
 # -- quality ---------------------------------------------------------------
 def test_quality_learns_and_scores_every_row(spark):
     rng = random.Random(5)
