@@ -64,7 +64,15 @@ def exact_labels(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    labels = exact_labels(docs, id_col, text_col)
-    dropped = materialize(labels.where(~F.col("kept")).select(F.col("id").alias("_dropped")), "exact-dropped")
-    return docs.join(dropped, docs[id_col] == dropped["_dropped"], "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: of equal texts
+    one row, with the smallest id.  Each row is judged by its own text; rows
+    with a null id all stay."""
+    groups = exact_groups(docs, id_col, text_col)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"),
+                       F.xxhash64(F.col(text_col)).alias("h"), digest(text_col).alias("full"))
+    alone = (rows.withColumn("full", F.when(F.col("id").isNotNull(), F.col("full")))
+             .join(groups.select("full"), "full", "left_anti"))
+    kept = (rows.join(groups.select("full", F.col("keep_id").alias("id")), ["full", "id"])
+            .groupBy("full").agg(F.min_by("row", "h").alias("row")))
+    both = alone.select("row").union(kept.select("row"))
+    return both.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

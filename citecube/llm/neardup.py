@@ -251,7 +251,17 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
 
 def drop_near(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component its smallest id."""
-    dropped = materialize(near_groups(docs, words, percent, id_col, text_col).where(~F.col("kept"))
-                          .select(F.col("id").alias("_dropped")), "nd-dropped")
-    return docs.join(dropped, docs[id_col] == dropped["_dropped"], "left_anti")
+    """The rows of ``docs`` that stay: of each component one row, with its
+    smallest id.  Each row is judged by its own text; rows with a null id all
+    stay."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = materialize(docs.select(whole.alias("doc"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+                       .withColumn("row", F.monotonically_increasing_id()), "nd-rows")
+    found = materialize(near_groups(rows, words, percent, "row", "text").select(F.col("id").alias("row"), "component_id")
+                        .join(rows.select("row", "id", F.xxhash64("text").alias("h")), "row"), "nd-found")
+    first = materialize(found.where("id IS NOT NULL").groupBy("component_id")
+                        .agg(F.min(F.struct("id", "h", "row"))["row"].alias("first"), F.count(F.lit(1)).alias("c"))
+                        .where("c > 1").select("component_id", "first"), "nd-first")
+    dropped = materialize(found.where("id IS NOT NULL").join(first, "component_id").where("row != first").select("row"),
+                          "nd-dropped")
+    return rows.join(dropped, "row", "left_anti").select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])

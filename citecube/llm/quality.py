@@ -131,7 +131,10 @@ def in_fold(id_col: str = "doc_id") -> Column:
 
 def drop_poor(docs: DataFrame, weights: np.ndarray, threshold: float, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with a score of ``threshold`` or more."""
-    poor = materialize(score(docs, weights, id_col, text_col).where(F.col("score") < threshold)
-                       .select(F.col("id").alias("_poor")), "quality-poor")
-    return docs.join(poor, docs[id_col] == poor["_poor"], "left_anti")
+    """The rows of ``docs`` with a score of ``threshold`` or more, each by its
+    own text; rows with a null id all stay."""
+    hashed = F.xxhash64(F.col(text_col))
+    keyed = docs.select(F.struct(F.col(id_col).alias("id"), hashed.alias("h")).alias("key"), F.col(text_col).alias("text"))
+    poor = materialize(score(keyed, weights, "key", "text").where(F.col("score") < threshold)
+                       .select(F.col("id.id").alias("_poor"), F.col("id.h").alias("_hash")), "quality-poor")
+    return docs.join(poor, (docs[id_col] == poor["_poor"]) & (F.xxhash64(docs[text_col]) == poor["_hash"]), "left_anti")

@@ -27,12 +27,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts only the document with the smallest id goes on."""
+    """Of equal texts only one row, with the smallest id, goes on."""
     return exact.drop_exact(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies only the smallest id goes on."""
+    """Of each group of near copies only one row, with the smallest id, goes on."""
     return neardup.drop_near(docs, NEAR_WORDS, NEAR_PERCENT)
 
 

@@ -1,6 +1,8 @@
 """The pipeline's stages on the small tables, each against a plain version."""
 
 import corpus_pipeline as cp
+import numpy as np
+
 from citecube.llm import quality
 from citecube.llm.common import read_table
 
@@ -41,6 +43,25 @@ def test_stages(spark):
     assert {r.doc_id for r in pieces} == set(rows)
 
 
+def test_doubled_rows_and_two_texts_under_one_id(spark):
+    text = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcd"}
+    near = text["c"] + " more"
+    rows = [(1, text["a"]), (1, text["a"]), (2, text["a"]), (2, text["b"]), (3, text["c"]), (4, near), (4, text["d"]),
+            (5, "bad " * 40), (5, "short and clean"), (None, "null")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    weights = np.zeros((1 << quality.BITS) + 1, np.float32)
+    weights[quality.features("bad " * 40)[0]] = -9
+    good = quality.drop_poor(docs, weights, 0.4)
+    assert sorted(map(str, good.collect())) == sorted(str(r) for r in docs.collect() if "bad" not in r.text)
+    once = cp.drop_copies(spark, good, SF)
+    assert once.where("doc_id = 1").count() == 1 and [r.text for r in once.where("doc_id = 2").collect()] == [text["b"]]
+    out = cp.cut_repeats(spark, cp.drop_near_copies(spark, once, SF), SF)
+    want = [(1, text["a"]), (2, text["b"]), (3, text["c"]), (4, text["d"]), (5, "short and clean"), (None, "null")]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
+    doubled = docs.where("doc_id = 1")
+    assert [tuple(r) for r in cp.drop_near_copies(spark, doubled, SF).collect()] == [(1, text["a"])]
+
+
 def test_run(spark):
     assert cp.run(spark, SF).count() > 0
     assert [n for n, _ in cp.STAGES] == ["quality classifier", "exact dedup", "near-dedup", "substring dedup", "packing"]
