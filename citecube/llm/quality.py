@@ -21,6 +21,7 @@ from .common import blocks, materialize, pair_hash
 BITS = 18
 TRAIN_ROWS = 5000        # about so many labelled documents are learnt from, chosen by a hash of their id
 EPOCHS = 3
+REJECT_BELOW = 0.7       # score
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.02, 0.1
 
 REPEAT = np.uint64(0x1F0E157A9B3C2D47)   # stands for "the word before, again"

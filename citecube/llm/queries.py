@@ -39,7 +39,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = quality.train(docs, read_table(spark, sf_dir, "labels"), usable=~quality.in_fold())
     return (quality.score(docs, weights).withColumnRenamed("id", "doc_id")
             .select("doc_id", quality.in_fold().alias("held_out"), "score",
-                    (F.col("score") >= 0.7).cast("int").alias("predicted")))
+                    (F.col("score") >= quality.REJECT_BELOW).cast("int").alias("predicted")))
 
 
 @register(r"""

@@ -14,7 +14,7 @@ from citecube.llm.common import materialize, read_table
 
 ORACLE_SQL = None  # the quality model has no SQL form; tests hold each stage against brute force
 
-REJECT_BELOW = 0.6   # quality score
+REJECT_BELOW = quality.REJECT_BELOW
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 REPEAT_WORDS = 35    # words of a repeated passage
 

@@ -62,6 +62,14 @@ def test_doubled_rows_and_two_texts_under_one_id(spark):
     assert [tuple(r) for r in cp.drop_near_copies(spark, doubled, SF).collect()] == [(1, text["a"])]
 
 
+def test_what_the_classifier_rejects_does_not_go_on(spark):
+    from citecube.llm.queries import op1_quality
+
+    rejected = {r.doc_id for r in op1_quality(spark, SF).where("predicted = 0").collect()}
+    good = cp.keep_good(spark, read_table(spark, SF, "documents"), SF)
+    assert cp.REJECT_BELOW == 0.7 and rejected and not rejected & {r.doc_id for r in good.collect()}
+
+
 def test_run(spark):
     assert cp.run(spark, SF).count() > 0
     assert [n for n, _ in cp.STAGES] == ["quality classifier", "exact dedup", "near-dedup", "substring dedup", "packing"]
