@@ -8,10 +8,12 @@ join a document's consecutive nodes and carry the hash of the words from the
 start of one to the end of the next.
 
 A node whose occurrences all have the same in-edge and the same out-edge does
-not branch.  Runs of nonbranching nodes compact to one path: wherever one of
-its nodes occurs, the whole path does.  So a window that lies inside a path
+not branch.  Wherever one node of a run of nonbranching nodes occurs, the whole
+run does.  No table of such paths is built: the flag of each node is joined back,
+and a running count of flags in a document tells whether a branch lies inside a
+window, which is all that is asked of a path.  So a window that lies inside a run
 repeats exactly if the k-mer it picks does, and every document that holds it
-sees that.  The other candidate windows (around branches and at path ends) are
+sees that.  The other candidate windows (around branches and at the ends of runs) are
 compared by 128-bit hashes of their words, with their source coordinates.
 Counting nodes and joining what is known of them back are Spark aggregates and
 joins; words are read in narrow steps only."""
