@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, licenses, neardup, packing, quality, sharding, substring, topk, urls
+from . import bpe, exact, licenses, neardup, packing, prefix_trie, quality, sharding, substring, topk, urls
 from .common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -161,3 +161,45 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return packing.pack(read_table(spark, sf_dir, "documents"),
                         public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
+
+
+@register(r"""
+WITH o AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+         sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS item,
+         len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS donor,
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+             lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+                                           lambda y, i: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295) % 4 AS h
+  FROM o GROUP BY conv_id),
+r AS (
+  SELECT c.conv_id, pos AS place, item, words FROM c JOIN o ON o.conv_id = donor AND pos <= h
+  UNION ALL SELECT c.conv_id, 1000000000 + pos, item, words FROM c JOIN o USING (conv_id) WHERE pos > h),
+l AS (
+  SELECT c.conv_id, list(item ORDER BY place) FILTER (item IS NOT NULL) AS items,
+         list(words ORDER BY place) FILTER (item IS NOT NULL) AS words
+  FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+z AS (
+  SELECT conv_id, d AS depth, coalesce(len(items), 0) = d AS last, CASE WHEN d = 0 THEN 0 ELSE words[d] END AS words,
+         CASE WHEN d = 0 THEN '' ELSE md5(array_to_string(items[1:d], ',')) END AS node,
+         CASE WHEN d = 1 THEN '' WHEN d > 1 THEN md5(array_to_string(items[1:d-1], ',')) END AS above
+  FROM (SELECT *, unnest(range(0, coalesce(len(items), 0) + 1)) AS d FROM l)),
+n AS (
+  SELECT depth, node, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM z GROUP BY depth, node),
+k AS (SELECT above AS node, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (node, depth)),
+s AS (
+  SELECT z.node, z.depth, sum((v.n_children = 0)::BIGINT) AS n_leaves, sum((v.n_convs - 1) * v.words) AS saved_tokens
+  FROM v JOIN z ON z.conv_id = v.conv_id AND z.depth <= v.depth GROUP BY ALL)
+SELECT v.conv_id, v.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children::BIGINT AS n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, v.ends_sha256
+FROM v JOIN s USING (node, depth) LEFT JOIN v u ON u.node = v.above AND u.depth = v.depth - 1""")
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, ends = prefix_trie.trie(*prefix_trie.rebuild(prefix_trie.order_turns(read_table(spark, sf_dir, "conversations"))))
+    return (nodes.join(prefix_trie.end_digests(ends), ["conv_id", "depth"], "left")
+            .withColumn("ends_sha256", F.coalesce("ends_sha256", F.sha2(F.lit(""), 256))))
