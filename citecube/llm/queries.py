@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, licenses, neardup, packing, prefix_trie, quality, sharding, substring, topk, urls
+from . import bpe, cap_filters, exact, licenses, neardup, packing, prefix_trie, quality, sharding, substring, topk, urls
 from .common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +163,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
 
 
+@register(r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.9),
+r(id, m) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT l.b, r.m FROM r JOIN l ON l.a = r.id WHERE r.m < l.b),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(any_value(n_links), 0) AS n_links, min(m) AS component_id, vec_id = min(m) AS kept
+FROM embeddings JOIN r ON r.id = vec_id LEFT JOIN n ON n.a = vec_id GROUP BY vec_id""")
+def op11_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (cap_filters.near_vectors(read_table(spark, sf_dir, "embeddings"), percent=90)
+            .withColumnRenamed("id", "vec_id"))
+
+
 @register(r"""
 WITH o AS (
   SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
