@@ -72,7 +72,7 @@ def main() -> None:
     from citecube.sources import xml_records
     dump = catalog_more._dblp_dump_now(spark, sf_dir)
     t0 = time.perf_counter()
-    pubs, cols = xml_records.dblp_import(spark, dump, with_seq=False)
+    pubs, cols = xml_records.dblp_import(spark, dump)
     run(pubs)
     run(cols)
     res["xml_import"] = round(time.perf_counter() - t0, 3)

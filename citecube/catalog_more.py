@@ -169,12 +169,14 @@ def _dblp_dump_now(spark, sf_dir) -> str:
 
 
 _XML_PUBS = """
-SELECT row_number() OVER (ORDER BY type, key, title, year, venue, authors, cites) AS seq, * FROM (
-  SELECT CASE o.o_orderpriority WHEN '1-URGENT' THEN 'article' WHEN '2-HIGH' THEN 'inproceedings'
-              ELSE 'incollection' END AS type,
-         p.key, 'Order' || chr(160) || o.o_orderkey AS title, p.year, p.venue, p.authors, p.cites
-  FROM bib_pub p JOIN orders o ON o.o_orderkey + 1 = p.id
-  WHERE o.o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM'))"""
+SELECT row_number() OVER (ORDER BY o.o_orderkey) AS seq,
+       CASE o.o_orderpriority WHEN '1-URGENT' THEN 'article' WHEN '2-HIGH' THEN 'inproceedings'
+            ELSE 'incollection' END AS type,
+       p.key, 'Order' || chr(160) || o.o_orderkey
+              || CASE WHEN o.o_orderkey % 5 = 0 THEN ' with key="v" in its title' ELSE '' END AS title,
+       p.year, p.venue, p.authors, p.cites
+FROM bib_pub p JOIN orders o ON o.o_orderkey + 1 = p.id
+WHERE o.o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"""
 
 
 @register("xml_dblp_extract", oracle.with_records(_XML_PUBS))
@@ -183,8 +185,8 @@ def xml_dblp_extract(spark, sf_dir):
 
 
 @register("xml_dblp_collections", oracle.with_records("""
-SELECT row_number() OVER (ORDER BY type, key, title) AS seq, * FROM (
-  SELECT 'proceedings' AS type, 'cust/' || c_custkey AS key, c_name AS title FROM customer)"""))
+SELECT row_number() OVER (ORDER BY c_custkey) AS seq, 'proceedings' AS type, 'cust/' || c_custkey AS key,
+       c_name AS title FROM customer"""))
 def xml_dblp_collections(spark, sf_dir):
     return xml.dblp_import(spark, _dblp_dump(spark, sf_dir))[1]
 
@@ -207,8 +209,8 @@ def xml_rejects(spark, sf_dir):
 
 
 _ACM_ROWS = """
-SELECT row_number() OVER (ORDER BY source_id, title, year, venue, authors, num_citings) AS seq, * FROM (
-  SELECT p.key AS source_id, p.title, p.year,
+SELECT row_number() OVER (ORDER BY id) AS seq, * EXCLUDE (id) FROM (
+  SELECT p.id, p.key AS source_id, p.title, p.year,
          o.o_orderpriority || ' :1#' || month(o.o_orderdate) || '#' || day(o.o_orderdate) AS venue,
          p.authors, CAST(coalesce(c.n, 0) AS BIGINT) AS num_citings
   FROM bib_pub p JOIN orders o ON o.o_orderkey + 1 = p.id
@@ -499,13 +501,12 @@ def pdi_text_scan_limit(spark, sf_dir):
 
 # --- streaming import -----------------------------------------------------
 
-@register("stream_dblp_import", oracle.with_records(_XML_PUBS.replace(
-    "row_number() OVER (ORDER BY type, key, title, year, venue, authors, cites) AS seq, *", "*")))
+@register("stream_dblp_import", oracle.with_records(_XML_PUBS))
 def stream_dblp_import(spark, sf_dir):
     src = _dblp_dump(spark, sf_dir)
     target, ckpt = scratch_path(spark, "stream-staged"), scratch_path(spark, "stream-ckpt")
     run_dblp_import(spark, src, target, ckpt)
-    return staged_tables(spark, target)[0]
+    return staged_tables(spark, target)[0].withColumnRenamed("id", "seq")
 
 
 # --- outputs of the earlier ETL-tool transform ----------------------------

@@ -35,18 +35,19 @@ def import_xml(spark: SparkSession, kind: str, xml_path: str, out_dir: str, fmt:
     returns the record counts.  ``strict`` fails where a DBLP record is not
     well formed or has no end tag."""
     if kind == "dblp":
-        rejects = os.path.join(out_dir, REJECTS)
-        xml.dblp_rejects(spark, xml_path).write.mode("overwrite").parquet(rejects)
-        broken = spark.read.parquet(rejects).where("reason IN ('malformed_record', 'unclosed_record')")
-        if strict and not broken.isEmpty():
-            raise ValueError(f"broken records, see {rejects}")
-        pubs, cols = xml.dblp_import(spark, xml_path)
+        # one scan and one parse: the files are parts of the table written there
+        rows, seen = xml.dblp_table(spark, xml_path)
+        if strict and (seen.get("malformed_record") or seen.get("unclosed_record")):
+            raise ValueError(f"broken records: {seen}")
+        xml.rejects_of(rows).write.mode("overwrite").parquet(os.path.join(out_dir, REJECTS))
+        pubs, cols = xml.split_kinds(rows, with_seq=True)
         outputs = {PUB_FILE.format(kind=kind): pubs, COL_FILE.format(kind=kind): cols}
+        counts = dict(zip([*outputs, REJECTS], map(seen.get, xml.KINDS)))
     elif kind == "acm":
         outputs = {PUB_FILE.format(kind=kind): xml.acm_import(spark, xml_path)}
+        counts = {name: df.count() for name, df in outputs.items()}
     else:
         raise ValueError(kind)
-    counts = {}
     for name, df in outputs.items():
         path = os.path.join(out_dir, name)
         if fmt == "escaped":
@@ -55,9 +56,6 @@ def import_xml(spark: SparkSession, kind: str, xml_path: str, out_dir: str, fmt:
             csv.write_quoted(df, path, order_by="seq")
         else:
             df.withColumnRenamed("seq", "id").write.mode("overwrite").parquet(path)
-        counts[name] = df.count()
-    if kind == "dblp":
-        counts[REJECTS] = spark.read.parquet(rejects).count()
     return counts
 
 

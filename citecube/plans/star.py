@@ -150,12 +150,16 @@ def citing_bridge(st: Staged) -> DataFrame:
     return cites.join(firsts, "key").select("publication_id", "cited_publication_id").distinct()
 
 
-def build_star(st: Staged, parallel: int = 5) -> StarSchema:
+def build_star(st: Staged, parallel: int = 5, dims: dict[str, DataFrame] | None = None) -> StarSchema:
     """The five dimensions are independent jobs; they are submitted from
-    threads so that the scheduler can run them side by side."""
-    builders = [time_dimension, type_dimension, venue_dimension, title_ids, author_dimension]
+    threads so that the scheduler can run them side by side.  ``dims`` gives
+    dimensions whose ids exist already (by table name)."""
+    dims = dims or {}
+    builders = {"timeinfo": time_dimension, "document_type": type_dimension, "venue_series": venue_dimension,
+                "title": title_ids, "author": author_dimension}
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        timeinfo, doc_type, venues, titled, authors = pool.map(lambda b: b(st), builders)
+        timeinfo, doc_type, venues, titled, authors = pool.map(
+            lambda name: dims[name] if name in dims else builders[name](st), builders)
     # written once: the fact and the bridge both read the (id, author_id)
     # links, which would otherwise repeat the author join (a shuffle of all
     # author rows by name when the dimension is too large to broadcast)

@@ -4,12 +4,15 @@ The dump is one large document with many record elements, which no single
 ``rowTag`` covers.  Every record element carries a required ``key``
 attribute, so the text source splits the files at `` key="`` (a custom line
 separator keeps the scan splittable): each chunk holds one record's key,
-the rest of its start tag, its body and its first end tag.  What follows in
-the chunk (and all of a file's head) is searched for further whole records:
-those whose key is written otherwise (single quotes, a line break before it)
-or missing.  Fields are read with one ``from_xml`` parse per record after
-markup is flattened and the named entities are decoded.  Records that are not
-imported are not lost: ``dblp_rejects`` lists them with the reason.
+the rest of its start tag, its body and its first end tag.  Where the separator
+stands elsewhere (in a title, CDATA, a comment, another element's tag),
+``xml_chunks`` puts the record together again; comments are taken out.  What
+follows in the chunk (and all of a file's head) is searched for further whole
+records: those whose key is written otherwise (single quotes, a line break
+before it) or missing.  Fields are read with one ``from_xml`` parse per record
+after markup is flattened and the named entities are decoded.  The dump is read
+and parsed once: publications, collections and the records that are not
+imported, with the reason, are parts of one written table (``dblp_table``).
 
 Rules kept from the import:
 * record types: publications (article, inproceedings, incollection) and
@@ -27,17 +30,18 @@ on its own instead of taking over the outer element's text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.entities import decode_entities, xml_escape
 from ..functions.text import (acm_venue_string, drop_placeholder, join_list, last_parseable_int,
                               trim_ctl, venue_string, volume_issue, VOLUME_ISSUE_PATTERN)
-from ..operators.keys import record_sequence
 from ..session import materialize
 from ..schemas import ALL_RECORD_TYPES, COLLECTION_TYPES, DTD_FIELDS, PUBLICATION_TYPES
+from .xml_chunks import judge_chunks, number_by_place, read_chunks, whole_records
 
 KEY_SEP = ' key="'
+WHERE = ["file", "src", "block", "place"]
 _TYPES = "|".join(ALL_RECORD_TYPES)
 # Inline elements allowed inside a title by the DTD.
 TITLE_MARKUP = ("sub", "sup", "i", "tt", "ref")
@@ -56,14 +60,14 @@ def _last(arr: Column) -> Column:
     return F.try_element_at(arr, F.lit(-1))
 
 
-def read_chunks(spark: SparkSession, path: str, sep: str = KEY_SEP) -> DataFrame:
-    """Raw record chunks of all files under ``path`` (``chunk`` column)."""
-    return spark.read.option("lineSep", sep).text(path).withColumnRenamed("value", "chunk")
+def dblp_chunks(chunks: DataFrame) -> DataFrame:
+    """Chunks as read, with every record whole in one of them."""
+    return whole_records(chunks, judge_chunks(chunks, ALL_RECORD_TYPES), KEY_SEP)
 
 
 def parse_dblp_chunks(chunks: DataFrame) -> DataFrame:
-    """chunk -> (type, key, body, raw), one row per record; a record without an
-    end tag has an empty type."""
+    """chunk -> (file, src, block, place, sub, type, key, body, raw), one row per
+    record; a record without an end tag has an empty type."""
     head = F.col("chunk").rlike(r"^\s*<")
     first = F.regexp_extract("chunk", r"(?s)^[^\"]*\"[^>]*>.*?</(?:" + _TYPES + ")>", 0)
     rest = F.when(head, F.col("chunk")).when(first != "", F.substring("chunk", F.length(first) + 1, F.length("chunk"))
@@ -78,7 +82,8 @@ def parse_dblp_chunks(chunks: DataFrame) -> DataFrame:
         F.regexp_extract("chunk", r"^([^\"]*)\"", 1).alias("key"),
         F.regexp_extract(first, r"(?s)^[^\"]*\"[^>]*>(.*)</\w+>$", 1).alias("body"),
         F.when(first != "", first).otherwise(F.col("chunk")).alias("raw")))
-    return chunks.select(F.inline(F.concat(F.when(head, F.slice(own, 1, 0)).otherwise(own), more)))
+    found = F.posexplode(F.concat(F.when(head, F.slice(own, 1, 0)).otherwise(own), more)).alias("sub", "r")
+    return chunks.select(*WHERE, found).select(*WHERE, "sub", "r.*")
 
 
 def _fields(body: Column, schema: str) -> Column:
@@ -99,11 +104,11 @@ def dblp_fields(records: DataFrame) -> DataFrame:
     """Typed fields of parsed DBLP records (all record types)."""
     # anchored: an unanchored leading ".*" is retried from every position (quadratic)
     later = F.regexp_extract("body", r"(?s)^.*<(journal|booktitle)[\s>]", 1).alias("later")
-    f = _parse_once(records.select("type", "key", "body", "raw", later), ["type", "key", "raw", "later"],
-                    DBLP_FIELDS_SCHEMA)
+    f = _parse_once(records.select(*WHERE, "sub", "type", "key", "body", "raw", later),
+                    [*WHERE, "sub", "type", "key", "raw", "later"], DBLP_FIELDS_SCHEMA)
     journal = F.when(F.col("later") == "booktitle", _last(F.col("booktitle"))).otherwise(_last(F.col("journal")))
     return f.select(
-        "type", "raw", F.col("_corrupt").isNotNull().alias("malformed"), F.when(F.col("key") != "", F.col("key")).alias("key"),
+        *WHERE, "sub", "type", "raw", F.col("_corrupt").isNotNull().alias("malformed"), F.when(F.col("key") != "", F.col("key")).alias("key"),
         _last(F.col("title")).alias("title"),
         last_parseable_int(F.coalesce(F.col("year"), F.array())).cast("long").alias("year"),
         journal.alias("journal"),
@@ -116,7 +121,7 @@ def dblp_fields(records: DataFrame) -> DataFrame:
 
 def dblp_judged(chunks: DataFrame) -> DataFrame:
     """Typed records of the imported kinds, each with the reason why it is not
-    imported (null: it is); works on batch and streaming chunks alike."""
+    imported (null: it is)."""
     parsed = parse_dblp_chunks(chunks)
     f = dblp_fields(parsed.filter(F.col("type").isin(*PUBLICATION_TYPES, *COLLECTION_TYPES, "")))
     is_pub = F.col("type").isin(*PUBLICATION_TYPES)
@@ -128,40 +133,70 @@ def dblp_judged(chunks: DataFrame) -> DataFrame:
 
 
 def dblp_rows(chunks: DataFrame) -> DataFrame:
-    """Complete publication and collection rows of raw chunks in one frame
-    (``kind`` = publication | collection)."""
-    f, is_pub = dblp_judged(chunks).filter(F.col("reason").isNull()), F.col("is_pub")
+    """Every record of the imported kinds in one frame: place, ``kind``
+    (publication, collection, reject), the staged columns, and for a reject its
+    reason and raw text."""
+    f, is_pub, good = dblp_judged(chunks), F.col("is_pub"), F.col("reason").isNull()
+    kind = F.when(~good, "reject").when(is_pub, "publication").otherwise("collection")
     return f.select(
-        F.when(is_pub, F.lit("publication")).otherwise(F.lit("collection")).alias("kind"),
-        "type", "key", "title", F.when(is_pub, F.col("year")).alias("year"),
+        *WHERE, "sub", kind.alias("kind"), "type", "key", "title", F.when(is_pub, F.col("year")).alias("year"),
         F.when(is_pub, venue_string("crossref", "journal", "volume", "issue")).alias("venue"),
         F.when(is_pub, join_list("authors")).alias("authors"),
-        F.when(is_pub, join_list("cites")).alias("cites"))
+        F.when(is_pub, join_list("cites")).alias("cites"), "reason", F.when(~good, F.col("raw")).alias("raw"))
+
+
+KINDS = ("publication", "collection", "reject")
+
+
+def counted_rows(chunks: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """``dblp_rows``, written once, and the number of records of each kind and
+    of each reject reason, taken on the way."""
+    rows, seen = dblp_rows(dblp_chunks(chunks)), Observation()
+    many = [F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in KINDS]
+    many += [F.count(F.when(F.col("reason") == r, 1)).alias(r) for r in REASONS]
+    rows = materialize(rows.observe(seen, *many), "xml-rows")
+    return rows, {k: n for k, n in seen.get.items() if n or k in KINDS}
+
+
+# The reasons of ``dblp_judged``.
+REASONS = ("unclosed_record", "malformed_record", "missing_key", "missing_title", "missing_year", "missing_author")
+
+
+def dblp_table(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, int]]:
+    """All records of the XML files under ``path`` and their counts, in one pass."""
+    return counted_rows(read_chunks(spark, path, KEY_SEP))
+
+
+PUB_COLUMNS = ["type", "key", "title", "year", "venue", "authors", "cites"]
+COL_COLUMNS = ["type", "key", "title"]
 
 
 def dblp_rejects(spark: SparkSession, path: str) -> DataFrame:
     """(reason, type, key, raw) of every record that the import leaves out."""
-    f = dblp_judged(read_chunks(spark, path)).filter(F.col("reason").isNotNull())
-    return f.select("reason", "type", "key", "raw")
+    return rejects_of(dblp_table(spark, path)[0])
+
+
+def rejects_of(rows: DataFrame) -> DataFrame:
+    return rows.where("kind = 'reject'").select("reason", "type", "key", "raw")
 
 
-def split_kinds(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    pubs = rows.filter(F.col("kind") == "publication").select(
-        "type", "key", "title", "year", "venue", "authors", "cites")
-    cols = rows.filter(F.col("kind") == "collection").select("type", "key", "title")
-    return pubs, cols
+def split_kinds(rows: DataFrame, with_seq: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(publications, collections) of ``dblp_rows``, numbered by place if asked."""
+    out = []
+    for kind, columns in (("publication", PUB_COLUMNS), ("collection", COL_COLUMNS)):
+        mine = rows.where(F.col("kind") == kind)
+        out.append(number_by_place(mine).select("seq", *columns) if with_seq else mine.select(*columns))
+    return out[0], out[1]
 
 
 def dblp_import(spark: SparkSession, path: str, with_seq: bool = True) -> tuple[DataFrame, DataFrame]:
     """(publications, collections) staged rows from DBLP XML files.
 
     publications: [seq], type, key, title, year, venue, authors, cites
-    collections:  [seq], type, key, title"""
-    pubs, cols = split_kinds(materialize(dblp_rows(read_chunks(spark, path)), "xml-rows"))
-    if with_seq:
-        pubs = record_sequence(pubs, list(pubs.columns), "seq").select("seq", *pubs.columns)
-        cols = record_sequence(cols, list(cols.columns), "seq").select("seq", *cols.columns)
-    return pubs, cols
+    collections:  [seq], type, key, title
+
+    ``seq`` counts the records of a kind in the order in which they stand."""
+    return split_kinds(dblp_table(spark, path)[0], with_seq)
 
 
 _QUALITY_SCHEMA = "title array<string>, _corrupt string"
@@ -170,13 +205,16 @@ _QUALITY_OPTS = dict(_XML_OPTS, columnNameOfCorruptRecord="_corrupt")
 
 def quality_report(spark: SparkSession, path: str) -> DataFrame:
     """Validation against the DTD content model, as counts per rule:
-    unclosed chunk, missing key, unknown child field, malformed record (not
-    well-formed XML; the import drops it as incomplete)."""
-    p = parse_dblp_chunks(read_chunks(spark, path))
+    unclosed record, missing key, unknown child field, malformed record (not
+    well-formed XML; the import drops it as incomplete), and elements that carry
+    a key but are no record."""
+    chunks = read_chunks(spark, path, KEY_SEP)
+    judged = materialize(judge_chunks(chunks, ALL_RECORD_TYPES), "xml-judged")
+    p = parse_dblp_chunks(whole_records(chunks, judged, KEY_SEP))
     rec = F.concat(F.lit("<r>"), decode_entities(F.col("body")), F.lit("</r>"))
     p = p.select("type", "key", "body",
                  F.inline(F.array(F.from_xml(rec, _QUALITY_SCHEMA, _QUALITY_OPTS))))
-    children = F.regexp_extract_all(F.col("body"), F.lit(r"<([A-Za-z][\w.-]*)[\s>/]"), F.lit(1))
+    children = F.regexp_extract_all(F.regexp_replace("body", r"(?s)<!\[CDATA\[.*?\]\]>", ""), F.lit(r"<([A-Za-z][\w.-]*)[\s>/]"), F.lit(1))
     allowed = F.array(*[F.lit(x) for x in DTD_FIELDS + TITLE_MARKUP])
     unknown = F.size(F.array_except(children, allowed)) > 0
     rules = F.array(
@@ -185,6 +223,7 @@ def quality_report(spark: SparkSession, path: str) -> DataFrame:
         F.when((F.col("type") != "") & unknown, F.lit("unknown_field")),
         F.when((F.col("type") != "") & F.col("_corrupt").isNotNull(), F.lit("malformed_record")))
     flagged = p.select(F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("rule"))
+    flagged = flagged.union(judged.where("mode = 0 AND NOT head AND opened != ''").select(F.lit("unknown_element")))
     return flagged.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -200,28 +239,31 @@ def acm_import(spark: SparkSession, path: str, with_seq: bool = True) -> DataFra
     """ACM staged rows: [seq], source_id, title, year, venue, authors, num_citings."""
     chunks = read_chunks(spark, path, ACM_SEP)
     rec = r"(?s)^[^>]*>(.*)</Publication>"
+    where = [*WHERE, F.lit(0).alias("sub")]
     p = chunks.filter(F.col("chunk").rlike(r"^[\s>]")).select(
+        *where,
         F.regexp_extract("chunk", r"^[^>]*?\sid\s*=\s*([\"'])(.*?)\1", 2).alias("source_id"),
         F.regexp_replace(F.regexp_extract("chunk", rec, 1), _ACM_WRAPPERS, "").alias("body"),
         F.col("chunk").rlike(r"</Publication>").alias("closed")).filter("closed")
-    f = _parse_once(p, ["source_id"], ACM_FIELDS_SCHEMA)
+    f = _parse_once(p, [*WHERE, "sub", "source_id"], ACM_FIELDS_SCHEMA)
     venues = F.coalesce(F.col("Venue"), F.array())
     year = last_parseable_int(F.transform(venues, lambda v: v["_year"]))
     matching = F.filter(F.transform(venues, lambda v: v["_VALUE"]), lambda t: t.rlike(VOLUME_ISSUE_PATTERN))
     vol, iss = volume_issue(F.coalesce(_last(matching), F.lit("")))
     series = trim_ctl(_last(F.col("VenueSeries")))
     authors = F.coalesce(F.col("Name"), F.array().cast("array<string>"))
-    out = (f.select(F.when(F.col("source_id") != "", F.col("source_id")).alias("source_id"),
+    out = (f.select(*WHERE, "sub", F.when(F.col("source_id") != "", F.col("source_id")).alias("source_id"),
                     _last(F.col("Title")).alias("title"),
                     year.cast("long").alias("year"), acm_venue_string(series, vol, iss).alias("venue"),
                     authors.alias("a"), F.size(F.coalesce(F.col("CitingPub"), F.array())).cast("long")
                     .alias("num_citings"))
            .filter(F.col("source_id").isNotNull() & F.col("title").isNotNull() & (F.col("year") > 0)
                    & (F.size("a") > 0))
-           .select("source_id", "title", "year", "venue", join_list("a").alias("authors"), "num_citings"))
+           .select(*WHERE, "sub", "source_id", "title", "year", "venue", join_list("a").alias("authors"), "num_citings"))
+    columns = ["source_id", "title", "year", "venue", "authors", "num_citings"]
     if with_seq:
-        out = record_sequence(materialize(out), list(out.columns), "seq").select("seq", *out.columns)
-    return out
+        return number_by_place(materialize(out, "acm-rows")).select("seq", *columns)
+    return out.select(*columns)
 
 
 # --- rendering the driver's tables as bibliographic XML --------------------
@@ -229,6 +271,8 @@ def acm_import(spark: SparkSession, path: str, with_seq: bool = True) -> DataFra
 # the import runs on data that grows with the tables.  One record element
 # per row (the element text is built from that row's own lists).
 
+# Places in the rendered dump: orders by their key, then customers, then suppliers.
+COLLECTIONS_FROM, HOMEPAGES_FROM = 2**41, 2**42
 # Record element per order priority in the rendered dump.
 PRIORITY_TYPES = {"1-URGENT": "article", "2-HIGH": "inproceedings", "3-MEDIUM": "incollection",
                   "4-NOT SPECIFIED": "phdthesis", "5-LOW": "www"}
@@ -260,24 +304,34 @@ def render_dblp_publications(raw: DataFrame) -> DataFrame:
         .when(form == 5, F.concat(F.lit('\nkey="orders/'), k, F.lit('"')))
         .otherwise(F.concat(F.lit(' key="orders/'), k, F.lit('"'))), F.lit(">\n"),
         _elems("author", F.coalesce(F.col("authors"), F.array().cast("array<string>"))),
-        F.lit("<title>Order&nbsp;<i>"), k, F.lit("</i></title>\n"),
+        F.lit("<title>Order&nbsp;<i>"), k, F.lit("</i>"),
+        F.when(F.col("o_orderkey") % 5 == 0, F.lit(' with key="v" in its title')).otherwise(F.lit("")), F.lit("</title>\n"),
+        F.when(form == 4, F.lit('<note><![CDATA[was <article key="none">]]></note>\n')).otherwise(F.lit("")),
         F.lit("<year>"), F.col("year").cast("string"), F.lit("</year>\n"), bad_year, venue,
         _elems("cite", F.coalesce(F.col("cites"), F.array().cast("array<string>"))),
         F.lit("</"), t, F.lit(">"))
-    return raw.select(text.alias("value"))
+    return raw.select(_hidden(form, k, t, text).alias("value"), F.col("o_orderkey").cast("long").alias("o"))
+
+
+def _hidden(form: Column, key: Column, kind: Column, text: Column) -> Column:
+    """Before some records, comments that hold one or several records."""
+    old = F.concat(F.lit("<"), kind, F.lit(' mdate="2015-01-01" key="old/'), key, F.lit('"><title>Old</title></'), kind, F.lit(">\n"))
+    return (F.when(form == 1, F.concat(F.lit("<!-- withdrawn "), old, F.lit("-->\n"), text))
+            .when(form == 2, F.concat(F.lit("<!--"), old, old, old, F.lit("-->\n"), text)).otherwise(text))
 
 
 def render_dblp_collections(customers: DataFrame) -> DataFrame:
     return customers.select(F.concat(
         F.lit('<proceedings mdate="2016-01-01" key="cust/'), F.col("c_custkey").cast("string"),
-        F.lit('">\n<title>'), xml_escape(F.col("c_name")), F.lit("</title>\n</proceedings>")).alias("value"))
+        F.lit('">\n<title>'), xml_escape(F.col("c_name")), F.lit("</title>\n</proceedings>")).alias("value"),
+        (F.col("c_custkey") + COLLECTIONS_FROM).cast("long").alias("o"))
 
 
 def render_dblp_homepages(suppliers: DataFrame) -> DataFrame:
     return suppliers.select(F.concat(
         F.lit('<www mdate="2016-01-01" key="homepages/'), F.col("s_suppkey").cast("string"),
         F.lit('">\n<author>'), xml_escape(F.col("s_name")), F.lit("</author>\n<title>Home Page</title>\n</www>"))
-        .alias("value"))
+        .alias("value"), (F.col("s_suppkey") + HOMEPAGES_FROM).cast("long").alias("o"))
 
 
 def render_acm(raw: DataFrame) -> DataFrame:
@@ -296,21 +350,20 @@ def render_acm(raw: DataFrame) -> DataFrame:
         F.lit("<VenueSeries>\t"), xml_escape(F.col("o_orderpriority")), F.lit(" #1 </VenueSeries>\n"),
         wrap("Authors", _elems("Name", F.coalesce(F.col("authors"), F.array().cast("array<string>")))),
         wrap("Citings", _elems("CitingPub", cited)), F.lit("</Publication>"))
-    return raw.select(text.alias("value"))
+    return raw.select(text.alias("value"), F.col("o_orderkey").cast("long").alias("o"))
 
 
 def write_xml(parts: list[DataFrame], path: str, head: str, tail: str) -> None:
-    """Write record texts as XML files spread over several part files (hash
-    partitioning, no sampling pass over the renderer); the head line opens
-    one file and the tail line closes one."""
+    """Write record texts (value, o) as XML part files in the order of ``o``;
+    the head line opens the first file and the tail line closes the last."""
     spark = parts[0].sparkSession
     body = parts[0]
     for p in parts[1:]:
         body = body.unionByName(p)
     lo, hi = -(2 ** 63), 2 ** 63 - 1
     framed = (spark.createDataFrame([(head, lo)], "value string, o long")
-              .unionByName(body.select("value", F.xxhash64("value").alias("o")))
+              .unionByName(body)
               .unionByName(spark.createDataFrame([(tail, hi)], "value string, o long")))
     n = spark.sparkContext.defaultParallelism
-    (framed.repartition(n, "o").sortWithinPartitions("o").select("value")
+    (framed.repartitionByRange(n, "o").sortWithinPartitions("o").select("value")
      .write.mode("overwrite").option("lineSep", "\n").text(path))
