@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 from citecube.plans import cube as cube_plan  # noqa: E402
-from citecube.plans import olap  # noqa: E402
+from citecube.plans import lattice, olap  # noqa: E402
 from citecube.plans.star import build_star  # noqa: E402
 from citecube.session import local_session, scratch_path  # noqa: E402
 from citecube.sources import adapter, tables  # noqa: E402
@@ -66,6 +66,15 @@ def main() -> None:
         run(fn(cube, t["author"], t["timeinfo"]))
         res[name.split("_")[0] + "_cube"] = timed(lambda: run(fn(cube, t["author"], t["timeinfo"])), repeat)
 
+    # The lattice: all attributes in its cuboids, so a question reads one folder and joins nothing.
+    t0 = time.perf_counter()
+    cuboids = lattice.Lattice(spark, os.path.join(root, "lattice"))
+    cuboids.add_segment(lattice.star_rows(t), "all-loads")
+    res["lattice_build"] = round(time.perf_counter() - t0, 3)
+    for name, fn in lattice.QUERIES.items():
+        run(fn(cuboids))
+        res[name.split("_")[0] + "_routed"] = timed(lambda: run(fn(cuboids)), repeat)
+
     # XML import: render the tables as a DBLP dump (untimed), then time the
     # parallel import of publications and collections.
     from citecube import catalog_more
@@ -79,6 +88,8 @@ def main() -> None:
 
     base_times = [v for k, v in res.items() if k.endswith("_base")]
     cube_times = [v for k, v in res.items() if k.endswith("_cube")]
+    routed_times = [v for k, v in res.items() if k.endswith("_routed")]
+    res["mean_routed"] = round(sum(routed_times) / len(routed_times), 3)
     res["mean_base"] = round(sum(base_times) / len(base_times), 3)
     res["mean_cube"] = round(sum(cube_times) / len(cube_times), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")

@@ -147,8 +147,8 @@ register("cube_q4_top_cited_authors_year", _Q4_YEAR)(
                                         written_star(spark, sf_dir)["timeinfo"], year=olap.YEAR))
 
 register("cube_decade_rollup", oracle.with_star("""
-SELECT t.decade, CAST(count(f.publication_id) AS BIGINT) AS n_pubs,
-       CAST(sum(f.citings_dblp) AS BIGINT) AS sum_citings, max(f.citings_dblp) AS max_citings
+SELECT t.decade, CAST(count(f.publication_id) AS BIGINT) AS n_links,
+       CAST(sum(f.citings_dblp) AS BIGINT) AS link_citings, max(f.citings_dblp) AS max_citings
 FROM fact f JOIN dim_time t ON t.time_id = f.time_id GROUP BY t.decade"""))(
     lambda spark, sf_dir: cube_plan.decade_rollup(_cube(spark, sf_dir), star(spark, sf_dir).timeinfo))
 
@@ -162,4 +162,4 @@ def _load() -> None:
     if _LOADED:
         return
     _LOADED = True
-    from . import catalog_more  # noqa: F401
+    from . import catalog_cube, catalog_more  # noqa: F401

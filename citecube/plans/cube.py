@@ -119,11 +119,12 @@ def cq10(cube, author, timeinfo, name=AUTHOR_NAME, year=YEAR):
 
 
 def decade_rollup(cube: DataFrame, timeinfo: DataFrame) -> DataFrame:
-    """Publications-author rows and citations per decade, rolled up from the
-    (time_id) cuboid: count and sum are mergeable, so no base scan."""
+    """Author places (fact rows) and their citations per decade, rolled up from
+    the (time_id) cuboid.  A publication counts once per author here; distinct
+    publications are in ``lattice``."""
     c = cuboid(cube, "time_id").join(timeinfo.select("time_id", "decade"), "time_id")
-    return c.groupBy("decade").agg(F.sum("n_pubs").cast("long").alias("n_pubs"),
-                                   F.sum("sum_citings").cast("long").alias("sum_citings"),
+    return c.groupBy("decade").agg(F.sum("n_pubs").cast("long").alias("n_links"),
+                                   F.sum("sum_citings").cast("long").alias("link_citings"),
                                    F.max("max_citings").alias("max_citings"))
 
 
