@@ -29,6 +29,7 @@ from .schemas import CITE_PLACEHOLDER, STAGED_COLLECTIONS, STAGED_PUBLICATIONS
 from .session import scratch_path
 from .sources import adapter
 from .sources import csv_dialects as csv
+from .sources import csv_scan
 from .sources import tables as tb
 from .sources import xml_records as xml
 from .sources.tables import author_pub
@@ -71,21 +72,38 @@ def csv_convert_first_n(spark, sf_dir):
 
 
 @register("csv_quoted_to_escaped", """
-SELECT doc_id, lang, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE source END AS source,
-       CASE WHEN doc_id % 3 = 2 THEN text END AS text, 2 + CASE WHEN doc_id % 3 = 0 THEN 0 ELSE doc_id % 3 END AS n_fields
-FROM documents""")
+SELECT doc_id, lang, source, text, CASE WHEN doc_id % 3 > 0 THEN 'extra' END AS first_extra,
+       CASE WHEN doc_id % 3 > 1 THEN ', "quoted"' END AS second_extra, 4 + doc_id % 3 AS n_fields FROM documents""")
 def csv_quoted_to_escaped(spark, sf_dir):
-    """Records of two, three or four fields, converted and read back."""
+    """Records of whole texts with none, one or two further fields, converted
+    and read back."""
     src, dst = scratch_path(spark, "docs-ragged"), scratch_path(spark, "docs-ragged-escaped")
-    many = F.col("doc_id") % 3
-    fields = F.slice(F.array(F.col("doc_id").cast("string"), "lang", "source", "text"), 1, (many + 2).cast("int"))
+    fields = F.slice(F.array(F.col("doc_id").cast("string"), "lang", "source", "text", F.lit("extra"), F.lit(', "quoted"')),
+                     1, (F.col("doc_id") % 3 + 4).cast("int"))
     lines = _docs(spark, sf_dir).select(F.array_join(F.transform(fields, csv._quote_minimal), ",").alias("value"))
     lines.write.option("lineSep", "\n").text(src)
     csv.convert_records(spark, src, dst, "quoted-to-escaped")
     f = csv.read_escaped_fields(spark, dst)
     get = lambda i: F.get("fields", F.lit(i))
-    return f.select(get(0).cast("long").alias("doc_id"), get(1).alias("lang"), get(2).alias("source"),
-                    get(3).alias("text"), F.size("fields").cast("long").alias("n_fields"))
+    return f.select(get(0).cast("long").alias("doc_id"), get(1).alias("lang"), get(2).alias("source"), get(3).alias("text"),
+                    get(4).alias("first_extra"), get(5).alias("second_extra"), F.size("fields").cast("long").alias("n_fields"))
+
+
+@register("csv_rejects", """
+SELECT CASE page_id % 4 WHEN 1 THEN 'bad_n' WHEN 2 THEN 'text_after_quote' ELSE 'missing_field_2' END AS reason, page_id
+FROM pages WHERE page_id % 4 > 0""")
+def csv_rejects(spark, sf_dir):
+    """Every page as a quoted record; three of four are broken in one way each,
+    and all of those come out as rejects, whole."""
+    path, kind = scratch_path(spark, "pages-quoted"), F.col("page_id") % 4
+    key, html = F.col("page_id").cast("string"), csv._quote_minimal(F.coalesce("html", F.lit("")))
+    line = (F.when(kind == 1, F.concat(key, F.lit(",x1,"), html)).when(kind == 2, F.concat(key, F.lit(',1,"a" b,'), html))
+            .when(kind == 3, F.concat(key, F.lit(",1"))).otherwise(F.concat(key, F.lit(",1,"), html)))
+    adapter.table(spark, sf_dir, "pages").select(line.alias("value")).write.option("lineSep", "\n").text(path)
+    schema = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("n", T.LongType()),
+                           T.StructField("html", T.StringType())])
+    rejects = csv_scan.route(csv_scan.scan_quoted(spark, path), schema)[1]
+    return rejects.select("reason", F.regexp_extract("raw", "^[0-9]+", 0).cast("long").alias("page_id"))
 
 
 @register("csv_pipe_header", oracle.with_star(

@@ -9,7 +9,8 @@ with ``regexp_replace`` and writes ``concat_ws`` lines.  Both stay in the
 JVM and are splittable (a record never spans a line: CR/LF are escaped).
 
 *Quoted*: ``"`` quote, doubled quotes inside, quoting only where needed,
-empty field = NULL - Spark's own CSV source with explicit options.
+empty field = NULL.  Files with a header are read by Spark's CSV source; record
+files by ``csv_scan``, which splits large files and keeps every record.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import shuffle_partitions
+from . import csv_scan
 
 # Escape sequences of the escaped dialect (escape char "\").
 # Written: backslash, delimiter, CR, LF.  Read: \r \n \t \b \f map to
@@ -90,14 +92,12 @@ def read_escaped_fields(spark: SparkSession, path: str, skip_empty: bool = False
     """Escaped CSV scan -> ``fields ARRAY<STRING>``.  An empty line is a record
     with one empty field; ``skip_empty`` leaves such lines out.  ``limit`` > 0
     keeps the first N lines in input order, before any of them is parsed."""
-    lines = spark.read.option("lineSep", "\n").text(path)
-    lines = lines.select(F.regexp_replace("value", "\r$", "").alias("value"),
-                         F.input_file_name().alias("_file"),
-                         F.monotonically_increasing_id().alias("_row"))
-    if skip_empty:
-        lines = lines.filter(F.col("value") != "")
     if limit > 0:
-        lines = lines.orderBy("_file", "_row").limit(limit)
+        lines = csv_scan.first_lines(spark, path, limit, skip_empty)
+    else:
+        lines = spark.read.option("lineSep", "\n").text(path).select(F.regexp_replace("value", "\r$", "").alias("value"))
+        if skip_empty:
+            lines = lines.filter(F.col("value") != "")
     return lines.select(parse_escaped(F.col("value")).alias("fields"))
 
 
@@ -136,6 +136,10 @@ def write_quoted(df: DataFrame, path: str, header: bool = False, sep: str = ",",
     if order_by:
         n = shuffle_partitions(df.sparkSession)
         df = df.repartitionByRange(n, order_by).sortWithinPartitions(order_by)
+    if len(df.columns) == 1 and not header:      # Spark would write a lone NULL as an empty line, which readers skip
+        df.select(_record([F.col(df.columns[0]).cast("string")]).alias("value")).write.mode("overwrite").option(
+            "lineSep", "\n").text(path)
+        return
     (df.write.mode("overwrite").option("sep", sep).option("quote", '"').option("escape", '"')
      .option("header", header).option("nullValue", "").option("lineSep", "\n")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
@@ -143,12 +147,25 @@ def write_quoted(df: DataFrame, path: str, header: bool = False, sep: str = ",",
 
 def read_quoted(spark: SparkSession, path: str, schema: T.StructType, header: bool = False,
                 sep: str = ",") -> DataFrame:
+    """Quoted CSV scan; fails on a record that is not one of ``schema``."""
+    if not header and sep == DELIMITER:
+        return _strict(csv_scan.scan_quoted(spark, path), schema)
     return (spark.read.schema(schema).option("sep", sep).option("quote", '"').option("escape", '"')
             .option("header", header).option("multiLine", True).option("nullValue", "")
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("mode", "FAILFAST").csv(path))
 
 
+def _strict(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    values = [F.get("fields", F.lit(i)).try_cast(f.dataType) for i, f in enumerate(schema.fields)]
+    fits = F.col("reason").isNull() & (F.size("fields") == len(values))
+    for i, v in enumerate(values):
+        fits = fits & (F.get("fields", F.lit(i)).isNull() | v.isNotNull())
+    failed = F.raise_error(F.concat(F.lit("not a record of the schema: "), F.coalesce("reason", F.lit("")), F.lit(" "), "raw"))
+    rows = rows.where(F.when(fits, True).otherwise(failed.cast("boolean")))
+    return rows.select(*[v.alias(f.name) for v, f in zip(values, schema.fields)])
+
+
 def convert(spark: SparkSession, src: str, dst: str, schema: T.StructType,
             direction: str, limit: int = 0) -> None:
     """``csv IN OUT --quoted-to-escaped | --escaped-to-quoted [--limit N]``:
@@ -157,11 +174,8 @@ def convert(spark: SparkSession, src: str, dst: str, schema: T.StructType,
         df = read_escaped(spark, src, schema, limit=limit)
         write_quoted(df, dst)
     elif direction == "quoted-to-escaped":
-        df = read_quoted(spark, src, schema)
-        if limit > 0:
-            df = (df.withColumn("_f", F.input_file_name()).withColumn("_r", F.monotonically_increasing_id())
-                  .orderBy("_f", "_r").limit(limit).drop("_f", "_r"))
-        write_escaped(df, dst)
+        rows = csv_scan.first_records(spark, src, limit) if limit > 0 else csv_scan.scan_quoted(spark, src)
+        write_escaped(_strict(rows, schema), dst)
     else:
         raise ValueError(f"unknown direction {direction!r}")
 
@@ -183,36 +197,30 @@ def _quote_minimal(f: Column) -> Column:
     return F.coalesce(F.when(needs, quoted).otherwise(f), F.lit(""))
 
 
-def read_quoted_fields(spark: SparkSession, path: str, limit: int = 0) -> DataFrame:
-    """Quoted CSV scan -> ``fields ARRAY<STRING>``, any number per record.
-    Spark's reader finds the records (a quoted field may span lines) with a
-    schema of one field, and hands a record of more fields over as it stands;
-    the fields are then read off it.  An empty field is NULL."""
-    rows = (spark.read.schema("only string, raw string").option("columnNameOfCorruptRecord", "raw")
-            .option("quote", '"').option("escape", '"').option("multiLine", True).option("nullValue", "")
-            .option("columnPruning", False).option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False).csv(path))
-    if limit > 0:
-        rows = (rows.withColumn("_f", F.input_file_name()).withColumn("_r", F.monotonically_increasing_id())
-                .orderBy("_f", "_r").limit(limit))
-    found = F.regexp_extract_all(F.concat(F.lit(DELIMITER), F.col("raw")),
-                                 F.lit(r',("(?:[^"]++|"")*+"|[^,]*+)'), F.lit(1))
+def _record(fields: list[Column]) -> Column:
+    """One record of the quoted dialect; a lone empty field is written ``""``."""
+    line = F.array_join(F.transform(F.array(*fields), _quote_minimal), DELIMITER)
+    return F.when(line == "", F.lit('""')).otherwise(line) if len(fields) == 1 else line
 
-    def plain(f: Column) -> Column:
-        inner = F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))
-        return F.nullif(F.when(F.startswith(f, F.lit('"')), inner).otherwise(f), F.lit(""))
 
-    return rows.select(F.when(F.col("raw").isNull(), F.array("only")).otherwise(F.transform(found, plain)).alias("fields"))
+def read_quoted_fields(spark: SparkSession, path: str, limit: int = 0) -> DataFrame:
+    """Quoted CSV scan -> ``fields ARRAY<STRING>``, any number per record.  An
+    empty field is NULL; a record that breaks the dialect fails the job."""
+    rows = csv_scan.first_records(spark, path, limit) if limit > 0 else csv_scan.scan_quoted(spark, path)
+    failed = F.raise_error(F.concat("reason", F.lit(": "), "raw")).cast("boolean")
+    return rows.where(F.when(F.col("reason").isNull(), True).otherwise(failed)).select("fields")
 
 
 def convert_records(spark: SparkSession, src: str, dst: str, direction: str, limit: int = 0) -> None:
     """Schema-less, record-exact dialect conversion (any number of fields per
     record, none lost and none added)."""
     if direction == "escaped-to-quoted":
-        fields, field = read_escaped_fields(spark, src, limit=limit), _quote_minimal
+        fields = read_escaped_fields(spark, src, limit=limit)
+        line = F.array_join(F.transform("fields", _quote_minimal), DELIMITER)
+        line = F.when(line == "", F.lit('""')).otherwise(line)
     elif direction == "quoted-to-escaped":
-        fields, field = read_quoted_fields(spark, src, limit), _escape_field
+        fields = read_quoted_fields(spark, src, limit)
+        line = F.array_join(F.transform("fields", _escape_field), DELIMITER)
     else:
         raise ValueError(f"unknown direction {direction!r}")
-    out = fields.select(F.array_join(F.transform("fields", field), DELIMITER).alias("value"))
-    out.write.mode("overwrite").option("lineSep", "\n").text(dst)
+    fields.select(line.alias("value")).write.mode("overwrite").option("lineSep", "\n").text(dst)

@@ -136,10 +136,16 @@ def judge_chunks(chunks: DataFrame, records: tuple[str, ...]) -> DataFrame:
             .withColumn("mode", F.coalesce("own", F.last("after", True).over(earlier), "mode_in"))
             .withColumn("open", F.coalesce("open", F.when(F.col("mode") == 0, F.col("tag")).otherwise("")))
             .withColumn("opened", F.when(F.row_number().over(order) == 1, F.col("tag_in")).otherwise(F.lag("open").over(order)))
-            .withColumn("head", F.col("opened").isNull() | ((F.col("mode") == 0) & F.col("opened").isin(*records)))
-            .withColumn("own_head", F.last(F.when(F.col("head"), F.col("place")), True)
-                        .over(order.rowsBetween(Window.unboundedPreceding, 0))))
-    rows = materialize(rows.select(*PLACE, "marked", "mode", "opened", "head", "own_head"), "xml-judged")
+            .withColumn("head", F.col("opened").isNull() | ((F.col("mode") == 0) & F.col("opened").isin(*records))))
+    rows = with_owners(rows.select(*PLACE, "marked", "mode", "opened", "head"))
+    return rows
+
+
+def with_owners(rows: DataFrame) -> DataFrame:
+    """Pieces (src, block, place, head, ...) with the place of the head at or
+    before each, in its split or in an earlier one of the file."""
+    order = Window.partitionBy("src", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    rows = materialize(rows.withColumn("own_head", F.last(F.when(F.col("head"), F.col("place")), True).over(order)), "pieces")
     heads = rows.groupBy("src", "block").agg(F.max("own_head").alias("p"))
     before = Window.partitionBy("src").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)     # over splits
     carried = heads.select("src", "block", F.last(F.when(F.col("p").isNotNull(), F.struct("block", "p")), True)
@@ -149,14 +155,12 @@ def judge_chunks(chunks: DataFrame, records: tuple[str, ...]) -> DataFrame:
             .withColumn("owner_place", F.coalesce("own_head", "c.p")).drop("own_head", "c"))
 
 
-def whole_records(chunks: DataFrame, judged: DataFrame, sep: str) -> DataFrame:
-    """The chunks with every record whole in the chunk in which it starts;
-    comments are taken out."""
-    stray = ~F.col("head")
-    in_comment = F.col("mode").isin(1, 3) & ~F.col("marked")       # nothing of it is outside
-    loose = materialize(judged.where(stray).withColumn("drop", in_comment), "xml-loose")
+def join_pieces(chunks: DataFrame, loose: DataFrame, sep: str) -> DataFrame:
+    """(file, src, block, place, chunk): the chunks without the loose pieces (src,
+    block, place, owner_block, owner_place, drop), which are put behind their
+    owners or dropped.  Only owners and loose pieces are moved."""
     owners = materialize(loose.where("NOT drop").select(
-        "src", F.col("owner_block").alias("block"), F.col("owner_place").alias("place")).distinct(), "xml-owners")
+        "src", F.col("owner_block").alias("block"), F.col("owner_place").alias("place")).distinct(), "owners")
     pieces = (loose.where("NOT drop").select(*PLACE, "owner_block", "owner_place")
               .unionByName(owners.withColumn("owner_block", F.col("block")).withColumn("owner_place", F.col("place"))))
     joined = (chunks.join(pieces, PLACE).groupBy("src", "owner_block", "owner_place")
@@ -165,8 +169,16 @@ def whole_records(chunks: DataFrame, judged: DataFrame, sep: str) -> DataFrame:
               .select("file", "src", F.col("owner_block").alias("block"), F.col("owner_place").alias("place"),
                       F.array_join(F.transform("parts", lambda p: p["chunk"]), sep).alias("chunk")))
     plain = chunks.join(loose.select(*PLACE), PLACE, "left_anti").join(owners, PLACE, "left_anti")
+    return plain.select("file", *PLACE, "chunk").unionByName(joined)
+
+
+def whole_records(chunks: DataFrame, judged: DataFrame, sep: str) -> DataFrame:
+    """The chunks with every record whole in the chunk in which it starts;
+    comments are taken out."""
+    in_comment = F.col("mode").isin(1, 3) & ~F.col("marked")       # nothing of it is outside
+    loose = materialize(judged.where(~F.col("head")).withColumn("drop", in_comment), "xml-loose")
     clean = F.when(F.col("chunk").contains("<!--"), F.regexp_replace("chunk", _COMMENTS, "$1")).otherwise(F.col("chunk"))
-    return plain.select("file", *PLACE, "chunk").unionByName(joined).withColumn("chunk", clean)
+    return join_pieces(chunks, loose, sep).withColumn("chunk", clean)
 
 
 def number_by_place(rows: DataFrame, id_col: str = "seq") -> DataFrame:

@@ -1,13 +1,18 @@
 """CSV dialects: the escaped round trip, typed
 projection, quoted dialect, first-N conversion."""
 
+import csv
 import glob
+import io
 import os
+import random
 
+import pytest
 from pyspark.sql import types as T
 
 from citecube.session import scratch_path
 from citecube.sources import csv_dialects as C
+from citecube.sources import csv_scan as S
 
 ROWS = [("north", "gate", 1, "one comma, here", 1001),
         ("south", "gate", 2, "two, commas, here", 1002),
@@ -83,7 +88,6 @@ def test_convert_first_n_in_file_order(spark):
 
 
 def test_strict_projection_fails_on_bad_value(spark):
-    import pytest
     from pyspark.sql import functions as F
     df = spark.createDataFrame([("x1,2",)], "line string")
     for line in ("2", "2,", ""):      # short records and empty numbers fail as well
@@ -114,3 +118,74 @@ def test_quoted_to_escaped_keeps_ragged_records(spark):
     got = sorted(tuple(r.fields) for r in C.read_escaped_fields(spark, dst).collect())
     assert got == sorted([("a", "b"), ("c", "d", "e"), ("x", "y,1", "z"), ("only",), ("two\nlines", "2"),
                           ('say "so"', None, None)])
+
+
+def _text(spark, text, name="raw"):
+    path = scratch_path(spark, name)
+    os.makedirs(local(path))
+    with open(os.path.join(local(path), "part-0.csv"), "w", newline="") as fh:
+        fh.write(text)
+    return path
+
+
+def test_no_record_and_no_character_is_lost_between_the_dialects(spark):
+    a, b, c = (scratch_path(spark, "loop") for _ in range(3))
+    one = T.StructType([T.StructField("v", T.StringType())])
+    C.write_escaped(spark.createDataFrame([("a",), (None,), ("b",)], "v string"), a)
+    C.convert_records(spark, a, b, "escaped-to-quoted")
+    C.convert_records(spark, b, c, "quoted-to-escaped")
+    assert sorted(r.v for r in C.read_escaped(spark, c, one).collect()) == ["", "a", "b"]
+    C.write_quoted(spark.createDataFrame([("a",), (None,), ('x "y"',)], "v string"), d := scratch_path(spark, "lone"))
+    assert sorted((r.v for r in C.read_quoted(spark, d, one).collect()), key=str) == [None, "a", 'x "y"']
+
+
+def test_rejects_have_reason_and_line(spark):
+    text = '1,x,one\n2,"two\nlines",t\n"3" b,c,d\nx,y,z\n5,only\n\n7,"a" ,ok\n8,"never, closed\n9,z,z\n'
+    path = _text(spark, text)
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    good, rejects = S.route(S.scan_quoted(spark, path), schema)
+    assert sorted(map(tuple, good.collect())) == [(1, "x", "one"), (2, "two\nlines", "t"), (7, "a", "ok")]
+    assert sorted((r.line, r.reason, r.raw) for r in rejects.collect()) == [
+        (4, "text_after_quote", '"3" b,c,d'), (5, "bad_n", "x,y,z"), (6, "missing_field_2", "5,only"),
+        (7, "missing_field_1", ""), (9, "unclosed_quote", '8,"never, closed'), (10, "unclosed_quote", "9,z,z")]
+    with pytest.raises(Exception, match="text_after_quote"):
+        C.read_quoted_fields(spark, _text(spark, '"a" b,c\n', "late")).collect()
+    good, rejects = S.route(S.scan_escaped(spark, _text(spark, "1,a\\,b\r\n2\nz,q\n4,x\\\n", "esc")), T.StructType(schema.fields[:2]))
+    assert sorted(map(tuple, good.collect())) == [(1, "a,b")]
+    assert sorted((r.line, r.reason) for r in rejects.collect()) == [(2, "missing_field_1"), (3, "bad_n"), (4, "dangling_escape")]
+
+
+@pytest.mark.parametrize("split", [128 << 20, 90])
+def test_quoted_scan_of_many_splits_against_the_csv_module(spark, split):
+    rng = random.Random(split)
+    texts = ["", "plain", 'say "hi"', "two\nlines", "a,b", '"', '""\n""', "x" * 150, ",\n,", "\n\n\n", 'q"\n"q']
+    records = [[str(i), *(rng.choice(texts) for _ in range(rng.randint(0, 4)))] for i in range(150)]
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows(records)
+    path = _text(spark, out.getvalue(), "many")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, split)
+        rows = S.scan_quoted(spark, path).collect()
+        first = C.read_quoted_fields(spark, path, limit=40).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = [[f or None for f in r] for r in records]
+    assert len({r.block for r in rows}) > (1 if split < 1000 else 0)
+    assert [r.fields for r in sorted(rows, key=lambda r: int(r.fields[0]))] == want and not any(r.reason for r in rows)
+    assert [r.line for r in rows if r.fields[0] == "0"] == [1]
+    assert sorted((r.fields for r in first), key=lambda f: int(f[0])) == want[:40]
+
+
+def test_first_lines_leave_later_files_unread(spark):
+    path = scratch_path(spark, "first")
+    os.makedirs(local(path))
+    for i in range(4):
+        with open(os.path.join(local(path), f"part-{i}.csv"), "w") as fh:
+            fh.write("".join(f"{i},{k}\n" for k in range(5)))
+    got = S.first_lines(spark, path, 7)
+    assert sorted(r.value for r in got.collect()) == sorted([f"0,{k}" for k in range(5)] + ["1,0", "1,1"])
+    assert sorted(os.path.basename(f) for f in got.inputFiles()) == ["part-0.csv", "part-1.csv"]
+    assert S.first_lines(spark, path, 100).count() == 20
