@@ -16,6 +16,7 @@ import os
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.lookup import join_right_distinct
@@ -106,6 +107,25 @@ def register_star(spark: SparkSession, tables: dict[str, DataFrame], prefix: str
         prefix + "author_pub")
 
 
+BUCKETED = ("publication", "author")
+SALT = 4       # files of a bucket, so that a large author is not one task's work
+
+
+def store_star(spark: SparkSession, tables: dict[str, DataFrame], root: str, prefix: str = "", buckets: int = 64) -> None:
+    """External tables ``<prefix><name>`` over files below ``root``, with
+    statistics.  The fact and the authors are bucketed by author: counting, summing
+    or joining by author then needs no exchange."""
+    for name, df in tables.items():
+        if name in BUCKETED:
+            bucket = F.pmod(F.hash("author_id"), F.lit(buckets))       # as Spark's bucketing has it
+            writer = (df.repartition(buckets * SALT, bucket, F.pmod(F.xxhash64(*df.columns), F.lit(SALT)))
+                      .write.bucketBy(buckets, "author_id").sortBy("author_id"))
+        else:
+            writer = df.write
+        writer.format("parquet").mode("overwrite").option("path", os.path.join(root, name)).saveAsTable(prefix + name)
+        spark.sql(f"ANALYZE TABLE `{prefix + name}` COMPUTE STATISTICS FOR ALL COLUMNS")
+
+
 def author_pub(author: DataFrame, bridge: DataFrame) -> DataFrame:
     """DISTINCT (publication_id, author_id, name) of author RIGHT JOIN bridge;
     the author's own id column is kept (NULL when the id is unknown)."""
