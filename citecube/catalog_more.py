@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from . import oracle
 from .catalog import memo, register, staged, star
 from .functions import text as fx
-from .functions.entities import decode_entities, sql_decode_chain
+from .functions.entities import LATIN1_ENTITIES, decode_entities, sql_decode_chain
 from .functions.text import split_list
 from .operators import dedup, routing
 from .operators.lookup import (count_matches, dim_lookup, join_full, join_inner, join_left,
@@ -25,11 +25,11 @@ from .plans import hiveql
 from .plans.pdi import build_pdi
 from .plans.star import build_star, title_ids
 from .plans.star_acm import build_star_acm
-from .schemas import CITE_PLACEHOLDER, STAGED_COLLECTIONS, STAGED_PUBLICATIONS
+from .schemas import ALL_RECORD_TYPES, CITE_PLACEHOLDER, DTD_FIELDS, STAGED_COLLECTIONS, STAGED_PUBLICATIONS
 from .session import scratch_path
 from .sources import adapter
 from .sources import csv_dialects as csv
-from .sources import csv_scan
+from .sources import csv_scan, dtd
 from .sources import tables as tb
 from .sources import xml_records as xml
 from .sources.tables import author_pub
@@ -215,6 +215,44 @@ def xml_quality(spark, sf_dir):
     return xml.quality_report(spark, _dblp_dump(spark, sf_dir))
 
 
+def _dtd_text() -> str:
+    """Declarations for the rendered records: authors and editors first, then one
+    title, then any fields (chapters in books only); keys are required; the
+    Latin-1 entities."""
+    rest = [x for x in DTD_FIELDS if x not in ("author", "editor", "title")]
+    lines = [f"<!ELEMENT {r} ((author|editor)*,title,({'|'.join(x for x in rest if x != 'chapter' or r == 'book')})*)>\n"
+             f"<!ATTLIST {r} key CDATA #REQUIRED mdate CDATA #IMPLIED>" for r in ALL_RECORD_TYPES]
+    inline = "|".join(xml.TITLE_MARKUP)
+    lines += [f"<!ELEMENT {f} (#PCDATA{'|' + inline if f == 'title' else ''}){'*' if f == 'title' else ''}>" for f in DTD_FIELDS]
+    lines += [f"<!ELEMENT {t} (#PCDATA)>" for t in xml.TITLE_MARKUP]
+    lines += [f'<!ENTITY {n} "&#{ord(c)};">' for n, c in LATIN1_ENTITIES.items()]
+    return "\n".join(lines)
+
+
+@register("xml_dtd_violations", """
+SELECT CASE o_orderkey % 8 WHEN 0 THEN 'missing_attribute' WHEN 1 THEN 'undeclared_element' WHEN 2 THEN 'misplaced_element'
+            WHEN 3 THEN 'content_model' WHEN 4 THEN 'undeclared_entity' ELSE 'unknown_record' END AS rule,
+       CASE o_orderkey % 8 WHEN 5 THEN 'person' ELSE 'article' END AS type,
+       CASE WHEN o_orderkey % 8 NOT IN (0, 5) THEN 'orders/' || o_orderkey END AS key
+FROM orders WHERE o_orderkey % 8 < 6""")
+def xml_dtd_violations(spark, sf_dir):
+    """One record per order, six of eight broken in one way each, against the
+    declarations written beside them."""
+    path, where = scratch_path(spark, "dtd-xml"), scratch_path(spark, "dtd")
+    spark.createDataFrame([(_dtd_text(),)], "value string").coalesce(1).write.option("lineSep", "\n").text(where)
+    key, fault = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 8
+    pick = lambda k, broken, whole: F.when(fault == k, broken).otherwise(whole)
+    text = F.concat(
+        pick(0, F.lit('<article mdate="x">'), F.concat(F.lit('<article mdate="x" key="orders/'), key, F.lit('">'))),
+        pick(3, F.lit("<title>T</title><author>A</author>"), F.lit("<author>A</author><title>T <i>x</i> &uuml;</title>")),
+        pick(1, F.lit("<extra>e</extra>"), F.lit("")), pick(2, F.lit("<chapter>b</chapter>"), F.lit("")),
+        pick(4, F.lit("<note>&unheard;</note>"), F.lit("<year>2001</year>")), F.lit("</article>"),
+        pick(5, F.concat(F.lit('<person key="p/'), key, F.lit('"><author>P</author></person>')), F.lit("")))
+    xml.write_xml([adapter.table(spark, sf_dir, "orders").select(text.alias("value"), F.col("o_orderkey").cast("long").alias("o"))],
+                  path, XML_HEAD, "</dblp>")
+    return dtd.violations(spark, path, dtd.read_dtd(spark, where), ALL_RECORD_TYPES, xml.KEY_SEP, xml.parse_dblp_chunks)
+
+
 @register("xml_rejects", """
 SELECT 'missing_author' AS reason,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'article' WHEN '2-HIGH' THEN 'inproceedings' ELSE 'incollection' END AS type,
