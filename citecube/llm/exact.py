@@ -35,17 +35,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     SHA-256 of the normalised text, the smallest id and the number of rows.
 
     Null, missing and empty texts are equal to each other.  Rows that repeat an
-    id count one by one.  An empty table gives no groups; extra columns of any
+    id, and rows without one, count one by one; a null id is never the smallest,
+    and its row's ``kept`` is null.  An empty table gives no groups; extra columns of any
     name are ignored."""
     prints = materialize(
         docs.select(F.col(id_col).alias("id"), normalised(text_col).alias("_t"))
         .select("id", F.octet_length("_t").alias("size"),
                 F.xxhash64(F.substring("_t", 1, PREFIX_CHARS)).alias("prefix")), "exact-prints")
     same_length = _recurring(prints, ["size"])
-    survivors = _recurring(same_length, ["size", "prefix"]).select("id")
-    full = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t"))
-            .join(materialize(survivors, "exact-survivors"), "id", "left_semi")
-            .select("id", digest("_t").alias("full")))
+    survivors = materialize(_recurring(same_length, ["size", "prefix"]).select(F.col("id").alias("_s")).distinct(), "exact-survivors")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t"))
+    full = rows.join(survivors, rows["id"].eqNullSafe(survivors["_s"]), "left_semi").select("id", digest("_t").alias("full"))
     return materialize(full.groupBy("full").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
                        .where("group_size > 1"), "exact-groups")
 

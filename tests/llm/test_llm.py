@@ -73,6 +73,14 @@ def test_exact_edges(spark):
         (0, 0, 2), (0, 0, 2), (1, 1, 2), (1, 1, 2)]
 
 
+def test_exact_counts_rows_without_an_id(spark):
+    rows = make_docs(spark, ["same text", "other", "other"], first=7)
+    rows = rows.union(make_docs(spark, ["same text", "lost", "lost"]).withColumn("doc_id", F.lit(None).cast("long")))
+    got = sorted(((r.id, r.keep_id, r.group_size, r.kept) for r in exact.exact_labels(rows).collect()), key=str)
+    assert got == sorted([(7, 7, 2, True), (8, 8, 2, True), (9, 8, 2, False), (None, 7, 2, None), (None, None, 2, None),
+                          (None, None, 2, None)], key=str)
+
+
 # -- near-dedup ------------------------------------------------------------
 def brute_near(rows, words, percent):
     sets = {}
