@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
 from .cap_filters import matrix
 from .common import materialize
 from .topk import LONG_MAX, scaled
@@ -272,12 +273,17 @@ def positives(placed: DataFrame, anchors: DataFrame, index: Index, groups: int,
                 out += [(int(own[p]), int(ids[h]), int(s[h])) for h in best(s, ids, hits, k)]
         return table(out, ["anchor_id", "positive_id", "positive_score"])
 
-    asks = anchors.mapInArrow(route, "anchor_id long, label long, vector array<double>, grp long, cell long, chunk long, low long")
+    asks = spread(anchors).mapInArrow(route, "anchor_id long, label long, vector array<double>, grp long, cell long, chunk long, low long")
     found = tiles(placed, asks, groups).applyInArrow(tile, "anchor_id long, positive_id long, positive_score long")
     order = Window.partitionBy("anchor_id").orderBy(F.desc("positive_score"), "positive_id")
     return materialize(found.withColumn("positive", F.row_number().over(order)).where(F.col("positive") <= k), "gn-positives")
 
 
+def spread(anchors: DataFrame) -> DataFrame:
+    """Few rows, much work each: as many tasks as a shuffle has."""
+    return anchors.repartition(shuffle_partitions(anchors.sparkSession), "anchor_id")
+
+
 def table(rows: list[tuple], names: list[str]) -> pa.Table:
     columns = list(zip(*rows)) if rows else [[]] * len(names)
     return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns)})
@@ -369,7 +375,7 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, label: Column, n_posit
                     out += [(int(own[p]), place, int(ids[h]), int(s[h])) for h in best(s, ids, hits, n_negatives)]
         return table(out, ["anchor_id", "positive", "negative_id", "negative_score"])
 
-    asks = windows.mapInArrow(route, "anchor_id long, label long, vector array<double>, grp long, p array<long>, s array<long>, "
+    asks = spread(windows).mapInArrow(route, "anchor_id long, label long, vector array<double>, grp long, p array<long>, s array<long>, "
                                      "cell long, chunk long")
     hits = tiles(placed, asks, groups).applyInArrow(tile, "anchor_id long, positive long, negative_id long, negative_score long")
     order = Window.partitionBy("anchor_id", "positive").orderBy(F.desc("negative_score"), "negative_id")

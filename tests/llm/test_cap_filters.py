@@ -3,7 +3,6 @@
 import math
 
 import numpy as np
-import pytest
 
 from citecube.llm import cap_filters
 
@@ -63,17 +62,16 @@ def hostile(seed, hot=150):
     return [(i, None if v is None else list(v)) for i, v in rows]
 
 
-@pytest.mark.parametrize("strip", [cap_filters.STRIP, 16])
-def test_links_against_brute_force(spark, monkeypatch, strip):
-    monkeypatch.setattr(cap_filters, "STRIP", strip)
-    rows = hostile(strip)
+def test_links_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(cap_filters, "STRIP", 16)        # large filters meet in many tiles
+    rows = hostile(16)
     assert run(make(spark, rows)) == brute(rows)
 
 
 def test_edges(spark):
     assert run(make(spark, []).limit(0)) == []
-    for rows in ([(5, [1.0, 0.0])], [(5, None), (None, None)], [(5, [1.0]), (4, [2.0])]):
-        assert run(make(spark, rows)) == brute(rows)
+    rows = [(5, None), (None, None), (8, [1.0]), (4, [2.0])]
+    assert run(make(spark, rows)) == brute(rows)
 
 
 def test_recall_right_at_the_threshold(spark):
