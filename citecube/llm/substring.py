@@ -32,15 +32,16 @@ from pyspark.sql import functions as F
 from .common import blocks, gram_hashes, materialize, mix64, pair_hash, signed, text_bytes, word_hashes
 
 NODE_WORDS = 12
-KEY = ["id", "h"]   # a row's id and the hash of its text, so that rows repeating an id stay apart
+# A row's id, in a struct so that joins find a null one too, and the hash of its text, so that rows repeating an id stay apart.
+KEY = ["id", "h"]
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
     """((id, h, text), schema of the key)."""
     kind = docs.schema[id_col].dataType.simpleString()
-    return (docs.select(F.col(id_col).alias("id"),
+    return (docs.select(F.struct(F.col(id_col).alias("id")).alias("id"),
                         F.xxhash64(F.col(text_col)).alias("h"), text_bytes(text_col).alias("text")),
-            f"id {kind}, h long")
+            f"id struct<id: {kind}>, h long")
 
 
 def least_places(grams: np.ndarray, span: int) -> np.ndarray:
@@ -220,9 +221,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     also starts elsewhere, in the same document or another; windows are judged
     on the input.  The kept words are joined by one space.  Null, empty and
     shorter texts lose nothing.  Rows that repeat an id are documents of their
-    own; if they repeat the text too, they are whole copies.  Rows with a null
-    id count as evidence but lose nothing, as they cannot be told apart.  An
-    empty table gives no rows; extra columns of any name are ignored."""
+    own; if they repeat the text too, they are whole copies; so are rows with a
+    null id.  An empty table gives no rows; extra columns of any name are ignored."""
     texts, kind = _texts(docs, id_col, text_col)
     gone = _gone(docs, window, id_col, text_col)
 
@@ -240,7 +240,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
                     ["id", "n_words", "n_removed", "kept_sha256"])
 
     return (texts.join(gone, KEY, "left").select("id", "text", "starts", "whole")
-            .mapInArrow(run, f"{kind.split(', h')[0]}, n_words long, n_removed long, kept_sha256 string"))
+            .mapInArrow(run, f"{kind.split(', h')[0]}, n_words long, n_removed long, kept_sha256 string")
+            .select("id.id", "n_words", "n_removed", "kept_sha256"))
 
 
 def cut_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text",
@@ -248,9 +249,10 @@ def cut_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_
     """``docs`` with the repeated words cut out of its texts, all columns kept.
     Texts that lose nothing are left as they are; of the others the kept words
     are joined by one space, ``size_col`` (where there is one) follows, and
-    rows of which no word is left are dropped."""
+    rows of which no word is left are dropped.  Rows with a null id are evidence
+    for the others, but stay as they are: no stage before has made them unique."""
     gone = _gone(docs, window, id_col, text_col)
-    lost = gone.select(F.col("id").alias("_id"), F.col("h").alias("_h"), "starts", "whole")
+    lost = gone.where("id.id IS NOT NULL").select(F.col("id.id").alias("_id"), F.col("h").alias("_h"), "starts", "whole")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_id0"),
                        F.xxhash64(F.col(text_col)).alias("_h0"))
     joined = rows.join(lost, (F.col("_id0") == F.col("_id")) & (F.col("_h0") == F.col("_h")), "left")

@@ -181,6 +181,18 @@ def test_cut_repeats_keeps_columns_and_clean_texts(spark):
             assert sha == hashlib.sha256(b"").hexdigest()
 
 
+def test_repeats_of_rows_without_an_id(spark):
+    """The passage of a row without an id, and a copy of another row without one."""
+    passage, other = (" ".join(f"{c}{i}" for i in range(40)) for c in "pq")
+    rows = make_docs(spark, ["seven " + passage, other, "nine " + other], first=7)
+    rows = rows.union(make_docs(spark, ["lost " + passage, "eight " + other, "eight " + other])
+                      .withColumn("doc_id", F.lit(None).cast("long")))
+    got = sorted(((r.id, r.n_words, r.n_removed) for r in substring.remove_repeats(rows).collect()), key=str)
+    assert got == sorted([(7, 41, 40), (8, 40, 40), (9, 41, 40), (None, 41, 40), (None, 41, 41), (None, 41, 41)], key=str)
+    cut = {(r.doc_id, r.text) for r in substring.cut_repeats(rows, 35).collect()}
+    assert cut == {(7, "seven"), (9, "nine"), (None, "lost " + passage), (None, "eight " + other)}
+
+
 def test_repeats_edges(spark):
     assert substring.remove_repeats(empty(spark)).count() == 0
     text = " ".join(f"w{i}" for i in range(40))
