@@ -61,9 +61,3 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str,
     return (ranged.join(F.broadcast(off_df), _PART)
             .withColumn(id_col, (F.col(_OFF) + position + F.lit(first_id)).cast("long"))
             .drop(_PART, _MONO, _OFF))
-
-
-def record_sequence(df: DataFrame, order_cols: list[str], id_col: str = "seq") -> DataFrame:
-    """Import sequence number per record class (1, 2, ...), ordered by the
-    given source columns instead of the arrival order of a single reader."""
-    return dense_ids(df, order_cols, id_col)
