@@ -11,12 +11,13 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, materialize, pair_hash
+from .common import blocks, pair_hash
 
 BITS = 18
 TRAIN_ROWS = 5000        # about so many labelled documents are learnt from, chosen by a hash of their id
@@ -133,9 +134,17 @@ def in_fold(id_col: str = "doc_id") -> Column:
 def drop_poor(docs: DataFrame, weights: np.ndarray, threshold: float, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with a score of ``threshold`` or more, each by its
-    own text; rows with a null id all stay."""
-    hashed = F.xxhash64(F.col(text_col))
-    keyed = docs.select(F.struct(F.col(id_col).alias("id"), hashed.alias("h")).alias("key"), F.col(text_col).alias("text"))
-    poor = materialize(score(keyed, weights, "key", "text").where(F.col("score") < threshold)
-                       .select(F.col("id.id").alias("_poor"), F.col("id.h").alias("_hash")), "quality-poor")
-    return docs.join(poor, (docs[id_col] == poor["_poor"]) & (F.xxhash64(docs[text_col]) == poor["_hash"]), "left_anti")
+    own text; rows with a null id all stay.  One narrow pass: only texts go to
+    Python, and nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+
+    @F.pandas_udf("double")
+    def chance(texts: pd.Series) -> pd.Series:
+        w, out = shared.value, []
+        for text in texts:
+            place, value = features(text)
+            out.append(1.0 / (1.0 + np.exp(-float(np.clip(w[place] @ value + w[-1], -35, 35)))))
+        return pd.Series(out, dtype="float64")
+
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    return docs.where(F.col(f"`{id_col}`").isNull() | (chance(text) >= threshold))
