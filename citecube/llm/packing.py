@@ -2,21 +2,24 @@
 tokens together with their nearest unused neighbours.
 
 Documents are tokenised once and written.  Document frequencies, their number
-and their mean length are those of the whole table.  As many documents as there
-will be windows are drawn as heads, and every head searches all documents by
-BM25, with all its terms and without an index that leaves any out: blocks of
-heads are sent to the documents' tasks, so the number of passes grows with the
-table.  Each document belongs to the head that finds it best.  What belongs to
-one head, and then what belongs to like heads, shares a shard of bounded size.
-
-In a shard a seed document opens a window; its best unused neighbours follow
-until the window is full.  The document at the window's end is cut there, and
-its rest is the seed of the next window.  Only the last window of a shard can be
-short: it is split into sequences whose lengths are powers of two, so nothing is
-padded."""
+and their mean length are those of the whole table.  The BM25 index is sharded
+by contents: in every cell of documents above a shard's size a bounded number of
+routing documents is drawn by hash, and each document goes to the one that finds
+it best; cells that are still too large are split again.  A document meets a
+bounded number of routing documents per level, and there are as many levels as
+the logarithm of the table's size asks for, so the work grows with the table.
+Neighbouring small cells share a shard; what no level could split (copies, say)
+is dealt over several shards by row.
+
+In a shard a seed document opens a window; its best unused neighbours, asked
+from the shard's inverted index, follow until the window is full.  The document
+at the window's end is cut there, and its rest is the seed of the next window.
+Only the last window of a shard can be short: it is split into sequences whose
+lengths are powers of two, so nothing is padded."""
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -24,18 +27,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.keys import dense_ids
 from .common import blocks, materialize
 
 WINDOW = 4096
 SHARD_BYTES = 8 << 20      # text bytes of a shard, about
 NEIGHBOURS = 64            # ranked at a time; when they are used up the index is asked again
 K1, B = 1.2, 0.75
-HEAD_BYTES = 24 << 20      # token ids of the heads that one pass over the documents gets
-BLOCK_DOCS, BLOCK_HEADS = 512, 1024   # compared at a time
-NOBODY = -1                # head of a document that shares no term with any
+FANOUT, FEWEST = 128, 8    # routing documents of a cell, about
+SPREAD = 4                 # routing documents for each shard that a cell would fill
+TASK_BYTES = 16 << 20      # text bytes that meet their routing documents in one group, about
+NOBODY = -1                # place of the head of a document that shares no term with any
 CHUNKS, PIECES = 300_000, 150_000   # entries of the two caches of a Python worker
 
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\f\va-z0-9]+")
@@ -120,39 +125,47 @@ def inverse(df: np.ndarray, many: int) -> np.ndarray:
 
 
 class Index:
-    """BM25 index over the token ids of one shard's documents (none empty): the
-    term weights of each.  Those of used documents are let go in turn.
-    ``whole`` is (inverse frequency of every id, mean length) of all documents;
-    without it the shard's own count."""
+    """Inverted BM25 index over the token ids of one shard's documents (none
+    empty): for each term the documents that hold it, with their weights.
+    Used documents leave the postings in turn.  ``whole`` is (inverse frequency
+    of every id, mean length) of all documents; without it the shard's own
+    count."""
 
     def __init__(self, docs: list[np.ndarray], whole: tuple[np.ndarray, float] | None = None):
         self.own, counts = zip(*(np.unique(ids, return_counts=True) for ids in docs))
-        self.many = np.array([len(t) for t in self.own])
-        known, self.term = np.unique(np.concatenate(self.own), return_inverse=True)
+        many = np.array([len(t) for t in self.own])
+        known, term = np.unique(np.concatenate(self.own), return_inverse=True)
         tf, size = np.concatenate(counts), np.array([len(d) for d in docs], np.float64)
-        idf, mean = (inverse(np.bincount(self.term), len(docs)), size.mean()) if whole is None else (whole[0][known], whole[1])
-        norm = np.repeat(K1 * (1 - B + B * size / mean), self.many)
-        self.weight = (idf[self.term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
-        self.known, self.places = known, np.arange(len(docs))
+        df = np.bincount(term)
+        idf, mean = (inverse(df, len(docs)), size.mean()) if whole is None else (whole[0][known], whole[1])
+        norm = np.repeat(K1 * (1 - B + B * size / mean), many)
+        by_term = np.argsort(term, kind="stable")
+        self.weight = (idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)[by_term]
+        self.place = np.repeat(np.arange(len(docs), dtype=np.int32), many)[by_term]
+        self.begin = np.concatenate([[0], np.cumsum(df)])
+        self.known, self.left = known, len(docs)
 
     def ranked(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents that share any term of the seed, best first, ties
         to the smaller place; NEIGHBOURS at most."""
-        left = unused[self.places]
-        if not left.any():
+        many = np.count_nonzero(unused)
+        if not many:
             return np.empty(0, np.int64)
-        if 4 * np.count_nonzero(left) < 3 * len(left):
-            rows = np.repeat(left, self.many)
-            self.term, self.weight = self.term[rows], self.weight[rows]
-            self.many, self.places, left = self.many[left], self.places[left], left[left]
-        query = np.zeros(len(self.known), np.float32)
-        query[np.searchsorted(self.known, self.own[seed])] = 1
-        score = np.add.reduceat(query[self.term] * self.weight, np.cumsum(self.many) - self.many)
-        found = np.flatnonzero(np.where(left, score, 0))
+        if 4 * many < 3 * self.left:
+            keep = unused[self.place]
+            self.begin = np.concatenate([[0], np.cumsum(keep)])[self.begin]
+            self.place, self.weight, self.left = self.place[keep], self.weight[keep], many
+        terms = np.searchsorted(self.known, self.own[seed])
+        spans = [slice(lo, hi) for lo, hi in zip(self.begin[terms].tolist(), self.begin[terms + 1].tolist()) if lo < hi]
+        if not spans:
+            return np.empty(0, np.int64)
+        score = np.bincount(np.concatenate([self.place[x] for x in spans]),
+                            np.concatenate([self.weight[x] for x in spans]), len(unused))
+        found = np.flatnonzero(np.where(unused, score, 0))
         if len(found) > NEIGHBOURS:
             least = np.partition(score[found], -NEIGHBOURS)[-NEIGHBOURS]
             found = found[score[found] >= least]    # all ties with the last, so that the smaller places win
-        return self.places[found[np.lexsort((found, -score[found]))][:NEIGHBOURS]]
+        return found[np.lexsort((found, -score[found]))][:NEIGHBOURS]
 
 
 def chain(docs: list[np.ndarray], window: int, whole: tuple[np.ndarray, float] | None = None) -> Iterator[int]:
@@ -197,9 +210,9 @@ def pieces(docs: list[np.ndarray], window: int, whole: tuple[np.ndarray, float]
                 sequence, offset = sequence + 1, 0
 
 
-def corpus(tokens: DataFrame, dtype: np.dtype, vocabulary: int, end_id: int) -> tuple[np.ndarray, float, int]:
-    """(inverse frequency of every id, mean length, number of ids) of all
-    documents.  The end id, which all of them hold, counts nothing."""
+def corpus(tokens: DataFrame, dtype: np.dtype, vocabulary: int, end_id: int) -> tuple[np.ndarray, float]:
+    """(inverse frequency of every id, mean length) of all documents.  The end
+    id, which all of them hold, counts nothing."""
     def count(batches):
         df, many, total = np.zeros(vocabulary, np.int64), 0, 0
         for batch in batches:
@@ -218,108 +231,72 @@ def corpus(tokens: DataFrame, dtype: np.dtype, vocabulary: int, end_id: int) ->
     df[list(found)] = list(found.values())
     idf = inverse(df, many).astype(np.float32)
     idf[end_id] = 0
-    return idf, total / max(1, many), total
-
-
-def best_heads(docs: list[np.ndarray], heads: list[np.ndarray], idf: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray]:
-    """(place, score) of the head that scores each document highest when all
-    terms of the head are asked for; ties to the smaller place."""
-    place, best = np.full(len(docs), NOBODY), np.zeros(len(docs), np.float32)
-    for lo in range(0, len(docs), BLOCK_DOCS):
-        part = docs[lo:lo + BLOCK_DOCS]
-        terms, counts = zip(*(np.unique(ids, return_counts=True) for ids in part))
-        known = np.unique(np.concatenate(terms))
-        known = known[idf[known] > 0]
-        column = np.full(len(idf), -1, np.int32)
-        column[known] = np.arange(len(known), dtype=np.int32)
-        weights = np.zeros((len(part), len(known)), np.float32)
-        for i, (t, c) in enumerate(zip(terms, counts)):
-            at = column[t]
-            t, c, at = t[at >= 0], c[at >= 0], at[at >= 0]
-            weights[i, at] = idf[t] * c * (K1 + 1) / (c + K1 * (1 - B + B * len(part[i]) / mean))
-        for first in range(0, len(heads), BLOCK_HEADS):
-            some = heads[first:first + BLOCK_HEADS]
-            asked = np.zeros((len(some), len(known)), np.float32)
-            for i, t in enumerate(some):
-                at = column[t]
-                asked[i, at[at >= 0]] = 1
-            score = weights @ asked.T
-            top = score.argmax(axis=1)
-            score = score[np.arange(len(part)), top]
-            better = score > best[lo:lo + BLOCK_DOCS]
-            place[lo:lo + BLOCK_DOCS][better] = first + top[better]
-            best[lo:lo + BLOCK_DOCS][better] = score[better]
-    return place, best
-
-
-def find_heads(tokens: DataFrame, heads: DataFrame, parts: int, dtype: np.dtype, idf: np.ndarray, mean: float) -> DataFrame:
-    """(row, head): for every row of ``tokens`` the row of the best head, or NOBODY."""
-    context = tokens.sparkSession.sparkContext
-    shared = context.broadcast((idf, mean))
-    found = None
-    for part in range(parts):
-        chosen = heads.where(F.pmod(F.xxhash64("draw"), F.lit(parts)) == part).select("row", "draw", "ids").collect()
-        chosen.sort(key=lambda r: (r["draw"], r["row"]))
-        sent = context.broadcast((np.array([r["row"] for r in chosen], np.int64),
-                                  [np.unique(np.frombuffer(r["ids"], dtype)) for r in chosen]))
-
-        def search(batches):
-            (names, terms), (inverses, length) = sent.value, shared.value
-            for batch in batches:
-                for block in blocks(batch, "ids"):
-                    ids = [np.frombuffer(x, dtype) for x in block.column("ids").to_pylist()]
-                    place, score = best_heads(ids, terms, inverses, length)
-                    head = np.where(place >= 0, names[place] if len(names) else NOBODY, NOBODY)
-                    score[np.isin(block.column("row").to_numpy(), names)] = np.inf      # a head is its own
-                    head = np.where(np.isinf(score), block.column("row").to_numpy(), head)
-                    yield pa.RecordBatch.from_arrays([block.column("row"), pa.array(score), pa.array(head)],
-                                                     ["row", "score", "head"])
-
-        one = materialize(tokens.select("row", "ids").mapInArrow(search, "row long, score float, head long"), "pack-heads")
-        sent.destroy()
-        found = one if found is None else found.union(one)
-    return materialize(found.groupBy("row").agg(F.max_by("head", F.struct("score", "head")).alias("head")), "pack-best")
-
-
-def place(tokens: DataFrame, shards: int, window: int, shard_bytes: int, dtype: np.dtype, idf: np.ndarray, mean: float,
-          total: int) -> DataFrame:
-    """(row, shard): documents of one head share a shard, and those of like
-    heads as far as its size allows.  What one head finds beyond a shard's size
-    (copies, say) is dealt over several."""
-    spark = tokens.sparkSession
-    many = tokens.count()
-    windows = -(-total // window)
-    # Documents are drawn by a hash, about as many as there are windows; the first of them are heads of heads.
-    drawn = lambda n: F.pmod("draw", F.lit(1 << 40)) < max(1, min(1 << 40, -(-(n << 40) // many)))
-    heads = materialize(tokens.where(drawn(windows)), "pack-drawn")
-    size = -(-int(heads.agg(F.sum(F.octet_length("ids").cast("long"))).first()[0] or 0) // HEAD_BYTES)
-    best = find_heads(tokens, heads, max(1, size), dtype, idf, mean)
-    tops = find_heads(heads, heads.where(drawn(2 * shards)), max(1, size), dtype, idf, mean)
-    rows = materialize(best.join(tokens.select("row", "draw", "size"), "row")
-                       .join(tops.select(F.col("row").alias("head"), F.col("head").alias("top")), "head", "left")
-                       .select("row", "draw", "size", "head", F.coalesce("top", F.lit(NOBODY).cast("long")).alias("top")),
-                       "pack-rows")
-    # Both lists hold a few rows per shard.
-    large = rows.groupBy("head").agg(F.sum("size").alias("size")).where(
-        (F.col("size") > shard_bytes // 2) | (F.col("head") == NOBODY)).collect()
-    names = [r["head"] for r in large]
-    groups = rows.where(~F.col("head").isin(names)).groupBy("top").agg(F.sum("size").alias("size")).collect()
-    table, now, room = [], -1, 0
-    for kind, group in [(0, sorted(groups)), (1, sorted(large))]:
-        for name, bytes_ in group:
-            if bytes_ > room:
-                parts = max(1, -(-bytes_ // shard_bytes))
-                now, room = now + 1, shard_bytes * parts - bytes_ if parts == 1 else 0
-            else:
-                parts, room = 1, room - bytes_
-            table.append((kind, name, now, parts))
-            now += parts - 1
-    where = spark.createDataFrame(table, "kind int, name long, first long, parts long")
-    kind = F.col("head").isin(names).cast("int")
-    rows = rows.withColumn("kind", kind).withColumn("name", F.when(kind == 1, F.col("head")).otherwise(F.col("top")))
-    turn = F.when(F.col("kind") == 1, F.xxhash64("draw")).otherwise(F.xxhash64("head"))
-    return (rows.join(F.broadcast(where), ["kind", "name"])
-            .select("row", (F.col("first") + F.pmod(turn, F.col("parts"))).alias("shard")))
+    return idf, total / max(1, many)
+
+
+def best_heads(docs: list[np.ndarray], heads: list[np.ndarray], idf: np.ndarray, mean: float) -> np.ndarray:
+    """Place of the head that scores each document highest when all terms of
+    the head are asked for; ties to the smaller place; NOBODY without a common term."""
+    asked = np.zeros((len(idf), len(heads)), np.float32)      # by term: the heads that ask for it
+    for i, terms in enumerate(heads):
+        asked[terms, i] = idf[terms]
+    place = np.full(len(docs), NOBODY)
+    for i, ids in enumerate(docs if heads else ()):
+        terms, tf = np.unique(ids, return_counts=True)
+        score = (tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))).astype(np.float32) @ asked[terms]
+        top = score.argmax()
+        if score[top] > 0:
+            place[i] = top
+    return place
+
+
+def split_cells(docs: DataFrame, large: DataFrame, level: int, shard_bytes: int, whole, dtype: np.dtype) -> DataFrame:
+    """(row, cell): the documents (row, size, ids, cell) of the large cells in
+    the cells of their routing documents."""
+    docs = docs.join(large, "cell").withColumn("parts", F.ceil(F.col("bytes") / TASK_BYTES).cast("int"))
+    chance = F.least(F.lit(FANOUT), F.greatest(F.lit(FEWEST), F.ceil(F.col("bytes") * SPREAD / shard_bytes))) / F.col("many")
+    heads = (docs.where(F.pmod(F.xxhash64("row", F.lit(level)), F.lit(1 << 40)) < chance * (1 << 40))
+             .select("cell", "row", "ids", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+             .toDF("head_cell", "head_row", "head_ids", "head_part"))
+    docs = docs.select("cell", "row", "ids", F.pmod(F.xxhash64("row", F.lit(-1)), F.col("parts")).cast("int").alias("part"))
+
+    def route(some: pa.Table, drawn: pa.Table) -> pa.Table:
+        if not len(some):
+            return pa.table({"row": pa.array([], pa.int64()), "cell": pa.array([], pa.string())})
+        heads = [np.unique(np.frombuffer(x, dtype)) for x in drawn.sort_by("head_row").column("head_ids").to_pylist()]
+        found = best_heads([np.frombuffer(x, dtype) for x in some.column("ids").to_pylist()], heads, *whole.value)
+        cell = some.column("cell")[0].as_py()
+        return pa.table({"row": some.column("row"), "cell": pa.array([f"{cell}{i + 1:03d}." for i in found.tolist()], pa.string())})
+
+    return docs.groupBy("cell", "part").cogroup(heads.groupBy("head_cell", "head_part")).applyInArrow(route, "row long, cell string")
+
+
+def place(tokens: DataFrame, shard_bytes: int, total_bytes: int, whole, dtype: np.dtype) -> DataFrame:
+    """(row, shard): documents of like contents share a shard of at most twice
+    ``shard_bytes`` of text."""
+    docs = tokens.select("row", "size", "ids", F.lit("").alias("cell"))
+    shards = max(1, -(-total_bytes // shard_bytes))
+    for level in range(2 + math.ceil(math.log(shards, FANOUT))):
+        large = materialize(docs.groupBy("cell").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("many"))
+                            .where(F.col("bytes") > shard_bytes), "pack-large")
+        if large.isEmpty():
+            break
+        split = split_cells(docs, large, level, shard_bytes, whole, dtype)
+        small = docs.join(large.select("cell"), "cell", "left_anti").select("row", "cell")
+        cells = materialize(split.union(small), "pack-cells")
+        docs = tokens.select("row", "size", "ids").join(cells, "row")
+    # The cells of one routing step, FANOUT or so, fill shards in turn; what is too large is dealt by row.
+    sizes = (docs.groupBy("cell").agg(F.sum("size").alias("bytes"))
+             .withColumn("parent", F.regexp_replace("cell", "[0-9]+[.]$", ""))
+             .withColumn("parts", F.ceil(F.col("bytes") / shard_bytes)))
+    before = F.sum(F.when(F.col("parts") == 1, F.col("bytes")).otherwise(0)).over(Window.partitionBy("parent").orderBy("cell"))
+    name = F.when(F.col("parts") > 1, F.concat("cell", F.lit("#"))).otherwise(
+        F.concat("parent", F.lit(":"), F.ceil(before / shard_bytes).cast("string")))
+    sizes = materialize(sizes.withColumn("name", name).select("cell", "name", "parts"), "pack-sizes")
+    numbers = dense_ids(sizes.select("name", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).distinct(),
+                        ["name", "part"], "shard", first_id=0)
+    return (docs.select("row", "cell").join(sizes, "cell")
+            .withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts"))).join(numbers, ["name", "part"]).select("row", "shard"))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window: int = WINDOW, shard_bytes: int = SHARD_BYTES,
@@ -336,7 +313,6 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window: int = WI
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = rows.agg(F.sum((F.octet_length("text") + 1).cast("long"))).first()[0] or 0
-    shards = max(1, -(-int(total) // shard_bytes))
 
     tok = tokenizer(tokenizer_path)
     dtype, vocabulary = tok.dtype, tok.inner.get_vocab_size()
@@ -346,20 +322,16 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window: int = WI
         for batch in batches:
             for part in blocks(batch, "text"):
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("draw"), part.column("size"),
+                    [part.column("id"), part.column("size"),
                      pa.array(tok.encode_batch(part.column("text").to_pylist(), end_id), pa.binary())],
-                    ["id", "draw", "size", "ids"])
+                    ["id", "size", "ids"])
 
-    tokens = rows.select("*", F.xxhash64("id", "text").alias("draw"), (F.octet_length("text") + 1).cast("long").alias("size"))
-    tokens = materialize(tokens.mapInArrow(tokenise, f"id {kind}, draw long, size long, ids binary")
+    tokens = rows.select("*", (F.octet_length("text") + 1).cast("long").alias("size"))
+    tokens = materialize(tokens.mapInArrow(tokenise, f"id {kind}, size long, ids binary")
                          .withColumn("row", F.monotonically_increasing_id()), "pack-tokens")
-    idf, mean, count = corpus(tokens, dtype, vocabulary, end_id)
-    whole = docs.sparkSession.sparkContext.broadcast((idf, mean))
-    if shards > 1:
-        placed = tokens.select("row", "id", "ids").join(
-            materialize(place(tokens, shards, window, shard_bytes, dtype, idf, mean, count), "pack-places"), "row")
-    else:
-        placed = tokens.withColumn("shard", F.lit(0).cast("long"))
+    whole = docs.sparkSession.sparkContext.broadcast(corpus(tokens, dtype, vocabulary, end_id))    # one number per id
+    places = materialize(place(tokens, shard_bytes, int(total), whole, dtype), "pack-places")
+    placed = tokens.select("row", "id", "ids").join(places, "row")
 
     def pack_shard(table: pa.Table) -> pa.Table:
         table = table.sort_by([("id", "ascending"), ("ids", "ascending")])
