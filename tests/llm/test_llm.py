@@ -335,6 +335,17 @@ def test_related_documents_share_a_shard(spark):
     assert together > 0.3 and together > 4 * apart      # by a hash both are one in the number of shards
 
 
+def test_equal_rows_are_dealt_over_shards(spark):
+    import public_tokenizers as P
+
+    docs = make_docs(spark, ["the same words in every row of it"] * 600)
+    rows = packing.pack(docs, P.path("word_bpe_49k.json"), shard_bytes=5_000).collect()
+    filled = collections.Counter()
+    for r in rows:
+        filled[r.sequence_id >> 32] += r.length
+    assert sum(filled.values()) == 600 * 9 and len(filled) >= 4 and max(filled.values()) < 2 * min(filled.values())
+
+
 # -- quality ---------------------------------------------------------------
 def test_quality_learns_and_scores_every_row(spark):
     rng = random.Random(5)
