@@ -10,7 +10,9 @@ window).
    survives executor loss;
 4. count rows per partition (one row per partition, collected - bounded by
    the partition count, not by the data), turn the counts into running
-   offsets, broadcast them as a local table and add ``offset + position``.
+   offsets, a literal in the plan, and add ``offset + position``.  The result
+   is a plain scan of the snapshot: joins with it are planned from its real
+   size (a join with a table of offsets was estimated at the product of both).
 
 The id equals ``row_number() OVER (ORDER BY keys)`` when the keys are unique.
 """
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, materialize
 
-_PART, _MONO, _CNT, _OFF = "_ck_part", "_ck_mono", "_ck_cnt", "_ck_off"
+_PART, _MONO, _CNT = "_ck_part", "_ck_mono", "_ck_cnt"
 
 
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str,
@@ -53,11 +55,10 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str,
     # One row per range partition: a bounded collect, whatever the data size.
     counts = dict(ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_CNT)).collect())
     offsets, run = [], 0
-    for p in range(max(counts, default=-1) + 1):
-        offsets.append((p, run))
+    for p in range(max(counts, default=0) + 1):
+        offsets.append(run)
         run += counts.get(p, 0)
-    off_df = spark.createDataFrame(offsets, f"{_PART} int, {_OFF} long")
+    offset = F.get(F.lit(offsets).cast("array<long>"), F.col(_PART))
     position = F.col(_MONO) - F.shiftleft(F.col(_PART).cast("long"), 33)
-    return (ranged.join(F.broadcast(off_df), _PART)
-            .withColumn(id_col, (F.col(_OFF) + position + F.lit(first_id)).cast("long"))
-            .drop(_PART, _MONO, _OFF))
+    return (ranged.withColumn(id_col, (offset + position + F.lit(first_id)).cast("long"))
+            .drop(_PART, _MONO))

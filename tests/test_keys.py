@@ -36,3 +36,12 @@ def test_dense_ids_default_partitioning(spark):
     got = dense_ids(df, ["k", "i"], "id").select("k", "i", "id")
     want = df.withColumn("id", F.row_number().over(Window.orderBy("k", "i")).cast("long"))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_result_is_a_plain_scan(spark):
+    """Joins with a dimension are planned from its own size: there is no join in it."""
+    df = spark.createDataFrame([(i,) for i in range(50)], "v long")
+    got = dense_ids(df, ["v"], "id", num_partitions=5, first_id=3)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == [(i, i + 3) for i in range(50)]
+    assert dense_ids(df.limit(0), ["v"], "id").collect() == []
