@@ -72,11 +72,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", codec: str = "zstd"):
     """Write ``df`` once as parquet into the shared checkpoint folder and read
     it back: lineage is cut, the data survive executor loss, and later scans
-    prune columns and push filters (an RDD checkpoint would do neither)."""
+    prune columns and push filters (an RDD checkpoint would do neither).  Zstandard
+    keeps what is written once and read once or twice small."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", codec).parquet(path)
     return spark.read.parquet(path)

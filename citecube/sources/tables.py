@@ -37,7 +37,7 @@ def save_table(df: DataFrame, path: str, num_partitions: int | None = None) -> N
     first = df.columns[0]
     if num_partitions:
         df = df.repartitionByRange(num_partitions, first)
-    df.sortWithinPartitions(first).write.mode("overwrite").parquet(path)
+    df.sortWithinPartitions(first).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def save_fact(fact: DataFrame, path: str, num_partitions: int | None = None) -> None:
@@ -45,7 +45,7 @@ def save_fact(fact: DataFrame, path: str, num_partitions: int | None = None) ->
     # partition, so without it a hot (year, author) would be one task/file.
     (_ranged(fact, num_partitions, "time_id", "author_id", "publication_id")
      .sortWithinPartitions("time_id", "author_id", "publication_id")
-     .write.mode("overwrite").partitionBy("time_id").parquet(path))
+     .write.mode("overwrite").option("compression", "zstd").partitionBy("time_id").parquet(path))
 
 
 def save_star(tables: dict[str, DataFrame], root: str, parallel: int = 4) -> None:

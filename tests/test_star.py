@@ -49,3 +49,20 @@ def test_star_fixture(spark):
     ]
     bridge = sorted(tuple(r) for r in s.bridge.collect())
     assert bridge == [(1, 1), (1, 2), (2, 2), (3, 3), (4, 1)]
+
+
+def test_lists_are_read_from_items_written_once(spark, tmp_path):
+    from citecube.sources import adapter
+
+    spark.createDataFrame([(1, 7, "P", "1-URGENT", "1997-02-03"), (2, 7, "F", "2-HIGH", None), (3, 8, "O", "5-LOW", "1998-01-01")],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, d string").selectExpr(
+        "* except (d)", "cast(d as date) as o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, 5, 4, "N"), (1, 5, 3, "R"), (1, 6, 2, "A"), (2, 5, 1, "N"), (3, 9, 1, "N"), (None, 5, 1, "N")],
+                          "l_orderkey long, l_suppkey long, l_partkey long, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(5, "a|b"), (6, None)], "s_suppkey long, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(7, "x", "y")], "c_custkey long, c_mktsegment string, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    st = adapter.staged(spark, str(tmp_path))
+    assert [r.id for r in st.publications.collect()] == [2]      # one has no date, one no author
+    assert sorted(map(tuple, st.authors.collect()), key=str) == [(2, 5, "a-b"), (2, 5, "a-b"), (2, 6, None)]
+    assert sorted(map(tuple, st.cites.collect())) == [(2, 2, "orders/18"), (2, 4, "orders/36")]
+    assert set(st.cites.inputFiles()) <= set(st.authors.inputFiles())
