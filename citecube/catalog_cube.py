@@ -21,10 +21,11 @@ def cube(spark: SparkSession, sf_dir: str, compacted: bool = False) -> lattice.L
     def build():
         rows = lattice.star_rows(written_star(spark, sf_dir))
         out = lattice.Lattice(spark, scratch_path(spark, "lattice"), fact_rows=rows)
-        last = rows.agg(F.max("publication_id")).first()[0] or 0
+        keys, names = lattice.star_keys(written_star(spark, sf_dir))
+        last = keys.agg(F.max("publication_id")).first()[0] or 0
         for i in range(LOADS):
             low, high = last * i // LOADS, last * (i + 1) // LOADS
-            out.add_segment(rows.where(F.col("publication_id").between(low + (i > 0), high)), f"load{i + 1}")
+            out.add_segment(keys.where(F.col("publication_id").between(low + (i > 0), high)), f"load{i + 1}", names)
         if compacted:
             out.compact("all-loads")
         return out

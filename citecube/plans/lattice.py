@@ -97,22 +97,48 @@ def star_rows(tables: dict[str, DataFrame], fact: DataFrame | None = None) -> Da
             .join(a, "author_id", "left"))
 
 
-def finest(rows: DataFrame) -> dict[str, DataFrame]:
-    """The two finest cuboids and the bitmaps of a set of fact rows."""
-    rest = columns_of(("year", "type", "venue"))
-    pairs = materialize(rows.groupBy("publication_id", *columns_of(("author",)), *rest)
+def star_keys(tables: dict[str, DataFrame], fact: DataFrame | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The same rows without the names, and the names: column -> (id, name), one
+    row per id.  A load given so is grouped by ids alone, and the names are
+    joined to its cuboids instead of its fact rows."""
+    fact = tables["publication"] if fact is None else fact
+    t = tables["timeinfo"].select("time_id", "year", "decade")
+    rows = (fact.select("publication_id", "author_id", "time_id", "type_id", "venue_series_id", "citings_dblp")
+            .join(t, "time_id", "left"))
+    return rows, {"author_name": tables["author"].select("author_id", F.col("name").alias("author_name")),
+                  "type_name": tables["document_type"].select("type_id", F.col("name").alias("type_name")),
+                  "venue_name": tables["venue_series"].select("venue_series_id", F.col("name").alias("venue_name"))}
+
+
+def finest(rows: DataFrame, names: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The two finest cuboids and the bitmaps of a set of fact rows; ``names``
+    holds the attributes that the rows lack."""
+    names = names or {}
+
+    def given(levels: tuple[str, ...]) -> list[str]:
+        return [c for c in columns_of(levels) if c not in names]
+
+    def named(grouped: DataFrame, levels: tuple[str, ...]) -> DataFrame:
+        measures = [c for c in grouped.columns if c not in columns_of(levels)]
+        for column in columns_of(levels):
+            if column in names:
+                grouped = grouped.join(names[column], names[column].columns[0], "left")
+        return grouped.select(*columns_of(levels), *measures)
+
+    rest = given(("year", "type", "venue"))
+    pairs = materialize(rows.groupBy("publication_id", *given(("author",)), *rest)
                         .agg(F.count(F.lit(1)).alias("n_links"), F.max("citings_dblp").alias("c")), "lattice-pairs")
     pubs = materialize(pairs.groupBy("publication_id", *rest).agg(F.sum("n_links").alias("n_links"), F.max("c").alias("c")),
                        "lattice-pubs")
 
     def cuboid(grain: DataFrame, levels: tuple[str, ...]) -> DataFrame:
-        return grain.groupBy(*columns_of(levels)).agg(
+        return named(grain.groupBy(*given(levels)).agg(
             F.sum("n_links").cast("long").alias("n_links"), F.count(F.lit(1)).alias("n_pubs"),
             F.sum("c").cast("long").alias("sum_citings"), F.sum(F.col("n_links") * F.col("c")).cast("long").alias("link_citings"),
-            F.max("c").cast("long").alias("max_citings"))
+            F.max("c").cast("long").alias("max_citings")), levels)
 
-    bits = (pubs.groupBy(*columns_of(BITMAP_LEVELS), F.bitmap_bucket_number("publication_id").alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("publication_id")).alias("bits")))
+    bits = named(pubs.groupBy(*given(BITMAP_LEVELS), F.bitmap_bucket_number("publication_id").alias("bucket"))
+                 .agg(F.bitmap_construct_agg(F.bitmap_bit_position("publication_id")).alias("bits")), BITMAP_LEVELS)
     return {name_of(FINEST[0]): cuboid(pairs, FINEST[0]), name_of(FINEST[1]): cuboid(pubs, FINEST[1]), BITMAPS: bits}
 
 
@@ -211,12 +237,13 @@ class Lattice:
         with ThreadPoolExecutor(WRITERS) as pool:
             list(pool.map(lambda name: self._write(name, frames[name], segment), frames))
 
-    def add_segment(self, rows: DataFrame, segment: str) -> None:
-        """Add a load of fact rows (as ``star_rows``).  Nothing but these rows,
+    def add_segment(self, rows: DataFrame, segment: str, names: dict[str, DataFrame] | None = None) -> None:
+        """Add a load of fact rows (as ``star_rows``, or without the columns in
+        ``names``, as ``star_keys``).  Nothing but these rows, the names
         and the bitmaps of earlier loads, is read.  The first load decides which
         cuboids are stored.  A publication that an earlier segment holds is an
         error; adding a segment again under its name replaces it."""
-        base = finest(rows)
+        base = finest(rows, names)
         base = {name: materialize(df, "lattice-finest") for name, df in base.items()}
         others = [s for s in self.state[1] if s != segment]
         stored = self.state[2]

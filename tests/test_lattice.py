@@ -117,3 +117,34 @@ def test_old_fact_is_not_read_by_a_refresh(spark):
     cube.add_segment(fact.where(F.col("publication_id") > 20), "b")
     cube.compact("ab")
     assert cube.answer((), ("n_pubs",)).collect()[0].n_pubs == 40
+
+
+def test_names_are_joined_after_grouping(spark):
+    """Rows without names and the names beside them give the cuboids of the named rows."""
+    pubs = publications(5, 1, 50)
+    plain, ids = la.Lattice(spark, scratch_path(spark, "t-lattice")), la.Lattice(spark, scratch_path(spark, "t-lattice"))
+    whole = rows(spark, pubs)
+    names = {c: whole.select(i, c).distinct() for c, i in
+             (("author_name", "author_id"), ("type_name", "type_id"), ("venue_name", "venue_series_id"))}
+    plain.add_segment(whole, "a")
+    ids.add_segment(whole.drop(*names), "a", names)
+    assert set(plain.state[2]) == set(ids.state[2])
+    for by, where in (((), {}), (("author_id", "author_name"), {}), (("venue_series_id", "venue_name"), {}),
+                      (("decade", "type_name"), {}), (("decade",), {"author_id": 3})):
+        assert got(ids.answer(by, **where)) == got(plain.answer(by, **where)) == brute(pubs, by, where)
+    assert got(ids.distinct_publications("year", "type_name")) == got(plain.distinct_publications("year", "type_name"))
+
+
+def test_star_keys_are_star_rows_without_names(spark):
+    tables = {"publication": spark.createDataFrame([(1, 1, 1, 1, -1, 4), (2, -1, 1, 2, 1, 0)], "publication_id long, author_id long, "
+                                                   "time_id long, type_id long, venue_series_id long, citings_dblp long"),
+              "timeinfo": spark.createDataFrame([(1, 1997, 90)], "time_id long, year long, decade long"),
+              "author": spark.createDataFrame([(1, "a")], "author_id long, name string"),
+              "document_type": spark.createDataFrame([(1, "t"), (2, "u")], "type_id long, name string"),
+              "venue_series": spark.createDataFrame([(1, "v")], "venue_series_id long, name string")}
+    keys, names = la.star_keys(tables)
+    joined = keys
+    for column, name in names.items():
+        joined = joined.join(name, name.columns[0], "left")
+    whole = la.star_rows(tables)
+    assert got(joined.select(*whole.columns)) == got(whole)
