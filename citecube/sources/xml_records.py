@@ -273,6 +273,7 @@ def acm_import(spark: SparkSession, path: str, with_seq: bool = True) -> DataFra
 
 # Places in the rendered dump: orders by their key, then customers, then suppliers.
 COLLECTIONS_FROM, HOMEPAGES_FROM = 2**41, 2**42
+RECORDS_PER_FILE = 100_000
 # Record element per order priority in the rendered dump.
 PRIORITY_TYPES = {"1-URGENT": "article", "2-HIGH": "inproceedings", "3-MEDIUM": "incollection",
                   "4-NOT SPECIFIED": "phdthesis", "5-LOW": "www"}
@@ -355,7 +356,9 @@ def render_acm(raw: DataFrame) -> DataFrame:
 
 def write_xml(parts: list[DataFrame], path: str, head: str, tail: str) -> None:
     """Write record texts (value, o) as XML part files in the order of ``o``;
-    the head line opens the first file and the tail line closes the last."""
+    the head line opens the first file and the tail line closes the last.  The
+    files are compressed and hold RECORDS_PER_FILE records at most: each is one
+    split of the import, so a larger dump has more of them."""
     spark = parts[0].sparkSession
     body = parts[0]
     for p in parts[1:]:
@@ -366,4 +369,5 @@ def write_xml(parts: list[DataFrame], path: str, head: str, tail: str) -> None:
               .unionByName(spark.createDataFrame([(tail, hi)], "value string, o long")))
     n = spark.sparkContext.defaultParallelism
     (framed.repartitionByRange(n, "o").sortWithinPartitions("o").select("value")
-     .write.mode("overwrite").option("lineSep", "\n").text(path))
+     .write.mode("overwrite").option("lineSep", "\n").option("compression", "gzip")
+     .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))

@@ -243,3 +243,18 @@ def test_elements_with_a_key_that_are_no_record(spark):
     pubs, _ = xml.dblp_import(spark, path, with_seq=False)
     assert [(r.key, r.title) for r in pubs.collect()] == [("k1", "T")]
     assert {r.rule: r.n for r in xml.quality_report(spark, path).collect()} == {"unknown_element": 1}
+
+
+def test_rendered_dump_is_compressed_files_of_bounded_records(spark, monkeypatch):
+    from citecube.session import scratch_path
+    from citecube.sources import xml_records
+
+    monkeypatch.setattr(xml_records, "RECORDS_PER_FILE", 10)
+    body = spark.range(90).selectExpr("concat('<article key=\"a/', id, '\"><author>n</author><title>t', id, '</title><year>1999</year>"
+                                      "</article>') as value", "id as o").repartition(3)
+    path = scratch_path(spark, "t-dump")
+    xml_records.write_xml([body], path, "<dblp>", "</dblp>")
+    assert all(f.endswith(".gz") for f in spark.read.text(path).inputFiles())
+    assert max(r["count"] for r in spark.read.text(path).groupBy("_metadata.file_path").count().collect()) <= 10
+    got = xml_records.dblp_import(spark, path)[0].select("seq", "key").collect()
+    assert sorted(map(tuple, got)) == [(i + 1, f"a/{i}") for i in range(90)]
