@@ -1,11 +1,15 @@
 """Lexical retrieval packing: documents fill windows of a fixed number of
 tokens together with their nearest unused neighbours.
 
-Documents are tokenised once and written.  Document frequencies, their number
+Documents are tokenised once and written; the distinct words of a block of texts
+are looked up, and the unknown ones merged, together.  Document frequencies, their number
 and their mean length are those of the whole table.  The BM25 index is sharded
 by contents: in every cell of documents above a shard's size a bounded number of
 routing documents is drawn by hash, and each document goes to the one that finds
-it best; cells that are still too large are split again.  A document meets a
+it best; cells that are still too large are split again.  The first split, of all
+documents, needs no shuffle: its routing documents go to every task.  Cells and
+shards hold bags only (a document's distinct ids with their counts); its ids are
+shuffled once, when they meet the pieces.  A document meets a
 bounded number of routing documents per level, and there are as many levels as
 the logarithm of the table's size asks for, so the work grows with the table.
 Neighbouring small cells share a shard; what no level could split (copies, say)
@@ -20,16 +24,19 @@ lengths are powers of two, so nothing is padded."""
 from __future__ import annotations
 
 import math
+import os
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import session
 from ..operators.keys import dense_ids
 from .common import blocks, materialize
 
@@ -41,12 +48,20 @@ FANOUT, FEWEST = 128, 8    # routing documents of a cell, about
 SPREAD = 4                 # routing documents for each shard that a cell would fill
 TASK_BYTES = 16 << 20      # text bytes that meet their routing documents in one group, about
 NOBODY = -1                # place of the head of a document that shares no term with any
-CHUNKS, PIECES = 300_000, 150_000   # entries of the two caches of a Python worker
+CHUNKS, PIECES, WORDS = 300_000, 150_000, 400_000   # entries of the caches of a Python worker
+BLOCK_BYTES = 8 << 20      # text bytes encoded together, about
+MERGED = 1000              # unknown pieces merged in one call
+LONG = 1 << 26             # bytes; longer texts are encoded chunk by chunk
+HEAD_BYTES = 64            # of the ids, by which rows that repeat an id are ordered
+FREQUENT = 4               # terms in one of so many documents of a shard are added up as whole rows
 
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\f\va-z0-9]+")
 # Precomposed Latin letters: composing leaves them alone and each has one lower-case letter.
 LATIN = re.compile("[\x21-\x7e\u00c0-\u012f\u0131-\u017f]+")
 LATIN_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+# Texts of these letters, printable ASCII and ASCII white space; what stands between their runs of letters (RE2).
+PLAIN = "\\A[\t-\r -~\u00c0-\u012f\u0131-\u017f]*\\z"
+BETWEEN = r"'s|'t|'re|'ve|'m|'ll|'d|\pN|[^\t-\r \pL\pN]+"
 
 
 def byte_signs() -> dict[int, str]:
@@ -77,16 +92,25 @@ class Known(dict):
 
 class WordTokenizer:
     """The ``tokenizers`` file's ids with caches: a pre-token never crosses
-    ASCII white space, so the chunks between encode independently."""
+    ASCII white space, so the chunks between encode independently.  Plain texts
+    are cut into pre-tokens as whole Arrow arrays, and each distinct one of a
+    block is looked up once; other texts are encoded chunk by chunk."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # Spark hands out the cores
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.inner = Tokenizer.from_file(path)
         self.inner.encode_special_tokens = True
+        self.bare = Tokenizer(self.inner.model)                      # for pieces that are normalised and cut already
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        suffix = self.inner.model.end_of_word_suffix
+        self.ends = np.zeros(self.inner.get_vocab_size(), bool)      # ids that only the end of a piece has
+        self.ends[[i for word, i in self.inner.get_vocab().items() if suffix and word.endswith(suffix)]] = True
         self.dtype = np.dtype("<u2" if self.inner.get_vocab_size() <= 1 << 16 else "<u4")
         self.chunks = Known(self._chunk, CHUNKS)
         self.pieces = Known(self._piece, PIECES)
+        self.plain = {"": b""}
 
     def _ids(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
@@ -103,11 +127,45 @@ class WordTokenizer:
             return b"".join(map(self.pieces.__getitem__, signs))
         return self._ids(self.inner.encode(word, add_special_tokens=False).ids)
 
-    def encode_batch(self, texts: list[str], last: int) -> Iterator[bytes]:
-        """Ids of each text, then the id ``last``."""
-        end, get = self._ids([last]), self.chunks.__getitem__
-        for text in texts:
-            yield b"".join(map(get, text.encode().split())) + end     # bytes split at ASCII white space only
+    def _merged(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces not known yet, all merged in one call."""
+        signs = [p if p.isascii() else p.encode().decode("latin-1").translate(BYTE_SIGNS) for p in pieces]
+        ids = np.array(self.bare.encode_batch_fast([" ".join(signs)], add_special_tokens=False)[0].ids, self.dtype)
+        cuts = [0, *((np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize).tolist()]
+        if len(cuts) != len(pieces) + 1:             # a piece without an end of its own
+            return list(map(self._piece, signs))
+        raw = ids.tobytes()
+        return [raw[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
+
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        found = list(map(self.plain.get, pieces))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for lo in range(0, len(missing), MERGED):
+            at = missing[lo:lo + MERGED]
+            group = [pieces[i] for i in at]
+            for i, piece, ids in zip(at, group, self._merged(group)):
+                found[i] = ids
+                if len(self.plain) < WORDS:
+                    self.plain[piece] = ids
+        return found
+
+    def _plain(self, texts: pa.Array) -> pa.Array:
+        words = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(texts), BETWEEN, r" \0 "))
+        coded = words.flatten().dictionary_encode()
+        ids = pa.array(self._known(coded.dictionary.to_pylist()), pa.binary())
+        return pc.binary_join(pa.ListArray.from_arrays(words.offsets, ids.take(coded.indices)), b"")
+
+    def encode_batch(self, texts: pa.Array, last: int) -> pa.Array:
+        """Ids of each text (none null), then the id ``last``."""
+        plain = pc.and_(pc.match_substring_regex(texts, PLAIN), pc.less(pc.binary_length(texts), LONG))
+        get = self.chunks.__getitem__
+        ids = self._plain(texts.filter(plain))
+        if len(ids) < len(texts):                    # bytes split at ASCII white space only
+            rest = [b"".join(map(get, t.encode().split())) for t in texts.filter(pc.invert(plain)).to_pylist()]
+            order = np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")     # where each row of both came from
+            ids = pa.concat_arrays([ids, pa.array(rest, pa.binary())]).take(pa.array(np.argsort(order)))
+        return pc.binary_join_element_wise(ids, pa.scalar(self._ids([last]), pa.binary()), pa.scalar(b"", pa.binary()))
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -120,30 +178,70 @@ def tokenizer(path: str) -> WordTokenizer:
     return _TOKENIZERS[path]
 
 
+class Bag:
+    """A document's distinct ids in order, with their counts; ``len`` is that of the document."""
+
+    __slots__ = ("terms", "counts", "many")
+
+    def __init__(self, terms: np.ndarray, counts: np.ndarray, many: int):
+        self.terms, self.counts, self.many = terms, counts, many
+
+    def __len__(self) -> int:
+        return self.many
+
+
+def bag(doc: np.ndarray | Bag) -> Bag:
+    if isinstance(doc, Bag):
+        return doc
+    ids = np.sort(doc)
+    begin = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])[:len(ids)])
+    return Bag(ids[begin], np.diff(begin, append=len(ids)), len(doc))
+
+
+def bags(rows: pa.RecordBatch | pa.Table, dtype: np.dtype) -> list[Bag]:
+    """Counts are of one byte each, or of four."""
+    return [Bag(terms := np.frombuffer(raw, dtype), np.frombuffer(counts, f"<u{len(counts) // len(terms)}"), many)
+            for raw, counts, many in zip(*(rows.column(c).to_pylist() for c in ("terms", "counts", "length")))]
+
+
+def count_bytes(counts: np.ndarray) -> bytes:
+    return counts.astype("<u1" if counts.max() < 256 else "<u4").tobytes()
+
+
 def inverse(df: np.ndarray, many: int) -> np.ndarray:
     return np.log1p((many - df + 0.5) / (df + 0.5))
 
 
 class Index:
-    """Inverted BM25 index over the token ids of one shard's documents (none
-    empty): for each term the documents that hold it, with their weights.
-    Used documents leave the postings in turn.  ``whole`` is (inverse frequency
+    """Inverted BM25 index over the token ids of one shard's documents (ids or
+    bags, none empty): for each term the documents that hold it, with their weights.
+    Used documents leave the postings in turn.  Frequent terms have a row of
+    weights of all documents instead.  ``whole`` is (inverse frequency
     of every id, mean length) of all documents; without it the shard's own
     count."""
 
-    def __init__(self, docs: list[np.ndarray], whole: tuple[np.ndarray, float] | None = None):
-        self.own, counts = zip(*(np.unique(ids, return_counts=True) for ids in docs))
+    def __init__(self, docs: list[np.ndarray | Bag], whole: tuple[np.ndarray, float] | None = None):
+        self.own, counts = zip(*((b.terms, b.counts) for b in map(bag, docs)))
         many = np.array([len(t) for t in self.own])
-        known, term = np.unique(np.concatenate(self.own), return_inverse=True)
-        tf, size = np.concatenate(counts), np.array([len(d) for d in docs], np.float64)
+        term = np.concatenate(self.own)
         df = np.bincount(term)
+        known = np.flatnonzero(df)
+        self.number = np.cumsum(df > 0) - 1          # of each id among the known ones
+        term, df = self.number[term], df[known]
+        tf, size = np.concatenate(counts).astype(np.int64), np.array([len(d) for d in docs], np.float64)
         idf, mean = (inverse(df, len(docs)), size.mean()) if whole is None else (whole[0][known], whole[1])
         norm = np.repeat(K1 * (1 - B + B * size / mean), many)
-        by_term = np.argsort(term, kind="stable")
-        self.weight = (idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)[by_term]
-        self.place = np.repeat(np.arange(len(docs), dtype=np.int32), many)[by_term]
-        self.begin = np.concatenate([[0], np.cumsum(df)])
-        self.known, self.left = known, len(docs)
+        by_term = np.argsort(term.astype(np.uint16) if len(known) <= 1 << 16 else term, kind="stable")
+        weight = (idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)[by_term]
+        place = np.repeat(np.arange(len(docs)), many)[by_term]
+        often = df * FREQUENT > len(docs)
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        dense, term = np.repeat(often, df), term[by_term]
+        self.rows = np.zeros((np.count_nonzero(often), len(docs)))
+        self.rows[self.row[term[dense]], place[dense]] = weight[dense]
+        self.weight, self.place = weight[~dense].astype(np.float64), place[~dense]     # as they are added up
+        self.begin = np.concatenate([[0], np.cumsum(np.where(often, 0, df))])
+        self.live = np.arange(len(docs))
 
     def ranked(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents that share any term of the seed, best first, ties
@@ -151,24 +249,29 @@ class Index:
         many = np.count_nonzero(unused)
         if not many:
             return np.empty(0, np.int64)
-        if 4 * many < 3 * self.left:
-            keep = unused[self.place]
+        if 4 * many < 3 * len(self.live):
+            left = unused[self.live]
+            keep = left[self.place]
             self.begin = np.concatenate([[0], np.cumsum(keep)])[self.begin]
-            self.place, self.weight, self.left = self.place[keep], self.weight[keep], many
-        terms = np.searchsorted(self.known, self.own[seed])
+            self.place, self.weight = (np.cumsum(left) - 1)[self.place[keep]], self.weight[keep]
+            self.rows, self.live = self.rows[:, left], self.live[left]
+        terms = self.number[self.own[seed]]
         spans = [slice(lo, hi) for lo, hi in zip(self.begin[terms].tolist(), self.begin[terms + 1].tolist()) if lo < hi]
-        if not spans:
-            return np.empty(0, np.int64)
-        score = np.bincount(np.concatenate([self.place[x] for x in spans]),
-                            np.concatenate([self.weight[x] for x in spans]), len(unused))
-        found = np.flatnonzero(np.where(unused, score, 0))
+        score = np.zeros(len(self.live))
+        if spans:
+            score += np.bincount(np.concatenate([self.place[x] for x in spans]),
+                                 np.concatenate([self.weight[x] for x in spans]), len(self.live))
+        for i in self.row[terms].tolist():
+            if i >= 0:
+                score += self.rows[i]
+        found = np.flatnonzero(np.where(unused[self.live], score, 0))
         if len(found) > NEIGHBOURS:
             least = np.partition(score[found], -NEIGHBOURS)[-NEIGHBOURS]
             found = found[score[found] >= least]    # all ties with the last, so that the smaller places win
-        return found[np.lexsort((found, -score[found]))][:NEIGHBOURS]
+        return self.live[found[np.lexsort((found, -score[found]))][:NEIGHBOURS]]
 
 
-def chain(docs: list[np.ndarray], window: int, whole: tuple[np.ndarray, float] | None = None) -> Iterator[int]:
+def chain(docs: list[np.ndarray | Bag], window: int, whole: tuple[np.ndarray, float] | None = None) -> Iterator[int]:
     """The order in which a shard's documents follow each other."""
     index = Index(docs, whole)
     unused = np.ones(len(docs), bool)
@@ -193,7 +296,7 @@ def chain(docs: list[np.ndarray], window: int, whole: tuple[np.ndarray, float] |
             seed, filled, queue = now, filled % window, []
 
 
-def pieces(docs: list[np.ndarray], window: int, whole: tuple[np.ndarray, float] | None = None) -> Iterator[tuple[int, int, int, int, int]]:
+def pieces(docs: list[np.ndarray | Bag], window: int, whole: tuple[np.ndarray, float] | None = None) -> Iterator[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of a shard's pieces."""
     total = sum(map(len, docs))
     full, rest = divmod(total, window)
@@ -210,81 +313,120 @@ def pieces(docs: list[np.ndarray], window: int, whole: tuple[np.ndarray, float]
                 sequence, offset = sequence + 1, 0
 
 
-def corpus(tokens: DataFrame, dtype: np.dtype, vocabulary: int, end_id: int) -> tuple[np.ndarray, float]:
-    """(inverse frequency of every id, mean length) of all documents.  The end
+def corpus(tokens: DataFrame, dtype: np.dtype, vocabulary: int, end_id: int) -> tuple[int, np.ndarray, float]:
+    """(number, inverse frequency of every id, mean length) of all documents.  The end
     id, which all of them hold, counts nothing."""
     def count(batches):
         df, many, total = np.zeros(vocabulary, np.int64), 0, 0
         for batch in batches:
-            for raw in batch.column("ids").to_pylist():
-                ids = np.frombuffer(raw, dtype)
-                df[np.unique(ids)] += 1
-                many, total = many + 1, total + len(ids)
+            for raw in batch.column("terms").to_pylist():
+                df[np.frombuffer(raw, dtype)] += 1
+            many, total = many + len(batch), total + (pc.sum(batch.column("length")).as_py() or 0)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, (-1, -2))), pa.array(np.append(df[at], (many, total)))],
                                          ["term", "c"])
 
-    found = dict(map(tuple, tokens.select("ids").mapInArrow(count, "term long, c long")   # the vocabulary's size at most
+    found = dict(map(tuple, tokens.select("terms", "length").mapInArrow(count, "term long, c long")   # the vocabulary's size at most
                      .groupBy("term").agg(F.sum("c").alias("c")).collect()))
     many, total = found.pop(-1, 0), found.pop(-2, 0)
     df = np.zeros(vocabulary, np.int64)
     df[list(found)] = list(found.values())
     idf = inverse(df, many).astype(np.float32)
     idf[end_id] = 0
-    return idf, total / max(1, many)
+    return many, idf, total / max(1, many)
 
 
-def best_heads(docs: list[np.ndarray], heads: list[np.ndarray], idf: np.ndarray, mean: float) -> np.ndarray:
-    """Place of the head that scores each document highest when all terms of
-    the head are asked for; ties to the smaller place; NOBODY without a common term."""
-    asked = np.zeros((len(idf), len(heads)), np.float32)      # by term: the heads that ask for it
+def ask(heads: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+    """By term: the heads that ask for it."""
+    asked = np.zeros((len(idf), len(heads)), np.float32)
     for i, terms in enumerate(heads):
         asked[terms, i] = idf[terms]
+    return asked
+
+
+def best_heads(docs: list[np.ndarray | Bag], heads: list[np.ndarray], idf: np.ndarray, mean: float) -> np.ndarray:
+    """Place of the head that scores each document highest when all terms of
+    the head are asked for; ties to the smaller place; NOBODY without a common term."""
+    return best_asked(docs, ask(heads, idf), mean)
+
+
+def best_asked(docs: list[np.ndarray | Bag], asked: np.ndarray, mean: float) -> np.ndarray:
     place = np.full(len(docs), NOBODY)
-    for i, ids in enumerate(docs if heads else ()):
-        terms, tf = np.unique(ids, return_counts=True)
-        score = (tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))).astype(np.float32) @ asked[terms]
+    for i, doc in enumerate(map(bag, docs) if asked.shape[1] else ()):
+        tf = doc.counts
+        score = (tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(doc) / mean))).astype(np.float32) @ asked[doc.terms]
         top = score.argmax()
         if score[top] > 0:
             place[i] = top
     return place
 
 
-def split_cells(docs: DataFrame, large: DataFrame, level: int, shard_bytes: int, whole, dtype: np.dtype) -> DataFrame:
-    """(row, cell): the documents (row, size, ids, cell) of the large cells in
-    the cells of their routing documents."""
+BAG_COLUMNS = ["id", "row", "size", "head", "length", "terms", "counts"]
+
+
+def drawn(level: int, chance) -> Column:
+    """Whether a row is a routing document of its cell."""
+    return F.pmod(F.xxhash64("row", F.lit(level)), F.lit(1 << 40)) < chance * (1 << 40)
+
+
+def cell_names(cell: str, found: np.ndarray) -> pa.Array:
+    return pa.array([f"{cell}{i + 1:03d}." for i in found.tolist()], pa.string())
+
+
+def split_all(docs: DataFrame, schema: str, shard_bytes: int, total_bytes: int, many: int, whole, dtype: np.dtype) -> DataFrame:
+    """The one cell of all documents, split.  The distinct ids of its FANOUT
+    routing documents or so go to every task."""
+    chance = min(FANOUT, max(FEWEST, math.ceil(total_bytes * SPREAD / shard_bytes))) / many
+    heads = sorted((r.row, bytes(r.terms)) for r in docs.where(drawn(0, chance)).select("row", "terms").collect())
+    heads = docs.sparkSession.sparkContext.broadcast([terms for _, terms in heads])
+
+    def route(batches):
+        asked = None
+        for batch in batches:
+            if asked is None:
+                idf, mean = whole.value
+                asked = ask([np.frombuffer(x, dtype) for x in heads.value], idf)
+            names = cell_names("", best_asked(bags(batch, dtype), asked, mean))
+            yield pa.RecordBatch.from_arrays([*batch.columns, names], [*BAG_COLUMNS, "cell"])
+
+    return docs.select(*BAG_COLUMNS).mapInArrow(route, schema)
+
+
+def split_cells(docs: DataFrame, large: DataFrame, schema: str, level: int, shard_bytes: int, whole, dtype: np.dtype) -> DataFrame:
+    """The documents of the large cells in the cells of their routing documents."""
+    none = docs.select(*BAG_COLUMNS, "cell").limit(0).toArrow()
     docs = docs.join(large, "cell").withColumn("parts", F.ceil(F.col("bytes") / TASK_BYTES).cast("int"))
     chance = F.least(F.lit(FANOUT), F.greatest(F.lit(FEWEST), F.ceil(F.col("bytes") * SPREAD / shard_bytes))) / F.col("many")
-    heads = (docs.where(F.pmod(F.xxhash64("row", F.lit(level)), F.lit(1 << 40)) < chance * (1 << 40))
-             .select("cell", "row", "ids", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-             .toDF("head_cell", "head_row", "head_ids", "head_part"))
-    docs = docs.select("cell", "row", "ids", F.pmod(F.xxhash64("row", F.lit(-1)), F.col("parts")).cast("int").alias("part"))
+    heads = (docs.where(drawn(level, chance))
+             .select("cell", "row", "terms", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+             .toDF("head_cell", "head_row", "head_terms", "head_part"))
+    docs = docs.select(*BAG_COLUMNS, "cell", F.pmod(F.xxhash64("row", F.lit(-1)), F.col("parts")).cast("int").alias("part"))
 
-    def route(some: pa.Table, drawn: pa.Table) -> pa.Table:
+    def route(some: pa.Table, heads: pa.Table) -> pa.Table:
         if not len(some):
-            return pa.table({"row": pa.array([], pa.int64()), "cell": pa.array([], pa.string())})
-        heads = [np.unique(np.frombuffer(x, dtype)) for x in drawn.sort_by("head_row").column("head_ids").to_pylist()]
-        found = best_heads([np.frombuffer(x, dtype) for x in some.column("ids").to_pylist()], heads, *whole.value)
-        cell = some.column("cell")[0].as_py()
-        return pa.table({"row": some.column("row"), "cell": pa.array([f"{cell}{i + 1:03d}." for i in found.tolist()], pa.string())})
+            return none
+        terms = [np.frombuffer(x, dtype) for x in heads.sort_by("head_row").column("head_terms").to_pylist()]
+        names = cell_names(some.column("cell")[0].as_py(), best_heads(bags(some, dtype), terms, *whole.value))
+        return some.select(BAG_COLUMNS).append_column("cell", names)
 
-    return docs.groupBy("cell", "part").cogroup(heads.groupBy("head_cell", "head_part")).applyInArrow(route, "row long, cell string")
+    return docs.groupBy("cell", "part").cogroup(heads.groupBy("head_cell", "head_part")).applyInArrow(route, schema)
 
 
-def place(tokens: DataFrame, shard_bytes: int, total_bytes: int, whole, dtype: np.dtype) -> DataFrame:
-    """(row, shard): documents of like contents share a shard of at most twice
-    ``shard_bytes`` of text."""
-    docs = tokens.select("row", "size", "ids", F.lit("").alias("cell"))
+def place(tokens: DataFrame, kind: str, shard_bytes: int, total_bytes: int, many: int, whole, dtype: np.dtype) -> DataFrame:
+    """Bags with their shard: documents of like contents share a shard of at
+    most twice ``shard_bytes`` of text."""
+    schema = f"id {kind}, row long, size long, head binary, length long, terms binary, counts binary, cell string"
+    docs = tokens.select(*BAG_COLUMNS)
+    docs = (session.materialize(split_all(docs, schema, shard_bytes, total_bytes, many, whole, dtype), "pack-cells")
+            if total_bytes > shard_bytes else docs.withColumn("cell", F.lit("")))
     shards = max(1, -(-total_bytes // shard_bytes))
-    for level in range(2 + math.ceil(math.log(shards, FANOUT))):
+    for level in range(1, 2 + math.ceil(math.log(shards, FANOUT))):
         large = materialize(docs.groupBy("cell").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("many"))
                             .where(F.col("bytes") > shard_bytes), "pack-large")
         if large.isEmpty():
             break
-        split = split_cells(docs, large, level, shard_bytes, whole, dtype)
-        small = docs.join(large.select("cell"), "cell", "left_anti").select("row", "cell")
-        cells = materialize(split.union(small), "pack-cells")
-        docs = tokens.select("row", "size", "ids").join(cells, "row")
+        split = session.materialize(split_cells(docs, large, schema, level, shard_bytes, whole, dtype), "pack-cells")
+        docs = docs.join(large.select("cell"), "cell", "left_anti").select(*BAG_COLUMNS, "cell").union(split)
     # The cells of one routing step, FANOUT or so, fill shards in turn; what is too large is dealt by row.
     sizes = (docs.groupBy("cell").agg(F.sum("size").alias("bytes"))
              .withColumn("parent", F.regexp_replace("cell", "[0-9]+[.]$", ""))
@@ -293,10 +435,12 @@ def place(tokens: DataFrame, shard_bytes: int, total_bytes: int, whole, dtype: n
     name = F.when(F.col("parts") > 1, F.concat("cell", F.lit("#"))).otherwise(
         F.concat("parent", F.lit(":"), F.ceil(before / shard_bytes).cast("string")))
     sizes = materialize(sizes.withColumn("name", name).select("cell", "name", "parts"), "pack-sizes")
-    numbers = dense_ids(sizes.select("name", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).distinct(),
-                        ["name", "part"], "shard", first_id=0)
-    return (docs.select("row", "cell").join(sizes, "cell")
-            .withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts"))).join(numbers, ["name", "part"]).select("row", "shard"))
+    # written: their size is known then, and the documents need no shuffle to meet them
+    numbers = materialize(dense_ids(
+        sizes.select("name", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).distinct(),
+        ["name", "part"], "shard", first_id=0), "pack-numbers")
+    return (docs.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
+            .join(numbers, ["name", "part"]).select("id", "row", "head", "length", "terms", "counts", "shard"))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window: int = WINDOW, shard_bytes: int = SHARD_BYTES,
@@ -320,31 +464,48 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window: int = WI
     def tokenise(batches):
         tok = tokenizer(tokenizer_path)
         for batch in batches:
-            for part in blocks(batch, "text"):
+            for part in blocks(batch, "text", BLOCK_BYTES):
+                ids = tok.encode_batch(part.column("text"), end_id)
+                found = [bag(np.frombuffer(x, dtype)) for x in ids.to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("size"),
-                     pa.array(tok.encode_batch(part.column("text").to_pylist(), end_id), pa.binary())],
-                    ["id", "size", "ids"])
+                    [part.column("id"), part.column("size"), pc.binary_slice(ids, 0, HEAD_BYTES), pa.array(map(len, found), pa.int64()),
+                     pa.array([b.terms.tobytes() for b in found], pa.binary()),
+                     pa.array([count_bytes(b.counts) for b in found], pa.binary()), ids],
+                    ["id", "size", "head", "length", "terms", "counts", "ids"])
 
     tokens = rows.select("*", (F.octet_length("text") + 1).cast("long").alias("size"))
-    tokens = materialize(tokens.mapInArrow(tokenise, f"id {kind}, size long, ids binary")
-                         .withColumn("row", F.monotonically_increasing_id()), "pack-tokens")
-    whole = docs.sparkSession.sparkContext.broadcast(corpus(tokens, dtype, vocabulary, end_id))    # one number per id
-    places = materialize(place(tokens, shard_bytes, int(total), whole, dtype), "pack-places")
-    placed = tokens.select("row", "id", "ids").join(places, "row")
+    tokens = session.materialize(tokens.mapInArrow(        # Zstandard: ids take two thirds of what Snappy leaves
+        tokenise, f"id {kind}, size long, head binary, length long, terms binary, counts binary, ids binary")
+        .withColumn("row", F.monotonically_increasing_id()), "pack-tokens")
+    many, *whole = corpus(tokens, dtype, vocabulary, end_id)
+    whole = docs.sparkSession.sparkContext.broadcast(whole)    # one number per id
+    placed = place(tokens, kind, shard_bytes, int(total), many, whole, dtype)
 
     def pack_shard(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("id", "ascending"), ("ids", "ascending")])
-        ids = [np.frombuffer(x, dtype) for x in table.column("ids").to_pylist()]
+        table = table.sort_by([(c, "ascending") for c in ("id", "head", "terms", "counts", "row")])
         shard = table.column("shard")[0].as_py()
-        which, start, length, sequence, offset = map(np.array, zip(*pieces(ids, window, whole.value)))
-        raw = [ids[d][s:s + n].astype("<u4").tobytes() for d, s, n in zip(which, start, length)]
-        out = {"id": table.column("id").take(pa.array(which)), "start": pa.array(start, pa.int64()),
-               "length": pa.array(length, pa.int64()), "ids_crc32": pa.array(map(zlib.crc32, raw), pa.int64()),
-               "doc_tokens": pa.array([len(ids[d]) for d in which], pa.int64()),
-               "sequence_id": pa.array((shard << 32) + sequence, pa.int64()), "offset": pa.array(offset, pa.int64())}
-        return pa.table(out | ({"ids": pa.array(raw, pa.binary())} if with_ids else {}))
+        which, start, length, sequence, offset = map(np.array, zip(*pieces(bags(table, dtype), window, whole.value)))
+        return pa.table({"row": table.column("row").take(pa.array(which)), "start": pa.array(start, pa.int64()),
+                         "length": pa.array(length, pa.int64()), "sequence_id": pa.array((shard << 32) + sequence, pa.int64()),
+                         "offset": pa.array(offset, pa.int64())})
+
+    def cut(batches):
+        for batch in batches:
+            found = batch.column("pieces")
+            which = np.repeat(np.arange(len(batch)), found.value_lengths().to_numpy())
+            found = pa.RecordBatch.from_struct_array(found.flatten())
+            ids = [np.frombuffer(x, dtype) for x in batch.column("ids").to_pylist()]
+            raw = [ids[d][s:s + n].astype("<u4").tobytes()
+                   for d, s, n in zip(which, found.column("start").to_pylist(), found.column("length").to_pylist())]
+            at = pa.array(which)
+            out = {"id": batch.column("id").take(at), "start": found.column("start"), "length": found.column("length"),
+                   "ids_crc32": pa.array(map(zlib.crc32, raw), pa.int64()), "doc_tokens": batch.column("tokens").take(at),
+                   "sequence_id": found.column("sequence_id"), "offset": found.column("offset")}
+            yield pa.RecordBatch.from_pydict(out | ({"ids": pa.array(raw, pa.binary())} if with_ids else {}))
 
     schema = (f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
               + (", ids binary" if with_ids else ""))
-    return placed.select("id", "shard", "ids").groupBy("shard").applyInArrow(pack_shard, schema)
+    packed = placed.groupBy("shard").applyInArrow(pack_shard, "row long, start long, length long, sequence_id long, offset long")
+    packed = packed.groupBy("row").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("pieces"))
+    return (tokens.select("row", "id", F.col("length").alias("tokens"), "ids").join(packed.hint("shuffle_hash"), "row")
+            .select("id", "tokens", "ids", "pieces").mapInArrow(cut, schema))

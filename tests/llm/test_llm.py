@@ -12,6 +12,8 @@ import string
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -346,6 +348,61 @@ def test_equal_rows_are_dealt_over_shards(spark):
     assert sum(filled.values()) == 600 * 9 and len(filled) >= 4 and max(filled.values()) < 2 * min(filled.values())
 
 
+def test_plain_texts_are_encoded_as_others():
+    import public_tokenizers as P
+
+    tok = packing.tokenizer(P.path("word_bpe_49k.json"))
+    rng = random.Random(6)
+    signs = [chr(c) for c in [*range(0x20, 0x7F), *range(0xC0, 0x130), *range(0x131, 0x180)]] + list(" \t\n\v\f\r''sStTdDmMlLrRvVeE0!?.,") * 9
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 50))) for _ in range(400)]
+    texts += ["", "  ", "it'S I'LL !'s ''s 12ab </w>", "\u0301a\u0301", "\x1c a\xa0b", "İ Σίσυφος 漢字", "x1" * 900, "<|endoftext|>"] + texts[:3]
+    assert 400 < pc.sum(pc.match_substring_regex(pa.array(texts), packing.PLAIN)).as_py() < len(texts)
+    for _ in range(2):      # pieces that are unknown, then known
+        for text, ids in zip(texts, tok.encode_batch(pa.array(texts), 2).to_pylist()):
+            want = tok.inner.encode(text, add_special_tokens=False).ids + [2]
+            assert np.frombuffer(ids, tok.dtype).tolist() == want, text
+
+
+def test_ranking_against_brute_force_as_documents_are_used():
+    rng = np.random.default_rng(7)
+    docs = [(rng.zipf(1.4, rng.integers(1, 80)) % 300).astype(np.uint16) for _ in range(200)]
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=300)
+    whole = packing.inverse(df, 200).astype(np.float32), float(np.mean([len(d) for d in docs]))
+    index, unused = packing.Index([packing.bag(d) for d in docs], whole), np.ones(200, bool)
+    assert len(index.rows) and len(index.place)          # frequent terms and others
+    for seed in rng.permutation(200)[:150].tolist():
+        unused[seed] = False
+        score = np.zeros(200)
+        for i in np.flatnonzero(unused):
+            terms, tf = np.unique(docs[i], return_counts=True)
+            w = whole[0][terms] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(docs[i]) / whole[1]))
+            score[i] = w.astype(np.float32).astype(float)[np.isin(terms, docs[seed])].sum()
+        found = index.ranked(seed, unused)
+        assert len(found) == min(64, np.count_nonzero(score)) and unused[found].all()
+        assert np.allclose(score[found], np.sort(score)[::-1][:len(found)], rtol=1e-6)
+
+
+def test_counts_of_one_and_four_bytes():
+    docs = [np.repeat(np.arange(3), n).astype(np.uint16) for n in (1, 255, 256, 70_000)]
+    want = list(map(packing.bag, docs))
+    rows = pa.table({"terms": pa.array([b.terms.tobytes() for b in want]), "length": [len(b) for b in want],
+                     "counts": pa.array([packing.count_bytes(b.counts) for b in want])})
+    assert [len(x) for x in rows.column("counts").to_pylist()] == [3, 3, 12, 12]
+    for b, n in zip(packing.bags(rows, np.dtype("<u2")), (1, 255, 256, 70_000)):
+        assert b.terms.tolist() == [0, 1, 2] and b.counts.tolist() == [n] * 3 and len(b) == 3 * n
+
+
+def test_ids_are_shuffled_once(spark):
+    """Cells and shards hold bags; only the last join with the pieces holds ids."""
+    import public_tokenizers as P
+
+    docs = make_docs(spark, random_texts(11))
+    plan = packing.pack(docs, P.path("word_bpe_49k.json"), shard_bytes=20_000)._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in plan.split("\n") if "Relation" in line and "ids#" in line]
+    shard = plan[plan.index("FlatMapGroupsInArrow"):]
+    assert len(scans) == 1 and "ids#" not in shard
+
+
 # -- quality ---------------------------------------------------------------
 def test_quality_learns_and_scores_every_row(spark):
     rng = random.Random(5)
