@@ -48,8 +48,8 @@ FANOUT, FEWEST = 128, 8    # routing documents of a cell, about
 SPREAD = 4                 # routing documents for each shard that a cell would fill
 TASK_BYTES = 16 << 20      # text bytes that meet their routing documents in one group, about
 NOBODY = -1                # place of the head of a document that shares no term with any
-CHUNKS, PIECES, WORDS = 300_000, 150_000, 400_000   # entries of the caches of a Python worker
-BLOCK_BYTES = 8 << 20      # text bytes encoded together, about
+CHUNKS, PIECES, WORDS = 300_000, 150_000, 300_000   # entries of the caches of a Python worker
+BLOCK_BYTES = 4 << 20      # text bytes encoded together, about
 MERGED = 1000              # unknown pieces merged in one call
 LONG = 1 << 26             # bytes; longer texts are encoded chunk by chunk
 HEAD_BYTES = 64            # of the ids, by which rows that repeat an id are ordered
@@ -472,6 +472,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window: int = WI
                      pa.array([b.terms.tobytes() for b in found], pa.binary()),
                      pa.array([count_bytes(b.counts) for b in found], pa.binary()), ids],
                     ["id", "size", "head", "length", "terms", "counts", "ids"])
+        pa.default_memory_pool().release_unused()    # the worker lives on, in other steps too
 
     tokens = rows.select("*", (F.octet_length("text") + 1).cast("long").alias("size"))
     tokens = session.materialize(tokens.mapInArrow(        # Zstandard: ids take two thirds of what Snappy leaves
@@ -490,18 +491,20 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window: int = WI
                          "offset": pa.array(offset, pa.int64())})
 
     def cut(batches):
-        for batch in batches:
-            found = batch.column("pieces")
-            which = np.repeat(np.arange(len(batch)), found.value_lengths().to_numpy())
+        for part in (part for batch in batches for part in blocks(batch, "ids")):
+            found = part.column("pieces")
+            which = np.repeat(np.arange(len(part)), found.value_lengths().to_numpy())
             found = pa.RecordBatch.from_struct_array(found.flatten())
-            ids = [np.frombuffer(x, dtype) for x in batch.column("ids").to_pylist()]
-            raw = [ids[d][s:s + n].astype("<u4").tobytes()
-                   for d, s, n in zip(which, found.column("start").to_pylist(), found.column("length").to_pylist())]
+            ids = [np.frombuffer(x, dtype) for x in part.column("ids").to_pylist()]
+            spans = list(zip(which.tolist(), found.column("start").to_pylist(), found.column("length").to_pylist()))
             at = pa.array(which)
-            out = {"id": batch.column("id").take(at), "start": found.column("start"), "length": found.column("length"),
-                   "ids_crc32": pa.array(map(zlib.crc32, raw), pa.int64()), "doc_tokens": batch.column("tokens").take(at),
+            out = {"id": part.column("id").take(at), "start": found.column("start"), "length": found.column("length"),
+                   "ids_crc32": pa.array([zlib.crc32(ids[d][s:s + n].astype("<u4")) for d, s, n in spans], pa.int64()),
+                   "doc_tokens": part.column("tokens").take(at),
                    "sequence_id": found.column("sequence_id"), "offset": found.column("offset")}
-            yield pa.RecordBatch.from_pydict(out | ({"ids": pa.array(raw, pa.binary())} if with_ids else {}))
+            if with_ids:
+                out["ids"] = pa.array([ids[d][s:s + n].astype("<u4").tobytes() for d, s, n in spans], pa.binary())
+            yield pa.RecordBatch.from_pydict(out)
 
     schema = (f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
               + (", ids binary" if with_ids else ""))
