@@ -87,3 +87,28 @@ def test_cuboid_reads_are_pruned(spark):
     cube_plan.write_cube(cube_plan.build_cube(_fact(spark, [(i, i % 50, i % 3, 1, i) for i in range(500)])), path)
     plan = cube_plan.cq5(spark.read.parquet(path), None, None, 7)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(gid" in plan and "EqualTo(author_id,7)" in plan
+
+
+def test_the_cube_expands_grouped_rows(spark):
+    fact = _fact(spark, [(i, i % 3, None if i % 5 == 0 else 1, i % 2, None if i % 7 == 0 else i) for i in range(40)] + [(None, 1, 1, 1, 9)])
+    cube = cube_plan.build_cube(fact)
+    plan = cube._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan[plan.index("Expand"):]
+    want = fact.cube("author_id", "time_id", "type_id").agg(
+        F.count("publication_id"), F.sum("citings_dblp").cast("long"), F.max("citings_dblp"), F.grouping_id())
+    assert sorted(map(str, map(tuple, cube.collect()))) == sorted(map(str, map(tuple, want.collect())))
+    assert cube_plan.build_cube(fact.limit(0)).count() == 0
+
+
+def test_tables_on_the_way_are_deleted(spark):
+    from pathlib import Path
+
+    rows, root = spark.range(20), Path(session.ensure_checkpoint_dir(spark).removeprefix("file:"), "citecube")
+
+    def folders(name):
+        return len(list(root.glob(f"{name}-*")))
+
+    outer = session.materialize(rows, "way-before")
+    got = session.settle(spark, lambda: session.materialize(outer.where("id > 3"), "way-inner").where("id < 6"), "way-result")
+    assert sorted(r.id for r in got.collect()) == [4, 5]
+    assert (folders("way-before"), folders("way-inner"), folders("way-result")) == (1, 0, 1)
