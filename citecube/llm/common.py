@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +22,43 @@ MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
 
 
+BATCH_ROWS = 1000   # texts that go to a Python worker at once, at most
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is planned inside sends texts to Python in batches of BATCH_ROWS: the
+    default, 10,000 rows, is a whole partition of texts, held in the executor
+    and in the worker besides the heap."""
+    rows = spark.conf.get(_ROWS)
+    if 0 < int(rows) <= BATCH_ROWS:
+        yield
+        return
+    spark.conf.set(_ROWS, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ROWS, rows)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """As elsewhere, with the codec that asks for the least memory and time."""
     return session.materialize(df, name, codec="snappy")
 
 
+def materialize_texts(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+    """The same for a step that sends texts, or what is as large, to Python: in
+    small batches."""
+    with small_batches(df.sparkSession):
+        return session.materialize(df, name, codec)
+
+
+def settle(df: DataFrame, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``session.settle`` in the session of ``df``."""
+    return session.settle(df.sparkSession, make, name, materialize)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

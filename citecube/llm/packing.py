@@ -36,9 +36,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import session
 from ..operators.keys import dense_ids
-from .common import blocks, materialize
+from .common import blocks, materialize, materialize_texts
 
 WINDOW = 4096
 SHARD_BYTES = 8 << 20      # text bytes of a shard, about
@@ -178,6 +177,11 @@ def tokenizer(path: str) -> WordTokenizer:
     return _TOKENIZERS[path]
 
 
+def forget_tokenizers() -> None:
+    """For the steps after encoding: the worker lives on, its caches need not."""
+    _TOKENIZERS.clear()
+
+
 class Bag:
     """A document's distinct ids in order, with their counts; ``len`` is that of the document."""
 
@@ -317,6 +321,7 @@ def corpus(tokens: DataFrame, dtype: np.dtype, vocabulary: int, end_id: int) ->
     """(number, inverse frequency of every id, mean length) of all documents.  The end
     id, which all of them hold, counts nothing."""
     def count(batches):
+        forget_tokenizers()
         df, many, total = np.zeros(vocabulary, np.int64), 0, 0
         for batch in batches:
             for raw in batch.column("terms").to_pylist():
@@ -417,7 +422,7 @@ def place(tokens: DataFrame, kind: str, shard_bytes: int, total_bytes: int, many
     most twice ``shard_bytes`` of text."""
     schema = f"id {kind}, row long, size long, head binary, length long, terms binary, counts binary, cell string"
     docs = tokens.select(*BAG_COLUMNS)
-    docs = (session.materialize(split_all(docs, schema, shard_bytes, total_bytes, many, whole, dtype), "pack-cells")
+    docs = (materialize_texts(split_all(docs, schema, shard_bytes, total_bytes, many, whole, dtype), "pack-cells", "zstd")
             if total_bytes > shard_bytes else docs.withColumn("cell", F.lit("")))
     shards = max(1, -(-total_bytes // shard_bytes))
     for level in range(1, 2 + math.ceil(math.log(shards, FANOUT))):
@@ -425,7 +430,7 @@ def place(tokens: DataFrame, kind: str, shard_bytes: int, total_bytes: int, many
                             .where(F.col("bytes") > shard_bytes), "pack-large")
         if large.isEmpty():
             break
-        split = session.materialize(split_cells(docs, large, schema, level, shard_bytes, whole, dtype), "pack-cells")
+        split = materialize_texts(split_cells(docs, large, schema, level, shard_bytes, whole, dtype), "pack-cells", "zstd")
         docs = docs.join(large.select("cell"), "cell", "left_anti").select(*BAG_COLUMNS, "cell").union(split)
     # The cells of one routing step, FANOUT or so, fill shards in turn; what is too large is dealt by row.
     sizes = (docs.groupBy("cell").agg(F.sum("size").alias("bytes"))
@@ -475,9 +480,9 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window: int = WI
         pa.default_memory_pool().release_unused()    # the worker lives on, in other steps too
 
     tokens = rows.select("*", (F.octet_length("text") + 1).cast("long").alias("size"))
-    tokens = session.materialize(tokens.mapInArrow(        # Zstandard: ids take two thirds of what Snappy leaves
+    tokens = materialize_texts(tokens.mapInArrow(        # Zstandard: ids take two thirds of what Snappy leaves
         tokenise, f"id {kind}, size long, head binary, length long, terms binary, counts binary, ids binary")
-        .withColumn("row", F.monotonically_increasing_id()), "pack-tokens")
+        .withColumn("row", F.monotonically_increasing_id()), "pack-tokens", "zstd")
     many, *whole = corpus(tokens, dtype, vocabulary, end_id)
     whole = docs.sparkSession.sparkContext.broadcast(whole)    # one number per id
     placed = place(tokens, kind, shard_bytes, int(total), many, whole, dtype)
@@ -491,6 +496,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window: int = WI
                          "offset": pa.array(offset, pa.int64())})
 
     def cut(batches):
+        forget_tokenizers()
         for part in (part for batch in batches for part in blocks(batch, "ids")):
             found = part.column("pieces")
             which = np.repeat(np.arange(len(part)), found.value_lengths().to_numpy())

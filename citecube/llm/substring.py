@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, gram_hashes, materialize, mix64, pair_hash, signed, text_bytes, word_hashes
+from .common import blocks, gram_hashes, materialize, materialize_texts, mix64, pair_hash, settle, signed, text_bytes, word_hashes
 
 NODE_WORDS = 12
 # A row's id, in a struct so that joins find a null one too, and the hash of its text, so that rows repeating an id stay apart.
@@ -162,7 +162,7 @@ def repeated_windows(docs: DataFrame, window: int = 35, id_col: str = "doc_id",
     keys of documents that are repeated whole (all their windows are)."""
     k = min(window, max(node_words, -(-(window + 1) // 3)))   # two k-mers and one midway cover an edge
     texts, kind = _texts(docs, id_col, text_col)
-    base = materialize(_first_pass(texts, window, k, kind), "sub-graph")
+    base = materialize_texts(_first_pass(texts, window, k, kind), "sub-graph")
     # Whole documents that repeat: one row stands for all, with weight 2.
     key = F.struct(*KEY)
     wholes = materialize(base.where("whole IS NOT NULL").groupBy("whole")
@@ -181,8 +181,8 @@ def repeated_windows(docs: DataFrame, window: int = 35, id_col: str = "doc_id",
     reps = copies.where("rep").select(*KEY, F.lit(2).cast("long").alias("weight"))
     flags = materialize(flags.join(reps, KEY, "left")
                         .select(*KEY, F.coalesce("weight", F.lit(1).cast("long")).alias("weight"), "flags"), "sub-flags")
-    judged = materialize(_second_pass(texts.join(flags, KEY).select(*KEY, "text", "weight", "flags"), window, k, kind),
-                         "sub-judged")
+    judged = materialize_texts(_second_pass(texts.join(flags, KEY).select(*KEY, "text", "weight", "flags"), window, k, kind),
+                               "sub-judged")
     # Open windows are compared by the hashes of all their words.
     opened = (judged.select(*KEY, "weight", F.explode(F.arrays_zip("open", "x", "y")).alias("w"))
               .select(*KEY, "weight", "w.*"))
@@ -197,9 +197,12 @@ def repeated_windows(docs: DataFrame, window: int = 35, id_col: str = "doc_id",
 
 def _gone(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
     """(id, h, starts, whole): what each document that loses words loses."""
-    starts, copies = repeated_windows(docs, window, id_col, text_col)
-    return materialize(starts.join(copies, KEY, "left_anti").select(*KEY, "starts", F.lit(False).alias("whole"))
-                       .union(copies.select(*KEY, F.array().cast("array<int>"), F.lit(True))), "sub-gone")
+    def lost() -> DataFrame:
+        starts, copies = repeated_windows(docs, window, id_col, text_col)
+        return (starts.join(copies, KEY, "left_anti").select(*KEY, "starts", F.lit(False).alias("whole"))
+                .union(copies.select(*KEY, F.array().cast("array<int>"), F.lit(True))))
+
+    return settle(docs, lost, "sub-gone")
 
 
 def _remaining(text: bytes, at: list[int] | None, whole: bool | None, window: int) -> tuple[int, list[bytes]]:
@@ -262,6 +265,9 @@ def cut_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_
         return pd.Series([None if t is None else b" ".join(_remaining(t.encode(), a, w, window)[1]).decode()
                           for t, a, w in zip(text, starts, whole)], dtype=object)
 
+    # Else the filter below gets a call of its own: each task then holds two Python workers, and all of
+    # them live on and take their share of memory in the steps that follow.
+    rest = rest.asNondeterministic()
     hit = F.col("_id").isNotNull()
     cut = joined.withColumn("_cut", rest(F.when(hit, F.col(f"_row.{text_col}")), "starts", "whole"))
     changed = {text_col: F.when(hit, F.col("_cut")).otherwise(F.col(f"_row.{text_col}"))}

@@ -6,6 +6,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections import deque
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -72,6 +74,27 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+# Where ``settle`` learns which tables were written while it made one.
+_ON_THE_WAY: ContextVar[list[str]] = ContextVar("written", default=deque(maxlen=0))
+
+
+def settle(spark: SparkSession, make, name: str, write=None):
+    """The frame that ``make()`` returns, written; the tables that were
+    materialized on the way to it are deleted.  For a small result of large
+    intermediate tables, of which nothing else is returned."""
+    written: list[str] = []
+    token = _ON_THE_WAY.set(written)
+    try:
+        out = make()
+    finally:
+        _ON_THE_WAY.reset(token)
+    out = (write or materialize)(out, name)
+    for path in written:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return out
+
+
 def materialize(df, name: str = "stage", codec: str = "zstd"):
     """Write ``df`` once as parquet into the shared checkpoint folder and read
     it back: lineage is cut, the data survive executor loss, and later scans
@@ -79,5 +102,6 @@ def materialize(df, name: str = "stage", codec: str = "zstd"):
     keeps what is written once and read once or twice small."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _ON_THE_WAY.get().append(path)
     df.write.mode("overwrite").option("compression", codec).parquet(path)
     return spark.read.parquet(path)

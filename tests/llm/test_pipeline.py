@@ -3,7 +3,7 @@
 import corpus_pipeline as cp
 import numpy as np
 
-from citecube.llm import quality
+from citecube.llm import packing, quality
 from citecube.llm.common import read_table
 
 from .test_llm import brute_near, brute_repeats
@@ -73,3 +73,22 @@ def test_what_the_classifier_rejects_does_not_go_on(spark):
 def test_run(spark):
     assert cp.run(spark, SF).count() > 0
     assert [n for n, _ in cp.STAGES] == ["quality classifier", "exact dedup", "near-dedup", "substring dedup", "packing"]
+
+
+def test_steps_after_encoding_hold_no_tokenizer(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(packing, "_TOKENIZERS", {})
+    path = public_tokenizers.path("word_bpe_49k.json")
+    first = packing.tokenizer(path)
+    assert packing.tokenizer(path) is first
+    packing.forget_tokenizers()
+    assert not packing._TOKENIZERS
+
+
+def test_a_task_that_cuts_calls_python_once(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text + " one", 1), (2, text + " two", 2), (3, "apart", 3)], "doc_id long, text string, n_chars long")
+    cut = cp.cut_repeats(spark, docs, SF)
+    assert cut._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted(map(tuple, cut.collect())) == [(1, "one", 3), (2, "two", 3), (3, "apart", 3)]
