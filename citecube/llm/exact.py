@@ -68,11 +68,16 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     one row, with the smallest id.  Each row is judged by its own text; rows
     with a null id all stay."""
     groups = exact_groups(docs, id_col, text_col)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"),
-                       F.xxhash64(F.col(text_col)).alias("h"), digest(text_col).alias("full"))
-    alone = (rows.withColumn("full", F.when(F.col("id").isNotNull(), F.col("full")))
-             .join(groups.select("full"), "full", "left_anti"))
-    kept = (rows.join(groups.select("full", F.col("keep_id").alias("id")), ["full", "id"])
-            .groupBy("full").agg(F.min_by("row", "h").alias("row")))
-    both = alone.select("row").union(kept.select("row"))
-    return both.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    id_of, h_of = F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))
+    # Judged by ids and hashes; whole rows are moved once, to meet those that go.
+    keys = docs.select(id_of.alias("_id"), h_of.alias("_h"), digest(F.col(f"`{text_col}`")).alias("full")).where("_id IS NOT NULL")
+    copies = materialize(keys.join(groups.select("full", "keep_id"), "full")
+                         .groupBy("_id", "full").agg(F.min("_h").alias("first"), F.collect_set("_h").alias("hs"),
+                                                     F.count(F.lit(1)).alias("n"), F.first("keep_id").alias("keep_id")), "exact-copies")
+    twins = materialize(copies.where("_id = keep_id AND n > 1").select("_id", F.col("first").alias("_h")), "exact-twins")
+    gone = materialize(copies.where("_id != keep_id OR n > 1").select("_id", F.explode("hs").alias("_h")), "exact-gone")
+    alone = docs.join(gone, (id_of == F.col("_id")) & (h_of == F.col("_h")), "left_anti")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = (docs.select(whole.alias("row"), id_of.alias("_id"), h_of.alias("_h")).join(twins, ["_id", "_h"])
+            .groupBy("_id", "_h").agg(F.first("row").alias("row")))     # of rows that repeat both id and text
+    return alone.union(kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))

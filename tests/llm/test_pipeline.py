@@ -92,3 +92,13 @@ def test_a_task_that_cuts_calls_python_once(spark):
     cut = cp.cut_repeats(spark, docs, SF)
     assert cut._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
     assert sorted(map(tuple, cut.collect())) == [(1, "one", 3), (2, "two", 3), (3, "apart", 3)]
+
+
+def test_exact_dedup_moves_whole_rows_once(spark):
+    rows = [(1, "a b"), (1, "a  b"), (1, "a b"), (2, "a b"), (2, "own"), (3, None), (4, ""), (None, "a b"), (None, "a b"), (5, "c"), (5, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    once = cp.drop_copies(spark, docs, SF)
+    got = sorted(((i, " ".join((t or "").split())) for i, t in once.collect()), key=str)
+    assert got == sorted([(1, "a b"), (2, "own"), (3, ""), (None, "a b"), (None, "a b"), (5, "c")], key=str)
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 1 and "sha2" not in plan
