@@ -30,6 +30,9 @@ on its own instead of taking over the outer element's text.
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,8 +71,10 @@ def dblp_chunks(chunks: DataFrame) -> DataFrame:
 def parse_dblp_chunks(chunks: DataFrame) -> DataFrame:
     """chunk -> (file, src, block, place, sub, type, key, body, raw), one row per
     record; a record without an end tag has an empty type."""
-    head = F.col("chunk").rlike(r"^\s*<")
-    first = F.regexp_extract("chunk", r"(?s)^[^\"]*\"[^>]*>.*?</(?:" + _TYPES + ")>", 0)
+    # a generator, so that what is used many times below is searched for once
+    chunks = _once(chunks, [*WHERE, "chunk"], head=F.col("chunk").rlike(r"^\s*<"),
+                   first=F.regexp_extract("chunk", r"(?s)^[^\"]*\"[^>]*>.*?</(?:" + _TYPES + ")>", 0))
+    head, first = F.col("head"), F.col("first")
     rest = F.when(head, F.col("chunk")).when(first != "", F.substring("chunk", F.length(first) + 1, F.length("chunk"))
                                              ).otherwise(F.lit(""))
     more = F.transform(F.regexp_extract_all(rest, F.lit(r"(?s)<(" + _TYPES + r")(?:\s[^>]*)?>.*?</\1>"), F.lit(0)),
@@ -78,32 +83,34 @@ def parse_dblp_chunks(chunks: DataFrame) -> DataFrame:
                            F.regexp_extract(m, r"^<[^>]*?\skey\s*=\s*([\"'])(.*?)\1", 2).alias("key"),
                            F.regexp_extract(m, r"(?s)^<[^>]*>(.*)</\w+>$", 1).alias("body"), m.alias("raw")))
     own = F.array(F.struct(
-        F.regexp_extract(first, r"</(\w+)>$", 1).alias("type"),
+        F.regexp_extract(F.substring_index(first, "</", -1), r"^(\w+)>$", 1).alias("type"),
         F.regexp_extract("chunk", r"^([^\"]*)\"", 1).alias("key"),
         F.regexp_extract(first, r"(?s)^[^\"]*\"[^>]*>(.*)</\w+>$", 1).alias("body"),
         F.when(first != "", first).otherwise(F.col("chunk")).alias("raw")))
-    found = F.posexplode(F.concat(F.when(head, F.slice(own, 1, 0)).otherwise(own), more)).alias("sub", "r")
-    return chunks.select(*WHERE, found).select(*WHERE, "sub", "r.*")
+    found = _once(chunks, WHERE, found=F.concat(F.when(head, F.slice(own, 1, 0)).otherwise(own), more))
+    return found.select(*WHERE, F.posexplode("found").alias("sub", "r")).select(*WHERE, "sub", "r.*")
 
 
-def _fields(body: Column, schema: str) -> Column:
-    """Markup is flattened while entities are still encoded: a literal
-    ``&lt;i&gt;`` is text and stays."""
-    flat = F.regexp_replace(body, _MARKUP_RE, "")
-    return F.from_xml(F.concat(F.lit("<r>"), decode_entities(flat), F.lit("</r>")), schema, _XML_OPTS)
+def _once(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """Columns worked out once a row.  A generator (``inline``) is a projection
+    barrier: in a collapsed projection each use would work them out again."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
 
 
 def _parse_once(df: DataFrame, keep: list[str], schema: str) -> DataFrame:
-    """Parse each record once and expand the fields to columns.  A generator
-    (``inline``) is a projection barrier: referencing ``struct.field`` nine
-    times through a collapsed projection would re-parse the XML nine times."""
-    return df.select(*keep, F.inline(F.array(_fields(F.col("body"), schema))))
+    """Parse each record once and expand the fields to columns, past a generator
+    again.  Markup is flattened while entities are still encoded: a literal
+    ``&lt;i&gt;`` is text and stays."""
+    df = _once(df, keep, flat=F.regexp_replace("body", _MARKUP_RE, ""))
+    text = F.concat(F.lit("<r>"), decode_entities(F.col("flat")), F.lit("</r>"))
+    return df.select(*keep, F.inline(F.array(F.from_xml(text, schema, _XML_OPTS))))
 
 
 def dblp_fields(records: DataFrame) -> DataFrame:
     """Typed fields of parsed DBLP records (all record types)."""
     # anchored: an unanchored leading ".*" is retried from every position (quadratic)
-    later = F.regexp_extract("body", r"(?s)^.*<(journal|booktitle)[\s>]", 1).alias("later")
+    later = F.when(F.contains("body", F.lit("<booktitle")), F.regexp_extract(
+        "body", r"(?s)^.*<(journal|booktitle)[\s>]", 1)).otherwise("journal").alias("later")
     f = _parse_once(records.select(*WHERE, "sub", "type", "key", "body", "raw", later),
                     [*WHERE, "sub", "type", "key", "raw", "later"], DBLP_FIELDS_SCHEMA)
     journal = F.when(F.col("later") == "booktitle", _last(F.col("booktitle"))).otherwise(_last(F.col("journal")))
@@ -274,6 +281,7 @@ def acm_import(spark: SparkSession, path: str, with_seq: bool = True) -> DataFra
 # Places in the rendered dump: orders by their key, then customers, then suppliers.
 COLLECTIONS_FROM, HOMEPAGES_FROM = 2**41, 2**42
 RECORDS_PER_FILE = 100_000
+FILLED = 0.9    # of a file's records, about, so that few ranges need a second one
 # Record element per order priority in the rendered dump.
 PRIORITY_TYPES = {"1-URGENT": "article", "2-HIGH": "inproceedings", "3-MEDIUM": "incollection",
                   "4-NOT SPECIFIED": "phdthesis", "5-LOW": "www"}
@@ -358,16 +366,26 @@ def write_xml(parts: list[DataFrame], path: str, head: str, tail: str) -> None:
     """Write record texts (value, o) as XML part files in the order of ``o``;
     the head line opens the first file and the tail line closes the last.  The
     files are compressed and hold RECORDS_PER_FILE records at most: each is one
-    split of the import, so a larger dump has more of them."""
+    split of the import, so a larger dump has more of them.
+
+    The places alone tell where a file ends, so no text is rendered to sample
+    them, and a task sorts about one file."""
     spark = parts[0].sparkSession
     body = parts[0]
     for p in parts[1:]:
         body = body.unionByName(p)
+    many = body.select("o").agg(F.count(F.lit(1))).first()[0]
+    n = max(spark.sparkContext.defaultParallelism, math.ceil(many / (FILLED * RECORDS_PER_FILE)))
+    found = body.select("o").agg(F.percentile_approx("o", [i / n for i in range(1, n)], max(10_000, 20 * n))).first()[0] if n > 1 else []
+    cuts = sorted({float(x) for x in found or []})
     lo, hi = -(2 ** 63), 2 ** 63 - 1
     framed = (spark.createDataFrame([(head, lo)], "value string, o long")
               .unionByName(body)
               .unionByName(spark.createDataFrame([(tail, hi)], "value string, o long")))
-    n = spark.sparkContext.defaultParallelism
-    (framed.repartitionByRange(n, "o").sortWithinPartitions("o").select("value")
+    # a place in no range (null) stands first, as in the order of the places
+    framed = framed.withColumn("place", F.coalesce("o", F.lit(lo)).cast("double"))
+    framed = Bucketizer(splits=[-math.inf, *(cuts or [0.0]), math.inf], inputCol="place", outputCol="part").transform(framed)
+    (framed.select("value", "o", F.col("part").cast("int").alias("part")).repartitionById(max(2, len(cuts) + 1), "part")
+     .sortWithinPartitions("o").select("value")
      .write.mode("overwrite").option("lineSep", "\n").option("compression", "gzip")
      .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
