@@ -47,8 +47,8 @@ FANOUT, FEWEST = 128, 8    # routing documents of a cell, about
 SPREAD = 4                 # routing documents for each shard that a cell would fill
 TASK_BYTES = 16 << 20      # text bytes that meet their routing documents in one group, about
 NOBODY = -1                # place of the head of a document that shares no term with any
-CHUNKS, PIECES, WORDS = 300_000, 150_000, 300_000   # entries of the caches of a Python worker
-BLOCK_BYTES = 4 << 20      # text bytes encoded together, about
+CHUNKS, PIECES, WORDS = 300_000, 150_000, 600_000   # entries of the caches of a Python worker; words are Arrow arrays
+BLOCK_BYTES = 16 << 20     # text bytes encoded together, about
 MERGED = 1000              # unknown pieces merged in one call
 LONG = 1 << 26             # bytes; longer texts are encoded chunk by chunk
 HEAD_BYTES = 64            # of the ids, by which rows that repeat an id are ordered
@@ -109,7 +109,7 @@ class WordTokenizer:
         self.dtype = np.dtype("<u2" if self.inner.get_vocab_size() <= 1 << 16 else "<u4")
         self.chunks = Known(self._chunk, CHUNKS)
         self.pieces = Known(self._piece, PIECES)
-        self.plain = {"": b""}
+        self.words, self.found = pa.array([""]), pa.array([b""])     # the pieces met so far and their ids
 
     def _ids(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
@@ -126,33 +126,35 @@ class WordTokenizer:
             return b"".join(map(self.pieces.__getitem__, signs))
         return self._ids(self.inner.encode(word, add_special_tokens=False).ids)
 
-    def _merged(self, pieces: list[str]) -> list[bytes]:
+    def _merged(self, pieces: list[str]) -> pa.Array:
         """Ids of pieces not known yet, all merged in one call."""
         signs = [p if p.isascii() else p.encode().decode("latin-1").translate(BYTE_SIGNS) for p in pieces]
         ids = np.array(self.bare.encode_batch_fast([" ".join(signs)], add_special_tokens=False)[0].ids, self.dtype)
-        cuts = [0, *((np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize).tolist()]
+        cuts = np.append(0, np.flatnonzero(self.ends[ids]) + 1)
         if len(cuts) != len(pieces) + 1:             # a piece without an end of its own
-            return list(map(self._piece, signs))
-        raw = ids.tobytes()
-        return [raw[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
+            return pa.array(list(map(self._piece, signs)), pa.binary())
+        return binaries(ids, cuts)
 
-    def _known(self, pieces: list[str]) -> list[bytes]:
+    def _known(self, pieces: pa.Array) -> pa.Array:
         """Ids of distinct pieces."""
-        found = list(map(self.plain.get, pieces))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        for lo in range(0, len(missing), MERGED):
-            at = missing[lo:lo + MERGED]
-            group = [pieces[i] for i in at]
-            for i, piece, ids in zip(at, group, self._merged(group)):
-                found[i] = ids
-                if len(self.plain) < WORDS:
-                    self.plain[piece] = ids
-        return found
+        at = pc.index_in(pieces, self.words)
+        new = pieces.filter(pc.is_null(at))
+        if not len(new):
+            return self.found.take(at)
+        group = new.to_pylist()
+        ids = pa.concat_arrays([self._merged(group[lo:lo + MERGED]) for lo in range(0, len(group), MERGED)])
+        order = np.argsort(at.is_valid().to_numpy(zero_copy_only=False), kind="stable")     # new ones first
+        out = pa.concat_arrays([ids, self.found.take(at.drop_null())]).take(pa.array(np.argsort(order)))
+        room = max(0, WORDS - len(self.words))
+        if room:
+            self.words = pa.concat_arrays([self.words, new[:room]])
+            self.found = pa.concat_arrays([self.found, ids[:room]])
+        return out
 
     def _plain(self, texts: pa.Array) -> pa.Array:
         words = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(texts), BETWEEN, r" \0 "))
         coded = words.flatten().dictionary_encode()
-        ids = pa.array(self._known(coded.dictionary.to_pylist()), pa.binary())
+        ids = self._known(coded.dictionary)
         return pc.binary_join(pa.ListArray.from_arrays(words.offsets, ids.take(coded.indices)), b"")
 
     def encode_batch(self, texts: pa.Array, last: int) -> pa.Array:
@@ -167,6 +169,12 @@ class WordTokenizer:
         return pc.binary_join_element_wise(ids, pa.scalar(self._ids([last]), pa.binary()), pa.scalar(b"", pa.binary()))
 
 
+def binaries(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of the values between each cut and the next, as Arrow."""
+    offsets = pa.py_buffer((cuts * values.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(values))])
+
+
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
@@ -212,6 +220,38 @@ def count_bytes(counts: np.ndarray) -> bytes:
     return counts.astype("<u1" if counts.max() < 256 else "<u4").tobytes()
 
 
+def bags_of(ids: pa.Array, dtype: np.dtype) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """(lengths, terms, counts) of documents (bytes of ids, none empty), those of
+    a block sorted together."""
+    many = np.array(pc.binary_length(ids).to_numpy(zero_copy_only=False), np.int64) // dtype.itemsize
+    flat = np.frombuffer(b"".join(ids.to_pylist()), dtype)
+    small = dtype.itemsize == 2 and len(many) <= 1 << 16      # document and id in one number
+    wide, shift = (np.uint32, np.uint32(16)) if small else (np.uint64, np.uint64(32))
+    both = np.repeat(np.arange(len(many), dtype=wide) << shift, many) | flat
+    both.sort()
+    begin = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])[:len(both)])
+    counts, terms = np.diff(begin, append=len(both)), both[begin].astype(dtype)        # the lower bits
+    cuts = np.searchsorted(begin, np.append(0, np.cumsum(many)))
+    out = binaries(counts.astype(np.uint8), cuts)
+    if len(counts) and counts.max() >= 256:          # those documents' counts need four bytes each
+        out = pa.array([count_bytes(counts[lo:hi]) for lo, hi in zip(cuts.tolist(), cuts[1:].tolist())], pa.binary())
+    return pa.array(many), binaries(terms, cuts), out
+
+
+def gathered(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together while their texts hold ``max_bytes`` at most; larger ones cut."""
+    some, total = [], 0
+    for part in (part for batch in batches for part in blocks(batch, column, max_bytes)):
+        size = pc.sum(pc.binary_length(part.column(column))).as_py() or 0
+        if some and total + size > max_bytes:
+            yield pa.concat_batches(some)
+            some, total = [], 0
+        some.append(part)
+        total += size
+    if some:
+        yield pa.concat_batches(some)
+
+
 def inverse(df: np.ndarray, many: int) -> np.ndarray:
     return np.log1p((many - df + 0.5) / (df + 0.5))
 
@@ -265,9 +305,10 @@ class Index:
         if spans:
             score += np.bincount(np.concatenate([self.place[x] for x in spans]),
                                  np.concatenate([self.weight[x] for x in spans]), len(self.live))
-        for i in self.row[terms].tolist():
-            if i >= 0:
-                score += self.rows[i]
+        often = self.row[terms]
+        asked = np.zeros(len(self.rows))
+        asked[often[often >= 0]] = 1
+        score += asked @ self.rows
         found = np.flatnonzero(np.where(unused[self.live], score, 0))
         if len(found) > NEIGHBOURS:
             least = np.partition(score[found], -NEIGHBOURS)[-NEIGHBOURS]
@@ -324,8 +365,7 @@ def corpus(tokens: DataFrame, dtype: np.dtype, vocabulary: int, end_id: int) ->
         forget_tokenizers()
         df, many, total = np.zeros(vocabulary, np.int64), 0, 0
         for batch in batches:
-            for raw in batch.column("terms").to_pylist():
-                df[np.frombuffer(raw, dtype)] += 1
+            df += np.bincount(np.frombuffer(b"".join(batch.column("terms").to_pylist()), dtype), minlength=vocabulary)
             many, total = many + len(batch), total + (pc.sum(batch.column("length")).as_py() or 0)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, (-1, -2))), pa.array(np.append(df[at], (many, total)))],
@@ -468,15 +508,12 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window: int = WI
 
     def tokenise(batches):
         tok = tokenizer(tokenizer_path)
-        for batch in batches:
-            for part in blocks(batch, "text", BLOCK_BYTES):
-                ids = tok.encode_batch(part.column("text"), end_id)
-                found = [bag(np.frombuffer(x, dtype)) for x in ids.to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("size"), pc.binary_slice(ids, 0, HEAD_BYTES), pa.array(map(len, found), pa.int64()),
-                     pa.array([b.terms.tobytes() for b in found], pa.binary()),
-                     pa.array([count_bytes(b.counts) for b in found], pa.binary()), ids],
-                    ["id", "size", "head", "length", "terms", "counts", "ids"])
+        for part in gathered(batches, "text", BLOCK_BYTES):
+            ids = tok.encode_batch(part.column("text"), end_id)
+            length, terms, counts = bags_of(ids, dtype)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id"), part.column("size"), pc.binary_slice(ids, 0, HEAD_BYTES), length, terms, counts, ids],
+                ["id", "size", "head", "length", "terms", "counts", "ids"])
         pa.default_memory_pool().release_unused()    # the worker lives on, in other steps too
 
     tokens = rows.select("*", (F.octet_length("text") + 1).cast("long").alias("size"))
