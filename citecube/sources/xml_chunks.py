@@ -27,8 +27,9 @@ PLACE = ["src", "block", "place"]
 # The modes: plain, and inside each of these, with the text that ends it.
 OPENERS = ["", "<!--", "<![CDATA[", "<?"]
 CLOSERS = ["", "-->", "]]>", "?>"]
-_COMPLETE = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<[/A-Za-z][^<>]*+>"
-_COMMENTS = r"(?s)(<!\[CDATA\[.*?\]\]>)|<!--.*?(?:-->|\z)"
+# One sign that all begin with: other places are passed over without trying each alternative.
+_COMPLETE = r"(?s)<(?:!--.*?-->|!\[CDATA\[.*?\]\]>|\?.*?\?>|[/A-Za-z][^<>]*+>)"
+_COMMENTS = r"(?s)(?=<)(?:(<!\[CDATA\[.*?\]\]>)|<!--.*?(?:-->|\z))"
 
 
 def read_chunks(spark: SparkSession, path: str, sep: str) -> DataFrame:

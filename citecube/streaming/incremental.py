@@ -14,6 +14,7 @@ dimensions; equal to a batch build up to the naming of ids."""
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,18 +55,25 @@ def import_batch(raw: DataFrame, batch: int, target_dir: str) -> dict[str, int]:
     registries; returns the counts of records."""
     spark = raw.sparkSession
     rows, seen = counted_rows(place_chunks(raw))
-    for name, kind, columns, schema in ((PUBLICATIONS, "publication", PUB_COLUMNS, S.STAGED_PUBLICATIONS),
-                                        (COLLECTIONS, "collection", COL_COLUMNS, S.STAGED_COLLECTIONS)):
+    keys = registries(spark, target_dir)
+    pubs = rows.where("kind = 'publication'")
+
+    def stage(name: str, kind: str, columns: list[str], schema: T.StructType) -> None:
         last = _staged(spark, target_dir, name, schema).where(F.col("batch") < batch).agg(F.max("id")).first()[0] or 0
         numbered = number_by_place(rows.where(F.col("kind") == kind))
         (numbered.select((F.col("seq") + last).alias("id"), *columns)
          .write.mode("overwrite").parquet(os.path.join(target_dir, name, f"batch={batch}")))
-    rejects_of(rows).write.mode("overwrite").parquet(os.path.join(target_dir, REJECTS, f"batch={batch}"))
-    keys = registries(spark, target_dir)
-    pubs = rows.where("kind = 'publication'")
-    keys["author"].assign(pubs.select(F.explode(split_list("authors")).alias("author")), batch)
-    keys["year"].assign(pubs, batch)
-    keys["type"].assign(rows.where("kind != 'reject'"), batch)
+
+    # Outputs of the written rows that do not depend on each other: side by side, as most are small.
+    steps = [lambda: stage(PUBLICATIONS, "publication", PUB_COLUMNS, S.STAGED_PUBLICATIONS),
+             lambda: stage(COLLECTIONS, "collection", COL_COLUMNS, S.STAGED_COLLECTIONS),
+             lambda: rejects_of(rows).write.mode("overwrite").parquet(os.path.join(target_dir, REJECTS, f"batch={batch}")),
+             lambda: keys["author"].assign(pubs.select(F.explode(split_list("authors")).alias("author")), batch),
+             lambda: keys["year"].assign(pubs, batch),
+             lambda: keys["type"].assign(rows.where("kind != 'reject'"), batch)]
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
     return seen
 
 
