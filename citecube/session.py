@@ -105,3 +105,15 @@ def materialize(df, name: str = "stage", codec: str = "zstd"):
     _ON_THE_WAY.get().append(path)
     df.write.mode("overwrite").option("compression", codec).parquet(path)
     return spark.read.parquet(path)
+
+
+# Rows of a written table up to which a join may send it to every executor (some 50 MB in the driver).
+BROADCAST_ROWS = 500_000
+
+
+def join_side(df):
+    """A written table as a side of a join.  Spark plans a broadcast from the
+    bytes on disk, where millions of narrow rows may take a few megabytes, but the
+    driver holds them unpacked.  So a table of more than BROADCAST_ROWS rows is
+    joined by a shuffle; of smaller ones Spark decides.  Only counts are read."""
+    return df.hint("merge") if df.count() > BROADCAST_ROWS else df

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import join_side, materialize
 
 PLACE = ["src", "block", "place"]
 # The modes: plain, and inside each of these, with the text that ends it.
@@ -117,7 +117,7 @@ def judge_chunks(chunks: DataFrame, records: tuple[str, ...]) -> DataFrame:
                                  F.col("outs.tag").alias("tags")), "xml-events")
     maps = (events.select(*PLACE, "map").groupBy("src", "block")
             .applyInPandas(_compose, "src long, block long, place long, before int, after int"))
-    maps = materialize(maps.join(events.select(*PLACE, "tags"), PLACE), "xml-modes")
+    maps = materialize(maps.join(join_side(events.select(*PLACE, "tags")), PLACE), "xml-modes")
     # a chunk's tags are by the mode that it starts in itself; here by the mode that its split starts in
     own_tags = F.transform(F.sequence(F.lit(1), F.lit(len(OPENERS))), lambda k: F.element_at(
         "tags", F.substring(F.lpad(F.col("before").cast("string"), len(OPENERS), "0"), k, F.lit(1)).cast("int") + 1))
@@ -159,17 +159,18 @@ def with_owners(rows: DataFrame) -> DataFrame:
 def join_pieces(chunks: DataFrame, loose: DataFrame, sep: str) -> DataFrame:
     """(file, src, block, place, chunk): the chunks without the loose pieces (src,
     block, place, owner_block, owner_place, drop), which are put behind their
-    owners or dropped.  Only owners and loose pieces are moved."""
+    owners or dropped.  Only owners and loose pieces are moved, unless they are too
+    many to be sent to every executor: then the chunks are moved by their places."""
     owners = materialize(loose.where("NOT drop").select(
         "src", F.col("owner_block").alias("block"), F.col("owner_place").alias("place")).distinct(), "owners")
     pieces = (loose.where("NOT drop").select(*PLACE, "owner_block", "owner_place")
               .unionByName(owners.withColumn("owner_block", F.col("block")).withColumn("owner_place", F.col("place"))))
-    joined = (chunks.join(pieces, PLACE).groupBy("src", "owner_block", "owner_place")
+    joined = (chunks.join(join_side(pieces), PLACE).groupBy("src", "owner_block", "owner_place")
               .agg(F.min("file").alias("file"),
                    F.sort_array(F.collect_list(F.struct("block", "place", "chunk"))).alias("parts"))    # of one record
               .select("file", "src", F.col("owner_block").alias("block"), F.col("owner_place").alias("place"),
                       F.array_join(F.transform("parts", lambda p: p["chunk"]), sep).alias("chunk")))
-    plain = chunks.join(loose.select(*PLACE), PLACE, "left_anti").join(owners, PLACE, "left_anti")
+    plain = chunks.join(join_side(loose.select(*PLACE)), PLACE, "left_anti").join(join_side(owners), PLACE, "left_anti")
     return plain.select("file", *PLACE, "chunk").unionByName(joined)
 
 

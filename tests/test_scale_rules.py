@@ -11,6 +11,7 @@ from citecube.operators.lookup import dim_lookup
 from citecube.plans import cube as cube_plan
 from citecube.plans import olap
 from citecube.sources import tables
+from citecube.sources.xml_chunks import join_pieces
 
 
 def _fact(spark, rows):
@@ -112,3 +113,31 @@ def test_tables_on_the_way_are_deleted(spark):
     got = session.settle(spark, lambda: session.materialize(outer.where("id > 3"), "way-inner").where("id < 6"), "way-result")
     assert sorted(r.id for r in got.collect()) == [4, 5]
     assert (folders("way-before"), folders("way-inner"), folders("way-result")) == (1, 0, 1)
+
+
+def _broadcasts(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def test_large_written_sides_are_not_broadcast(spark, monkeypatch):
+    left = spark.range(2000).withColumn("x", F.col("id") * 2)
+    side = session.materialize(spark.range(1000), "side")
+    assert _broadcasts(left.join(session.join_side(side), "id")) == 1
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 999)          # the table stays small in bytes
+    for how, rows in (("inner", 500), ("left", 2000), ("left_anti", 1500)):
+        out = left.select("x").join(session.join_side(side.withColumnRenamed("id", "x")), "x", how)
+        assert _broadcasts(out) == 0 and out.count() == rows
+
+
+def test_pieces_of_many_records_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 20)
+    # record i (place 2i) is split in two where i is even; every tenth record's second piece is a comment
+    chunks = session.materialize(spark.createDataFrame(
+        [("f", 1, 0, p, f"c{p}") for p in range(200) if p % 2 == 0 or p % 4 == 1], "file string, src long, block long, place long, chunk string"), "chunks")
+    loose = session.materialize(spark.createDataFrame(
+        [(1, 0, p, 0, p - 1, p % 20 == 1) for p in range(200) if p % 4 == 1],
+        "src long, block long, place long, owner_block long, owner_place long, drop boolean"), "loose")
+    out = join_pieces(chunks, loose, "+")
+    assert _broadcasts(out) == 0
+    want = {p: f"c{p}+c{p + 1}" if p % 4 == 0 and (p + 1) % 20 != 1 else f"c{p}" for p in range(0, 200, 2)}
+    assert {r.place: r.chunk for r in out.collect()} == want and out.count() == 100
