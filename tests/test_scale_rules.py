@@ -11,6 +11,7 @@ from citecube.operators.lookup import dim_lookup
 from citecube.plans import cube as cube_plan
 from citecube.plans import olap
 from citecube.sources import tables
+from citecube.sources import xml_records as xml
 from citecube.sources.xml_chunks import join_pieces
 
 
@@ -141,3 +142,14 @@ def test_pieces_of_many_records_are_not_broadcast(spark, monkeypatch):
     assert _broadcasts(out) == 0
     want = {p: f"c{p}+c{p + 1}" if p % 4 == 0 and (p + 1) % 20 != 1 else f"c{p}" for p in range(0, 200, 2)}
     assert {r.place: r.chunk for r in out.collect()} == want and out.count() == 100
+
+
+def test_an_import_with_joins_by_shuffle_is_the_same(spark, monkeypatch):
+    path = session.scratch_path(spark, "xml-sides")
+    text = "".join(f'<proceedings key="c{i}"><title>T {i}{" key=" + chr(34) if i % 3 == 0 else ""}</title></proceedings>\n'
+                   f'<!-- <book key="old{i}"><title>x</title></book> -->\n' for i in range(60))
+    spark.createDataFrame([(f"<dblp>{text}</dblp>",)], "value string").coalesce(1).write.text(path)
+    want = [(i + 1, "proceedings", f"c{i}", f"T {i}" + (' key="' if i % 3 == 0 else "")) for i in range(60)]
+    for most in (500_000, 0):
+        monkeypatch.setattr(session, "BROADCAST_ROWS", most)
+        assert sorted(map(tuple, xml.dblp_import(spark, path)[1].collect())) == want
