@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import join_side, materialize
 
 
 def dim_lookup(left: DataFrame, left_key: str, dim: DataFrame, dim_key: str, dim_id: str,
@@ -15,12 +15,14 @@ def dim_lookup(left: DataFrame, left_key: str, dim: DataFrame, dim_key: str, dim
     ``unique=True`` states that ``dim_key`` is already distinct (dimensions
     built by distinct), which saves the de-duplicating aggregation; otherwise
     its result is written first.  So both join inputs are plain scans, and AQE
-    picks the join from their sizes and splits a key that many rows share."""
+    picks the join from their sizes and splits a key that many rows share;
+    ``join_side`` keeps a large one from being broadcast."""
     if unique:
         firsts = dim.select(F.col(dim_key).alias("_lk_key"), F.col(dim_id).alias("_lk_id"))
     else:
         firsts = dim.groupBy(F.col(dim_key).alias("_lk_key")).agg(F.min(dim_id).alias("_lk_id"))
         firsts = materialize(firsts, "lookup")
+    firsts = join_side(firsts)
     joined = left.join(firsts, left[left_key] == firsts["_lk_key"], "left")
     return joined.withColumn(out_col, F.coalesce(F.col("_lk_id"), F.lit(missing)).cast("long")) \
                  .drop("_lk_key", "_lk_id")

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import join_side, materialize
 from .olap import AUTHOR_ID, AUTHOR_NAME, TOP_K, YEAR
 
 _L, _S = T.LongType(), T.StringType()
@@ -100,14 +100,15 @@ def star_rows(tables: dict[str, DataFrame], fact: DataFrame | None = None) -> Da
 def star_keys(tables: dict[str, DataFrame], fact: DataFrame | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
     """The same rows without the names, and the names: column -> (id, name), one
     row per id.  A load given so is grouped by ids alone, and the names are
-    joined to its cuboids instead of its fact rows."""
+    joined to its cuboids instead of its fact rows; many names are not broadcast."""
     fact = tables["publication"] if fact is None else fact
     t = tables["timeinfo"].select("time_id", "year", "decade")
     rows = (fact.select("publication_id", "author_id", "time_id", "type_id", "venue_series_id", "citings_dblp")
             .join(t, "time_id", "left"))
-    return rows, {"author_name": tables["author"].select("author_id", F.col("name").alias("author_name")),
-                  "type_name": tables["document_type"].select("type_id", F.col("name").alias("type_name")),
-                  "venue_name": tables["venue_series"].select("venue_series_id", F.col("name").alias("venue_name"))}
+    names = {"author_name": tables["author"].select("author_id", F.col("name").alias("author_name")),
+             "type_name": tables["document_type"].select("type_id", F.col("name").alias("type_name")),
+             "venue_name": tables["venue_series"].select("venue_series_id", F.col("name").alias("venue_name"))}
+    return rows, {column: join_side(of_ids) for column, of_ids in names.items()}
 
 
 def finest(rows: DataFrame, names: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:

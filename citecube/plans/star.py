@@ -34,7 +34,7 @@ from ..operators.dedup import union_distinct
 from ..operators.keys import dense_ids
 from ..operators.lookup import dim_lookup, merge_column
 from ..schemas import FACT_DEFAULTS, TYPE_DESCRIPTION
-from ..session import materialize
+from ..session import join_side, materialize
 from ..sources.adapter import Staged
 
 
@@ -147,7 +147,7 @@ def citing_bridge(st: Staged) -> DataFrame:
     plain scans, and AQE can split a hot cited key."""
     firsts = materialize(st.publications.groupBy("key").agg(F.min("id").alias("cited_publication_id")), "cited")
     cites = st.cites.select(F.col("id").alias("publication_id"), clean_key("cite").alias("key"))
-    return cites.join(firsts, "key").select("publication_id", "cited_publication_id").distinct()
+    return cites.join(join_side(firsts), "key").select("publication_id", "cited_publication_id").distinct()
 
 
 def build_star(st: Staged, parallel: int = 5, dims: dict[str, DataFrame] | None = None) -> StarSchema:
@@ -165,6 +165,6 @@ def build_star(st: Staged, parallel: int = 5, dims: dict[str, DataFrame] | None
     # author rows by name when the dimension is too large to broadcast)
     links = materialize(author_links(st, authors), "links")
     survivors = surviving_publications(titled, st.cites)
-    fact = fact_table(survivors, links, timeinfo, doc_type, venues)
+    fact = fact_table(survivors, join_side(links), timeinfo, doc_type, venues)
     return StarSchema(timeinfo, venues, title_dimension(titled), authors, doc_type, fact,
                       bridge_table(links), citing_bridge(st))

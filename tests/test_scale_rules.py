@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from citecube import session
 from citecube.operators.lookup import dim_lookup
 from citecube.plans import cube as cube_plan
-from citecube.plans import olap
+from citecube.plans import lattice, olap
 from citecube.sources import tables
 from citecube.sources import xml_records as xml
 from citecube.sources.xml_chunks import join_pieces
@@ -153,3 +153,35 @@ def test_an_import_with_joins_by_shuffle_is_the_same(spark, monkeypatch):
     for most in (500_000, 0):
         monkeypatch.setattr(session, "BROADCAST_ROWS", most)
         assert sorted(map(tuple, xml.dblp_import(spark, path)[1].collect())) == want
+
+
+def _star_tables(spark):
+    written = lambda rows, schema: session.materialize(spark.createDataFrame(rows, schema), "star-table")
+    return {"timeinfo": written([(1, 1995, 90), (2, 2001, 0)], "time_id long, year long, decade long"),
+            "author": written([(i, f"A{i % 25}") for i in range(30)], "author_id long, name string"),
+            "document_type": written([(1, "T")], "type_id long, name string"),
+            "venue_series": written([(i, f"V{i}") for i in range(30)], "venue_series_id long, name string"),
+            "publication": written([(p, a, 1 + p % 2, 1 if p % 3 else -1, p % 31 - 1, p % 9) for p in range(90) for a in (p % 30, p % 7)],
+                                   "publication_id long, author_id long, time_id long, type_id long, venue_series_id long, citings_dblp long")}
+
+
+def _rows(df):
+    return sorted((tuple(r.asDict()[c] for c in sorted(df.columns)) for r in df.collect()), key=str)
+
+
+def test_many_names_of_a_load_are_not_broadcast(spark, monkeypatch):
+    tables_, name = _star_tables(spark), lattice.name_of(lattice.FINEST[0])
+    want = _rows(lattice.finest(*lattice.star_keys(tables_))[name])
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 10)
+    got = lattice.finest(*lattice.star_keys(tables_))[name]
+    assert _broadcasts(got) == 1          # the type's name
+    assert _rows(got) == want and len({r[1] for r in want}) == 25
+
+
+def test_a_large_lookup_is_not_broadcast(spark, monkeypatch):
+    left, dim = spark.range(40).select(F.col("id").alias("k")), session.materialize(spark.range(30).select("id", (F.col("id") + 100).alias("n")), "dim")
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 10)
+    for unique in (True, False):
+        out = dim_lookup(left, "k", dim, "id", "n", "found", unique=unique)
+        assert _broadcasts(out) == 0
+        assert sorted(r.found for r in out.collect()) == [-1] * 10 + list(range(100, 130))
