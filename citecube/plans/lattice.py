@@ -87,14 +87,10 @@ def merged(rows: DataFrame, columns: list[str]) -> DataFrame:
 def star_rows(tables: dict[str, DataFrame], fact: DataFrame | None = None) -> DataFrame:
     """Fact rows with all attributes of their dimensions; ids without a row in
     the dimension (-1) stay, with null attributes."""
-    fact = tables["publication"] if fact is None else fact
-    t = tables["timeinfo"].select("time_id", "year", "decade")
-    a = tables["author"].select("author_id", F.col("name").alias("author_name"))
-    d = tables["document_type"].select("type_id", F.col("name").alias("type_name"))
-    v = tables["venue_series"].select("venue_series_id", F.col("name").alias("venue_name"))
-    return (fact.select("publication_id", "author_id", "time_id", "type_id", "venue_series_id", "citings_dblp")
-            .join(t, "time_id", "left").join(d, "type_id", "left").join(v, "venue_series_id", "left")
-            .join(a, "author_id", "left"))
+    rows, names = star_keys(tables, fact)
+    for of_ids in names.values():       # the authors first: a condition on them leaves few rows for the other joins
+        rows = rows.join(of_ids, of_ids.columns[0], "left")
+    return rows
 
 
 def star_keys(tables: dict[str, DataFrame], fact: DataFrame | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:

@@ -185,3 +185,18 @@ def test_a_large_lookup_is_not_broadcast(spark, monkeypatch):
         out = dim_lookup(left, "k", dim, "id", "n", "found", unique=unique)
         assert _broadcasts(out) == 0
         assert sorted(r.found for r in out.collect()) == [-1] * 10 + list(range(100, 130))
+
+
+def test_answers_from_the_fact_join_by_shuffle_too(spark, monkeypatch):
+    tables_ = _star_tables(spark)
+    ask = lambda: lattice.Lattice(spark, "", fact_rows=lattice.star_rows(tables_))._from_fact(
+        ("decade", "venue_name"), tuple(lattice.MEASURES), [F.col("author_name") == "A3"])
+    want = _rows(ask())
+    hits = [r for r in tables_["publication"].collect() if r.author_id % 25 == 3]
+    assert sum(r[4] for r in want) == len({r.publication_id for r in hits}) > 0        # n_pubs
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 10)
+    got = ask()
+    assert _broadcasts(got) == 2          # times and types
+    assert _rows(got) == want
+    plan = lattice.star_rows(tables_).where("author_name = 'A3'")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftOuter, (venue_series_id") < plan.index("Join Inner, (author_id")      # the authors are joined below
