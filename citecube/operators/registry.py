@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import join_side
 from .keys import dense_ids
 
 
@@ -40,7 +41,7 @@ class KeyRegistry:
     def assign(self, rows: DataFrame, batch: int) -> DataFrame:
         """Register the keys of a batch's rows; returns the newly given ids."""
         known = self.table(batch)
-        fresh = rows.select(*self.keys).dropna().distinct().join(known.select(*self.keys), self.keys, "left_anti")
+        fresh = rows.select(*self.keys).dropna().distinct().join(join_side(known.select(*self.keys)), self.keys, "left_anti")
         last = known.agg(F.max(self.id_col)).first()[0] or 0
         given = dense_ids(fresh, self.keys, self.id_col, first_id=last + 1)
         given.select(*self.keys, self.id_col).write.mode("overwrite").parquet(self._folder(batch))

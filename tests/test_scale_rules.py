@@ -5,9 +5,11 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citecube import session
 from citecube.operators.lookup import dim_lookup
+from citecube.operators.registry import KeyRegistry
 from citecube.plans import cube as cube_plan
 from citecube.plans import lattice, olap
 from citecube.sources import tables
@@ -200,3 +202,15 @@ def test_answers_from_the_fact_join_by_shuffle_too(spark, monkeypatch):
     assert _rows(got) == want
     plan = lattice.star_rows(tables_).where("author_name = 'A3'")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join LeftOuter, (venue_series_id") < plan.index("Join Inner, (author_id")      # the authors are joined below
+
+
+def test_known_keys_of_a_large_registry_are_joined_by_shuffle(spark, monkeypatch):
+    keys = KeyRegistry(spark, session.scratch_path(spark, "registry"), T.StructType([T.StructField("k", T.StringType())]), "id")
+    rows = lambda first, many: spark.range(first, first + many).select(F.format_string("k%03d", "id").alias("k"))
+    keys.assign(rows(0, 30), 0)
+    sides, real = [], session.join_side
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr("citecube.operators.registry.join_side", lambda df: sides.append(real(df)) or sides[-1])
+    got = {r.k: r.id for r in keys.assign(rows(20, 20), 1).collect()}
+    assert got == {f"k{i:03d}": i + 1 for i in range(30, 40)}
+    assert _broadcasts(rows(20, 20).join(sides[0], "k", "left_anti")) == 0
